@@ -129,3 +129,161 @@ def q_quality_rates(spark, sf_dir):
     runs = derived.phase_runs(spark, sf_dir)
     verdicts = derived.semantic_verdicts(spark, sf_dir)
     return metrics.quality_rates(runs, verdicts)
+
+
+# ---- step 3: pair building ---------------------------------------------------------
+
+from shapekit.operators import pairs as P  # noqa: E402
+from shapekit.session import scratch_dir  # noqa: E402
+from shapekit.sources import csv as CSV, sinks, tagged  # noqa: E402
+
+STRUCT_COLS = ["id", "title", "ingredients", "directions"]
+
+
+def _structured_csv(spark, sf_dir):
+    path = scratch_dir(spark, "structured-csv")
+    derived.write_lines(derived.structured_csv_lines(spark, sf_dir), path)
+    return path
+
+
+def _tagged_path(spark, sf_dir):
+    path = scratch_dir(spark, "tagged-text")
+    derived.write_lines(derived.tagged_text_lines(spark, sf_dir), path)
+    return path
+
+
+def _good_structured(spark, sf_dir):
+    good, _ = CSV.read_tolerant_csv(spark, _structured_csv(spark, sf_dir), STRUCT_COLS)
+    return good
+
+
+def _texts(spark, sf_dir):
+    return tagged.latest_per_key(tagged.read_tagged_text(spark, _tagged_path(spark, sf_dir)))
+
+
+@query("csv_tolerant")
+def q_csv_tolerant(spark, sf_dir):
+    return _good_structured(spark, sf_dir)
+
+
+@query("project_present")
+def q_project_present(spark, sf_dir):
+    raw = CSV.read_csv_header(spark, _structured_csv(spark, sf_dir))
+    df = P.select_present(P.rename_if_present(raw, {"_c0": "id", "Unnamed: 0": "id"}),
+                          ["id", "title", "link"])
+    return df
+
+
+@query("table_profile")
+def q_table_profile(spark, sf_dir):
+    return P.profile(_good_structured(spark, sf_dir))
+
+
+@query("sanitize")
+def q_sanitize(spark, sf_dir):
+    g = _good_structured(spark, sf_dir)
+    return P.sanitize(g, ["ingredients", "directions"]).select("id", "ingredients", "directions")
+
+
+@query("strip_ws")
+def q_strip_ws(spark, sf_dir):
+    g = _good_structured(spark, sf_dir)
+    return P.strip_cols(g, ["title"]).select("id", "title")
+
+
+@query("tagged_text")
+def q_tagged_text(spark, sf_dir):
+    t = tagged.read_tagged_text(spark, _tagged_path(spark, sf_dir))
+    return t.select("id", "text")
+
+
+@query("last_wins")
+def q_last_wins(spark, sf_dir):
+    return _texts(spark, sf_dir)
+
+
+@query("slice_rows")
+def q_slice_rows(spark, sf_dir):
+    g = _good_structured(spark, sf_dir).withColumn("id", F.col("id").cast("bigint"))
+    hi = g.select(F.max("id") - 99).scalar()
+    return P.slice_rows(g, "id", 50, None).filter(F.col("id") < hi).select("id", "title")
+
+
+@query("blacklist_anti")
+def q_blacklist_anti(spark, sf_dir):
+    g = _good_structured(spark, sf_dir).withColumn("id", F.col("id").cast("bigint"))
+    return P.exclude_literal_ids(g).select("id")
+
+
+@query("blacklist_audit")
+def q_blacklist_audit(spark, sf_dir):
+    g = _good_structured(spark, sf_dir).withColumn("id", F.col("id").cast("bigint"))
+    return P.blacklist_hits(g, P.id_table(spark, P.BLACKLIST_IDS))
+
+
+@query("semi_text")
+def q_semi_text(spark, sf_dir):
+    g = _good_structured(spark, sf_dir).withColumn("id", F.col("id").cast("bigint"))
+    return P.require_match(g, _texts(spark, sf_dir)).select("id")
+
+
+@query("list_cell")
+def q_list_cell(spark, sf_dir):
+    g = _good_structured(spark, sf_dir)
+    a = P.parse_list_cell("ingredients")
+    return g.select("id", F.size(a).cast("bigint").alias("n_items"),
+                    F.array_join(a, "|").alias("items"))
+
+
+@query("unparsable")
+def q_unparsable(spark, sf_dir):
+    g = _good_structured(spark, sf_dir)
+    bad = P.parse_list_cell("ingredients").isNull() | P.parse_list_cell("directions").isNull()
+    return g.filter(bad).select("id")
+
+
+@query("target_json")
+def q_target_json(spark, sf_dir):
+    s = derived.structured_rows(spark, sf_dir)
+    return s.select("id", P.build_target_json(F.col("title"), P.parse_list_cell("ingredients"),
+                                              P.parse_list_cell("directions")).alias("json"))
+
+
+@query("pair_join")
+def q_pair_join(spark, sf_dir):
+    return P.build_pairs(_good_structured(spark, sf_dir), _texts(spark, sf_dir))
+
+
+@query("removal_report")
+def q_removal_report(spark, sf_dir):
+    cand = P.pair_with_text(_good_structured(spark, sf_dir), _texts(spark, sf_dir))
+    return P.removal_report(cand)
+
+
+@query("pairs_roundtrip")
+def q_pairs_roundtrip(spark, sf_dir):
+    pairs = P.build_pairs(_good_structured(spark, sf_dir), _texts(spark, sf_dir))
+    path = scratch_dir(spark, "pairs-csv")
+    sinks.write_csv(pairs, path)
+    return CSV.read_pairs(spark, path)
+
+
+@query("json_sink")
+def q_json_sink(spark, sf_dir):
+    v = V.validate_api(_answers(spark, sf_dir))
+    path = scratch_dir(spark, "results-json")
+    sinks.write_json(v.select("idx", "output", "reason"), path)
+    return spark.read.schema("idx bigint, output struct<title string, ingredients array<string>, "
+                             "steps array<string>>, reason string").json(path).select("idx", "reason")
+
+
+@query("append_jsonl")
+def q_append_jsonl(spark, sf_dir):
+    v = V.validate_lenient(_answers(spark, sf_dir)).filter("ok")
+    path = scratch_dir(spark, "results-jsonl")
+    rec = v.select(F.col("idx").alias("index"), F.col("text").alias("input"), "output")
+    sinks.append_jsonl(rec, path, "r1", reset=True)
+    sinks.append_jsonl(rec, path, "r2", reset=True)
+    sinks.append_jsonl(rec, path, "r1", reset=True)  # re-run of r1 replaces only r1
+    back = spark.read.schema("index bigint, input string, output struct<title string>, run_id string").json(path)
+    return back.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))

@@ -120,3 +120,97 @@ SELECT model, phase, count(*) AS n,
   round(avg(CASE WHEN ({_LENIENT_REASON}) IS NULL THEN CAST(l.quality = 1 AS INT)::DOUBLE END), 6)
     AS semantic_rate
 FROM p LEFT JOIN labels l ON l.doc_id = p.idx GROUP BY model, phase"""
+
+# ---- pair building ------------------------------------------------------------------
+
+_STRUCT = """
+g AS (SELECT l_orderkey AS id, to_json(list(p_name ORDER BY l_linenumber, p_name, l_returnflag))::VARCHAR AS ing,
+             to_json(list(concat('Pack line ', l_linenumber, ' flag ', l_returnflag) ORDER BY l_linenumber, p_name, l_returnflag))::VARCHAR AS dir
+      FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
+s AS (SELECT o_orderkey AS id, concat(' Order ', o_orderkey, ' ', o_orderpriority, ' ') AS title,
+             coalesce(g.ing, '[]') AS ingredients, coalesce(g.dir, '[]') AS directions
+      FROM orders LEFT JOIN g ON g.id = o_orderkey),
+c AS (SELECT CAST(id AS VARCHAR) AS id, title,
+             CASE WHEN id % 17 = 4 THEN NULL WHEN id % 50 = 7 THEN left(ingredients, length(ingredients) - 1)
+                  ELSE ingredients END AS ingredients,
+             CASE WHEN id % 17 = 4 THEN NULL ELSE directions END AS directions, id AS nid
+      FROM s WHERE id % 13 <> 3)
+"""
+
+_TEXTS = """
+tx AS (SELECT doc_id AS id, CASE WHEN doc_id % 97 = 5 THEN concat(text, ' (revised)') ELSE text END AS text
+       FROM documents)
+"""
+
+_BL = "(25, 261, 380, 383, 585, 619, 674, 844, 851, 899, 902, 993, 994, 999)"
+
+_CAUSE = f"""CASE WHEN nid IN {_BL} THEN 'blacklist' WHEN nid NOT IN (SELECT id FROM tx) THEN 'no_text'
+  WHEN nid % 17 = 4 OR nid % 50 = 7 THEN 'unparsable' END"""
+
+ORACLE["csv_tolerant"] = W(_STRUCT) + "SELECT id, title, ingredients, directions FROM c"
+
+ORACLE["project_present"] = W(_STRUCT) + "SELECT CAST(id AS VARCHAR) AS id, title FROM s"
+
+ORACLE["table_profile"] = W(_STRUCT) + """
+SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_cols, 'id,title,ingredients,directions' AS col_names FROM c"""
+
+ORACLE["sanitize"] = W(_STRUCT) + """
+SELECT id, coalesce(ingredients, '') AS ingredients, coalesce(directions, '') AS directions FROM c"""
+
+ORACLE["strip_ws"] = W(_STRUCT) + "SELECT id, trim(title) AS title FROM c"
+
+ORACLE["tagged_text"] = """
+SELECT doc_id AS id, text FROM documents
+UNION ALL SELECT doc_id AS id, concat(text, ' (revised)') AS text FROM documents WHERE doc_id % 97 = 5"""
+
+ORACLE["last_wins"] = W(_TEXTS) + "SELECT id, text FROM tx"
+
+ORACLE["slice_rows"] = W(_STRUCT) + """
+SELECT nid AS id, title FROM c WHERE nid >= 50 AND nid < (SELECT max(nid) - 99 FROM c)"""
+
+ORACLE["blacklist_anti"] = W(_STRUCT) + f"SELECT nid AS id FROM c WHERE nid NOT IN {_BL}"
+
+ORACLE["blacklist_audit"] = W(_STRUCT) + f"""
+SELECT b.id, b.id IN (SELECT nid FROM c) AS hit
+FROM (SELECT unnest([25, 261, 380, 383, 585, 619, 674, 844, 851, 899, 902, 993, 994, 999])::BIGINT AS id) b"""
+
+ORACLE["semi_text"] = W(_STRUCT, _TEXTS) + "SELECT nid AS id FROM c WHERE nid IN (SELECT id FROM tx)"
+
+ORACLE["list_cell"] = W(_STRUCT) + """
+SELECT c.id, CASE WHEN nid % 17 = 4 OR nid % 50 = 7 THEN NULL ELSE coalesce(len(l.items), 0) END::BIGINT AS n_items,
+  CASE WHEN nid % 17 = 4 OR nid % 50 = 7 THEN NULL ELSE coalesce(array_to_string(l.items, '|'), '') END AS items
+FROM c LEFT JOIN (SELECT l_orderkey, list(p_name ORDER BY l_linenumber, p_name, l_returnflag) AS items
+                  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey) l ON l.l_orderkey = c.nid"""
+
+ORACLE["unparsable"] = W(_STRUCT) + "SELECT id FROM c WHERE nid % 17 = 4 OR nid % 50 = 7"
+
+_GOLD = """
+gl AS (SELECT l_orderkey AS id, list(p_name ORDER BY l_linenumber, p_name, l_returnflag) AS ing,
+              list(concat('Pack line ', l_linenumber, ' flag ', l_returnflag) ORDER BY l_linenumber, p_name, l_returnflag) AS dir
+       FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
+gj AS (SELECT o_orderkey AS id, to_json({'title': concat('Order ', o_orderkey, ' ', o_orderpriority),
+                                        'ingredients': coalesce(gl.ing, []::VARCHAR[]),
+                                        'directions': coalesce(gl.dir, []::VARCHAR[])})::VARCHAR AS json
+       FROM orders LEFT JOIN gl ON gl.id = o_orderkey)
+"""
+
+ORACLE["target_json"] = W(_GOLD) + "SELECT id, json FROM gj"
+
+_PAIRS = W(_STRUCT, _TEXTS, _GOLD) + f"""
+SELECT c.nid AS id, tx.text, gj.json FROM c JOIN tx ON tx.id = c.nid JOIN gj ON gj.id = c.nid
+WHERE ({_CAUSE}) IS NULL"""
+
+ORACLE["pair_join"] = _PAIRS
+ORACLE["pairs_roundtrip"] = _PAIRS
+
+ORACLE["removal_report"] = W(_STRUCT, _TEXTS) + f"""
+, r AS (SELECT coalesce({_CAUSE}, 'kept') AS cause FROM c)
+SELECT cause, count(*) AS n FROM r GROUP BY cause
+UNION ALL SELECT 'in_range', count(*) FROM r
+UNION ALL SELECT 'removed', count(*) FROM r WHERE cause <> 'kept'"""
+
+ORACLE["json_sink"] = W(_GEN) + f"SELECT idx, {_API_REASON} AS reason FROM a"
+
+ORACLE["append_jsonl"] = W(_GEN) + f"""
+SELECT r.run_id, count(*) AS n FROM a, (VALUES ('r1'), ('r2')) r(run_id)
+WHERE ({_LENIENT_REASON}) IS NULL GROUP BY r.run_id"""

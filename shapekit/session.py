@@ -21,6 +21,8 @@ BASE_CONF = {
     # Filters on validation flags sit above wide derived projections; the
     # constraint inference of those aliases grows without bound, so it is off.
     "spark.sql.constraintPropagation.enabled": "false",
+    # tolerant CSV reading judges each row on all of its cells
+    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 
@@ -48,7 +50,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Set the SQL settings that can change on a live session."""
     for k in ("spark.sql.variant.allowDuplicateKeys", "spark.sql.session.timeZone",
               "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
-              "spark.sql.constraintPropagation.enabled"):
+              "spark.sql.constraintPropagation.enabled",
+              "spark.sql.csv.parser.columnPruning.enabled"):
         try:
             spark.conf.set(k, BASE_CONF[k])
         except Exception:  # static or locked conf on a managed cluster

@@ -76,3 +76,80 @@ def semantic_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(idx, semantic_ok): human verdicts; rows without a verdict are not judged."""
     return table(spark, sf_dir, "labels", "doc_id", "quality").select(
         F.col("doc_id").alias("idx"), (F.col("quality") == 1).alias("semantic_ok"))
+
+
+# ---- structured rows and free texts for pair building ------------------------------
+
+def gold_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, items ARRAY<STRUCT<n, name, step>>): line items of each order in line order
+    (ties broken by part name, then step text)."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name")
+    it = li.join(p, li.l_partkey == p.p_partkey, "inner")
+    step = F.concat(F.lit("Pack line "), F.col("l_linenumber").cast("string"),
+                    F.lit(" flag "), F.col("l_returnflag"))
+    return (it.groupBy(F.col("l_orderkey").alias("id"))
+            .agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"),
+                                                      F.col("p_name").alias("name"),
+                                                      step.alias("step")))).alias("items")))
+
+
+def structured_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, title, ingredients, directions) as strings; list cells as list-literal text."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
+    g = gold_items(spark, sf_dir)
+    r = o.join(g, o.o_orderkey == g.id, "left")
+    empty = F.lit("[]")
+    return r.select(
+        F.col("o_orderkey").alias("id"),
+        F.concat(F.lit(" Order "), F.col("o_orderkey").cast("string"), F.lit(" "),
+                 F.col("o_orderpriority"), F.lit(" ")).alias("title"),
+        F.coalesce(F.to_json(F.transform("items", lambda x: x["name"])), empty).alias("ingredients"),
+        F.coalesce(F.to_json(F.transform("items", lambda x: x["step"])), empty).alias("directions"))
+
+
+def _q(c) -> F.Column:
+    return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def structured_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pos, line): the structured rows as raw CSV text with known faults.
+
+    id % 13 == 3 -> one extra cell (skipped by the tolerant reader);
+    id % 17 == 4 -> only two cells (kept, missing cells null);
+    id % 50 == 7 -> ingredients cell is a broken list literal.
+    The header's first name is empty, as in an index-column export.
+    """
+    s = structured_rows(spark, sf_dir)
+    i = F.col("id")
+    ing = F.when(i % 50 == 7, F.expr("substring(ingredients, 1, length(ingredients) - 1)")) \
+        .otherwise(F.col("ingredients"))
+    full = F.concat_ws(",", i.cast("string"), _q(F.col("title")), _q(ing), _q(F.col("directions")))
+    line = (F.when(i % 13 == 3, F.concat(full, F.lit(',"extra"')))
+            .when(i % 17 == 4, F.concat_ws(",", i.cast("string"), _q(F.col("title"))))
+            .otherwise(full))
+    header = spark.range(1).select(F.lit(-1).cast("bigint").alias("pos"),
+                                   F.lit(",title,ingredients,directions").alias("line"))
+    return header.unionByName(s.select(i.alias("pos"), line.alias("line")))
+
+
+def tagged_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pos, line): documents as one tagged text, ``ID n — text`` per record.
+
+    Odd ids use ``iID n - ``; ids with id % 97 == 5 appear a second time at
+    the end of the file with a revised text (the later one must win).
+    """
+    d = table(spark, sf_dir, "documents", "doc_id", "text")
+    i = F.col("doc_id")
+    mark = F.when(i % 2 == 1, F.concat(F.lit("iID "), i.cast("string"), F.lit(" - "))) \
+        .otherwise(F.concat(F.lit("ID "), i.cast("string"), F.lit(" — ")))
+    first = d.select(i.alias("pos"), F.concat(mark, F.col("text")).alias("line"))
+    again = d.filter(i % 97 == 5).select((i + F.lit(1 << 40)).alias("pos"),
+                                         F.concat(mark, F.col("text"), F.lit(" (revised)")).alias("line"))
+    return first.unionByName(again)
+
+
+def write_lines(lines: DataFrame, path: str) -> str:
+    """Write (pos, line) as text in ``pos`` order (range partitions -> ordered part files)."""
+    lines.orderBy("pos").select("line").write.mode("overwrite").text(path)
+    return path
