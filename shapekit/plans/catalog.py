@@ -287,3 +287,114 @@ def q_append_jsonl(spark, sf_dir):
     sinks.append_jsonl(rec, path, "r1", reset=True)  # re-run of r1 replaces only r1
     back = spark.read.schema("index bigint, input string, output struct<title string>, run_id string").json(path)
     return back.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- step 4: positions, splits, set checks ----------------------------------------
+
+from shapekit.operators import examples as X, order as O  # noqa: E402
+from shapekit.sources.tables import table  # noqa: E402
+
+
+def _docs(spark, sf_dir, *cols):
+    return table(spark, sf_dir, "documents", *(cols or ("doc_id", "text")))
+
+
+@query("prompt_index")
+def q_prompt_index(spark, sf_dir):
+    d = _docs(spark, sf_dir, "doc_id", "lang")
+    return O.index_rows(d, ["lang", "doc_id"], "idx").select("idx", "doc_id")
+
+
+@query("head_tail_union")
+def q_head_tail_union(spark, sf_dir):
+    d = _docs(spark, sf_dir, "doc_id")
+    return O.eval_set(O.head_n(d, "doc_id", 50), O.tail_n(d, "doc_id", 100))
+
+
+@query("split_hash")
+def q_split_hash(spark, sf_dir):
+    train, test = O.train_test_split(_docs(spark, sf_dir, "doc_id"), "doc_id", 0.1, 42)
+    return train.unionByName(test)
+
+
+@query("leak_check")
+def q_leak_check(spark, sf_dir):
+    train, test = O.train_test_split(_docs(spark, sf_dir, "doc_id", "text"), "doc_id", 0.1, 42)
+    return O.leak_check(train, test, "doc_id", "text")
+
+
+@query("length_buckets")
+def q_length_buckets(spark, sf_dir):
+    return O.length_buckets(_docs(spark, sf_dir, "doc_id", "n_chars"), "n_chars", 500).select("doc_id", "bucket")
+
+
+# ---- step 5: training examples ------------------------------------------------------
+
+SYSTEM_TEXT = "Extract a JSON object with keys title, ingredients, steps. Answer with JSON only."
+MAX_LEN = 512
+CTX = 4096
+
+
+def _example_inputs(spark, sf_dir):
+    s = derived.structured_rows(spark, sf_dir)
+    gold = s.select(F.col("id"), P.build_target_json(F.col("title"), P.parse_list_cell("ingredients"),
+                                                     P.parse_list_cell("directions")).alias("json"))
+    d = _docs(spark, sf_dir, "doc_id", "text").withColumnRenamed("doc_id", "id")
+    return d.join(gold, "id", "inner").withColumn("system", F.lit(SYSTEM_TEXT))
+
+
+@query("render_chat")
+def q_render_chat(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return X.render_conversations(c)
+
+
+@query("token_len")
+def q_token_len(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    return d.select("doc_id", F.size(X.word_ids(F.col("text"))).cast("bigint").alias("n_tokens"))
+
+
+@query("pad_truncate")
+def q_pad_truncate(spark, sf_dir):
+    from shapekit.functions.arrays import pad_truncate
+    d = _docs(spark, sf_dir).withColumn("ids", X.word_ids(F.col("text")))
+    p = pad_truncate("ids", 64, X.PAD_ID)
+    return d.select("doc_id", F.size(p).cast("bigint").alias("len"),
+                    F.element_at(p, 64).cast("bigint").alias("last_id"),
+                    F.size(F.filter(p, lambda x: x == X.PAD_ID)).cast("bigint").alias("n_pad"))
+
+
+def _examples(spark, sf_dir):
+    ex = X.render_chat(_example_inputs(spark, sf_dir))
+    return X.tokenize_examples(ex, MAX_LEN)
+
+
+@query("train_examples")
+def q_train_examples(spark, sf_dir):
+    e = _examples(spark, sf_dir)
+    return e.select("id", F.col("prefix_len").cast("bigint").alias("prefix_len"),
+                    F.col("full_len").cast("bigint").alias("full_len"),
+                    F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_attn"),
+                    F.md5(F.array_join(F.slice("input_ids", 1, F.least(F.col("full_len"), F.lit(MAX_LEN))),
+                                       ",")).alias("ids_md5"))
+
+
+@query("mask_prefix")
+def q_mask_prefix(spark, sf_dir):
+    e = _examples(spark, sf_dir)
+    return e.select("id", F.size(F.filter("labels", lambda x: x == -100)).cast("bigint").alias("n_masked"),
+                    F.size("labels").cast("bigint").alias("n_labels"))
+
+
+@query("mask_audit")
+def q_mask_audit(spark, sf_dir):
+    return X.mask_audit(_examples(spark, sf_dir), MAX_LEN)
+
+
+@query("token_budget")
+def q_token_budget(spark, sf_dir):
+    from shapekit.functions.arrays import token_budget
+    e = X.render_chat(_example_inputs(spark, sf_dir), with_answer=False)
+    n = F.size(X.word_ids(F.col("prompt")))
+    return e.select("id", token_budget(n, CTX).cast("bigint").alias("budget"))

@@ -214,3 +214,75 @@ ORACLE["json_sink"] = W(_GEN) + f"SELECT idx, {_API_REASON} AS reason FROM a"
 ORACLE["append_jsonl"] = W(_GEN) + f"""
 SELECT r.run_id, count(*) AS n FROM a, (VALUES ('r1'), ('r2')) r(run_id)
 WHERE ({_LENIENT_REASON}) IS NULL GROUP BY r.run_id"""
+
+# ---- positions, splits, set checks -------------------------------------------------------
+
+ORACLE["prompt_index"] = """
+SELECT row_number() OVER (ORDER BY lang, doc_id) - 1 AS idx, doc_id FROM documents"""
+
+ORACLE["head_tail_union"] = """
+(SELECT doc_id, 'head' AS part FROM documents ORDER BY doc_id LIMIT 50)
+UNION ALL (SELECT doc_id, 'tail' AS part FROM documents ORDER BY doc_id DESC LIMIT 100)"""
+
+_SPLIT = """
+sp AS (SELECT doc_id, text, CASE WHEN row_number() OVER (ORDER BY md5(concat(doc_id, '42')))
+          <= ceil(0.1 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM documents)
+"""
+
+ORACLE["split_hash"] = W(_SPLIT) + "SELECT doc_id, split FROM sp"
+
+_NORM = ("md5(lower(trim(regexp_replace(translate(text, '‘’‚‛“”„‟´`', "
+         "'''''''\"\"\"\"'''''), '\\s+', ' ', 'g'))))")
+
+ORACLE["leak_check"] = W(_SPLIT) + f"""
+, k AS (SELECT split, 'id' AS kind, CAST(doc_id AS VARCHAR) AS key FROM sp
+        UNION ALL SELECT split, 'text', {_NORM} FROM sp)
+SELECT kind, key, count(*) FILTER (WHERE split = 'train') AS n_train,
+       count(*) FILTER (WHERE split = 'test') AS n_eval
+FROM k GROUP BY kind, key
+HAVING count(*) FILTER (WHERE split = 'train') > 0 AND count(*) FILTER (WHERE split = 'test') > 0"""
+
+ORACLE["length_buckets"] = "SELECT doc_id, CAST(floor(n_chars / 500) AS BIGINT) AS bucket FROM documents"
+
+# ---- training examples -------------------------------------------------------------------
+
+_TOK = "regexp_extract_all({x}, '[A-Za-z0-9_]+|[^A-Za-z0-9_\\s]')"
+_IDS = ("list_transform(" + _TOK + ", lambda t: (('0x' || substr(md5(t), 1, 8))::BIGINT % 31997 + 3))")
+_SYS = "Extract a JSON object with keys title, ingredients, steps. Answer with JSON only."
+
+_EX = W(_GOLD) + f"""
+, e AS (SELECT d.doc_id AS id,
+          concat('<|im_start|>system', chr(10), '{_SYS}', '<|im_end|>', chr(10),
+                 '<|im_start|>user', chr(10), d.text, '<|im_end|>', chr(10)) AS head, gj.json
+        FROM documents d JOIN gj ON gj.id = d.doc_id),
+f AS (SELECT id, concat(head, '<|im_start|>assistant', chr(10)) AS prompt,
+             concat(head, '<|im_start|>assistant', chr(10), json, '<|im_end|>', chr(10)) AS fulltext FROM e),
+t AS (SELECT id, len({_TOK.format(x='prompt')}) AS prefix_len, {_IDS.format(x='fulltext')} AS ids FROM f)
+"""
+
+ORACLE["render_chat"] = """
+SELECT conv_id, string_agg(concat('<|im_start|>', role, chr(10), text, '<|im_end|>', chr(10)), '' ORDER BY turn)
+  AS rendered FROM conversations GROUP BY conv_id"""
+
+ORACLE["token_len"] = f"SELECT doc_id, CAST(len({_TOK.format(x='text')}) AS BIGINT) AS n_tokens FROM documents"
+
+ORACLE["pad_truncate"] = f"""
+WITH t AS (SELECT doc_id, {_IDS.format(x='text')} AS ids FROM documents)
+SELECT doc_id, CAST(64 AS BIGINT) AS len, CAST(CASE WHEN len(ids) >= 64 THEN ids[64] ELSE 0 END AS BIGINT) AS last_id,
+  CAST(greatest(0, 64 - len(ids)) + len(list_filter(ids[1:64], lambda x: x = 0)) AS BIGINT) AS n_pad FROM t"""
+
+ORACLE["train_examples"] = _EX + """
+SELECT id, CAST(prefix_len AS BIGINT) AS prefix_len, CAST(len(ids) AS BIGINT) AS full_len,
+  CAST(least(len(ids), 512) AS BIGINT) AS n_attn, md5(array_to_string(ids[1:512], ',')) AS ids_md5 FROM t"""
+
+ORACLE["mask_prefix"] = _EX + """
+SELECT id, CAST(least(prefix_len, 512) + len(list_filter(ids[least(prefix_len, 512) + 1:512], lambda x: x = -100))
+  AS BIGINT) AS n_masked, CAST(512 AS BIGINT) AS n_labels FROM t"""
+
+ORACLE["mask_audit"] = _EX + """
+SELECT count(*) AS n, round(avg(CASE WHEN len(ids) > 512 THEN 1.0 ELSE 0.0 END), 6) AS truncated_share,
+  round(avg(CASE WHEN prefix_len >= least(len(ids), 512) THEN 1.0 ELSE 0.0 END), 6) AS fully_masked_share,
+  round(avg((512 - least(len(ids), 512)) / 512), 6) AS pad_share FROM t"""
+
+ORACLE["token_budget"] = _EX + """
+SELECT id, CAST(greatest(256, least(1200, 4096 - prefix_len - 8)) AS BIGINT) AS budget FROM t"""
