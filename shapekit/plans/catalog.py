@@ -398,3 +398,147 @@ def q_token_budget(spark, sf_dir):
     e = X.render_chat(_example_inputs(spark, sf_dir), with_answer=False)
     n = F.size(X.word_ids(F.col("prompt")))
     return e.select("id", token_budget(n, CTX).cast("bigint").alias("budget"))
+
+
+# ---- step 6: comparison and audits --------------------------------------------------
+
+from shapekit.operators import audit as AU  # noqa: E402
+from shapekit.sources import lines as LN, outputs as OUT  # noqa: E402
+
+
+def _runs(spark, sf_dir, phase, mode):
+    r = derived.phase_runs(spark, sf_dir).filter(F.col("phase") == phase)
+    return V.validate(r, mode)
+
+
+@query("outputs_load")
+def q_outputs_load(spark, sf_dir):
+    v = _runs(spark, sf_dir, "after", V.LENIENT)
+    res_path, fail_path = scratch_dir(spark, "results"), scratch_dir(spark, "failures")
+    # stored as the evaluation scripts did: 1-based index, "" when no block
+    good, bad = V.split_quarantine(v)
+    sinks.write_json(good.select((F.col("idx") + 1).alias("index"), F.col("text").alias("input"),
+                                 "output", "model", "phase"), res_path)
+    sinks.write_json(bad.select((F.col("idx") + 1).alias("index"), "reason", F.col("text").alias("recipe_text"),
+                                "raw", F.coalesce("json_str", F.lit("")).alias("json_str"), "model", "phase"),
+                     fail_path)
+    r = OUT.read_outputs(spark, res_path, None, None, "result", base=1)
+    f = OUT.read_outputs(spark, fail_path, None, None, "failure", base=1)
+    return (r.select("idx", "model", "kind", F.lit(None).cast("string").alias("reason"),
+                     F.lit(None).cast("boolean").alias("json_str_null"))
+            .unionByName(f.select("idx", "model", "kind", "reason", F.col("json_str").isNull().alias("json_str_null"))))
+
+
+def _check_failures(spark, sf_dir):
+    """(phase, model, idx, check, title) of failed checks, plus one null-title row
+    per (phase, model, check) so that checks without failures are declared as 0."""
+    runs = derived.phase_runs(spark, sf_dir)
+    s = V.validate_strict(runs).select("phase", "model", "idx", "raw", "seed",
+                                       F.col("reason").alias("r_strict"))
+    lv = V.validate_lenient(s).join(derived.semantic_verdicts(spark, sf_dir), "idx", "left")
+    syn = F.col("r_strict").isin("no_json", "invalid_json")
+    before_struct = F.col("r_strict") == "bad_keys"
+    after_syn = F.col("reason").isin("no_json", "invalid_json")
+    after_struct = F.col("reason") == "bad_types"
+    sem = F.col("ok") & (F.col("semantic_ok") == F.lit(False))
+    is_b = F.col("phase") == "before"
+    chk = F.explode(F.array(
+        F.when(is_b & syn | ~is_b & after_syn, "syntax"),
+        F.when(is_b & before_struct | ~is_b & after_struct, "structure"),
+        F.when(sem, "semantic"))).alias("check")
+    fails = lv.select("phase", "model", "idx", chk, F.col("seed").alias("title")).filter(F.col("check").isNotNull())
+    all_checks = F.explode(F.array(F.lit("syntax"), F.lit("structure"), F.lit("semantic"))).alias("check")
+    zero = (runs.select("phase", "model").distinct()
+            .select("phase", "model", F.lit(None).cast("bigint").alias("idx"), all_checks,
+                    F.lit(None).cast("string").alias("title")))
+    return fails.unionByName(zero)
+
+
+def _ledger(spark, sf_dir):
+    fails = _check_failures(spark, sf_dir)
+    path = scratch_dir(spark, "ledger")
+    LN.write_ordered_lines(OUT.ledger_lines(fails), path, ("ph", "model", "ck", "o", "t"))
+    return OUT.read_ledger(spark, path), fails
+
+
+@query("ledger_parse")
+def q_ledger_parse(spark, sf_dir):
+    lg, _ = _ledger(spark, sf_dir)
+    return lg.groupBy("phase", "model", "check").agg(F.max("declared").cast("bigint").alias("declared"),
+                                                     F.count("title").alias("n_listed"))
+
+
+@query("ledger_reconcile")
+def q_ledger_reconcile(spark, sf_dir):
+    lg, fails = _ledger(spark, sf_dir)
+    stored = fails.filter(F.col("title").isNotNull() & (F.col("idx") % 23 != 0))
+    return AU.reconcile_ledger(lg, stored)
+
+
+@query("missing_outputs")
+def q_missing_outputs(spark, sf_dir):
+    v = _runs(spark, sf_dir, "before", V.STRICT)
+    prompts = derived.phase_runs(spark, sf_dir).filter(F.col("phase") == "before").select("model", "idx")
+    return AU.missing_outputs(prompts, v.filter("ok"))
+
+
+@query("compare_runs")
+def q_compare_runs(spark, sf_dir):
+    a = _runs(spark, sf_dir, "before", V.STRICT)
+    b = _runs(spark, sf_dir, "after", V.LENIENT)
+    return AU.compare_runs(a, b).groupBy("model", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("gold_score")
+def q_gold_score(spark, sf_dir):
+    v = _runs(spark, sf_dir, "before", V.LENIENT).filter("ok")
+    return AU.score_against_gold(v, derived.gold_objects(spark, sf_dir))
+
+
+@query("input_drift")
+def q_input_drift(spark, sf_dir):
+    d = _docs(spark, sf_dir).withColumnRenamed("doc_id", "idx")
+    b = d.withColumn("text", F.when(F.col("idx") % 37 == 11, F.replace("text", F.lit(" the "), F.lit(" a ")))
+                     .otherwise(F.col("text")))
+    return AU.input_drift(d, b).select("idx")
+
+
+@query("grounding")
+def q_grounding(spark, sf_dir):
+    v = _runs(spark, sf_dir, "before", V.LENIENT).filter("ok")
+    prompts = derived.phase_runs(spark, sf_dir).filter(F.col("phase") == "before")
+    return AU.grounding(v, prompts)
+
+
+def _rates(spark, sf_dir):
+    return metrics.quality_rates(derived.phase_runs(spark, sf_dir), derived.semantic_verdicts(spark, sf_dir))
+
+
+@query("phase_pivot")
+def q_phase_pivot(spark, sf_dir):
+    return AU.phase_pivot(_rates(spark, sf_dir), "lenient_rate")
+
+
+@query("rank_improvement")
+def q_rank_improvement(spark, sf_dir):
+    p = AU.phase_pivot(_rates(spark, sf_dir), "lenient_rate")
+    r = O.rank_improvement(p.select("model", F.col("before").alias("base_rate"), F.col("delta").alias("gain")))
+    return r.select("model", "base_rate", "gain", F.col("rank_base").cast("bigint").alias("rank_base"),
+                    F.col("rank_gain").cast("bigint").alias("rank_gain"))
+
+
+@query("field_stats")
+def q_field_stats(spark, sf_dir):
+    return AU.field_stats(_runs(spark, sf_dir, "before", V.LENIENT).filter("ok"))
+
+
+@query("title_match")
+def q_title_match(spark, sf_dir):
+    a = _runs(spark, sf_dir, "before", V.LENIENT).filter("ok")
+    b = _runs(spark, sf_dir, "after", V.LENIENT).filter("ok")
+    return AU.title_overlap(a, b)
+
+
+@query("prompt_fingerprint")
+def q_prompt_fingerprint(spark, sf_dir):
+    return AU.prompt_fingerprint(derived.prompt_configs(spark, sf_dir))

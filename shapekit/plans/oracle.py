@@ -286,3 +286,99 @@ SELECT count(*) AS n, round(avg(CASE WHEN len(ids) > 512 THEN 1.0 ELSE 0.0 END),
 
 ORACLE["token_budget"] = _EX + """
 SELECT id, CAST(greatest(256, least(1200, 4096 - prefix_len - 8)) AS BIGINT) AS budget FROM t"""
+
+# ---- comparison and audits -----------------------------------------------------------------
+
+_RUNS_T = """
+pt AS (SELECT p.*, d.text FROM p JOIN documents d ON d.doc_id = p.idx)
+"""
+
+ORACLE["outputs_load"] = W(_RUNS) + f"""
+SELECT idx, model, CASE WHEN ({_LENIENT_REASON}) IS NULL THEN 'result' ELSE 'failure' END AS kind,
+  {_LENIENT_REASON} AS reason, CASE WHEN ({_LENIENT_REASON}) IS NULL THEN NULL ELSE k IN (3,4) END AS json_str_null
+FROM p WHERE phase = 'after'"""
+
+_FAILS = """
+f AS (SELECT phase, model, idx, 'syntax' AS chk, t AS title FROM p WHERE k IN (3,4,5)
+      UNION ALL SELECT phase, model, idx, 'structure', t FROM p
+        WHERE (phase = 'before' AND k IN (6,7)) OR (phase = 'after' AND k = 8)
+      UNION ALL SELECT phase, model, idx, 'semantic', t FROM p JOIN labels l ON l.doc_id = p.idx
+        WHERE k NOT IN (3,4,5,8) AND l.quality <> 1),
+grp AS (SELECT DISTINCT phase, model, c.chk FROM p, (VALUES ('syntax'), ('structure'), ('semantic')) c(chk))
+"""
+
+ORACLE["ledger_parse"] = W(_RUNS, _FAILS) + """
+SELECT g.phase, g.model, g.chk AS "check", count(f.idx) AS declared, count(f.idx) AS n_listed
+FROM grp g LEFT JOIN f ON f.phase = g.phase AND f.model = g.model AND f.chk = g.chk
+GROUP BY g.phase, g.model, g.chk"""
+
+ORACLE["ledger_reconcile"] = W(_RUNS, _FAILS) + """
+, st AS (SELECT DISTINCT phase, model, chk, lower(regexp_replace(title, '\\s+', ' ', 'g')) AS nt FROM f
+         WHERE idx % 23 <> 0)
+SELECT g.phase, g.model, g.chk AS "check", count(f.idx) AS declared, count(f.idx) AS listed,
+  count(f.idx) FILTER (WHERE EXISTS (SELECT 1 FROM st WHERE st.phase = f.phase AND st.model = f.model
+      AND st.chk = f.chk AND st.nt = lower(regexp_replace(f.title, '\\s+', ' ', 'g')))) AS listed_stored,
+  false AS count_mismatch
+FROM grp g LEFT JOIN f ON f.phase = g.phase AND f.model = g.model AND f.chk = g.chk
+GROUP BY g.phase, g.model, g.chk"""
+
+ORACLE["missing_outputs"] = W(_RUNS) + "SELECT model, idx FROM p WHERE phase = 'before' AND k IN (3,4,5,6,7)"
+
+ORACLE["compare_runs"] = W(_RUNS) + """
+, q AS (SELECT model, idx, max(CASE WHEN phase = 'before' THEN k END) AS kb,
+               max(CASE WHEN phase = 'after' THEN k END) AS ka FROM p GROUP BY model, idx),
+s AS (SELECT model, kb NOT IN (3,4,5,6,7) AS ok_a, ka NOT IN (3,4,5,8) AS ok_b FROM q)
+SELECT model, CASE WHEN NOT ok_a AND ok_b THEN 'fixed' WHEN ok_a AND NOT ok_b THEN 'broken'
+  WHEN ok_a THEN 'unchanged_ok' ELSE 'unchanged_fail' END AS status, count(*) AS n FROM s GROUP BY ALL"""
+
+ORACLE["gold_score"] = W(_RUNS) + """
+SELECT idx, true AS title_match, 1.0 AS item_precision, 1.0 AS item_recall, 1.0 AS item_f1,
+  k <> 9 AS steps_equal,
+  CAST(CASE WHEN k = 9 THEN levenshtein(concat(t, chr(10), 'a } b { " c'), concat(t, chr(10), 'x')) ELSE 0 END
+       AS BIGINT) AS steps_edit
+FROM p WHERE phase = 'before' AND k NOT IN (3,4,5,8)"""
+
+ORACLE["input_drift"] = "SELECT doc_id AS idx FROM documents WHERE doc_id % 37 = 11 AND contains(text, ' the ')"
+
+ORACLE["grounding"] = W(_RUNS, _RUNS_T) + """
+SELECT model, count(*) AS n_items, count(*) FILTER (WHERE contains(lower(text), lower(t))) AS n_found,
+  round(count(*) FILTER (WHERE contains(lower(text), lower(t))) / count(*), 6) AS share
+FROM pt WHERE phase = 'before' AND k NOT IN (3,4,5,8) GROUP BY model"""
+
+_PIV = W(_RUNS) + f"""
+, r AS (SELECT model, phase, round(avg(CASE WHEN ({_LENIENT_REASON}) IS NULL THEN 1.0 ELSE 0.0 END), 6) AS rate
+        FROM p GROUP BY model, phase),
+v AS (SELECT model, max(CASE WHEN phase = 'before' THEN rate END) AS "before",
+             max(CASE WHEN phase = 'after' THEN rate END) AS "after" FROM r GROUP BY model),
+pv AS (SELECT model, "before", "after", round("after" - "before", 6) AS delta,
+         CASE WHEN (1 - "before") > 0 THEN round(((1 - "before") - (1 - "after")) / (1 - "before"), 6) END AS error_cut
+       FROM v)
+"""
+
+ORACLE["phase_pivot"] = _PIV + 'SELECT model, "before", "after", delta, error_cut FROM pv'
+
+ORACLE["rank_improvement"] = _PIV + """
+SELECT model, "before" AS base_rate, delta AS gain,
+  CAST(rank() OVER (ORDER BY "before" DESC) AS BIGINT) AS rank_base,
+  CAST(rank() OVER (ORDER BY delta DESC) AS BIGINT) AS rank_gain FROM pv"""
+
+ORACLE["field_stats"] = W(_RUNS) + """
+, o AS (SELECT model, t FROM p WHERE phase = 'before' AND k NOT IN (3,4,5,8)),
+rep AS (SELECT model, count(*) FILTER (WHERE c > 1) AS repeated_titles
+        FROM (SELECT model, t, count(*) AS c FROM o GROUP BY model, t) GROUP BY model)
+SELECT o.model, count(*) AS n, count(*) FILTER (WHERE t = '') AS empty_titles, count(DISTINCT t) AS distinct_titles,
+  1.0 AS avg_ingredients, CAST(0 AS BIGINT) AS empty_ingredients, 2.0 AS avg_steps, CAST(0 AS BIGINT) AS empty_steps,
+  max(rep.repeated_titles) AS repeated_titles
+FROM o JOIN rep ON rep.model = o.model GROUP BY o.model"""
+
+ORACLE["title_match"] = W(_RUNS) + """
+, a AS (SELECT DISTINCT model, lower(regexp_replace(t, '\\s+', ' ', 'g')) AS nt FROM p
+        WHERE phase = 'before' AND k NOT IN (3,4,5,8)),
+b AS (SELECT DISTINCT model, lower(regexp_replace(t, '\\s+', ' ', 'g')) AS nt FROM p
+      WHERE phase = 'after' AND k NOT IN (3,4,5,8))
+SELECT a.model, count(*) AS titles_a, count(b.nt) AS titles_both
+FROM a LEFT JOIN b ON a.model = b.model AND a.nt = b.nt GROUP BY a.model"""
+
+ORACLE["prompt_fingerprint"] = """
+SELECT DISTINCT source AS model, CAST(2 AS BIGINT) AS n_runs,
+  CAST(CASE WHEN source = 'src7' THEN 2 ELSE 1 END AS BIGINT) AS n_fingerprints FROM documents"""

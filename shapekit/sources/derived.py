@@ -68,8 +68,8 @@ def phase_runs(spark: SparkSession, sf_dir: str, phases=("before", "after")) ->
     kk = F.when(F.col("phase") == phases[0], PHASE_KEYS[phases[0]](F.col("idx")))
     for p in phases[1:]:
         kk = kk.when(F.col("phase") == p, PHASE_KEYS[p](F.col("idx")))
-    d = d.withColumn("k", kk.cast("bigint"))
-    return d.withColumn("raw", gen_answer(F.col("k"), answer_seed(F.col("text"))))
+    d = d.withColumn("k", kk.cast("bigint")).withColumn("seed", answer_seed(F.col("text")))
+    return d.withColumn("raw", gen_answer(F.col("k"), F.col("seed")))
 
 
 def semantic_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,3 +153,25 @@ def write_lines(lines: DataFrame, path: str) -> str:
     """Write (pos, line) as text in ``pos`` order (range partitions -> ordered part files)."""
     lines.orderBy("pos").select("line").write.mode("overwrite").text(path)
     return path
+
+
+def gold_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(idx, gold): the well-formed object of each document (variant 0)."""
+    d = table(spark, sf_dir, "documents", "doc_id", "text")
+    t = answer_seed(F.col("text"))
+    return d.select(F.col("doc_id").alias("idx"),
+                    F.struct(t.alias("title"), F.array(t).alias("ingredients"),
+                             F.array(t, F.lit("x")).alias("steps")).alias("gold"))
+
+
+def prompt_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(model, phase, system, template, limits): the prompt set-up of each run.
+
+    One model's evaluation run uses a changed template (a prompt drift to find).
+    """
+    models = table(spark, sf_dir, "documents", "source").distinct().withColumnRenamed("source", "model")
+    ph = F.explode(F.array(F.lit("before"), F.lit("after"))).alias("phase")
+    m = models.select("model", ph)
+    tmpl = F.when((F.col("model") == "src7") & (F.col("phase") == "after"), "chatml-v2").otherwise("chatml")
+    return m.select("model", "phase", F.lit("Extract a JSON object.").alias("system"),
+                    tmpl.alias("template"), F.lit("1200,2000").alias("limits"))
