@@ -542,3 +542,48 @@ def q_title_match(spark, sf_dir):
 @query("prompt_fingerprint")
 def q_prompt_fingerprint(spark, sf_dir):
     return AU.prompt_fingerprint(derived.prompt_configs(spark, sf_dir))
+
+
+# ---- step 7: scoring ---------------------------------------------------------------------
+
+from shapekit.operators import score as SC  # noqa: E402
+from shapekit.plans import stubs  # noqa: E402
+
+ATTEMPTS = (SC.Attempt("Extract a JSON object.", 700),
+            SC.Attempt("Extract a JSON object. " + stubs.RETRY_NOTE, 1200))
+
+
+def _prompts(spark, sf_dir):
+    return _docs(spark, sf_dir).withColumnRenamed("doc_id", "idx")
+
+
+@query("score_batch")
+def q_score_batch(spark, sf_dir):
+    s = SC.score(_prompts(spark, sf_dir), stubs.make_rule_model, system=ATTEMPTS[0].system)
+    path = scratch_dir(spark, "scored")
+    s.write.mode("overwrite").parquet(path)
+    v = V.validate_strict(spark.read.parquet(path))
+    return v.select("idx", "reason", "ok")
+
+
+def _retry(spark, sf_dir):
+    return SC.score_with_retry(_prompts(spark, sf_dir), stubs.make_rule_model, ATTEMPTS, V.STRICT)
+
+
+@query("score_retry")
+def q_score_retry(spark, sf_dir):
+    r = _retry(spark, sf_dir)
+    return r.groupBy("idx").agg(F.count(F.lit(1)).alias("n_calls"), F.max("attempt").cast("bigint").alias("last"))
+
+
+@query("pick_attempt")
+def q_pick_attempt(spark, sf_dir):
+    r = _retry(spark, sf_dir).select("idx", F.col("attempt").cast("bigint").alias("attempt"), "ok", "reason")
+    return V.pick_attempt(r, keys=("idx",))
+
+
+@query("service_retry")
+def q_service_retry(spark, sf_dir):
+    s = SC.call_service(_prompts(spark, sf_dir), stubs.make_flaky_service, sleep=lambda s: None,
+                        rand=lambda: 0.5, pause=0.0)
+    return s.select("idx", "status", "attempts", F.split("error_kind", ":")[0].alias("error_kind"), "waited")

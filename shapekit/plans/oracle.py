@@ -382,3 +382,34 @@ FROM a LEFT JOIN b ON a.model = b.model AND a.nt = b.nt GROUP BY a.model"""
 ORACLE["prompt_fingerprint"] = """
 SELECT DISTINCT source AS model, CAST(2 AS BIGINT) AS n_runs,
   CAST(CASE WHEN source = 'src7' THEN 2 ELSE 1 END AS BIGINT) AS n_fingerprints FROM documents"""
+
+# ---- scoring with stubs -------------------------------------------------------------------
+
+_SC = """
+s0 AS (SELECT doc_id AS idx, length(text) AS n,
+              trim(regexp_replace(substring(text,1,60),'[^A-Za-z ]','','g')) AS t FROM documents),
+s1 AS (SELECT *, length(t) % 10 AS k1, (length(t) // 10) % 10 AS k2 FROM s0)
+"""
+
+ORACLE["score_batch"] = W(_SC) + """
+SELECT idx, CASE WHEN k1 IN (3,4) THEN 'no_json' WHEN k1 = 5 THEN 'invalid_json' WHEN k1 IN (6,7) THEN 'bad_keys' END
+  AS reason, k1 NOT IN (3,4,5,6,7) AS ok FROM s1"""
+
+ORACLE["score_retry"] = W(_SC) + """
+SELECT idx, CASE WHEN k1 IN (3,4,5,6,7) THEN 2 ELSE 1 END::BIGINT AS n_calls,
+  CASE WHEN k1 IN (3,4,5,6,7) THEN 2 ELSE 1 END::BIGINT AS last FROM s1"""
+
+ORACLE["pick_attempt"] = W(_SC) + """
+, q AS (SELECT idx, CASE WHEN k1 NOT IN (3,4,5,6,7) THEN 1 ELSE 2 END AS attempt,
+          CASE WHEN k1 NOT IN (3,4,5,6,7) THEN k1 ELSE k2 END AS k,
+          CASE WHEN k1 IN (3,4,5,6,7) THEN 2 ELSE 1 END AS n_attempts FROM s1)
+SELECT idx, attempt::BIGINT AS attempt, k NOT IN (3,4,5,6,7) AS ok,
+  CASE WHEN k IN (3,4) THEN 'no_json' WHEN k = 5 THEN 'invalid_json' WHEN k IN (6,7) THEN 'bad_keys' END AS reason,
+  n_attempts::BIGINT AS n_attempts FROM q"""
+
+ORACLE["service_retry"] = W(_SC) + """
+, q AS (SELECT idx, n % 11 = 10 AS perm, n % 7 AS nf, k1 IN (0,1,2,6,7,8) AND NOT (k1 = 4 AND t = '') AS good FROM s1)
+SELECT idx, CASE WHEN NOT perm AND nf < 5 AND good THEN 'ok' ELSE 'error' END AS status,
+  CASE WHEN perm THEN 1 WHEN nf < 5 AND good THEN nf + 1 ELSE 5 END::BIGINT AS attempts,
+  CASE WHEN perm THEN 'permanent' WHEN nf < 5 AND good THEN NULL ELSE 'exhausted' END AS error_kind,
+  CASE WHEN perm THEN 0.0 WHEN nf < 5 AND good THEN (2 ^ (nf + 1) - 2)::DOUBLE ELSE 62.0 END AS waited FROM q"""
