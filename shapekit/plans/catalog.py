@@ -587,3 +587,44 @@ def q_service_retry(spark, sf_dir):
     s = SC.call_service(_prompts(spark, sf_dir), stubs.make_flaky_service, sleep=lambda s: None,
                         rand=lambda: 0.5, pause=0.0)
     return s.select("idx", "status", "attempts", F.split("error_kind", ":")[0].alias("error_kind"), "waited")
+
+
+# ---- step 8: streams -----------------------------------------------------------------------
+
+from shapekit.streaming import assemble as ST2, quality as ST1  # noqa: E402
+
+
+@query("stream_quality")
+def q_stream_quality(spark, sf_dir):
+    """Documents stream in from the data folder; answers are validated on arrival."""
+    schema = table(spark, sf_dir, "documents").schema
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
+           .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    i = F.col("doc_id")
+    answers = src.select(F.lit("before").alias("run"), i.alias("idx"), F.col("source").alias("model"),
+                         derived.gen_answer(derived.PHASE_KEYS["before"](i),
+                                            derived.answer_seed(F.col("text"))).alias("raw"))
+    v = ST1.validated_stream(answers)
+    base = scratch_dir(spark, "stream-quality")
+    name = "stream_quality_" + base.rsplit("-", 1)[-1]
+    sink, counts = ST1.start_quality_streams(v, f"{base}/out", f"{base}/ckpt", name)
+    sink.awaitTermination()
+    counts.awaitTermination()
+    return spark.table(name)
+
+
+@query("stream_assemble")
+def q_stream_assemble(spark, sf_dir):
+    """Chunks arrive in two runs of the stream on one checkpoint (state survives the restart)."""
+    chunks = ST2.chunk_answers(_answers(spark, sf_dir))
+    base = scratch_dir(spark, "stream-assemble")
+    src_dir, out_dir, ckpt = f"{base}/chunks", f"{base}/out", f"{base}/ckpt"
+    schema = "idx long, seq int, chunk string, is_last boolean, ts timestamp"
+    for part, cond in (("a", F.col("seq") < 3), ("b", F.col("seq") >= 3)):
+        chunks.filter(cond).write.mode("overwrite").parquet(f"{src_dir}/{part}")
+        stream = spark.readStream.schema(schema).parquet(f"{src_dir}/*")
+        q = (ST2.assemble_stream(stream).writeStream.outputMode("append").format("parquet")
+             .option("path", out_dir).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.schema(ST2.OUTPUT_SCHEMA).parquet(out_dir).select("idx", "json_str", "status")

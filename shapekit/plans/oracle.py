@@ -413,3 +413,14 @@ SELECT idx, CASE WHEN NOT perm AND nf < 5 AND good THEN 'ok' ELSE 'error' END AS
   CASE WHEN perm THEN 1 WHEN nf < 5 AND good THEN nf + 1 ELSE 5 END::BIGINT AS attempts,
   CASE WHEN perm THEN 'permanent' WHEN nf < 5 AND good THEN NULL ELSE 'exhausted' END AS error_kind,
   CASE WHEN perm THEN 0.0 WHEN nf < 5 AND good THEN (2 ^ (nf + 1) - 2)::DOUBLE ELSE 62.0 END AS waited FROM q"""
+
+# ---- streams --------------------------------------------------------------------------------
+
+ORACLE["stream_quality"] = W(_GEN) + f"""
+SELECT model, count(*) AS total, count(*) FILTER (WHERE ({_STRICT_REASON}) IS NULL) AS extracted,
+  count(*) FILTER (WHERE ({_STRICT_REASON}) IS NOT NULL) AS failures FROM a GROUP BY model"""
+
+ORACLE["stream_assemble"] = W(_GEN) + r"""
+SELECT idx, CASE WHEN k IN (0,1,2) THEN g WHEN k IN (3,4) THEN NULL
+  WHEN k = 9 THEN replace(g,'"x"',concat('"a } b { ',chr(92),'" c"')) ELSE raw END AS json_str,
+  CASE WHEN k IN (3,4) THEN 'no_json' ELSE 'complete' END AS status FROM a"""
