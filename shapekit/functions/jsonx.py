@@ -142,7 +142,7 @@ def coerce_list(x: Column, parity: bool = False) -> Column:
     t = _vtype(x)
     arr = F.transform(F.try_variant_get(x, "$", "array<variant>"), _py_scalar_str)
     s = _vget(x, "string")
-    str_val = F.split(s, "(?!^)") if parity else F.array(s)
+    str_val = F.split(s, "(?!^)(?!$)") if parity else F.array(s)
     val = (F.when(_falsy(x), F.array().cast("array<string>"))
            .when(t.startswith("ARRAY"), arr)
            .when(t == "STRING", str_val)
