@@ -136,3 +136,17 @@ def blacklist_hits(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     present = df.select(key).join(ids.select(key), key, "left_semi").distinct().withColumn("hit", F.lit(True))
     return ids.select(key).distinct().join(present, key, "left").select(
         key, F.coalesce("hit", F.lit(False)).alias("hit"))
+
+
+class EmptyInputError(ValueError):
+    """The input table holds no rows."""
+
+
+def require_nonempty(df: DataFrame, text: str | None = None) -> DataFrame:
+    """Abort on an empty input (one cheap ``isEmpty`` job); with ``text``, add
+    ``blank`` marking rows whose text is empty after stripping."""
+    if df.isEmpty():
+        raise EmptyInputError("input table is empty")
+    if text is None:
+        return df
+    return df.withColumn("blank", F.coalesce(strip_ws(F.col(text)) == "", F.lit(True)))

@@ -628,3 +628,9 @@ def q_stream_assemble(spark, sf_dir):
              .trigger(availableNow=True).start())
         q.awaitTermination()
     return spark.read.schema(ST2.OUTPUT_SCHEMA).parquet(out_dir).select("idx", "json_str", "status")
+
+
+@query("require_nonempty")
+def q_require_nonempty(spark, sf_dir):
+    a = P.require_nonempty(_answers(spark, sf_dir), text="raw")
+    return a.groupBy().agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("blank").alias("n_blank"))

@@ -424,3 +424,6 @@ ORACLE["stream_assemble"] = W(_GEN) + r"""
 SELECT idx, CASE WHEN k IN (0,1,2) THEN g WHEN k IN (3,4) THEN NULL
   WHEN k = 9 THEN replace(g,'"x"',concat('"a } b { ',chr(92),'" c"')) ELSE raw END AS json_str,
   CASE WHEN k IN (3,4) THEN 'no_json' ELSE 'complete' END AS status FROM a"""
+
+ORACLE["require_nonempty"] = W(_GEN) + """
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE k = 4 AND t = '') AS n_blank FROM a"""

@@ -41,3 +41,22 @@ def test_leak_check_aggregates(spark):
     b = spark.createDataFrame([(3, "x"), (9, "SAME TEXT")], "id long, text string")
     rows = {(r.kind, r.n_train, r.n_eval) for r in O.leak_check(a, b).collect()}
     assert rows == {("id", 1, 1), ("text", 2, 1)}
+
+
+def test_user_tokenizer_udf(spark):
+    from shapekit.operators.examples import tokenizer_udf, word_ids
+
+    def make():
+        return lambda s: [len(w) for w in s.split()]
+    df = spark.createDataFrame([("ab c def",), (None,)], "t string")
+    out = df.select(tokenizer_udf(make)("t").alias("ids"), word_ids(F.col("t")).alias("w")).collect()
+    assert out[0].ids == [2, 1, 3] and out[1].ids is None and len(out[0].w) == 3
+
+
+def test_require_nonempty(spark):
+    import pytest
+    from shapekit.operators.pairs import EmptyInputError, require_nonempty
+    with pytest.raises(EmptyInputError):
+        require_nonempty(spark.createDataFrame([], "t string"))
+    r = require_nonempty(spark.createDataFrame([(" ",), ("a",)], "t string"), "t").collect()
+    assert [x.blank for x in r] == [True, False]
