@@ -17,14 +17,19 @@ from shapekit.functions.jsonx import DEFAULT_SPEC, OutputSpec
 STRICT, LENIENT, API = "strict", "lenient", "api"
 
 
-def seal(df: DataFrame) -> DataFrame:
+def seal(df: DataFrame, base_cols=None, outputs=None) -> DataFrame:
     """Optimizer boundary after a staged validation.
 
     A filter on a validation flag (``ok``) would otherwise be pushed down
     through every staged projection, and alias substitution copies each shared
     sub-expression once per reference; the one-row ``inline`` keeps such
-    filters above the finished columns.
+    filters above the finished columns.  Columns cannot be pruned through the
+    boundary, so only the requested ``outputs`` (plus the input columns) pass;
+    the expressions of the others are never evaluated.
     """
+    if outputs is not None:
+        keep = list(base_cols or []) + [c for c in outputs if c not in (base_cols or [])]
+        df = df.select(*[F.col(f"`{c}`") for c in keep])
     return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
 
 
@@ -34,8 +39,10 @@ def _block_and_parse(df: DataFrame, raw: str) -> DataFrame:
     return d.withColumn("_keys", F.when(F.col("_v").isNotNull(), F.json_object_keys(F.col("json_str"))))
 
 
-def validate_strict(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_SPEC) -> DataFrame:
-    """Adds ``json_str, reason, detail, ok, output, missing_keys, extra_keys``."""
+def validate_strict(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_SPEC,
+                    outputs=None) -> DataFrame:
+    """Adds ``json_str, reason, detail, ok, output, missing_keys, extra_keys``
+    (or only the names in ``outputs``)."""
     d = _block_and_parse(df, raw)
     req = F.array(*[F.lit(k) for k in spec.required_keys])
     reason = (F.when(F.col("json_str").isNull(), "no_json")
@@ -48,11 +55,12 @@ def validate_strict(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_
           .withColumn("_diff", F.when(F.col("_v").isNotNull(), jsonx.key_diff(F.col("_keys"), spec))))
     return seal(d.withColumn("missing_keys", F.col("_diff.missing"))
                 .withColumn("extra_keys", F.col("_diff.extra"))
-                .drop("_v", "_keys", "_clean", "_diff"))
+                .drop("_v", "_keys", "_clean", "_diff"), df.columns, outputs)
 
 
-def validate_lenient(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_SPEC) -> DataFrame:
-    """Adds ``json_str, reason, detail, ok, output, is_vacuous``.
+def validate_lenient(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_SPEC,
+                     outputs=None) -> DataFrame:
+    """Adds ``json_str, reason, detail, ok, output, is_vacuous`` (or ``outputs``).
 
     ``{}`` passes with all defaults, as in the scripts; ``is_vacuous`` marks it.
     """
@@ -69,12 +77,13 @@ def validate_lenient(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT
     for f in spec.list_fields:
         vac = vac & (F.size(F.col("output")[f]) == 0)
     return seal(d.withColumn("is_vacuous", F.coalesce(vac, F.lit(False)))
-                .drop("_v", "_keys", "_clean", "_out", "_type_ok", *jsonx.lenient_tmp_cols(spec)))
+                .drop("_v", "_keys", "_clean", "_out", "_type_ok", *jsonx.lenient_tmp_cols(spec)),
+                df.columns, outputs)
 
 
 def validate_api(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_SPEC,
-                 parity: bool = False) -> DataFrame:
-    """Adds ``json_str, reason, ok, output, coerced`` (the hosted-model answer rules).
+                 parity: bool = False, outputs=None) -> DataFrame:
+    """Adds ``json_str, reason, ok, output, coerced`` (or ``outputs``), the hosted-model answer rules.
 
     The whole stripped answer is tried first, then the slice from the first
     ``{`` to the last ``}``; the value must be an object.  Lists are coerced
@@ -89,7 +98,8 @@ def validate_api(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_SPE
           .withColumn("json_str", F.when(F.col("_wb") == F.col("_t"), F.col("_t")).otherwise(F.col("_s")))
           .withColumn("output", F.when(F.col("ok"), F.col("_out")))
           .withColumn("coerced", F.when(F.col("ok"), F.col("_coerced"))))
-    return seal(d.drop("_t", "_wb", "_s", "_sb", "_out", "_coerced", *jsonx.api_tmp_cols(spec)))
+    return seal(d.drop("_t", "_wb", "_s", "_sb", "_out", "_coerced", *jsonx.api_tmp_cols(spec)),
+                df.columns, outputs)
 
 
 def validate(df: DataFrame, mode: str, raw: str = "raw", spec: OutputSpec = DEFAULT_SPEC,
