@@ -140,16 +140,27 @@ from shapekit.sources import csv as CSV, sinks, tagged  # noqa: E402
 STRUCT_COLS = ["id", "title", "ingredients", "directions"]
 
 
-def _structured_csv(spark, sf_dir):
-    path = scratch_dir(spark, "structured-csv")
-    derived.write_lines(derived.structured_csv_lines(spark, sf_dir), path)
+_MATERIALIZED: dict = {}
+
+
+def _materialize(spark, sf_dir, name, build_lines):
+    """Write a derived input file once per application and data folder."""
+    from shapekit.session import path_exists
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = _MATERIALIZED.get(key)
+    if path is None or not path_exists(spark, path):
+        path = scratch_dir(spark, name)
+        derived.write_lines(build_lines(spark, sf_dir), path)
+        _MATERIALIZED[key] = path
     return path
 
 
+def _structured_csv(spark, sf_dir):
+    return _materialize(spark, sf_dir, "structured-csv", derived.structured_csv_lines)
+
+
 def _tagged_path(spark, sf_dir):
-    path = scratch_dir(spark, "tagged-text")
-    derived.write_lines(derived.tagged_text_lines(spark, sf_dir), path)
-    return path
+    return _materialize(spark, sf_dir, "tagged-text", derived.tagged_text_lines)
 
 
 def _good_structured(spark, sf_dir):

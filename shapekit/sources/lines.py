@@ -23,19 +23,28 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
                     F.col("value").alias("line")))
 
 
-def fill_down(df: DataFrame, col: str, out: str, order=("ln",)) -> DataFrame:
-    """``out`` = last non-null ``col`` at or before each row, in file order."""
+def fill_down(df: DataFrame, col, out=None, order=("ln",)) -> DataFrame:
+    """``out`` = last non-null ``col`` at or before each row, in file order.
+
+    ``col``/``out`` may be lists: all columns are filled in one window pass
+    and one carry table.
+    """
+    cols = [col] if isinstance(col, str) else list(col)
+    outs = [out] if isinstance(out, str) else list(out or cols)
     w = (Window.partitionBy("file", "block").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = df.withColumn(out, F.last(col, ignorenulls=True).over(w))
+    d = df.select("*", *[F.last(c, ignorenulls=True).over(w).alias(o) for c, o in zip(cols, outs)])
     key = F.struct(*[F.col(c) for c in order])
-    last = (d.filter(F.col(col).isNotNull()).groupBy("file", "block")
-            .agg(F.max_by(col, key).alias("_last")))
-    splits = d.select("file", "block").distinct().join(last, ["file", "block"], "left")
+    # last non-null value of each column per split (null orderings are skipped)
+    last = d.groupBy("file", "block").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), key)).alias(f"_last_{i}") for i, c in enumerate(cols)])
     ws = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carry = splits.select("file", "block", F.last("_last", ignorenulls=True).over(ws).alias("_carry"))
-    return (d.join(carry, ["file", "block"], "left")
-             .withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry"))
+    carry = last.select("file", "block", *[F.last(f"_last_{i}", ignorenulls=True).over(ws).alias(f"_carry_{i}")
+                                           for i in range(len(cols))])
+    d = d.join(carry, ["file", "block"], "left")
+    for i, o in enumerate(outs):
+        d = d.withColumn(o, F.coalesce(F.col(o), F.col(f"_carry_{i}"))).drop(f"_carry_{i}")
+    return d
 
 
 def write_ordered_lines(lines: DataFrame, path: str, order_cols=("pos",)) -> str:

@@ -80,8 +80,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
                                  F.struct(F.lit("").alias("name"), F.lit(None).cast("int").alias("declared")))
                      .otherwise(F.col("c")))
     d = d.withColumn("m", F.when(F.col("p").isNotNull(), F.lit("")).otherwise(F.col("m")))
-    for c, o in (("p", "phase"), ("m", "model"), ("c", "chk")):
-        d = fill_down(d, c, o)
+    d = fill_down(d, ["p", "m", "c"], ["phase", "model", "chk"])
     items = d.filter(F.col("item").isNotNull() & (F.col("chk.name") != ""))
     checks = _map_lit(LEDGER_CHECKS)
     return items.select(
