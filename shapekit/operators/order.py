@@ -93,9 +93,14 @@ def leak_check(train: DataFrame, evals: DataFrame, id_col: str = "id", text_col:
 
 
 def length_buckets(df: DataFrame, length_col: str, width: int, partitions: int | None = None) -> DataFrame:
-    """Rows of similar length together: range-partition and sort by length, bucket id added."""
+    """Rows of similar length together: range-partition and sort by length, bucket id added.
+
+    The range key is (length, row hash): rows sharing one length value can
+    still spread over several partitions, so a dominant length is no hot spot.
+    """
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return (df.repartitionByRange(n, F.col(length_col)).sortWithinPartitions(length_col)
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return (df.repartitionByRange(n, F.col(length_col), tie).sortWithinPartitions(length_col)
             .withColumn("bucket", F.floor(F.col(length_col) / width).cast("bigint")))
 
 

@@ -17,12 +17,6 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def json_array_text(df: DataFrame) -> DataFrame:
-    """One JSON array of all rows, for small exports only (it is one row)."""
-    return df.agg(F.to_json(F.collect_list(F.struct(*df.columns)),
-                            {"ignoreNullFields": "false"}).alias("json"))
-
-
 def append_jsonl(df: DataFrame, path: str, run_id: str, reset: bool = False) -> None:
     """Append records under ``run_id=<id>``; ``reset`` replaces only that run.
 

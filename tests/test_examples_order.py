@@ -60,3 +60,11 @@ def test_require_nonempty(spark):
         require_nonempty(spark.createDataFrame([], "t string"))
     r = require_nonempty(spark.createDataFrame([(" ",), ("a",)], "t string"), "t").collect()
     assert [x.blank for x in r] == [True, False]
+
+
+def test_length_buckets_spread_a_dominant_length(spark):
+    df = spark.range(0, 4000).select("id", F.when(F.col("id") % 3 == 0, 100).otherwise(F.col("id")).alias("n"))
+    b = O.length_buckets(df, "n", 50, partitions=8)
+    sizes = b.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in sizes) < 4000 / 3
+    assert b.filter("bucket = 2").count() == df.filter("n >= 100 and n < 150").count()
