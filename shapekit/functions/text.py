@@ -56,11 +56,14 @@ def strip_fences(c) -> Column:
     return strip_ws(F.regexp_replace(_c(c), FENCE_RE, ""))
 
 
-def _token_fold_block(s: Column) -> Column:
-    """Exact scan for rows the bounded regex cannot settle (deep or unclosed)."""
-    start = F.instr(s, "{")
-    tail = F.substring(s, start, F.lit(2_147_483_647))
-    toks = F.regexp_extract_all(tail, F.lit(TOKEN_RE), 0)
+def _block_tokens(s: Column) -> Column:
+    """String / brace / other-text tokens from the first brace on."""
+    tail = F.substring(s, F.instr(s, "{"), F.lit(2_147_483_647))
+    return F.regexp_extract_all(tail, F.lit(TOKEN_RE), 0)
+
+
+def _block_end(toks: Column) -> Column:
+    """Number of tokens up to the brace that closes the first one, else -1."""
     init = F.struct(F.lit(0).alias("d"), F.lit(0).alias("n"), F.lit(-1).alias("e"))
 
     def step(acc, t):
@@ -69,7 +72,13 @@ def _token_fold_block(s: Column) -> Column:
         return F.when(acc["e"] >= 0, acc).otherwise(
             F.struct(d.alias("d"), n.alias("n"), F.when(d == 0, n).otherwise(-1).alias("e")))
 
-    end = F.aggregate(toks, init, step)["e"]
+    return F.aggregate(toks, init, step)["e"]
+
+
+def _token_fold_block(s: Column) -> Column:
+    """Exact scan for rows the bounded regex cannot settle (deep or unclosed)."""
+    toks = _block_tokens(s)
+    end = _block_end(toks)
     return F.when(end > 0, F.array_join(F.slice(toks, 1, end), ""))
 
 
@@ -90,13 +99,17 @@ def with_json_block(df, raw: str, out: str = "json_str", clean: str | None = Non
                     already_clean: bool = False):
     """Add ``out`` (the first JSON block of ``raw``) in staged projections."""
     cl = clean or f"_{out}_clean"
-    hit = f"_{out}_hit"
+    hit, toks, end = f"_{out}_hit", f"_{out}_toks", f"_{out}_end"
     d = df.withColumn(cl, F.col(raw) if already_clean else strip_fences(raw))
     d = d.withColumn(hit, F.regexp_extract(F.col(cl), BLOCK_RE, 1))
-    blk = (F.when(F.col(cl).isNull() | (F.instr(F.col(cl), "{") == 0), F.lit(None).cast("string"))
+    has_brace = F.col(cl).isNotNull() & (F.instr(F.col(cl), "{") > 0)
+    # only rows with a brace and no regex hit are tokenised and folded
+    d = d.withColumn(toks, F.when(has_brace & (F.col(hit) == ""), _block_tokens(F.col(cl))))
+    d = d.withColumn(end, _block_end(F.col(toks)))
+    blk = (F.when(~has_brace | F.col(cl).isNull(), F.lit(None).cast("string"))
            .when(F.col(hit) != "", F.col(hit))
-           .otherwise(_token_fold_block(F.col(cl))))
-    d = d.withColumn(out, blk).drop(hit)
+           .when(F.col(end) > 0, F.array_join(F.slice(F.col(toks), 1, F.col(end)), "")))
+    d = d.withColumn(out, blk).drop(hit, toks, end)
     return d if clean else d.drop(cl)
 
 

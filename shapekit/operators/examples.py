@@ -56,7 +56,7 @@ def render_chat(df: DataFrame, template: ChatTemplate = CHATML, with_answer: boo
 def render_conversations(turns: DataFrame, template: ChatTemplate = CHATML, conv: str = "conv_id",
                          add_generation: bool = False) -> DataFrame:
     """Multi-turn rows (conv_id, turn, role, text) -> one rendered string per conversation."""
-    g = turns.groupBy(conv).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    g = turns.groupBy(conv).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
     body = F.array_join(F.transform("t", lambda x: template.turn(x["role"], x["text"])), "")
     if add_generation:
         body = F.concat(body, F.lit(template.generation))

@@ -47,7 +47,7 @@ def validate_strict(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_
     req = F.array(*[F.lit(k) for k in spec.required_keys])
     reason = (F.when(F.col("json_str").isNull(), "no_json")
               .when(F.col("_v").isNull(), "invalid_json")
-              .when(F.array_sort(F.array_distinct(F.col("_keys"))) != req, "bad_keys"))
+              .when(F.sort_array(F.array_distinct(F.col("_keys"))) != req, "bad_keys"))
     d = (d.withColumn("reason", reason)
           .withColumn("detail", text.block_detail(F.col("_clean"), F.col("json_str"), already_clean=True))
           .withColumn("ok", F.col("reason").isNull())

@@ -89,7 +89,7 @@ def gold_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     step = F.concat(F.lit("Pack line "), F.col("l_linenumber").cast("string"),
                     F.lit(" flag "), F.col("l_returnflag"))
     return (it.groupBy(F.col("l_orderkey").alias("id"))
-            .agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"),
+            .agg(F.sort_array(F.collect_list(F.struct(F.col("l_linenumber").alias("n"),
                                                       F.col("p_name").alias("name"),
                                                       step.alias("step")))).alias("items")))
 

@@ -75,7 +75,7 @@ def read_tagged_text(spark: SparkSession, path: str, loose: bool = False) -> Dat
     """(id, pos, text): one row per marker occurrence, in file order ``pos``."""
     segs = read_tagged_segments(spark, path, loose)
     piece = F.struct("block", "ln", "seg", "new_line", "body")
-    recs = segs.groupBy("rec", "id").agg(F.array_sort(F.collect_list(piece)).alias("p"))
+    recs = segs.groupBy("rec", "id").agg(F.sort_array(F.collect_list(piece)).alias("p"))
     # join pieces: a piece opening a new line (other than the first) adds "\n"
     text = F.array_join(F.transform(
         "p", lambda x, i: F.concat(F.when((i > 0) & x["new_line"], "\n").otherwise(""), x["body"])), "")
