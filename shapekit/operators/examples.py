@@ -99,14 +99,19 @@ def tokenizer_udf(make_tokenizer):
 
 
 def tokenize_examples(df: DataFrame, max_len: int, tokenize=word_ids, pad_id: int = PAD_ID,
-                      mask_padding: bool = False) -> DataFrame:
+                      mask_padding: bool = False, count_tokens=None) -> DataFrame:
     """(…, prompt, full) -> input_ids, attention_mask, labels (fixed length) + lengths.
 
     labels = ids with the first min(prefix_len, max_len) positions at -100;
-    padding is not masked unless ``mask_padding``.  Right padding.
+    padding is not masked unless ``mask_padding``.  Right padding.  Only the
+    prompt's token count is needed: ``count_tokens`` (default: the size of
+    the native token list, or of ``tokenize``'s ids) avoids computing ids twice.
     """
+    if count_tokens is None:
+        count_tokens = (lambda c: F.size(word_tokens(c))) if tokenize is word_ids \
+            else (lambda c: F.size(tokenize(c)))
     d = (df.withColumn("_full_ids", tokenize(F.col("full")))
-           .withColumn("prefix_len", F.size(tokenize(F.col("prompt"))))
+           .withColumn("prefix_len", count_tokens(F.col("prompt")))
            .withColumn("full_len", F.size("_full_ids")))
     d = (d.withColumn("input_ids", pad_truncate("_full_ids", max_len, pad_id))
            .withColumn("attention_mask", attention_mask("_full_ids", max_len)))

@@ -103,13 +103,13 @@ def validate_api(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_SPE
 
 
 def validate(df: DataFrame, mode: str, raw: str = "raw", spec: OutputSpec = DEFAULT_SPEC,
-             **kw) -> DataFrame:
+             outputs=None, **kw) -> DataFrame:
     if mode == STRICT:
-        return validate_strict(df, raw, spec)
+        return validate_strict(df, raw, spec, outputs=outputs)
     if mode == LENIENT:
-        return validate_lenient(df, raw, spec)
+        return validate_lenient(df, raw, spec, outputs=outputs)
     if mode == API:
-        return validate_api(df, raw, spec, **kw)
+        return validate_api(df, raw, spec, outputs=outputs, **kw)
     raise ValueError(f"unknown mode {mode!r}")
 
 

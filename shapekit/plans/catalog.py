@@ -417,9 +417,9 @@ from shapekit.operators import audit as AU  # noqa: E402
 from shapekit.sources import lines as LN, outputs as OUT  # noqa: E402
 
 
-def _runs(spark, sf_dir, phase, mode):
+def _runs(spark, sf_dir, phase, mode, outputs=None):
     r = derived.phase_runs(spark, sf_dir).filter(F.col("phase") == phase)
-    return V.validate(r, mode)
+    return V.validate(r, mode, outputs=outputs)
 
 
 @query("outputs_load")
@@ -444,9 +444,9 @@ def _check_failures(spark, sf_dir):
     """(phase, model, idx, check, title) of failed checks, plus one null-title row
     per (phase, model, check) so that checks without failures are declared as 0."""
     runs = derived.phase_runs(spark, sf_dir)
-    s = V.validate_strict(runs).select("phase", "model", "idx", "raw", "seed",
-                                       F.col("reason").alias("r_strict"))
-    lv = V.validate_lenient(s).join(derived.semantic_verdicts(spark, sf_dir), "idx", "left")
+    s = V.validate_strict(runs.select("phase", "model", "idx", "raw", "seed"), outputs=("reason",)) \
+        .withColumnRenamed("reason", "r_strict")
+    lv = V.validate_lenient(s, outputs=("reason", "ok")).join(derived.semantic_verdicts(spark, sf_dir), "idx", "left")
     syn = F.col("r_strict").isin("no_json", "invalid_json")
     before_struct = F.col("r_strict") == "bad_keys"
     after_syn = F.col("reason").isin("no_json", "invalid_json")
@@ -488,15 +488,15 @@ def q_ledger_reconcile(spark, sf_dir):
 
 @query("missing_outputs")
 def q_missing_outputs(spark, sf_dir):
-    v = _runs(spark, sf_dir, "before", V.STRICT)
+    v = _runs(spark, sf_dir, "before", V.STRICT, outputs=("ok",))
     prompts = derived.phase_runs(spark, sf_dir).filter(F.col("phase") == "before").select("model", "idx")
     return AU.missing_outputs(prompts, v.filter("ok"))
 
 
 @query("compare_runs")
 def q_compare_runs(spark, sf_dir):
-    a = _runs(spark, sf_dir, "before", V.STRICT)
-    b = _runs(spark, sf_dir, "after", V.LENIENT)
+    a = _runs(spark, sf_dir, "before", V.STRICT, outputs=("ok",))
+    b = _runs(spark, sf_dir, "after", V.LENIENT, outputs=("ok",))
     return AU.compare_runs(a, b).groupBy("model", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
