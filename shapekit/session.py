@@ -46,8 +46,30 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``shapekit`` importable in Python workers (``addPyFile`` of a zip).
+
+    Needed by the Arrow/pandas stages (scoring, tokenizer UDF, stream state);
+    on a cluster this is what ``--py-files`` does.  Once per SparkContext.
+    """
+    import shutil
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="shapekit-pyfiles-"), "shapekit")
+    zpath = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg), base_dir="shapekit")
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Set the SQL settings that can change on a live session."""
+    """Set the SQL settings that can change on a live session and ship the package."""
+    ship_package(spark)
     for k in ("spark.sql.variant.allowDuplicateKeys", "spark.sql.session.timeZone",
               "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
               "spark.sql.constraintPropagation.enabled",
