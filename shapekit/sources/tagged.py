@@ -54,33 +54,53 @@ def read_tagged_segments(spark: SparkSession, path: str, loose: bool = False) ->
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     segs = segs.withColumn("owner", F.last("mark", ignorenulls=True).over(w))
     # owner for the lines before the first marker of a split: last marker of
-    # the nearest earlier split of the same file (one row per split)
-    last_mark = (segs.filter(F.col("mark").isNotNull()).groupBy("file", "block")
-                 .agg(F.max_by("mark", F.struct("ln", "seg")).alias("last_mark")))
-    splits = segs.select("file", "block").distinct().join(last_mark, ["file", "block"], "left")
+    # the nearest earlier split of the same file.  One row per split, from the
+    # windowed rows (already clustered by split: no new shuffle of the text).
+    splits = segs.groupBy("file", "block").agg(
+        F.max_by("mark", F.when(F.col("mark").isNotNull(), F.struct("ln", "seg"))).alias("last_mark"))
     ws = (Window.partitionBy("file").orderBy("block")
           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = splits.select("file", "block", F.last("last_mark", ignorenulls=True).over(ws).alias("carry"))
+    carry = splits.select("file", "block", "last_mark",
+                          F.last("last_mark", ignorenulls=True).over(ws).alias("carry"))
     segs = (segs.join(carry, ["file", "block"], "left")
             .withColumn("owner", F.coalesce("owner", "carry"))
             .filter(F.col("owner").isNotNull()))
+    # a record may continue past its split only if it is the split's last one;
+    # carried lines belong to such a record
+    open_ = (F.col("owner.block") != F.col("block")) | (F.col("owner") == F.col("last_mark"))
     return segs.select("file", "block", "ln", "seg", F.col("owner.id").alias("id"),
                        F.struct(F.col("file"), F.col("owner.block").alias("block"),
                                 F.col("owner.ln").alias("ln"),
                                 F.col("owner.seg").alias("seg")).alias("rec"),
-                       "body", "new_line")
+                       "body", "new_line", F.coalesce(open_, F.lit(True)).alias("open"))
+
+
+def _join_pieces(arr, first_ok: bool = False):
+    """Concatenate (new_line, body) pieces; a piece opening a new line after
+    the first adds a line break."""
+    return F.array_join(F.transform(arr, lambda x, i: F.concat(
+        F.when((i > 0) & x["new_line"], "\n").otherwise(""), x["body"])), "")
 
 
 def read_tagged_text(spark: SparkSession, path: str, loose: bool = False) -> DataFrame:
-    """(id, pos, text): one row per marker occurrence, in file order ``pos``."""
+    """(id, pos, text): one row per marker occurrence, in file order ``pos``.
+
+    Segments arrive clustered by file split (the owner window), so records
+    are first assembled inside each split without another shuffle; only the
+    last record of each split, which may run on into the next split, is
+    regrouped across splits (at most one record per split boundary).
+    """
     segs = read_tagged_segments(spark, path, loose)
-    piece = F.struct("block", "ln", "seg", "new_line", "body")
-    recs = segs.groupBy("rec", "id").agg(F.sort_array(F.collect_list(piece)).alias("p"))
-    # join pieces: a piece opening a new line (other than the first) adds "\n"
-    text = F.array_join(F.transform(
-        "p", lambda x, i: F.concat(F.when((i > 0) & x["new_line"], "\n").otherwise(""), x["body"])), "")
-    return recs.select("id", F.col("rec").alias("pos"), strip_ws(text).alias("text")).filter(
-        F.col("id").isNotNull())
+    piece = F.struct("ln", "seg", "new_line", "body")
+    local = (segs.groupBy("file", "block", "rec", "id", "open")
+             .agg(F.sort_array(F.collect_list(piece)).alias("p"))
+             .select("rec", "id", "open", "block",
+                     F.col("p")[0]["new_line"].alias("new_line"), _join_pieces(F.col("p")).alias("body")))
+    closed = local.filter(~F.col("open")).select("id", F.col("rec").alias("pos"), strip_ws("body").alias("text"))
+    spans = (local.filter(F.col("open")).groupBy("rec", "id")
+             .agg(F.sort_array(F.collect_list(F.struct("block", "new_line", "body"))).alias("q"))
+             .select("id", F.col("rec").alias("pos"), strip_ws(_join_pieces(F.col("q"))).alias("text")))
+    return closed.unionByName(spans).filter(F.col("id").isNotNull())
 
 
 def latest_per_key(df: DataFrame, key: str = "id", pos: str = "pos", value: str = "text") -> DataFrame:
