@@ -628,6 +628,7 @@ def q_stream_quality(spark, sf_dir):
 def q_stream_assemble(spark, sf_dir):
     """Chunks arrive in two runs of the stream on one checkpoint (state survives the restart)."""
     chunks = ST2.chunk_answers(_answers(spark, sf_dir))
+    ST2.use_rocksdb_state(spark)
     base = scratch_dir(spark, "stream-assemble")
     src_dir, out_dir, ckpt = f"{base}/chunks", f"{base}/out", f"{base}/ckpt"
     schema = "idx long, seq int, chunk string, is_last boolean, ts timestamp"
@@ -645,3 +646,9 @@ def q_stream_assemble(spark, sf_dir):
 def q_require_nonempty(spark, sf_dir):
     a = P.require_nonempty(_answers(spark, sf_dir), text="raw")
     return a.groupBy().agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("blank").alias("n_blank"))
+
+
+@query("split_threshold")
+def q_split_threshold(spark, sf_dir):
+    """Scale form of the split: hash under the share, no count, no ranking."""
+    return O.hash_split(_docs(spark, sf_dir, "doc_id"), "doc_id", 0.1, 42)

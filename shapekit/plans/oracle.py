@@ -427,3 +427,7 @@ SELECT idx, CASE WHEN k IN (0,1,2) THEN g WHEN k IN (3,4) THEN NULL
 
 ORACLE["require_nonempty"] = W(_GEN) + """
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE k = 4 AND t = '') AS n_blank FROM a"""
+
+ORACLE["split_threshold"] = """
+SELECT doc_id, CASE WHEN ('0x' || substr(md5(concat(doc_id, '42')), 1, 8))::BIGINT / 4294967296.0 < 0.1
+  THEN 'test' ELSE 'train' END AS split FROM documents"""

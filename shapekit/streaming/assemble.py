@@ -99,6 +99,13 @@ def assemble_stream(chunks: DataFrame, key: str = "idx", ts: str = "ts", timeout
                                     "append", "EventTimeTimeout"))
 
 
+def use_rocksdb_state(spark) -> None:
+    """Keep per-request state in RocksDB (off the JVM heap) for streams started
+    after this call; a checkpoint keeps the provider it was created with."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def chunk_answers(answers: DataFrame, size: int = 16, raw: str = "raw", key: str = "idx") -> DataFrame:
     """Cut answers into ``size``-character chunks: (idx, seq, chunk, is_last, ts)."""
     parts = F.regexp_extract_all(F.col(raw), F.lit("(?s).{1," + str(size) + "}"), 0)

@@ -95,3 +95,12 @@ def test_pairs_roundtrip(spark, tmp_dir):
     back = CSV.read_pairs(spark, tmp_dir + "/p").collect()
     assert [(r.id, r.text, r.json) for r in back] == [(1, 'text with "quotes"\nand a newline', '{"a":1}')]
     assert back and F  # noqa
+
+
+def test_write_quarantine(spark, tmp_dir):
+    from shapekit.operators import validate as V
+    from shapekit.sources import sinks
+    df = spark.createDataFrame([(0, '{"title":"a","ingredients":[],"steps":[]}'), (1, "x")], "idx long, raw string")
+    sinks.write_quarantine(V.validate_strict(df, outputs=("reason", "ok")), tmp_dir + "/q")
+    back = spark.read.json(tmp_dir + "/q")
+    assert sorted((r.idx, r.status, r.reason) for r in back.collect()) == [(0, "ok", None), (1, "failed", "no_json")]
