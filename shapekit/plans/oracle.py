@@ -332,7 +332,8 @@ SELECT model, CASE WHEN NOT ok_a AND ok_b THEN 'fixed' WHEN ok_a AND NOT ok_b TH
   WHEN ok_a THEN 'unchanged_ok' ELSE 'unchanged_fail' END AS status, count(*) AS n FROM s GROUP BY ALL"""
 
 ORACLE["gold_score"] = W(_RUNS) + """
-SELECT idx, true AS title_match, 1.0 AS item_precision, 1.0 AS item_recall, 1.0 AS item_f1,
+SELECT idx, true AS title_match, 1.0::DOUBLE AS item_precision, 1.0::DOUBLE AS item_recall,
+  1.0::DOUBLE AS item_f1,
   k <> 9 AS steps_equal,
   CAST(CASE WHEN k = 9 THEN levenshtein(concat(t, chr(10), 'a } b { " c'), concat(t, chr(10), 'x')) ELSE 0 END
        AS BIGINT) AS steps_edit
@@ -367,7 +368,8 @@ ORACLE["field_stats"] = W(_RUNS) + """
 rep AS (SELECT model, count(*) FILTER (WHERE c > 1) AS repeated_titles
         FROM (SELECT model, t, count(*) AS c FROM o GROUP BY model, t) GROUP BY model)
 SELECT o.model, count(*) AS n, count(*) FILTER (WHERE t = '') AS empty_titles, count(DISTINCT t) AS distinct_titles,
-  1.0 AS avg_ingredients, CAST(0 AS BIGINT) AS empty_ingredients, 2.0 AS avg_steps, CAST(0 AS BIGINT) AS empty_steps,
+  1.0::DOUBLE AS avg_ingredients, CAST(0 AS BIGINT) AS empty_ingredients, 2.0::DOUBLE AS avg_steps,
+  CAST(0 AS BIGINT) AS empty_steps,
   max(rep.repeated_titles) AS repeated_titles
 FROM o JOIN rep ON rep.model = o.model GROUP BY o.model"""
 
