@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,8 +58,9 @@ def train_test_split(df: DataFrame, id_col: str = "id", test_size: float = 0.1,
     Positions come from ``index_rows`` (distributed), so the test side is not
     gathered into one task whatever its size.
     """
-    n = df.count()
-    n_test = int(math.ceil(test_size * n))
+    # the row count is a scalar subquery: lazy, evaluated once with the plan
+    n = df.select(F.count(F.lit(1))).scalar()
+    n_test = F.ceil(F.lit(float(test_size)) * n)
     ranked = index_rows(df.withColumn("_h", split_key(id_col, seed)), ["_h"], "_hpos")
     tagged = ranked.withColumn("split", F.when(F.col("_hpos") < n_test, "test").otherwise("train"))
     tagged = tagged.drop("_h", "_hpos")

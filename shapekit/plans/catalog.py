@@ -482,6 +482,8 @@ def q_ledger_parse(spark, sf_dir):
 @query("ledger_reconcile")
 def q_ledger_reconcile(spark, sf_dir):
     lg, fails = _ledger(spark, sf_dir)
+    # fault injection: some stored failure records are missing (idx % 23 == 0),
+    # so the reconciliation has listed titles without a stored record to find
     stored = fails.filter(F.col("title").isNotNull() & (F.col("idx") % 23 != 0))
     return AU.reconcile_ledger(lg, stored)
 
@@ -597,6 +599,10 @@ def q_pick_attempt(spark, sf_dir):
 def q_service_retry(spark, sf_dir):
     s = SC.call_service(_prompts(spark, sf_dir), stubs.make_flaky_service, sleep=lambda s: None,
                         rand=lambda: 0.5, pause=0.0)
+    # answers are written once; a lost executor later re-reads them, not the service
+    path = scratch_dir(spark, "service-answers")
+    s.write.mode("overwrite").parquet(path)
+    s = spark.read.parquet(path)
     return s.select("idx", "status", "attempts", F.split("error_kind", ":")[0].alias("error_kind"), "waited")
 
 
