@@ -6,8 +6,8 @@ them as follows (all row-wise, so the work grows with the tables):
 * raw model answers: ten answer variants per document row, picked by a key
   formula (plain, fenced, prose around, never closed, no brace, trailing comma,
   extra key, alias key, list as string, braces inside strings + second object);
-* runs: phase ``before`` and ``after`` use different variant formulas, a
-  second attempt uses a third one; ``documents.source`` names the model;
+* runs: phase ``before`` and ``after`` use different variant formulas;
+  ``documents.source`` names the model;
 * gold objects: one per order, the part names of its line items (by line
   number) as the list field, and line descriptions as the steps;
 * semantic verdicts: ``labels.quality``.
@@ -25,7 +25,6 @@ PHASE_KEYS = {
     "before": lambda i: i % 10,
     "after": lambda i: (i + F.floor(i / 10)) % 10,
 }
-RETRY_KEY = lambda i: F.floor(i / 10) % 10
 
 
 def answer_seed(text: Column) -> Column:
