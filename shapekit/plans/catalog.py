@@ -143,24 +143,26 @@ STRUCT_COLS = ["id", "title", "ingredients", "directions"]
 _MATERIALIZED: dict = {}
 
 
-def _materialize(spark, sf_dir, name, build_lines):
+def _materialize(spark, sf_dir, name, write):
     """Write a derived input file once per application and data folder."""
     from shapekit.session import path_exists
     key = (spark.sparkContext.applicationId, sf_dir, name)
     path = _MATERIALIZED.get(key)
     if path is None or not path_exists(spark, path):
         path = scratch_dir(spark, name)
-        derived.write_lines(build_lines(spark, sf_dir), path)
+        write(path)
         _MATERIALIZED[key] = path
     return path
 
 
 def _structured_csv(spark, sf_dir):
-    return _materialize(spark, sf_dir, "structured-csv", derived.structured_csv_lines)
+    return _materialize(spark, sf_dir, "structured-csv", lambda p: derived.write_csv_lines(
+        derived.structured_csv_lines(spark, sf_dir), p, derived.STRUCT_HEADER))
 
 
 def _tagged_path(spark, sf_dir):
-    return _materialize(spark, sf_dir, "tagged-text", derived.tagged_text_lines)
+    return _materialize(spark, sf_dir, "tagged-text", lambda p: derived.write_lines(
+        derived.tagged_text_lines(spark, sf_dir), p))
 
 
 def _good_structured(spark, sf_dir):

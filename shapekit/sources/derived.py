@@ -117,7 +117,8 @@ def structured_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     id % 13 == 3 -> one extra cell (skipped by the tolerant reader);
     id % 17 == 4 -> only two cells (kept, missing cells null);
     id % 50 == 7 -> ingredients cell is a broken list literal.
-    The header's first name is empty, as in an index-column export.
+    Written with ``write_csv_lines``; the header's first name is empty, as in
+    an index-column export.
     """
     s = structured_rows(spark, sf_dir)
     i = F.col("id")
@@ -127,9 +128,25 @@ def structured_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = (F.when(i % 13 == 3, F.concat(full, F.lit(',"extra"')))
             .when(i % 17 == 4, F.concat_ws(",", i.cast("string"), _q(F.col("title"))))
             .otherwise(full))
-    header = spark.range(1).select(F.lit(-1).cast("bigint").alias("pos"),
-                                   F.lit(",title,ingredients,directions").alias("line"))
-    return header.unionByName(s.select(i.alias("pos"), line.alias("line")))
+    return s.select(i.alias("pos"), line.alias("line"))
+
+
+STRUCT_HEADER = ",title,ingredients,directions"
+
+
+def write_csv_lines(lines: DataFrame, path: str, header: str) -> str:
+    """Write raw CSV text lines with ``header`` as the first line of every part
+    file, as a CSV writer does, so a header-aware reader skips it per file."""
+    def with_header(batches):
+        import pandas as pd
+        first = True
+        for pdf in batches:
+            if first and len(pdf):
+                pdf = pd.concat([pd.DataFrame({"line": [header]}), pdf], ignore_index=True)
+                first = False
+            yield pdf
+    lines.select("line").mapInPandas(with_header, "line string").write.mode("overwrite").text(path)
+    return path
 
 
 def tagged_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
