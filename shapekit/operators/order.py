@@ -10,17 +10,23 @@ from shapekit.functions.text import normalise_title
 _PID_SHIFT = 33  # monotonically_increasing_id keeps the partition id above bit 33
 
 
-def index_rows(df: DataFrame, order_cols, name: str = "pos") -> DataFrame:
+def index_rows(df: DataFrame, order_cols, name: str = "pos", partitions: int | None = None) -> DataFrame:
     """0-based position by ``order_cols`` (must be unique) without a global window.
 
-    Range-sort once; ``monotonically_increasing_id`` then holds (partition,
-    row-in-partition).  Per-partition counts (one row per partition) give the
-    offsets through a running sum over that small table, joined back by
-    partition id.  The sort's shuffle is reused by both branches.
+    Range-partition into a fixed number of partitions and sort within them;
+    ``monotonically_increasing_id`` then holds (partition, row-in-partition).
+    Per-partition counts (one row per partition) give the offsets through a
+    running sum over that small table, joined back by partition id.
+
+    The partition count is explicit on purpose: the counts branch carries only
+    the keys, and AQE would coalesce its shuffle differently from the wide
+    main branch, so partition ids of the two would not line up.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in
             (order_cols if isinstance(order_cols, (list, tuple)) else [order_cols])]
-    s = df.orderBy(*cols).withColumn("_mid", F.monotonically_increasing_id())
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+         .withColumn("_mid", F.monotonically_increasing_id()))
     s = s.withColumn("_pid", F.shiftright("_mid", _PID_SHIFT)) \
          .withColumn("_rip", F.col("_mid") - F.shiftleft(F.col("_pid"), _PID_SHIFT))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -68,3 +68,17 @@ def test_length_buckets_spread_a_dominant_length(spark):
     sizes = b.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert max(r["count"] for r in sizes) < 4000 / 3
     assert b.filter("bucket = 2").count() == df.filter("n >= 100 and n < 150").count()
+
+
+def test_index_rows_wide_rows_and_filters(spark):
+    # a wide column makes the main branch's shuffle much larger than the
+    # key-only counts branch; positions must still line up
+    df = spark.range(0, 20000, numPartitions=8).select(
+        "id", F.repeat(F.lit("x"), 2000).alias("pad"))
+    tr, te = O.train_test_split(df, "id", 0.1, 42)
+    picked = [3, 17, 9999, 12345, 19999]
+    a = {r.id for r in tr.filter(F.col("id").isin(picked)).collect()}
+    b = {r.id for r in te.filter(F.col("id").isin(picked)).collect()}
+    assert a | b == set(picked) and not (a & b)
+    pos = O.index_rows(df, ["id"], "pos").filter(F.col("id").isin(picked)).collect()
+    assert sorted((r.id, r.pos) for r in pos) == [(i, i) for i in picked]
