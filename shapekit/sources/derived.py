@@ -136,16 +136,15 @@ STRUCT_HEADER = ",title,ingredients,directions"
 
 def write_csv_lines(lines: DataFrame, path: str, header: str) -> str:
     """Write raw CSV text lines with ``header`` as the first line of every part
-    file, as a CSV writer does, so a header-aware reader skips it per file."""
-    def with_header(batches):
-        import pandas as pd
-        first = True
-        for pdf in batches:
-            if first and len(pdf):
-                pdf = pd.concat([pd.DataFrame({"line": [header]}), pdf], ignore_index=True)
-                first = False
-            yield pdf
-    lines.select("line").mapInPandas(with_header, "line string").write.mode("overwrite").text(path)
+    file, as a CSV writer does, so a header-aware reader skips it per file.
+
+    Spark's own CSV writer does the work on one column named by the header: a
+    separator that never occurs and no quoting keep each line verbatim.
+    """
+    (lines.select(F.col("line").alias(header)).write.mode("overwrite")
+     .option("header", True).option("sep", "\u0001").option("quote", "")
+     .option("escapeQuotes", False).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
