@@ -6,6 +6,6 @@ from shapekit.functions.text import (  # noqa: F401
     format_flags,
 )
 from shapekit.functions.jsonx import (  # noqa: F401
-    strict_checks, with_lenient_fields, with_api_fields, key_diff, coerce_list,
+    strict_output, with_lenient_fields, with_api_fields, key_diff, coerce_list,
 )
 from shapekit.functions.arrays import pad_truncate, attention_mask, mask_prefix, token_budget  # noqa: F401

@@ -61,17 +61,6 @@ def key_diff(keys: Column, spec: OutputSpec = DEFAULT_SPEC) -> Column:
                     F.sort_array(F.array_except(ks, req)).alias("extra"))
 
 
-def strict_checks(block: Column, spec: OutputSpec = DEFAULT_SPEC):
-    """(variant, keys, reason) for strict mode; reason is null on success."""
-    v = F.try_parse_json(block)
-    keys = F.json_object_keys(block)
-    req = F.array(*[F.lit(k) for k in spec.required_keys])
-    reason = (F.when(block.isNull(), "no_json")
-              .when(v.isNull(), "invalid_json")
-              .when(F.sort_array(F.array_distinct(keys)) != req, "bad_keys"))
-    return v, keys, reason
-
-
 def strict_output(v: Column, spec: OutputSpec = DEFAULT_SPEC) -> Column:
     """The object as stored by strict mode, typed where the value allows."""
     cols = [F.try_variant_get(v, _path(spec.title_field), "string").alias(spec.title_field)]

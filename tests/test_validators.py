@@ -74,3 +74,10 @@ def test_pick_attempt(spark):
     out = {r.idx: r for r in V.pick_attempt(df).collect()}
     assert out[1].attempt == 2 and out[1].ok and out[1].n_attempts == 3
     assert out[2].attempt == 2 and out[2].reason == "b"
+
+
+def test_exclude_ids_table_and_keep_only(spark):
+    from shapekit.operators.pairs import exclude_ids, keep_only
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, t string")
+    ids = spark.createDataFrame([(2,)], "id long")
+    assert sorted(r.id for r in keep_only(exclude_ids(df, ids), ["id"]).collect()) == [1, 3]
