@@ -468,7 +468,11 @@ def _check_failures(spark, sf_dir):
 
 
 def _ledger(spark, sf_dir):
-    fails = _check_failures(spark, sf_dir)
+    # the failure table feeds both the ledger text and the reconciliation:
+    # written once, so the validations behind it run once
+    fpath = scratch_dir(spark, "check-failures")
+    _check_failures(spark, sf_dir).write.mode("overwrite").parquet(fpath)
+    fails = spark.read.parquet(fpath)
     path = scratch_dir(spark, "ledger")
     LN.write_ordered_lines(OUT.ledger_lines(fails), path, ("ph", "model", "ck", "o", "t"))
     return OUT.read_ledger(spark, path), fails
