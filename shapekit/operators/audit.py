@@ -106,13 +106,19 @@ def prompt_fingerprint(prompts: DataFrame, parts=("system", "template", "limits"
                               F.count_distinct("fingerprint").alias("n_fingerprints")))
 
 
-def reconcile_ledger(ledger: DataFrame, stored: DataFrame) -> DataFrame:
-    """Per (phase, model, check): declared count, listed titles, titles found among stored failures."""
+def reconcile_ledger(ledger: DataFrame, stored: DataFrame, results: DataFrame | None = None) -> DataFrame:
+    """Per (phase, model, check): declared count, listed titles, listed titles
+    found among stored failures, and (with ``results``) listed titles that are
+    nevertheless present among the stored results of that run."""
     lg = ledger.withColumn("nt", normalise_title(F.col("title")))
     st = stored.select("phase", "model", "check", normalise_title(F.col("title")).alias("nt")).distinct()
     hit = lg.join(st.withColumn("stored", F.lit(True)), ["phase", "model", "check", "nt"], "left")
-    return (hit.groupBy("phase", "model", "check")
-            .agg(F.max("declared").cast("bigint").alias("declared"),
-                 F.count("title").alias("listed"),
-                 F.count_if(F.col("stored") & F.col("title").isNotNull()).alias("listed_stored"))
+    aggs = [F.max("declared").cast("bigint").alias("declared"),
+            F.count("title").alias("listed"),
+            F.count_if(F.col("stored") & F.col("title").isNotNull()).alias("listed_stored")]
+    if results is not None:
+        rs = results.select("phase", "model", normalise_title(F.col("title")).alias("nt")).distinct()
+        hit = hit.join(rs.withColumn("in_results", F.lit(True)), ["phase", "model", "nt"], "left")
+        aggs.append(F.count_if(F.col("in_results") & F.col("title").isNotNull()).alias("listed_in_results"))
+    return (hit.groupBy("phase", "model", "check").agg(*aggs)
             .withColumn("count_mismatch", F.col("declared") != F.col("listed")))

@@ -491,7 +491,11 @@ def q_ledger_reconcile(spark, sf_dir):
     # fault injection: some stored failure records are missing (idx % 23 == 0),
     # so the reconciliation has listed titles without a stored record to find
     stored = fails.filter(F.col("title").isNotNull() & (F.col("idx") % 23 != 0))
-    return AU.reconcile_ledger(lg, stored)
+    runs = derived.phase_runs(spark, sf_dir).select("phase", "model", "idx", "raw", "seed")
+    ok_b = V.validate_strict(runs.filter(F.col("phase") == "before"), outputs=("ok",))
+    ok_a = V.validate_lenient(runs.filter(F.col("phase") == "after"), outputs=("ok",))
+    results = ok_b.unionByName(ok_a).filter("ok").select("phase", "model", F.col("seed").alias("title"))
+    return AU.reconcile_ledger(lg, stored, results)
 
 
 @query("missing_outputs")

@@ -314,10 +314,14 @@ GROUP BY g.phase, g.model, g.chk"""
 
 ORACLE["ledger_reconcile"] = W(_RUNS, _FAILS) + """
 , st AS (SELECT DISTINCT phase, model, chk, lower(regexp_replace(title, '\\s+', ' ', 'g')) AS nt FROM f
-         WHERE idx % 23 <> 0)
+         WHERE idx % 23 <> 0),
+res AS (SELECT DISTINCT phase, model, lower(regexp_replace(t, '\\s+', ' ', 'g')) AS nt FROM p
+        WHERE (phase = 'before' AND k NOT IN (3,4,5,6,7)) OR (phase = 'after' AND k NOT IN (3,4,5,8)))
 SELECT g.phase, g.model, g.chk AS "check", count(f.idx) AS declared, count(f.idx) AS listed,
   count(f.idx) FILTER (WHERE EXISTS (SELECT 1 FROM st WHERE st.phase = f.phase AND st.model = f.model
       AND st.chk = f.chk AND st.nt = lower(regexp_replace(f.title, '\\s+', ' ', 'g')))) AS listed_stored,
+  count(f.idx) FILTER (WHERE EXISTS (SELECT 1 FROM res WHERE res.phase = f.phase AND res.model = f.model
+      AND res.nt = lower(regexp_replace(f.title, '\\s+', ' ', 'g')))) AS listed_in_results,
   false AS count_mismatch
 FROM grp g LEFT JOIN f ON f.phase = g.phase AND f.model = g.model AND f.chk = g.chk
 GROUP BY g.phase, g.model, g.chk"""
