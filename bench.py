@@ -41,7 +41,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_session(f"local[{cpus}]", max(8, cpus * 2), app_name="shapekit-bench",
+    spark = get_session(f"local[{cpus}]", cpus, app_name="shapekit-bench",
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
