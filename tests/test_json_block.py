@@ -56,3 +56,14 @@ def test_null_input(spark):
 @given(st.lists(st.text(alphabet='{}"\\ab: ', max_size=30), min_size=20, max_size=20))
 def test_differential_random(spark, rows):
     assert _native(spark, rows) == [py_block(s) for s in rows]
+
+
+def test_long_inputs_do_not_overflow(spark):
+    from shapekit.operators import validate as V
+    rows = [(1, '{"title":"' + '\\n' * 60000 + '","ingredients":[],"steps":[]}'),
+            (2, '{"title":"t","ingredients":[' + ','.join(['"a"'] * 60000) + '],"steps":[]}'),
+            (3, '{"c":[' + ','.join(['{"x":1}'] * 30000) + ']}'),
+            (4, '{' + '"k":"v",' * 40000 + '"z":1')]
+    df = spark.createDataFrame(rows, "idx long, raw string")
+    got = {r.idx: r.reason for r in V.validate_strict(df, outputs=("reason",)).collect()}
+    assert got == {1: None, 2: None, 3: "bad_keys", 4: "no_json"}
