@@ -30,13 +30,24 @@ class Attempt:
     max_new_tokens: int
 
 
+def _written(df: DataFrame, path: str | None) -> DataFrame:
+    """With ``path``: write once and read back, so later jobs (or a lost
+    executor's recomputation) never call the model or service again."""
+    if path is None:
+        return df
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def score(df: DataFrame, make_model, text: str = "text", out: str = "raw", system: str = "",
-          max_new_tokens: int = 700, user_prefix: str = "", partitions: int | None = None) -> DataFrame:
+          max_new_tokens: int = 700, user_prefix: str = "", partitions: int | None = None,
+          path: str | None = None) -> DataFrame:
     """Adds ``out`` = model(user_prefix + text) for every row.
 
     ``make_model()`` is called once per partition and returns
     ``fn(prompts: list[str], max_new_tokens: int, system: str) -> list[str]``.
-    ``partitions`` bounds how many model copies load (``repartition(k)``).
+    ``partitions`` bounds how many model copies load (``repartition(k)``);
+    ``path`` (a shared folder) makes the answers a written table.
     """
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType())])
 
@@ -48,7 +59,7 @@ def score(df: DataFrame, make_model, text: str = "text", out: str = "raw", syste
             yield pdf
 
     d = df.repartition(partitions) if partitions else df
-    return d.mapInPandas(run, schema)
+    return _written(d.mapInPandas(run, schema), path)
 
 
 def score_with_retry(df: DataFrame, make_model, attempts, mode: str = V.STRICT, key=("idx",),
@@ -120,7 +131,7 @@ def backoff_seconds(attempt: int, base: float = 2.0, cap: float = 60.0, jitter:
 
 def call_service(df: DataFrame, make_client, text: str = "text", attempts: int = 5, base: float = 2.0,
                  cap: float = 60.0, pause: float = 0.8, sleep=time.sleep, rand=random.random,
-                 user_prefix: str = "", partitions: int | None = None) -> DataFrame:
+                 user_prefix: str = "", partitions: int | None = None, path: str | None = None) -> DataFrame:
     """Adds ``raw, attempts, status, error_kind, waited`` per row.
 
     Transient failures (any exception but ``PermanentError``) and answers that
@@ -166,4 +177,4 @@ def call_service(df: DataFrame, make_client, text: str = "text", attempts: int =
             yield pdf
 
     d = df.repartition(partitions) if partitions else df
-    return d.mapInPandas(run, schema)
+    return _written(d.mapInPandas(run, schema), path)

@@ -82,3 +82,10 @@ def test_index_rows_wide_rows_and_filters(spark):
     assert a | b == set(picked) and not (a & b)
     pos = O.index_rows(df, ["id"], "pos").filter(F.col("id").isin(picked)).collect()
     assert sorted((r.id, r.pos) for r in pos) == [(i, i) for i in picked]
+
+
+def test_fast_word_ids(spark):
+    from shapekit.operators.examples import N_SPECIAL, VOCAB, word_ids
+    r = spark.createDataFrame([("a b, c",)], "t string").select(
+        word_ids(F.col("t")).alias("m"), word_ids(F.col("t"), hash_fn="xxhash64").alias("x")).first()
+    assert len(r.m) == len(r.x) == 4 and all(N_SPECIAL <= i < VOCAB for i in r.x)
