@@ -71,12 +71,12 @@ def test_ledger_parse(spark, tmp_dir):
     text = ("INFERENZA\n\n[MODEL A]\n\nSINTASSI / STRUTTURA (2):\n- Cake One\n- Pie\n\nSEMANTICA (1):\n- Soup\n\n"
             "[MODEL-B]\n\nSINTASSI (0):\n- nessuna\n\n\nFASE DI VALUTAZIONE\n\n[MODEL A 2]\n\nSEMANTICA (1):\n- Stew\n")
     p = _write(tmp_dir, text)
-    rows = sorted((r.phase, r.model, r.check, r.declared, r.title) for r in read_ledger(spark, p).collect())
-    assert rows == [("after", "MODEL A 2", "semantic", 1, "Stew"),
+    rows = sorted(((r.phase, r.model, r.check, r.declared, r.title) for r in read_ledger(spark, p).collect()), key=str)
+    assert rows == sorted([("after", "MODEL A 2", "semantic", 1, "Stew"),
                     ("before", "MODEL-B", "syntax", 0, None),
                     ("before", "MODEL A", "semantic", 1, "Soup"),
                     ("before", "MODEL A", "syntax_or_structure", 2, "Cake One"),
-                    ("before", "MODEL A", "syntax_or_structure", 2, "Pie")]
+                    ("before", "MODEL A", "syntax_or_structure", 2, "Pie")], key=str)
 
 
 def test_read_outputs_array_and_base(spark, tmp_dir):
