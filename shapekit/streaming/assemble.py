@@ -2,8 +2,9 @@
 soon as its braces balance.
 
 State per request: scan position facts (depth, inside a string, after a
-backslash, started) and the text from the first ``{`` on.  Chunks of a
-request are applied in ``seq`` order.  A request ends as ``complete`` when
+backslash, started), the text from the first ``{`` on, the next expected
+``seq`` and chunks that arrived early.  Chunks are applied strictly in
+``seq`` order, whatever order the micro-batches deliver them in.  A request ends as ``complete`` when
 depth returns to zero, as ``no_json`` when its last chunk arrives without a
 balanced object, or when it stays silent past the time-out.
 """
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 OUTPUT_SCHEMA = "idx long, json_str string, status string, detail string"
 STATE_SCHEMA = ("depth int, in_str boolean, esc boolean, started boolean, buf string, done boolean, "
-                "last_ts long")
+                "last_ts long, next_seq int, pending string")
 
 
 def scan(chars: str, st: list):
@@ -51,36 +52,46 @@ def scan(chars: str, st: list):
 
 
 def _assemble(timeout_ms: int):
+    import json
+
     def fn(key, pdfs, state):
         idx = int(key[0])
         if state.hasTimedOut:
-            depth, in_str, esc, started, buf, done, last_ts = state.get
+            done = state.get[5]
             state.remove()
             if not done:  # silent past the time-out: what arrived holds no object
                 yield pd.DataFrame({"idx": [idx], "json_str": [None], "status": ["no_json"],
                                     "detail": ["timeout"]})
             return
         if state.exists:
-            depth, in_str, esc, started, buf, done, last_ts = state.get
+            depth, in_str, esc, started, buf, done, last_ts, next_seq, pending = state.get
+            pending = json.loads(pending or "{}")
         else:
-            depth, in_str, esc, started, buf, done, last_ts = 0, False, False, False, "", False, 0
-        st = [depth, in_str, esc, started, buf]
-        out = None
+            depth, in_str, esc, started, buf, done, last_ts, next_seq, pending = \
+                0, False, False, False, "", False, 0, 0, {}
+        # chunks may arrive out of order across and within micro-batches:
+        # keep early ones until the chunks before them are in
         for pdf in pdfs:
-            pdf = pdf.sort_values("seq")
             last_ts = max(last_ts, int(pdf["ts"].max().value // 1_000_000))
-            if done:
-                continue
-            for text, last in zip(pdf["chunk"], pdf["is_last"]):
-                if done:
-                    break
-                if scan(text or "", st) is not None:
-                    done, out = True, (st[4], "complete", None)
-                elif last:
-                    done, out = True, (None, "no_json", "unclosed" if st[3] else "no_brace")
+            if not done:
+                for q, text, last in zip(pdf["seq"], pdf["chunk"], pdf["is_last"]):
+                    if int(q) >= next_seq:
+                        pending[str(int(q))] = [text or "", bool(last)]
+        st = [depth, in_str, esc, started, buf]
+        out = None
+        while not done and str(next_seq) in pending:
+            text, last = pending.pop(str(next_seq))
+            next_seq += 1
+            if scan(text, st) is not None:
+                done, out = True, (st[4], "complete", None)
+            elif last:
+                done, out = True, (None, "no_json", "unclosed" if st[3] else "no_brace")
+        if done:
+            pending = {}
         # finished requests keep a small tombstone until the time-out, so
         # chunks still in flight do not start a new object
-        state.update((st[0], st[1], st[2], st[3], "" if done else st[4], done, last_ts))
+        state.update((st[0], st[1], st[2], st[3], "" if done else st[4], done, last_ts, next_seq,
+                      json.dumps(pending)))
         state.setTimeoutTimestamp(max(last_ts + timeout_ms, state.getCurrentWatermarkMs() + 1))
         if out is not None:
             yield pd.DataFrame({"idx": [idx], "json_str": [out[0]], "status": [out[1]], "detail": [out[2]]})

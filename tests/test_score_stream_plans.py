@@ -119,3 +119,22 @@ def test_stream_sink_replay_is_idempotent(spark, tmp_dir):
     fn(batch.filter("idx = 1"), 8)
     back = spark.read.parquet(tmp_dir + "/out")
     assert sorted((r.batch, r.idx, r.status) for r in back.collect()) == [(7, 1, "ok"), (7, 2, "failed"), (8, 1, "ok")]
+
+
+def test_assemble_out_of_order_chunks(spark, tmp_dir):
+    from shapekit.streaming import assemble as ST2
+    raw = 'x {"a":"}{","b":[1]} y'
+    parts = [raw[i:i + 4] for i in range(0, len(raw), 4)]
+    rows = [(7, q, c, q == len(parts) - 1) for q, c in enumerate(parts)]
+    schema = "idx long, seq int, chunk string, is_last boolean"
+    late, early = [r for r in rows if r[1] % 2 == 0], [r for r in rows if r[1] % 2 == 1]
+    src, out, ck = tmp_dir + "/src", tmp_dir + "/out", tmp_dir + "/ck"
+    for part, rs in (("a", early), ("b", late)):          # odd chunks first, then the even ones
+        (spark.createDataFrame(rs, schema).withColumn("ts", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("seq")))
+         .write.parquet(f"{src}/{part}"))
+        stream = spark.readStream.schema(schema + ", ts timestamp").parquet(f"{src}/*")
+        q = (ST2.assemble_stream(stream).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = spark.read.schema(ST2.OUTPUT_SCHEMA).parquet(out).collect()
+    assert [(r.idx, r.json_str, r.status) for r in got] == [(7, '{"a":"}{","b":[1]}', "complete")]
