@@ -59,15 +59,20 @@ def raw_answers(spark: SparkSession, sf_dir: str, key=PHASE_KEYS["before"]) -> D
 
 
 def phase_runs(spark: SparkSession, sf_dir: str, phases=("before", "after")) -> DataFrame:
-    """(phase, idx, model, text, k, raw) for both phases from one scan of documents."""
+    """(phase, idx, model, text, k, seed, raw) for both phases from one scan of documents.
+
+    The seed (a regex over the text) is computed once per document, before
+    the rows fan out to the phases.
+    """
     d = table(spark, sf_dir, "documents", "doc_id", "source", "text")
-    i = F.col("doc_id")
     ph = F.explode(F.array(*[F.lit(p) for p in phases])).alias("phase")
-    d = d.select(ph, i.alias("idx"), F.col("source").alias("model"), F.col("text"))
+    d = d.select(F.col("doc_id").alias("idx"), F.col("source").alias("model"), F.col("text"),
+                 answer_seed(F.col("text")).alias("seed"))
+    d = d.select(ph, "idx", "model", "text", "seed")
     kk = F.when(F.col("phase") == phases[0], PHASE_KEYS[phases[0]](F.col("idx")))
     for p in phases[1:]:
         kk = kk.when(F.col("phase") == p, PHASE_KEYS[p](F.col("idx")))
-    d = d.withColumn("k", kk.cast("bigint")).withColumn("seed", answer_seed(F.col("text")))
+    d = d.withColumn("k", kk.cast("bigint"))
     return d.withColumn("raw", gen_answer(F.col("k"), F.col("seed")))
 
 
