@@ -37,9 +37,7 @@ def quality_rates(runs: DataFrame, verdicts: DataFrame | None = None, raw: str =
     check), so both are reported side by side.  ``semantic_rate`` is the share
     of lenient-valid answers judged correct among those with a verdict.
     """
-    s = (V.validate_strict(runs.select(*by, "idx", raw), raw, outputs=("reason",))
-         .withColumnRenamed("reason", "strict_reason"))
-    lv = V.validate_lenient(s, raw, outputs=("reason",)).withColumnRenamed("reason", "lenient_reason")
+    lv = V.validate_reasons(runs.select(*by, "idx", raw), raw)
     if verdicts is not None:
         lv = lv.join(verdicts, "idx", "left")
     else:

@@ -102,6 +102,27 @@ def validate_api(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_SPE
                 df.columns, outputs)
 
 
+def validate_reasons(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_SPEC,
+                     modes=(STRICT, LENIENT)) -> DataFrame:
+    """Adds ``<mode>_reason`` for the strict and/or lenient rules in one pass:
+    the fence strip, block search and parse are shared, not repeated per mode."""
+    d = _block_and_parse(df, raw)
+    out = []
+    if STRICT in modes:
+        req = F.array(*[F.lit(k) for k in spec.required_keys])
+        d = d.withColumn("strict_reason", F.when(F.col("json_str").isNull(), "no_json")
+                         .when(F.col("_v").isNull(), "invalid_json")
+                         .when(F.sort_array(F.array_distinct(F.col("_keys"))) != req, "bad_keys"))
+        out.append("strict_reason")
+    if LENIENT in modes:
+        d = jsonx.with_lenient_fields(d, "_v", "_keys", spec)
+        d = d.withColumn("lenient_reason", F.when(F.col("json_str").isNull(), "no_json")
+                         .when(F.col("_v").isNull(), "invalid_json")
+                         .when(~F.col("_type_ok"), "bad_types"))
+        out.append("lenient_reason")
+    return seal(d, df.columns, out)
+
+
 def validate(df: DataFrame, mode: str, raw: str = "raw", spec: OutputSpec = DEFAULT_SPEC,
              outputs=None, **kw) -> DataFrame:
     if mode == STRICT:

@@ -81,3 +81,13 @@ def test_exclude_ids_table_and_keep_only(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, t string")
     ids = spark.createDataFrame([(2,)], "id long")
     assert sorted(r.id for r in keep_only(exclude_ids(df, ids), ["id"]).collect()) == [1, 3]
+
+
+def test_combined_reasons_match_separate_validators(spark):
+    from shapekit.sources import derived
+    from tests.conftest import SF_SMALL
+    runs = derived.phase_runs(spark, SF_SMALL).select("phase", "idx", "raw")
+    both = {(r.phase, r.idx): (r.strict_reason, r.lenient_reason) for r in V.validate_reasons(runs).collect()}
+    s = {(r.phase, r.idx): r.reason for r in V.validate_strict(runs, outputs=("reason",)).collect()}
+    le = {(r.phase, r.idx): r.reason for r in V.validate_lenient(runs, outputs=("reason",)).collect()}
+    assert both == {k: (s[k], le[k]) for k in s}
