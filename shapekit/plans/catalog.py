@@ -446,9 +446,10 @@ def _check_failures(spark, sf_dir):
     """(phase, model, idx, check, title) of failed checks, plus one null-title row
     per (phase, model, check) so that checks without failures are declared as 0."""
     runs = derived.phase_runs(spark, sf_dir)
-    s = V.validate_strict(runs.select("phase", "model", "idx", "raw", "seed"), outputs=("reason",)) \
-        .withColumnRenamed("reason", "r_strict")
-    lv = V.validate_lenient(s, outputs=("reason", "ok")).join(derived.semantic_verdicts(spark, sf_dir), "idx", "left")
+    lv = (V.validate_reasons(runs.select("phase", "model", "idx", "raw", "seed"))
+          .withColumnRenamed("strict_reason", "r_strict").withColumnRenamed("lenient_reason", "reason")
+          .withColumn("ok", F.col("reason").isNull())
+          .join(derived.semantic_verdicts(spark, sf_dir), "idx", "left"))
     syn = F.col("r_strict").isin("no_json", "invalid_json")
     before_struct = F.col("r_strict") == "bad_keys"
     after_syn = F.col("reason").isin("no_json", "invalid_json")
