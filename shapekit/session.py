@@ -18,9 +18,6 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # Filters on validation flags sit above wide derived projections; the
-    # constraint inference of those aliases grows without bound, so it is off.
-    "spark.sql.constraintPropagation.enabled": "false",
     # tolerant CSV reading judges each row on all of its cells
     "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
@@ -72,7 +69,6 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     ship_package(spark)
     for k in ("spark.sql.variant.allowDuplicateKeys", "spark.sql.session.timeZone",
               "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
-              "spark.sql.constraintPropagation.enabled",
               "spark.sql.csv.parser.columnPruning.enabled"):
         try:
             spark.conf.set(k, BASE_CONF[k])
