@@ -68,9 +68,15 @@ def exclude_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     return df.join(ids, key, "left_anti")
 
 
+# A literal id list is broadcast explicitly only up to this many ids; a longer
+# list is joined like any table and AQE decides from its measured size.
+MAX_LITERAL_BROADCAST = 100_000
+
+
 def exclude_literal_ids(df: DataFrame, ids=BLACKLIST_IDS, key: str = "id") -> DataFrame:
-    spark = df.sparkSession
-    return df.join(F.broadcast(id_table(spark, ids, key)), key, "left_anti")
+    ids = list(ids)
+    t = id_table(df.sparkSession, ids, key)
+    return df.join(F.broadcast(t) if len(ids) <= MAX_LITERAL_BROADCAST else t, key, "left_anti")
 
 
 def require_match(df: DataFrame, texts: DataFrame, key: str = "id") -> DataFrame:
