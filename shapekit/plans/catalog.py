@@ -634,11 +634,10 @@ def q_stream_quality(spark, sf_dir):
                                             derived.answer_seed(F.col("text"))).alias("raw"))
     v = ST1.validated_stream(answers)
     base = scratch_dir(spark, "stream-quality")
-    name = "stream_quality_" + base.rsplit("-", 1)[-1]
-    sink, counts = ST1.start_quality_streams(v, f"{base}/out", f"{base}/ckpt", name)
+    sink, counts = ST1.start_quality_streams(v, f"{base}/out", f"{base}/ckpt", counts_path=f"{base}/counts")
     sink.awaitTermination()
     counts.awaitTermination()
-    return spark.table(name)
+    return spark.read.parquet(f"{base}/counts")
 
 
 @query("stream_assemble")

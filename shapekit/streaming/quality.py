@@ -35,12 +35,24 @@ def running_counts(validated: DataFrame, by=("model",)) -> DataFrame:
                                       F.count_if(~F.col("ok")).alias("failures"))
 
 
-def start_quality_streams(validated: DataFrame, out_dir: str, checkpoint: str, table: str,
-                          available_now: bool = True, by=("model",)):
-    """Start the sink stream and the running-count stream; returns both queries."""
+def replace_table(path: str):
+    """foreachBatch function storing a complete-mode result as the whole table."""
+    def fn(batch: DataFrame, batch_id: int):
+        batch.write.mode("overwrite").parquet(path)
+    return fn
+
+
+def start_quality_streams(validated: DataFrame, out_dir: str, checkpoint: str, table: str | None = None,
+                          available_now: bool = True, by=("model",), counts_path: str | None = None):
+    """Start the sink stream and the running-count stream; returns both queries.
+
+    Running counts go to ``counts_path`` (a durable table replaced on every
+    trigger) or, for interactive use, to a memory table named ``table``.
+    """
     trig = {"availableNow": True} if available_now else {"processingTime": "10 seconds"}
     sink = (validated.writeStream.foreachBatch(write_batches(out_dir))
             .option("checkpointLocation", f"{checkpoint}/sink").trigger(**trig).start())
-    counts = (running_counts(validated, by).writeStream.outputMode("complete").format("memory")
-              .queryName(table).option("checkpointLocation", f"{checkpoint}/counts").trigger(**trig).start())
+    w = running_counts(validated, by).writeStream.outputMode("complete")
+    w = w.foreachBatch(replace_table(counts_path)) if counts_path else w.format("memory").queryName(table)
+    counts = w.option("checkpointLocation", f"{checkpoint}/counts").trigger(**trig).start()
     return sink, counts
