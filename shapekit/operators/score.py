@@ -96,23 +96,33 @@ class PermanentError(Exception):
     """An error the service will repeat: not retried."""
 
 
+def _reject_constant(name):
+    raise ValueError(f"non-standard JSON constant {name}")
+
+
+def _loads(t: str):
+    # NaN / Infinity are rejected, as the native validator does
+    return json.loads(t, parse_constant=_reject_constant)
+
+
 def api_accepts(text) -> str | None:
     """None if the answer passes the hosted-model rules, else the error text.
 
     Per-row helper inside the retry loop: blank, not an object (whole text or
-    its outer brace slice), or list fields that cannot be iterated.
+    its outer brace slice), or list fields that cannot be iterated.  Agrees
+    with ``validate.validate_api`` (tested on the fixture answers).
     """
     t = (text or "").strip()
     if not t:
         return "empty"
     try:
-        data = json.loads(t)
+        data = _loads(t)
     except ValueError:
         a, b = t.find("{"), t.rfind("}")
         if a == -1 or b == -1 or b <= a:
             return "non_json"
         try:
-            data = json.loads(t[a:b + 1])
+            data = _loads(t[a:b + 1])
         except ValueError:
             return "invalid_json"
     if not isinstance(data, dict):
