@@ -104,3 +104,17 @@ def test_api_helper_agrees_with_native_validator(spark):
         '[1] {"a":1}', "null", '{"a":NaN}'])], "idx long, raw string")
     rows = V.validate_api(a.unionByName(extra), outputs=("ok",)).collect()
     assert [r.raw for r in rows if (api_accepts(r.raw) is None) != r.ok] == []
+
+
+def test_custom_output_spec(spark):
+    from shapekit.functions.jsonx import OutputSpec
+    spec = OutputSpec(title_field="name", list_fields=("items",), aliases={"items": "things"})
+    rows = ['{"name":"a","items":["x"]}', '{"name":"a","things":["y"]}', '{"name":"a","items":["x"],"z":1}',
+            '{"name":1,"items":[]}', '{"name":"a","items":"x"}']
+    s = _run(spark, V.validate_strict, rows, spec=spec)
+    assert [s[i].reason for i in range(5)] == [None, "bad_keys", "bad_keys", None, None]
+    le = _run(spark, V.validate_lenient, rows, spec=spec)
+    assert [le[i].reason for i in range(5)] == [None, None, None, "bad_types", "bad_types"]
+    assert le[1].output["items"] == ["y"]
+    api = _run(spark, V.validate_api, rows, spec=spec)
+    assert api[4].ok and api[4].output["items"] == ["x"] and api[3].output["name"] == "1"
