@@ -10,8 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shapekit.functions import text
-from shapekit.operators import metrics, validate as V
-from shapekit.sources import derived
+from shapekit.operators import audit as AU, examples as X, metrics, order as O, pairs as P
+from shapekit.operators import score as SC, validate as V
+from shapekit.plans import stubs
+from shapekit.session import scratch_dir
+from shapekit.sources import csv as CSV, derived, lines as LN, outputs as OUT, sinks, tagged
+from shapekit.sources.tables import table
+from shapekit.streaming import assemble as ST2, quality as ST1
 
 QUERIES: dict = {}
 
@@ -133,9 +138,6 @@ def q_quality_rates(spark, sf_dir):
 
 # ---- step 3: pair building ---------------------------------------------------------
 
-from shapekit.operators import pairs as P  # noqa: E402
-from shapekit.session import scratch_dir  # noqa: E402
-from shapekit.sources import csv as CSV, sinks, tagged  # noqa: E402
 
 STRUCT_COLS = ["id", "title", "ingredients", "directions"]
 
@@ -304,9 +306,6 @@ def q_append_jsonl(spark, sf_dir):
 
 # ---- step 4: positions, splits, set checks ----------------------------------------
 
-from shapekit.operators import examples as X, order as O  # noqa: E402
-from shapekit.sources.tables import table  # noqa: E402
-
 
 def _docs(spark, sf_dir, *cols):
     return table(spark, sf_dir, "documents", *(cols or ("doc_id", "text")))
@@ -415,9 +414,6 @@ def q_token_budget(spark, sf_dir):
 
 # ---- step 6: comparison and audits --------------------------------------------------
 
-from shapekit.operators import audit as AU  # noqa: E402
-from shapekit.sources import lines as LN, outputs as OUT  # noqa: E402
-
 
 def _runs(spark, sf_dir, phase, mode, outputs=None):
     r = derived.phase_runs(spark, sf_dir).filter(F.col("phase") == phase)
@@ -570,8 +566,6 @@ def q_prompt_fingerprint(spark, sf_dir):
 
 # ---- step 7: scoring ---------------------------------------------------------------------
 
-from shapekit.operators import score as SC  # noqa: E402
-from shapekit.plans import stubs  # noqa: E402
 
 ATTEMPTS = (SC.Attempt("Extract a JSON object.", 700),
             SC.Attempt("Extract a JSON object. " + stubs.RETRY_NOTE, 1200))
@@ -619,8 +613,6 @@ def q_service_retry(spark, sf_dir):
 
 # ---- step 8: streams -----------------------------------------------------------------------
 
-from shapekit.streaming import assemble as ST2, quality as ST1  # noqa: E402
-
 
 @query("stream_quality")
 def q_stream_quality(spark, sf_dir):
