@@ -97,8 +97,8 @@ def q_coerce_list(spark, sf_dir):
 
 @query("format_flags")
 def q_format_flags(spark, sf_dir):
-    a = _answers(spark, sf_dir)
-    return a.select("idx", text.format_flags(F.col("raw")).alias("f")).select("idx", "f.*")
+    a = text.with_json_block(_answers(spark, sf_dir), "raw", "blk")
+    return a.select("idx", text.format_flags(F.col("raw"), F.col("blk")).alias("f")).select("idx", "f.*")
 
 
 @query("quarantine")
