@@ -50,20 +50,20 @@ def q_json_block(spark, sf_dir):
 
 @query("validate_strict")
 def q_validate_strict(spark, sf_dir):
-    v = V.validate_strict(_answers(spark, sf_dir))
+    v = V.validate_strict(_answers(spark, sf_dir), outputs=("reason", "detail", "ok"))
     return v.select("idx", "model", "reason", "detail", "ok")
 
 
 @query("key_diff")
 def q_key_diff(spark, sf_dir):
-    v = V.validate_strict(_answers(spark, sf_dir))
+    v = V.validate_strict(_answers(spark, sf_dir), outputs=("missing_keys", "extra_keys"))
     return v.select("idx", F.array_join("missing_keys", ",").alias("missing"),
                     F.array_join("extra_keys", ",").alias("extra"))
 
 
 @query("validate_lenient")
 def q_validate_lenient(spark, sf_dir):
-    v = V.validate_lenient(_answers(spark, sf_dir))
+    v = V.validate_lenient(_answers(spark, sf_dir), outputs=("reason", "ok", "is_vacuous"))
     return v.select("idx", "reason", "ok", "is_vacuous")
 
 
@@ -83,7 +83,7 @@ def q_outer_slice(spark, sf_dir):
 
 @query("validate_api")
 def q_validate_api(spark, sf_dir):
-    v = V.validate_api(_answers(spark, sf_dir))
+    v = V.validate_api(_answers(spark, sf_dir), outputs=("reason", "ok", "coerced"))
     return v.select("idx", "reason", "ok", "coerced")
 
 
@@ -103,7 +103,7 @@ def q_format_flags(spark, sf_dir):
 
 @query("quarantine")
 def q_quarantine(spark, sf_dir):
-    v = V.validate_strict(_answers(spark, sf_dir))
+    v = V.validate_strict(_answers(spark, sf_dir), outputs=("ok", "reason"))
     good, bad = V.split_quarantine(v)
     return (good.select("idx", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("reason"))
             .unionByName(bad.select("idx", F.lit("failed").alias("status"), "reason")))
@@ -119,13 +119,13 @@ def q_inline_errors(spark, sf_dir):
 
 @query("extraction_summary")
 def q_extraction_summary(spark, sf_dir):
-    runs = V.validate_strict(derived.phase_runs(spark, sf_dir))
+    runs = V.validate_strict(derived.phase_runs(spark, sf_dir), outputs=("ok",))
     return metrics.extraction_summary(runs)
 
 
 @query("failure_histogram")
 def q_failure_histogram(spark, sf_dir):
-    runs = V.validate_lenient(derived.phase_runs(spark, sf_dir))
+    runs = V.validate_lenient(derived.phase_runs(spark, sf_dir), outputs=("ok", "reason"))
     return metrics.failure_histogram(runs)
 
 
