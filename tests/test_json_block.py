@@ -67,3 +67,10 @@ def test_long_inputs_do_not_overflow(spark):
     df = spark.createDataFrame(rows, "idx long, raw string")
     got = {r.idx: r.reason for r in V.validate_strict(df, outputs=("reason",)).collect()}
     assert got == {1: None, 2: None, 3: "bad_keys", 4: "no_json"}
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet='{{{}}}"\\a', max_size=60), min_size=20, max_size=20))
+def test_differential_deep_nesting(spark, rows):
+    # brace-heavy rows go past the regex depth bound and exercise the token fold
+    assert _native(spark, rows) == [py_block(s) for s in rows]
