@@ -138,3 +138,17 @@ def test_assemble_out_of_order_chunks(spark, tmp_dir):
         q.awaitTermination()
     got = spark.read.schema(ST2.OUTPUT_SCHEMA).parquet(out).collect()
     assert [(r.idx, r.json_str, r.status) for r in got] == [(7, '{"a":"}{","b":[1]}', "complete")]
+
+
+def test_no_unpartitioned_window_over_rows(spark):
+    # the only single-partition window allowed is the running sum over the
+    # per-partition counts of the row index (one row per partition)
+    for name in ("prompt_index", "split_hash", "leak_check"):
+        plan = _plan(QUERIES[name](spark, SF_SMALL))
+        for line in plan.split("\n"):
+            if "Exchange SinglePartition" in line:
+                continue
+            if "Window [" in line and "windowspecdefinition(" in line:
+                spec = line.split("windowspecdefinition(", 1)[1]
+                if not spec.startswith(("file", "block")) and "_n" not in line:
+                    assert "_pid" in spec, (name, line[:200])
