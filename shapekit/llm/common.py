@@ -12,7 +12,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from shapekit.session import apply_runtime_conf, scratch_dir
 
@@ -156,3 +157,37 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 def int64(col: pa.Array) -> np.ndarray:
     return col.cast(pa.int64()).to_numpy(zero_copy_only=False)
+
+
+#: rows looked at for heavy keys, and how often a key must occur among them
+HEAVY_SAMPLE = 1_000_000
+HEAVY_SEEN = 200
+
+
+def shared_keys(spark: SparkSession, keyed: DataFrame, array: str) -> DataFrame:
+    """Keys that several documents hold: ``(key, doc_id, first)``, one row per holder.
+
+    ``keyed(doc_id, <array>)`` has each document's distinct keys (long).  ``first`` is the smallest
+    doc_id of the key.  Heavy keys are found first, on a sample of documents with about
+    ``HEAVY_SAMPLE`` keys: at most ``HEAVY_SAMPLE / HEAVY_SEEN`` of them, whatever
+    the table's size.  They are known to be shared, and their smallest document is an ordinary
+    minimum, combined before its shuffle, so no task receives all holders of one.  All other
+    keys go through one shuffle by key.
+    """
+    rows = keyed.select("doc_id", F.explode(array).alias("key"))
+    total = keyed.agg(F.sum(F.size(array))).first()[0] or 0
+    part = min(1.0, HEAVY_SAMPLE / max(total, 1))
+    pick = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(part * (1 << 20))
+    heavy = [r[0] for r in keyed.where(pick).select("doc_id", F.explode(array).alias("key")).distinct()
+             .groupBy("key").count().where(F.col("count") >= HEAVY_SEEN).select("key").collect()]
+    by_key = Window.partitionBy("key")
+    few, many = rows, None
+    if heavy:
+        list_ = F.broadcast(spark.createDataFrame([(k,) for k in heavy], "key long"))
+        few = rows.join(list_, "key", "left_anti")
+        many = rows.join(list_, "key", "left_semi")
+        low = F.broadcast(many.groupBy("key").agg(F.min("doc_id").alias("first")))  # as many rows as heavy keys
+        many = many.join(low, "key").select("key", "doc_id", "first")
+    few = (few.select("key", "doc_id", F.min("doc_id").over(by_key).alias("first"), F.max("doc_id").over(by_key).alias("last"))
+           .where("first < last").select("key", "doc_id", "first"))
+    return few.unionByName(many) if many is not None else few
