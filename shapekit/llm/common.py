@@ -164,10 +164,10 @@ HEAVY_SAMPLE = 1_000_000
 HEAVY_SEEN = 200
 
 
-def shared_keys(spark: SparkSession, keyed: DataFrame, array: str) -> DataFrame:
+def shared_keys(spark: SparkSession, keyed: DataFrame, array: str, total: float) -> DataFrame:
     """Keys that several documents hold: ``(key, doc_id, first)``, one row per holder.
 
-    ``keyed(doc_id, <array>)`` has each document's distinct keys (long).  ``first`` is the smallest
+    ``keyed(doc_id, <array>)`` has each document's distinct keys (long), about ``total`` of them.  ``first`` is the smallest
     doc_id of the key.  Heavy keys are found first, on a sample of documents with about
     ``HEAVY_SAMPLE`` keys: at most ``HEAVY_SAMPLE / HEAVY_SEEN`` of them, whatever
     the table's size.  They are known to be shared, and their smallest document is an ordinary
@@ -175,7 +175,6 @@ def shared_keys(spark: SparkSession, keyed: DataFrame, array: str) -> DataFrame:
     keys go through one shuffle by key.
     """
     rows = keyed.select("doc_id", F.explode(array).alias("key"))
-    total = keyed.agg(F.sum(F.size(array))).first()[0] or 0
     part = min(1.0, HEAVY_SAMPLE / max(total, 1))
     pick = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(part * (1 << 20))
     heavy = [r[0] for r in keyed.where(pick).select("doc_id", F.explode(array).alias("key")).distinct()

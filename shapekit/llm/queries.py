@@ -4,22 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import shingle_join
-
-#: production parameters of the queries
-SF_TABLES = ("documents", "pages", "benchmark", "embeddings")
+from . import decontaminate, mixing, secrets, shingle_join, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_windows(spark, table(spark, sf_dir, "documents"))
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_summary(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.jaccard_components(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_summary(spark, table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("longest")
+
+
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_source_mixing": op3_source_mixing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_secret_scan": op5_secret_scan,
+    "op7_decontamination": op7_decontamination,
 }
 
 ORACLE: dict[str, str] = {}

@@ -188,10 +188,11 @@ def dedup_windows(spark: SparkSession, docs: DataFrame, length: int = LENGTH) ->
     reps = C.store(spark, reps, "windows-reps")
     one = reps.select(F.col("rep").alias("doc_id"), "n_words", "fp1", "fp2")
     keyed = prof.join(one, ["doc_id", "n_words", "fp1", "fp2"], "left_semi").select("doc_id", "keys")
+    total = (prof.agg(F.sum("n_words")).first()[0] or 0) / 4
     texts = docs
     for at in range(len(levels)):
         last = at == len(levels) - 1
-        rows = C.shared_keys(spark, keyed, "keys")
+        rows = C.shared_keys(spark, keyed, "keys", total)
         if last:
             rows = rows.where("first < doc_id")
         held = C.store(spark, rows.groupBy("doc_id").agg(F.collect_set("key").alias("held")), "windows-held")
