@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -163,16 +163,27 @@ def dense_sketch(h: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _first_of_copies(ids: np.ndarray, fp1: np.ndarray, fp2: np.ndarray, h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of a step without those that equal the set of a smaller doc_id in it, which need no keys."""
+    n = np.diff(off)
+    o = np.lexsort((ids, fp2, fp1, n))
+    again = np.zeros(len(o), bool)
+    again[o[1:]] = (n[o[1:]] == n[o[:-1]]) & (fp1[o[1:]] == fp1[o[:-1]]) & (fp2[o[1:]] == fp2[o[:-1]])
+    kept = np.where(again, 0, n)
+    return h[np.repeat(~again, n)], np.concatenate(([0], np.cumsum(kept)))
+
+
 def _profile(batches):
     for batch in batches:
         ids = C.int64(C.column(batch, "doc_id"))
         for i, j, h, off in _sets_of(C.column(batch, "text")):
             n = np.diff(off)
             a, b = (np.concatenate((np.zeros(1, np.uint64), np.cumsum(C.mix(h ^ _U(s))))) for s in (0x1234567, 0x7654321ABC))
-            k, koff = band_keys(h, off)
+            a, b = ((x[off[1:]] - x[off[:-1]]).view(np.int64) for x in (a, b))
+            k, koff = band_keys(*_first_of_copies(ids[i:j], a, b, h, off))
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids[i:j]), pa.array(n.astype(np.int64)),
-                pa.array((a[off[1:]] - a[off[:-1]]).view(np.int64)), pa.array((b[off[1:]] - b[off[:-1]]).view(np.int64)),
+                pa.array(a), pa.array(b),
                 pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * SKETCH_WORDS, pa.int32()), pa.array(dense_sketch(h, off))),
                 pa.ListArray.from_arrays(pa.array(koff, pa.int32()), pa.array(k)),
             ], names=["doc_id", "n", "fp1", "fp2", "sketch", "keys"])
@@ -206,10 +217,8 @@ def _differ(x: str, y: str):
     return bits
 
 
-def verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """Pairs ``(a, b)`` whose whole texts have a Jaccard similarity of at least 0.8."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     return C.store(spark, pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b")
@@ -234,12 +243,14 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rep_ids = reps.select(F.col("rep").alias("doc_id"))
     node = prof.select("doc_id", "n", "sketch").join(rep_ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
-    # keys that several nodes share; each row is 16 bytes and each key is sorted in place
-    keyed = prof.join(rep_ids, "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key"))
-    hub = F.min("doc_id").over(Window.partitionBy("key"))
-    top = F.max("doc_id").over(Window.partitionBy("key"))
-    shared = C.store(spark, keyed.select("key", "doc_id", hub.alias("hub"), top.alias("top")).where("hub < top")
-                     .select("key", "doc_id", "hub"), "jaccard-keys")
+    # keys that several nodes share; copies left in the key rows go out here
+    total = (prof.agg(F.sum("n")).first()[0] or 0) / 2
+    shared = (C.shared_keys(spark, prof.select("doc_id", "keys"), "keys", total).withColumnRenamed("first", "hub")
+              .join(rep_ids, "doc_id", "left_semi").select("key", "doc_id", "hub"))
+    shared = C.store(spark, shared, "jaccard-keys")
+    # whole texts of the nodes that share a key, the only ones ever compared; a merge join at every size
+    texts = C.store(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                    .join(shared.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), "jaccard-texts")
 
     def near(pairs: DataFrame) -> DataFrame:
         """Pairs whose dense sketches allow a similarity of 0.8 and whose sizes do."""
@@ -251,7 +262,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     pairs = shared.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     tried = C.store(spark, near(pairs), "jaccard-pairs")
-    links = verified(spark, tried, docs, "jaccard-links")
+    links = verified(spark, tried, texts, "jaccard-links")
 
     for r in range(1, HUB_ROUNDS + 1):
         label = components(spark, links)
@@ -274,7 +285,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
                     .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
         more = C.store(spark, more.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
         tried = tried.unionByName(more)
-        links = links.unionByName(verified(spark, more, docs, "jaccard-links"))
+        links = links.unionByName(verified(spark, more, texts, "jaccard-links"))
 
     label = components(spark, links).select(F.col("node").alias("rep"), "component")
     classes = reps.join(label, "rep", "left").select("n", "fp1", "fp2", F.coalesce("component", "rep").alias("component"))
