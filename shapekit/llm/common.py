@@ -42,6 +42,7 @@ def prepare(spark: SparkSession) -> None:
     apply_runtime_conf(spark)
     # Arrow batches of documents stay small whatever the mean text length
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "32m")
 
 
 def store(spark: SparkSession, df: DataFrame, name: str, sort: list[str] | None = None) -> DataFrame:
@@ -162,31 +163,33 @@ def int64(col: pa.Array) -> np.ndarray:
 #: rows looked at for heavy keys, and how often a key must occur among them
 HEAVY_SAMPLE = 1_000_000
 HEAVY_SEEN = 200
+SALTS = 64
 
 
 def shared_keys(spark: SparkSession, keyed: DataFrame, array: str, total: float) -> DataFrame:
     """Keys that several documents hold: ``(key, doc_id, first)``, one row per holder.
 
-    ``keyed(doc_id, <array>)`` has each document's distinct keys (long), about ``total`` of them.  ``first`` is the smallest
-    doc_id of the key.  Heavy keys are found first, on a sample of documents with about
-    ``HEAVY_SAMPLE`` keys: at most ``HEAVY_SAMPLE / HEAVY_SEEN`` of them, whatever
-    the table's size.  They are known to be shared, and their smallest document is an ordinary
-    minimum, combined before its shuffle, so no task receives all holders of one.  All other
-    keys go through one shuffle by key.
+    ``keyed(doc_id, <array>)`` has each document's distinct keys (long), about ``total`` of them.
+    ``first`` is a smaller holder of the key, and equals doc_id for the smallest one only.
+
+    All keys go through one shuffle by key.  Heavy keys are found first, on a sample of documents with about
+    ``HEAVY_SAMPLE`` keys: at most ``HEAVY_SAMPLE / HEAVY_SEEN`` of them, whatever the
+    table's size.  Their holders are salted over ``SALTS`` groups: ``first`` is the smallest of
+    the group, and for that one the smallest of all groups, so no task receives all holders.
     """
     rows = keyed.select("doc_id", F.explode(array).alias("key"))
     part = min(1.0, HEAVY_SAMPLE / max(total, 1))
     pick = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(part * (1 << 20))
     heavy = [r[0] for r in keyed.where(pick).select("doc_id", F.explode(array).alias("key")).distinct()
              .groupBy("key").count().where(F.col("count") >= HEAVY_SEEN).select("key").collect()]
-    by_key = Window.partitionBy("key")
-    few, many = rows, None
-    if heavy:
-        list_ = F.broadcast(spark.createDataFrame([(k,) for k in heavy], "key long"))
-        few = rows.join(list_, "key", "left_anti")
-        many = rows.join(list_, "key", "left_semi")
-        low = F.broadcast(many.groupBy("key").agg(F.min("doc_id").alias("first")))  # as many rows as heavy keys
-        many = many.join(low, "key").select("key", "doc_id", "first")
-    few = (few.select("key", "doc_id", F.min("doc_id").over(by_key).alias("first"), F.max("doc_id").over(by_key).alias("last"))
-           .where("first < last").select("key", "doc_id", "first"))
-    return few.unionByName(many) if many is not None else few
+    group = Window.partitionBy("key", "salt")
+    is_heavy = F.col("key").isin(heavy) if heavy else F.lit(False)
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    found = (rows.select("key", "doc_id", F.when(is_heavy, salt).otherwise(0).alias("salt"))
+             .select("key", "doc_id", F.min("doc_id").over(group).alias("first"), F.max("doc_id").over(group).alias("last"))
+             .where("first < last"))
+    if not heavy:
+        return found.select("key", "doc_id", "first")
+    least = (rows.where(is_heavy).groupBy("key", salt.alias("salt")).agg(F.min("doc_id").alias("doc_id"))
+             .select("key", "doc_id", F.min("doc_id").over(Window.partitionBy("key")).alias("first")))
+    return found.where(~is_heavy | (F.col("first") < F.col("doc_id"))).select("key", "doc_id", "first").unionByName(least)
