@@ -113,63 +113,95 @@ def _bound(rows: np.ndarray, bench: Suffixes, upper: bool) -> np.ndarray:
         hi[open_[~right]] = mid[~right]
 
 
-def _scan(bench_var):
+def _hits(bench: Suffixes, col: pa.Array):
+    """Matches in each step of a text column: ``(first, last, words, covered words,
+    hit documents, hit items, longest match of each document)``."""
+    for i, j, data, off in C.text_steps(col):
+        words = C.Words(C.LOWER[data], off, C.NON_ALNUM)
+        h = words.hashes()
+        cover = np.zeros(len(h) + 1, np.int64)
+        hit_doc = hit_item = np.zeros(0, np.int64)
+        longest = np.zeros(j - i, np.int64)
+        if len(h) and len(bench.rows):
+            at, rows = suffix_array(h, np.repeat(words.off[1:], np.diff(words.off)), bench)
+            lo, hi = _bound(rows, bench, False), _bound(rows, bench, True)
+            count = hi - lo
+            which = np.repeat(np.arange(len(lo)), count)
+            start = at[np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + lo[which]]
+            if len(start):
+                item, size = bench.item[which], bench.length[which]
+                np.add.at(cover, start, 1)
+                np.add.at(cover, start + size, -1)
+                doc = np.searchsorted(words.off, start, "right") - 1
+                pair = np.unique(doc * len(bench.ids) + item)
+                hit_doc, hit_item = pair // len(bench.ids), pair % len(bench.ids)
+                # runs of windows on one diagonal of (document, item) are one longer match
+                diag = start - bench.place[which]
+                o = np.lexsort((start, diag, item, doc))
+                run = np.stack((doc, item, diag, start), 1)[o]
+                new = np.ones(len(o), bool)
+                new[1:] = (run[1:] != run[:-1] + np.array([0, 0, 0, 1])).any(1)
+                head = np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))
+                np.maximum.at(longest, run[:, 0], run[:, 3] - run[head, 3] + size[o])
+        yield i, j, words, np.cumsum(cover)[:-1] > 0, hit_doc, hit_item, longest
+
+
+def _scan(held):
     def run(batches):
-        bench = bench_var.value
+        bench = held.value
         for batch in batches:
-            ids = C.column(batch, "doc_id")
-            prints = C.column(batch, "print")
-            for i, j, data, off in C.text_steps(C.column(batch, "text")):
-                words = C.Words(C.LOWER[data], off, C.NON_ALNUM)
-                h = words.hashes()
-                n = np.diff(words.off)
-                cover = np.zeros(len(h) + 1, np.int64)
-                hit_doc = hit_item = np.zeros(0, np.int64)
-                longest = np.zeros(j - i, np.int64)
-                if len(h) and len(bench.rows):
-                    end = np.repeat(words.off[1:], n)
-                    at, rows = suffix_array(h, end, bench)
-                    lo, hi = _bound(rows, bench, False), _bound(rows, bench, True)
-                    count = hi - lo
-                    which = np.repeat(np.arange(len(lo)), count)
-                    slot = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + lo[which]
-                    start = at[slot]
-                    if len(start):
-                        np.add.at(cover, start, 1)
-                        np.add.at(cover, start + bench.length[which], -1)
-                        doc = np.searchsorted(words.off, start, "right") - 1
-                        pair = np.unique(doc * len(bench.ids) + bench.item[which])
-                        hit_doc, hit_item = pair // len(bench.ids), pair % len(bench.ids)
-                        # runs of windows on one diagonal of (document, item) are one longer match
-                        diag = start - bench.place[which]
-                        o = np.lexsort((start, diag, bench.item[which], doc))
-                        d, s = doc[o], start[o]
-                        new = np.ones(len(o), bool)
-                        new[1:] = (d[1:] != d[:-1]) | (diag[o][1:] != diag[o][:-1]) | (bench.item[which][o][1:] != bench.item[which][o][:-1]) | (s[1:] != s[:-1] + 1)
-                        head = np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))
-                        np.maximum.at(longest, d, s - s[head] + bench.length[which][o])
-                hit = np.cumsum(cover)[:-1] > 0
-                edge = np.flatnonzero(hit & ~np.concatenate(([False], hit[:-1])) | hit & np.isin(np.arange(len(hit)), words.off))
-                stop_at = np.zeros(len(hit) + 1, bool)
-                stop_at[words.off[1:]] = True
-                close = np.flatnonzero(hit & (~np.concatenate((hit[1:], [False])) | stop_at[1:])) + 1
-                of = np.searchsorted(words.off, edge, "right") - 1
-                spans = pa.StructArray.from_arrays(
-                    [pa.array(edge - words.off[of], pa.int64()), pa.array(close - words.off[of], pa.int64())], names=["start", "stop"])
-                cut = np.searchsorted(of, np.arange(j - i + 1))
+            ids, prints = C.column(batch, "doc_id"), C.column(batch, "print")
+            for i, j, words, hit, hit_doc, hit_item, longest in _hits(bench, C.column(batch, "text")):
+                # covered ranges, cut at document bounds
+                bound = np.zeros(len(hit) + 1, bool)
+                bound[words.off] = True
+                first = np.flatnonzero(hit & (bound[:-1] | ~np.concatenate(([False], hit[:-1]))))
+                last = np.flatnonzero(hit & (bound[1:] | ~np.concatenate((hit[1:], [False])))) + 1
+                of = np.searchsorted(words.off, first, "right") - 1
+                spans = pa.StructArray.from_arrays([pa.array(first - words.off[of], pa.int64()), pa.array(last - words.off[of], pa.int64())], names=["start", "stop"])
+                each = np.arange(j - i + 1)
                 items = pa.array(bench.ids, pa.int64()).take(pa.array(hit_item, pa.int64()))
-                icut = np.searchsorted(hit_doc, np.arange(j - i + 1))
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(i, j - i), prints.slice(i, j - i), pa.array(n, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(cut, pa.int32()), spans),
-                    pa.ListArray.from_arrays(pa.array(icut, pa.int32()), items), pa.array(longest),
+                    ids.slice(i, j - i), prints.slice(i, j - i), pa.array(np.diff(words.off), pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(np.searchsorted(of, each), pa.int32()), spans),
+                    pa.ListArray.from_arrays(pa.array(np.searchsorted(hit_doc, each), pa.int32()), items), pa.array(longest),
                 ], names=["doc_id", "print", "n_words", "spans", "items", "longest"])
     return run
 
 
+def _clean(held):
+    def run(batches):
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for i, _, _, _, hit_doc, _, _ in _hits(held.value, C.column(batch, "text")):
+                keep[i + hit_doc] = False
+            yield batch.filter(pa.array(keep))
+    return run
+
+
 SCHEMA = "doc_id long, print long, n_words long, spans array<struct<start:long,stop:long>>, items array<long>, longest long"
 
 
+def _chunks(spark: SparkSession, benchmark: DataFrame, window: int, chunk_bytes: int) -> list:
+    """The benchmark's windows as broadcasts of about ``chunk_bytes`` of text each, at least one."""
+    bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
+    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-size // chunk_bytes))
+    out = []
+    for c in range(n):
+        rows = (bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == c) if n > 1 else bench).toArrow()
+        out.append(spark.sparkContext.broadcast(Suffixes(rows["item_id"].to_pylist(), rows["text"].to_pylist(), window)))
+    return out
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The rows of ``docs`` without any match, all columns unchanged; one pass per benchmark chunk."""
+    C.prepare(spark)
+    for held in _chunks(spark, benchmark, window, chunk_bytes):
+        docs = docs.mapInArrow(_clean(held), docs.schema)
+    return docs
+
+
 def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``(doc_id, n_words, n_hit, spans, items, longest)`` for every row of ``docs``.
@@ -184,17 +216,9 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window:
     Other columns are ignored.
     """
     C.prepare(spark)
-    bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, -(-size // chunk_bytes))
-    parts = []
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print"), "text")
-    for c in range(chunks):
-        part = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == c) if chunks > 1 else bench
-        rows = part.toArrow()  # at most about chunk_bytes of text
-        held = spark.sparkContext.broadcast(Suffixes(rows["item_id"].to_pylist(), rows["text"].to_pylist(), window))
-        parts.append(source.mapInArrow(_scan(held), SCHEMA))
-    found = parts[0]
+    parts = [source.mapInArrow(_scan(held), SCHEMA) for held in _chunks(spark, benchmark, window, chunk_bytes)]
+    found, chunks = parts[0], len(parts)
     if chunks > 1:  # rows of one document over the chunks; equal rows are told by their number
         for p in parts[1:]:
             found = found.unionByName(p)

@@ -158,15 +158,19 @@ _LETTER = np.zeros(256, np.int64)
 _LETTER[65:91] = _LETTER[97:123] = 1
 
 
+def _languages(model: Model, col: pa.Array):
+    """``(languages, scores, first, last)`` of each step of a text column."""
+    for a, b, data, off in _steps(col):
+        langs, score = model.predict(features(data, off))
+        known = has_letter(data, off)
+        yield [v if k else UNKNOWN for v, k in zip(langs, known, strict=True)], np.where(known, score, 0.0), a, b
+
+
 def _predict(held):
     def run(batches):
         model = held.value
         for batch in batches:
-            for a, b, data, off in _steps(C.column(batch, "text")):
-                langs, score = model.predict(features(data, off))
-                known = has_letter(data, off)
-                langs = [v if k else UNKNOWN for v, k in zip(langs, known, strict=True)]
-                score = np.where(known, score, 0.0)
+            for langs, score, a, b in _languages(model, C.column(batch, "text")):
                 cols = [batch.column(k).slice(a, b - a) for k in range(batch.num_columns)]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(langs, pa.string()), pa.array(score)], names=[*batch.schema.names, "lang_pred", "score"])
     return run
@@ -196,6 +200,18 @@ def train(spark: SparkSession, docs: DataFrame, per_language: int = PER_LANGUAGE
     return Model(np.concatenate(x) if x else np.zeros((0, FEATURES)), langs)
 
 
+def known_language(spark: SparkSession, docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """The rows of ``docs`` that are not ``und``, all columns unchanged, in one pass."""
+    C.prepare(spark)
+    held = spark.sparkContext.broadcast(train(spark, docs) if model is None else model)
+
+    def run(batches):
+        for batch in batches:
+            known = [np.array([v != UNKNOWN for v in langs], bool) for langs, _, _, _ in _languages(held.value, C.column(batch, "text"))]
+            yield batch.filter(pa.array(np.concatenate(known) if known else [], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(spark: SparkSession, docs: DataFrame, model: Model | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` rows with ``lang_pred`` and ``score`` (0 to 1): ``(doc_id, *keep, lang_pred, score)``.
 

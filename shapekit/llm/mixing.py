@@ -184,3 +184,13 @@ def mix_summary(spark: SparkSession, docs: DataFrame, **kw) -> DataFrame:
              .groupBy("doc_id", "source", "size").agg(F.sum("words").alias("taken")))
     return (sized.alias("d").join(taken.alias("k"), (F.col("d.doc_id") == F.col("k.doc_id")) & F.col("d.source").eqNullSafe(F.col("k.source")) & (F.col("d.size") == F.col("k.size")), "left")
             .select("d.doc_id", "d.size", "d.source_size", "d.target", F.coalesce("k.taken", F.lit(0)).cast("long").alias("taken")))
+
+
+def mixed_documents(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, **kw) -> DataFrame:
+    """The mix as rows of ``docs``, one per copy taken, all columns unchanged; shard by shard, shuffled inside.
+    A source's last document is taken whole if at least half of it is wanted.  Documents without words are not taken."""
+    draws, _ = mix(spark, docs, shards=shards, **kw)
+    d = draws.where("2 * words >= size").select("doc_id", "source", "epoch", "shard", "place").distinct().alias("m")
+    rows = docs.alias("d").join(d, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source")))
+    return (rows.select(F.struct("d.*").alias("row"), F.col("m.shard").alias("shard"), F.col("m.place").alias("place"))
+            .repartitionById(shards, "shard").sortWithinPartitions("place").select("row.*"))

@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, secrets, shingle_join, substring_dedup
+from . import decontaminate, embed_dedup, html_extract, lang_id, licenses, mixing, secrets, shingle_join, substring_dedup, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public vocabulary file on this machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.language_summary(spark, table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_windows(spark, table(spark, sf_dir, "documents"))
 
@@ -27,16 +37,37 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_summary(spark, table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(spark, table(spark, sf_dir, "pages"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("longest")
 
 
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.round_trip(spark, table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.vector_groups(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_summary(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_source_mixing": op3_source_mixing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_secret_scan": op5_secret_scan,
+    "op6_html_extraction": op6_html_extraction,
     "op7_decontamination": op7_decontamination,
+    "op8_token_store": op8_token_store,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {}

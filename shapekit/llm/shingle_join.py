@@ -291,3 +291,16 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     classes = reps.join(label, "rep", "left").select("n", "fp1", "fp2", F.coalesce("component", "rep").alias("component"))
     return (small.join(classes, ["n", "fp1", "fp2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its component, all columns unchanged.
+    Of rows that repeat a doc_id one stays; rows with a null doc_id all stay."""
+    groups = C.store(spark, jaccard_components(spark, docs), "jaccard-groups")
+    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    return (kept.join(again, "doc_id", "left_anti").select(docs.columns)
+            .unionByName(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])))
