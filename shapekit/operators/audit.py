@@ -37,7 +37,11 @@ def score_against_gold(outputs: DataFrame, gold: DataFrame, key: str = "idx",
     prec = F.when(F.size(oi) > 0, inter / F.size(oi)).otherwise(F.lit(0.0))
     rec = F.when(F.size(gi) > 0, inter / F.size(gi)).otherwise(F.lit(0.0))
     f1 = F.when((prec + rec) > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
-    sj = lambda c: F.array_join(c, "\n")
+    # edit distance of the joined steps; equal leading steps change nothing, so all but the last of them go
+    os, gs = F.col("o")[steps], F.col("g")[steps]
+    differ = F.array_position(F.zip_with(os, gs, lambda a, b: a.eqNullSafe(b)), False)
+    start = F.when(differ == 0, F.least(F.size(os), F.size(gs))).otherwise(differ - 1).cast("int")
+    sj = lambda c: F.array_join(F.slice(c, F.greatest(start, F.lit(1)), F.greatest(F.size(c), F.lit(1))), "\n")
     return j.select(
         key,
         (normalise_title(F.col("o")[title]) == normalise_title(F.col("g")[title])).alias("title_match"),

@@ -289,7 +289,8 @@ def q_json_sink(spark, sf_dir):
     path = scratch_dir(spark, "results-json")
     sinks.write_json(v.select("idx", "output", "reason"), path)
     return spark.read.schema("idx bigint, output struct<title string, ingredients array<string>, "
-                             "steps array<string>>, reason string").json(path).select("idx", "reason")
+                             "steps array<string>>, reason string").json(path).select(
+        "idx", "reason", F.col("output.title").alias("title"), F.array_join("output.steps", "|").alias("steps"))
 
 
 @query("append_jsonl")
@@ -331,8 +332,7 @@ def q_split_hash(spark, sf_dir):
 
 @query("leak_check")
 def q_leak_check(spark, sf_dir):
-    train, test = O.train_test_split(_docs(spark, sf_dir, "doc_id", "text"), "doc_id", 0.1, 42)
-    return O.leak_check(train, test, "doc_id", "text")
+    return O.split_leaks(_docs(spark, sf_dir, "doc_id", "text"), "doc_id", "text", 0.1, 42)
 
 
 @query("length_buckets")
@@ -464,14 +464,19 @@ def _check_failures(spark, sf_dir):
     return fails.unionByName(zero)
 
 
-def _ledger(spark, sf_dir):
+def _ledger(spark, sf_dir, miscount=False):
     # the failure table feeds both the ledger text and the reconciliation:
     # written once, so the validations behind it run once
     fpath = scratch_dir(spark, "check-failures")
     _check_failures(spark, sf_dir).write.mode("overwrite").parquet(fpath)
     fails = spark.read.parquet(fpath)
     path = scratch_dir(spark, "ledger")
-    LN.write_ordered_lines(OUT.ledger_lines(fails), path, ("ph", "model", "ck", "o", "t"))
+    lines = OUT.ledger_lines(fails)
+    if miscount:  # hand-kept counts err: one model declares one structure error too many
+        head = (F.col("model") == "src3") & (F.col("ck") == "STRUTTURA") & (F.col("o") == 0)
+        more = (F.regexp_extract("line", r"\((\d+)\)", 1).cast("int") + 1).cast("string")
+        lines = lines.withColumn("line", F.when(head, F.concat(F.lit("STRUTTURA ("), more, F.lit("):"))).otherwise(F.col("line")))
+    LN.write_ordered_lines(lines, path, ("ph", "model", "ck", "o", "t"))
     return OUT.read_ledger(spark, path), fails
 
 
@@ -484,7 +489,7 @@ def q_ledger_parse(spark, sf_dir):
 
 @query("ledger_reconcile")
 def q_ledger_reconcile(spark, sf_dir):
-    lg, fails = _ledger(spark, sf_dir)
+    lg, fails = _ledger(spark, sf_dir, miscount=True)
     # fault injection: some stored failure records are missing (idx % 23 == 0),
     # so the reconciliation has listed titles without a stored record to find
     stored = fails.filter(F.col("title").isNotNull() & (F.col("idx") % 23 != 0))
@@ -506,6 +511,7 @@ def q_missing_outputs(spark, sf_dir):
 def q_compare_runs(spark, sf_dir):
     a = _runs(spark, sf_dir, "before", V.STRICT, outputs=("ok",))
     b = _runs(spark, sf_dir, "after", V.LENIENT, outputs=("ok",))
+    a, b = a.filter("idx % 41 <> 3"), b.filter("idx % 43 <> 5")  # inputs that only one run has
     return AU.compare_runs(a, b).groupBy("model", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -621,9 +627,9 @@ def q_stream_quality(spark, sf_dir):
     src = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
     i = F.col("doc_id")
+    k = derived.variant(derived.PHASE_KEYS["before"](i), i)
     answers = src.select(F.lit("before").alias("run"), i.alias("idx"), F.col("source").alias("model"),
-                         derived.gen_answer(derived.PHASE_KEYS["before"](i),
-                                            derived.answer_seed(F.col("text"))).alias("raw"))
+                         derived.gen_answer(k, F.col("text"), i).alias("raw"))
     v = ST1.validated_stream(answers)
     base = scratch_dir(spark, "stream-quality")
     sink, counts = ST1.start_quality_streams(v, f"{base}/out", f"{base}/ckpt", counts_path=f"{base}/counts")
@@ -635,7 +641,7 @@ def q_stream_quality(spark, sf_dir):
 @query("stream_assemble")
 def q_stream_assemble(spark, sf_dir):
     """Chunks arrive in two runs of the stream on one checkpoint (state survives the restart)."""
-    chunks = ST2.chunk_answers(_answers(spark, sf_dir))
+    chunks = ST2.chunk_answers(_answers(spark, sf_dir), size=512)
     ST2.use_rocksdb_state(spark)
     base = scratch_dir(spark, "stream-assemble")
     src_dir, out_dir, ckpt = f"{base}/chunks", f"{base}/out", f"{base}/ckpt"

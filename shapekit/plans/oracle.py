@@ -7,37 +7,51 @@ the oracle states the expected value by construction from the generator key
 
 from __future__ import annotations
 
-# The answer generator, DuckDB dialect (regexp_replace needs the 'g' flag).
-_GEN = """
-d AS (SELECT doc_id AS idx, source AS model, doc_id % 10 AS k,
-             trim(regexp_replace(substring(text,1,60),'[^A-Za-z ]','','g')) AS t FROM documents),
-b AS (SELECT *, concat('{"title":"',t,'","ingredients":["',t,'"],"steps":["',t,'","x"]}') AS g FROM d),
+# The answer generator, DuckDB dialect: fields of the whole text, then the variants.
+_FIELDS = """string_split(text, chr(10)) AS ln, ln[1] AS t,
+  list_concat(list_filter(ln[2:], lambda x, i: i % 2 = 1), CASE WHEN idx % 8 = 3 THEN ['unlisted item'] ELSE []::VARCHAR[] END) AS ing,
+  list_filter(ln[2:], lambda x, i: i % 2 = 0) AS st"""
+
+_GEN = f"""
+d AS (SELECT *, {_FIELDS} FROM (SELECT doc_id AS idx, source AS model, text,
+        CASE WHEN doc_id % 50 = 20 THEN 10 ELSE doc_id % 10 END AS k FROM documents)),
+j AS (SELECT *, to_json(t)::VARCHAR AS jt, to_json(ing)::VARCHAR AS ji,
+        concat(left(to_json(st)::VARCHAR, -1), CASE WHEN len(st) > 0 THEN ',' ELSE '' END) AS js FROM d),
+b AS (SELECT *, concat('{{"title":',jt,',"ingredients":',ji,',"steps":',js,'"x"]}}') AS g FROM j),
 a AS (SELECT *, CASE k
    WHEN 0 THEN g
    WHEN 1 THEN concat('```json',chr(10),g,chr(10),'```')
    WHEN 2 THEN concat('Sure, here it is: ',g,' Done.')
-   WHEN 3 THEN left(g,length(g)-1)
-   WHEN 4 THEN t
-   WHEN 5 THEN replace(g,']}',',]}')
-   WHEN 6 THEN replace(g,'{"title"','{"note":1,"title"')
-   WHEN 7 THEN replace(g,'"steps"','"directions"')
-   WHEN 8 THEN concat('{"title":"',t,'","ingredients":"',t,'","steps":["',t,'"]}')
-   ELSE concat(replace(g,'"x"',concat('"a } b { ',chr(92),'" c"')),' {}') END AS raw FROM b)
+   WHEN 3 THEN concat('{{',translate(substring(g,2,length(g)-2),'{{}}','()'))
+   WHEN 4 THEN translate(text,'{{}}','()')
+   WHEN 5 THEN concat('{{"title":',jt,',"ingredients":',ji,',"steps":',js,'"x"],}}')
+   WHEN 6 THEN concat('{{"note":1,"title":',jt,',"ingredients":',ji,',"steps":',js,'"x"]}}')
+   WHEN 7 THEN concat('{{"title":',jt,',"ingredients":',ji,',"directions":',js,'"x"]}}')
+   WHEN 8 THEN concat('{{"title":',jt,',"ingredients":',jt,',"steps":',to_json(st)::VARCHAR,'}}')
+   WHEN 9 THEN concat('{{"title":',jt,',"ingredients":',ji,',"steps":',js,'"a }} b {{ ',chr(92),'" c"]}} {{}}')
+   ELSE '{{}}' END AS raw FROM b)
 """
 
 # Phase runs: 'before' k = idx % 10, 'after' k = (idx + idx div 10) % 10.
-_RUNS = """
-p AS (SELECT ph.phase, doc_id AS idx, source AS model,
-             CASE WHEN ph.phase = 'before' THEN doc_id % 10 ELSE (doc_id + doc_id // 10) % 10 END AS k,
-             trim(regexp_replace(substring(text,1,60),'[^A-Za-z ]','','g')) AS t
-      FROM documents, (VALUES ('before'), ('after')) ph(phase))
+_RUNS = f"""
+p AS (SELECT *, {_FIELDS} FROM (SELECT ph.phase, doc_id AS idx, source AS model, text,
+             CASE WHEN doc_id % 50 = 20 THEN 10 WHEN ph.phase = 'before' THEN doc_id % 10 ELSE (doc_id + doc_id // 10) % 10 END AS k
+      FROM documents, (VALUES ('before'), ('after')) ph(phase)))
 """
 
+_STRIP = "trim({x}, chr(32) || chr(9) || chr(10) || chr(13))"
+_FOLD = ("lower(trim(regexp_replace(translate({x}, '‘’‚‛“”„‟´`', " + "'" * 9 + '""""' + "'" * 5 + "), '\\s+', ' ', 'g')))")
+
+# Fields of accepted answers: variant 10 is empty, 9 ends with another step, 8 has no extra step.
+_OT = "CASE WHEN k = 10 THEN '' ELSE t END"
+_OI = "CASE WHEN k = 10 THEN []::VARCHAR[] ELSE ing END"
+_OS = "CASE WHEN k = 10 THEN []::VARCHAR[] WHEN k = 9 THEN list_append(st, 'a } b { \" c') ELSE list_append(st, 'x') END"
+
 _STRICT_REASON = ("CASE WHEN k IN (3,4) THEN 'no_json' WHEN k = 5 THEN 'invalid_json' "
-                  "WHEN k IN (6,7) THEN 'bad_keys' END")
+                  "WHEN k IN (6,7,10) THEN 'bad_keys' END")
 _LENIENT_REASON = ("CASE WHEN k IN (3,4) THEN 'no_json' WHEN k = 5 THEN 'invalid_json' "
                    "WHEN k = 8 THEN 'bad_types' END")
-_API_REASON = ("CASE WHEN k = 4 AND t = '' THEN 'empty' WHEN k IN (3,4) THEN 'non_json' "
+_API_REASON = (f"CASE WHEN k = 4 AND {_STRIP.format(x='text')} = '' THEN 'empty' WHEN k IN (3,4) THEN 'non_json' "
                "WHEN k IN (5,9) THEN 'invalid_json' END")
 
 
@@ -47,12 +61,11 @@ def W(*ctes: str) -> str:
 
 ORACLE: dict = {}
 
-ORACLE["strip_fences"] = W(_GEN) + r"""
-SELECT idx, CASE k WHEN 1 THEN g ELSE trim(raw) END AS clean FROM a"""
+ORACLE["strip_fences"] = W(_GEN) + f"""
+SELECT idx, CASE k WHEN 1 THEN g ELSE {_STRIP.format(x='raw')} END AS clean FROM a"""
 
 ORACLE["json_block"] = W(_GEN) + r"""
-SELECT idx, CASE WHEN k IN (0,1,2) THEN g WHEN k IN (3,4) THEN NULL
-  WHEN k = 9 THEN replace(g,'"x"',concat('"a } b { ',chr(92),'" c"')) ELSE raw END AS json_str,
+SELECT idx, CASE WHEN k IN (0,1,2) THEN g WHEN k IN (3,4) THEN NULL WHEN k = 9 THEN left(raw, -3) ELSE raw END AS json_str,
   CASE k WHEN 3 THEN 'unclosed' WHEN 4 THEN 'no_brace' END AS detail FROM a"""
 
 ORACLE["validate_strict"] = W(_GEN) + f"""
@@ -61,35 +74,32 @@ SELECT idx, model, {_STRICT_REASON} AS reason,
   ({_STRICT_REASON}) IS NULL AS ok FROM a"""
 
 ORACLE["key_diff"] = W(_GEN) + """
-SELECT idx, CASE WHEN k IN (3,4,5) THEN NULL WHEN k = 7 THEN 'steps' ELSE '' END AS missing,
+SELECT idx, CASE WHEN k IN (3,4,5) THEN NULL WHEN k = 7 THEN 'steps' WHEN k = 10 THEN 'ingredients,steps,title' ELSE '' END AS missing,
   CASE WHEN k IN (3,4,5) THEN NULL WHEN k = 6 THEN 'note' WHEN k = 7 THEN 'directions' ELSE '' END AS extra
 FROM a"""
 
 ORACLE["validate_lenient"] = W(_GEN) + f"""
-SELECT idx, {_LENIENT_REASON} AS reason, ({_LENIENT_REASON}) IS NULL AS ok, false AS is_vacuous FROM a"""
+SELECT idx, {_LENIENT_REASON} AS reason, ({_LENIENT_REASON}) IS NULL AS ok, k = 10 AS is_vacuous FROM a"""
 
-ORACLE["lenient_project"] = W(_GEN) + r"""
-SELECT idx, t AS title, t AS ingredients,
-  CASE WHEN k = 9 THEN concat(t,'|a } b { " c') ELSE concat(t,'|x') END AS steps
-FROM a WHERE k IN (0,1,2,6,7,9)"""
+ORACLE["lenient_project"] = W(_GEN) + f"""
+SELECT idx, {_OT} AS title, array_to_string({_OI}, '|') AS ingredients, array_to_string({_OS}, '|') AS steps
+FROM a WHERE ({_LENIENT_REASON}) IS NULL"""
 
 ORACLE["outer_slice"] = W(_GEN) + r"""
-SELECT idx, CASE WHEN k IN (0,1,2) THEN g WHEN k IN (3,4) THEN NULL
-  WHEN k = 9 THEN concat(replace(g,'"x"',concat('"a } b { ',chr(92),'" c"')),' {}') ELSE raw END AS slice
-FROM a"""
+SELECT idx, CASE WHEN k IN (0,1,2) THEN g WHEN k IN (3,4) THEN NULL ELSE raw END AS slice FROM a"""
 
 ORACLE["validate_api"] = W(_GEN) + f"""
 SELECT idx, {_API_REASON} AS reason, ({_API_REASON}) IS NULL AS ok,
   CASE WHEN ({_API_REASON}) IS NOT NULL THEN NULL ELSE (k = 8 AND t <> '') END AS coerced FROM a"""
 
-ORACLE["coerce_list"] = W(_GEN) + """
-SELECT idx, t AS title, t AS ingredients,
-  CASE WHEN k = 7 THEN '' WHEN k = 8 THEN t ELSE concat(t,'|x') END AS steps,
+ORACLE["coerce_list"] = W(_GEN) + f"""
+SELECT idx, {_OT} AS title, CASE WHEN k = 8 THEN t ELSE array_to_string({_OI}, '|') END AS ingredients,
+  CASE WHEN k = 7 THEN '' WHEN k = 8 THEN array_to_string(st, '|') ELSE array_to_string({_OS}, '|') END AS steps,
   (k = 8 AND t <> '') AS coerced
-FROM a WHERE k IN (0,1,2,6,7,8)"""
+FROM a WHERE ({_API_REASON}) IS NULL"""
 
 ORACLE["format_flags"] = W(_GEN) + """
-SELECT idx, k IN (0,3,5,6,7,8,9) AS starts_brace, k IN (0,5,6,7,8,9) AS ends_brace,
+SELECT idx, k IN (0,3,5,6,7,8,9,10) AS starts_brace, k IN (0,5,6,7,8,9,10) AS ends_brace,
   k = 1 AS has_fence, k IN (2,9) AS extra_text FROM a"""
 
 ORACLE["quarantine"] = W(_GEN) + f"""
@@ -97,8 +107,8 @@ SELECT idx, CASE WHEN ({_STRICT_REASON}) IS NULL THEN 'ok' ELSE 'failed' END AS
   {_STRICT_REASON} AS reason FROM a"""
 
 ORACLE["inline_errors"] = W(_GEN) + f"""
-SELECT idx, CASE WHEN ({_API_REASON}) IS NULL THEN t ELSE '' END AS title,
-  CAST(CASE WHEN ({_API_REASON}) IS NOT NULL THEN 0 WHEN k = 8 AND t = '' THEN 0 ELSE 1 END AS BIGINT)
+SELECT idx, CASE WHEN ({_API_REASON}) IS NULL THEN {_OT} ELSE '' END AS title,
+  CAST(CASE WHEN ({_API_REASON}) IS NOT NULL THEN 0 WHEN k = 8 THEN (t <> '')::INT ELSE len({_OI}) END AS BIGINT)
     AS n_ingredients,
   {_API_REASON} AS error, CASE WHEN ({_API_REASON}) IS NOT NULL THEN idx END AS index FROM a"""
 
@@ -209,7 +219,9 @@ SELECT cause, count(*) AS n FROM r GROUP BY cause
 UNION ALL SELECT 'in_range', count(*) FROM r
 UNION ALL SELECT 'removed', count(*) FROM r WHERE cause <> 'kept'"""
 
-ORACLE["json_sink"] = W(_GEN) + f"SELECT idx, {_API_REASON} AS reason FROM a"
+ORACLE["json_sink"] = W(_GEN) + f"""
+SELECT idx, {_API_REASON} AS reason, CASE WHEN ({_API_REASON}) IS NULL THEN {_OT} END AS title,
+  CASE WHEN ({_API_REASON}) IS NULL THEN array_to_string(CASE WHEN k = 7 THEN [] WHEN k = 8 THEN st ELSE {_OS} END, '|') END AS steps FROM a"""
 
 ORACLE["append_jsonl"] = W(_GEN) + f"""
 SELECT r.run_id, count(*) AS n FROM a, (VALUES ('r1'), ('r2')) r(run_id)
@@ -231,8 +243,7 @@ sp AS (SELECT doc_id, text, CASE WHEN row_number() OVER (ORDER BY md5(concat(doc
 
 ORACLE["split_hash"] = W(_SPLIT) + "SELECT doc_id, split FROM sp"
 
-_NORM = ("md5(lower(trim(regexp_replace(translate(text, '‘’‚‛“”„‟´`', "
-         "'''''''\"\"\"\"'''''), '\\s+', ' ', 'g'))))")
+_NORM = f"md5({_FOLD.format(x='text')})"
 
 ORACLE["leak_check"] = W(_SPLIT) + f"""
 , k AS (SELECT split, 'id' AS kind, CAST(doc_id AS VARCHAR) AS key FROM sp
@@ -289,10 +300,6 @@ SELECT id, CAST(greatest(256, least(1200, 4096 - prefix_len - 8)) AS BIGINT) AS
 
 # ---- comparison and audits -----------------------------------------------------------------
 
-_RUNS_T = """
-pt AS (SELECT p.*, d.text FROM p JOIN documents d ON d.doc_id = p.idx)
-"""
-
 ORACLE["outputs_load"] = W(_RUNS) + f"""
 SELECT idx, model, CASE WHEN ({_LENIENT_REASON}) IS NULL THEN 'result' ELSE 'failure' END AS kind,
   {_LENIENT_REASON} AS reason, CASE WHEN ({_LENIENT_REASON}) IS NULL THEN NULL ELSE k IN (3,4) END AS json_str_null
@@ -301,7 +308,7 @@ FROM p WHERE phase = 'after'"""
 _FAILS = """
 f AS (SELECT phase, model, idx, 'syntax' AS chk, t AS title FROM p WHERE k IN (3,4,5)
       UNION ALL SELECT phase, model, idx, 'structure', t FROM p
-        WHERE (phase = 'before' AND k IN (6,7)) OR (phase = 'after' AND k = 8)
+        WHERE (phase = 'before' AND k IN (6,7,10)) OR (phase = 'after' AND k = 8)
       UNION ALL SELECT phase, model, idx, 'semantic', t FROM p JOIN labels l ON l.doc_id = p.idx
         WHERE k NOT IN (3,4,5,8) AND l.quality <> 1),
 grp AS (SELECT DISTINCT phase, model, c.chk FROM p, (VALUES ('syntax'), ('structure'), ('semantic')) c(chk))
@@ -312,43 +319,56 @@ SELECT g.phase, g.model, g.chk AS "check", count(f.idx) AS declared, count(f.idx
 FROM grp g LEFT JOIN f ON f.phase = g.phase AND f.model = g.model AND f.chk = g.chk
 GROUP BY g.phase, g.model, g.chk"""
 
-ORACLE["ledger_reconcile"] = W(_RUNS, _FAILS) + """
-, st AS (SELECT DISTINCT phase, model, chk, lower(regexp_replace(title, '\\s+', ' ', 'g')) AS nt FROM f
-         WHERE idx % 23 <> 0),
-res AS (SELECT DISTINCT phase, model, lower(regexp_replace(t, '\\s+', ' ', 'g')) AS nt FROM p
-        WHERE (phase = 'before' AND k NOT IN (3,4,5,6,7)) OR (phase = 'after' AND k NOT IN (3,4,5,8)))
-SELECT g.phase, g.model, g.chk AS "check", count(f.idx) AS declared, count(f.idx) AS listed,
-  count(f.idx) FILTER (WHERE EXISTS (SELECT 1 FROM st WHERE st.phase = f.phase AND st.model = f.model
-      AND st.chk = f.chk AND st.nt = lower(regexp_replace(f.title, '\\s+', ' ', 'g')))) AS listed_stored,
+ORACLE["ledger_reconcile"] = W(_RUNS, _FAILS) + f"""
+, fn AS (SELECT *, {_FOLD.format(x='title')} AS nt FROM f),
+st_ AS (SELECT DISTINCT phase, model, chk, nt FROM fn WHERE idx % 23 <> 0),
+res AS (SELECT DISTINCT phase, model, {_FOLD.format(x='t')} AS nt FROM p
+        WHERE (phase = 'before' AND k NOT IN (3,4,5,6,7,10)) OR (phase = 'after' AND k NOT IN (3,4,5,8))),
+n AS (SELECT g.phase, g.model, g.chk, count(f.idx) AS listed,
+  count(f.idx) FILTER (WHERE EXISTS (SELECT 1 FROM st_ WHERE st_.phase = f.phase AND st_.model = f.model
+      AND st_.chk = f.chk AND st_.nt = f.nt)) AS listed_stored,
   count(f.idx) FILTER (WHERE EXISTS (SELECT 1 FROM res WHERE res.phase = f.phase AND res.model = f.model
-      AND res.nt = lower(regexp_replace(f.title, '\\s+', ' ', 'g')))) AS listed_in_results,
-  false AS count_mismatch
-FROM grp g LEFT JOIN f ON f.phase = g.phase AND f.model = g.model AND f.chk = g.chk
-GROUP BY g.phase, g.model, g.chk"""
+      AND res.nt = f.nt)) AS listed_in_results
+FROM grp g LEFT JOIN fn f ON f.phase = g.phase AND f.model = g.model AND f.chk = g.chk
+GROUP BY g.phase, g.model, g.chk)
+SELECT phase, model, chk AS "check", listed + (model = 'src3' AND chk = 'structure')::INT AS declared, listed, listed_stored,
+  listed_in_results, (model = 'src3' AND chk = 'structure') AS count_mismatch FROM n"""
 
-ORACLE["missing_outputs"] = W(_RUNS) + "SELECT model, idx FROM p WHERE phase = 'before' AND k IN (3,4,5,6,7)"
+ORACLE["missing_outputs"] = W(_RUNS) + "SELECT model, idx FROM p WHERE phase = 'before' AND k IN (3,4,5,6,7,10)"
 
 ORACLE["compare_runs"] = W(_RUNS) + """
-, q AS (SELECT model, idx, max(CASE WHEN phase = 'before' THEN k END) AS kb,
-               max(CASE WHEN phase = 'after' THEN k END) AS ka FROM p GROUP BY model, idx),
-s AS (SELECT model, kb NOT IN (3,4,5,6,7) AS ok_a, ka NOT IN (3,4,5,8) AS ok_b FROM q)
-SELECT model, CASE WHEN NOT ok_a AND ok_b THEN 'fixed' WHEN ok_a AND NOT ok_b THEN 'broken'
+, q AS (SELECT model, idx, max(CASE WHEN phase = 'before' AND idx % 41 <> 3 THEN k END) AS kb,
+               max(CASE WHEN phase = 'after' AND idx % 43 <> 5 THEN k END) AS ka FROM p GROUP BY model, idx),
+s AS (SELECT model, kb NOT IN (3,4,5,6,7,10) AS ok_a, ka NOT IN (3,4,5,8) AS ok_b FROM q WHERE kb IS NOT NULL OR ka IS NOT NULL)
+SELECT model, CASE WHEN ok_a IS NULL THEN 'only_b' WHEN ok_b IS NULL THEN 'only_a'
+  WHEN NOT ok_a AND ok_b THEN 'fixed' WHEN ok_a AND NOT ok_b THEN 'broken'
   WHEN ok_a THEN 'unchanged_ok' ELSE 'unchanged_fail' END AS status, count(*) AS n FROM s GROUP BY ALL"""
 
-ORACLE["gold_score"] = W(_RUNS) + """
-SELECT idx, true AS title_match, 1.0::DOUBLE AS item_precision, 1.0::DOUBLE AS item_recall,
-  1.0::DOUBLE AS item_f1,
-  k <> 9 AS steps_equal,
-  CAST(CASE WHEN k = 9 THEN levenshtein(concat(t, chr(10), 'a } b { " c'), concat(t, chr(10), 'x')) ELSE 0 END
-       AS BIGINT) AS steps_edit
-FROM p WHERE phase = 'before' AND k NOT IN (3,4,5,8)"""
+ORACLE["gold_score"] = W(_RUNS) + f"""
+, o AS (SELECT idx, {_OT} AS ot, {_OI} AS oi, {_OS} AS os, k, st,
+          CASE WHEN idx % 7 = 2 THEN concat(t, ' (gold)') WHEN idx % 7 = 1 THEN replace(t, ' ', '  ') ELSE t END AS gt,
+          CASE WHEN idx % 4 = 1 THEN ing[2:] WHEN idx % 4 = 2 THEN list_append(ing, 'salt') ELSE ing END AS gi,
+          CASE WHEN idx % 6 = 5 THEN st ELSE list_append(st, 'x') END AS gs
+        FROM p WHERE phase = 'before' AND k NOT IN (3,4,5,8)),
+c AS (SELECT *, len(list_distinct(oi)) AS no, len(list_distinct(gi)) AS ng,
+        len(list_intersect(list_distinct(oi), list_distinct(gi)))::DOUBLE AS shared FROM o),
+r AS (SELECT *, CASE WHEN no > 0 THEN shared / no ELSE 0.0 END AS pr, CASE WHEN ng > 0 THEN shared / ng ELSE 0.0 END AS re FROM c)
+SELECT idx, {_FOLD.format(x='ot')} = {_FOLD.format(x='gt')} AS title_match,
+  round(pr, 6)::DOUBLE AS item_precision, round(re, 6)::DOUBLE AS item_recall,
+  round(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0.0 END, 6)::DOUBLE AS item_f1,
+  os = gs AS steps_equal,
+  CAST(CASE WHEN k = 10 THEN length(array_to_string(gs, chr(10)))
+       WHEN idx % 6 = 5 THEN length(os[-1]) + (len(st) > 0)::INT
+       ELSE levenshtein(os[-1], gs[-1]) END AS BIGINT) AS steps_edit
+FROM r"""
 
 ORACLE["input_drift"] = "SELECT doc_id AS idx FROM documents WHERE doc_id % 37 = 11 AND contains(text, ' the ')"
 
-ORACLE["grounding"] = W(_RUNS, _RUNS_T) + """
-SELECT model, count(*) AS n_items, count(*) FILTER (WHERE contains(lower(text), lower(t))) AS n_found,
-  round(count(*) FILTER (WHERE contains(lower(text), lower(t))) / count(*), 6) AS share
-FROM pt WHERE phase = 'before' AND k NOT IN (3,4,5,8) GROUP BY model"""
+ORACLE["grounding"] = W(_RUNS) + f"""
+, it AS (SELECT model, text, unnest({_OI}) AS item FROM p WHERE phase = 'before' AND k NOT IN (3,4,5,8))
+SELECT model, count(*) AS n_items, count(*) FILTER (WHERE contains(lower(text), lower(item))) AS n_found,
+  round(count(*) FILTER (WHERE contains(lower(text), lower(item))) / count(*), 6) AS share
+FROM it GROUP BY model"""
 
 _PIV = W(_RUNS) + f"""
 , r AS (SELECT model, phase, round(avg(CASE WHEN ({_LENIENT_REASON}) IS NULL THEN 1.0 ELSE 0.0 END), 6) AS rate
@@ -367,21 +387,20 @@ SELECT model, "before" AS base_rate, delta AS gain,
   CAST(rank() OVER (ORDER BY "before" DESC) AS BIGINT) AS rank_base,
   CAST(rank() OVER (ORDER BY delta DESC) AS BIGINT) AS rank_gain FROM pv"""
 
-ORACLE["field_stats"] = W(_RUNS) + """
-, o AS (SELECT model, t FROM p WHERE phase = 'before' AND k NOT IN (3,4,5,8)),
+ORACLE["field_stats"] = W(_RUNS) + f"""
+, o AS (SELECT model, {_OT} AS t, {_OI} AS oi, {_OS} AS os FROM p WHERE phase = 'before' AND k NOT IN (3,4,5,8)),
 rep AS (SELECT model, count(*) FILTER (WHERE c > 1) AS repeated_titles
         FROM (SELECT model, t, count(*) AS c FROM o GROUP BY model, t) GROUP BY model)
 SELECT o.model, count(*) AS n, count(*) FILTER (WHERE t = '') AS empty_titles, count(DISTINCT t) AS distinct_titles,
-  1.0::DOUBLE AS avg_ingredients, CAST(0 AS BIGINT) AS empty_ingredients, 2.0::DOUBLE AS avg_steps,
-  CAST(0 AS BIGINT) AS empty_steps,
+  round(avg(len(oi)), 6) AS avg_ingredients, count(*) FILTER (WHERE len(oi) = 0) AS empty_ingredients,
+  round(avg(len(os)), 6) AS avg_steps, count(*) FILTER (WHERE len(os) = 0) AS empty_steps,
   max(rep.repeated_titles) AS repeated_titles
 FROM o JOIN rep ON rep.model = o.model GROUP BY o.model"""
 
-ORACLE["title_match"] = W(_RUNS) + """
-, a AS (SELECT DISTINCT model, lower(regexp_replace(t, '\\s+', ' ', 'g')) AS nt FROM p
-        WHERE phase = 'before' AND k NOT IN (3,4,5,8)),
-b AS (SELECT DISTINCT model, lower(regexp_replace(t, '\\s+', ' ', 'g')) AS nt FROM p
-      WHERE phase = 'after' AND k NOT IN (3,4,5,8))
+ORACLE["title_match"] = W(_RUNS) + f"""
+, o AS (SELECT phase, model, {_FOLD.format(x=_OT)} AS nt FROM p WHERE k NOT IN (3,4,5,8)),
+a AS (SELECT DISTINCT model, nt FROM o WHERE phase = 'before'),
+b AS (SELECT DISTINCT model, nt FROM o WHERE phase = 'after')
 SELECT a.model, count(*) AS titles_a, count(b.nt) AS titles_both
 FROM a LEFT JOIN b ON a.model = b.model AND a.nt = b.nt GROUP BY a.model"""
 
@@ -392,9 +411,7 @@ SELECT DISTINCT source AS model, CAST(2 AS BIGINT) AS n_runs,
 # ---- scoring with stubs -------------------------------------------------------------------
 
 _SC = """
-s0 AS (SELECT doc_id AS idx, length(text) AS n,
-              trim(regexp_replace(substring(text,1,60),'[^A-Za-z ]','','g')) AS t FROM documents),
-s1 AS (SELECT *, length(t) % 10 AS k1, (length(t) // 10) % 10 AS k2 FROM s0)
+s1 AS (SELECT doc_id AS idx, length(text) AS n, length(text) % 10 AS k1, (length(text) // 10) % 10 AS k2 FROM documents)
 """
 
 ORACLE["score_batch"] = W(_SC) + """
@@ -414,7 +431,7 @@ SELECT idx, attempt::BIGINT AS attempt, k NOT IN (3,4,5,6,7) AS ok,
   n_attempts::BIGINT AS n_attempts FROM q"""
 
 ORACLE["service_retry"] = W(_SC) + """
-, q AS (SELECT idx, n % 11 = 10 AS perm, n % 7 AS nf, k1 IN (0,1,2,6,7,8) AND NOT (k1 = 4 AND t = '') AS good FROM s1)
+, q AS (SELECT idx, n % 11 = 10 AS perm, n % 7 AS nf, k1 IN (0,1,2,6,7,8) AS good FROM s1)
 SELECT idx, CASE WHEN NOT perm AND nf < 5 AND good THEN 'ok' ELSE 'error' END AS status,
   CASE WHEN perm THEN 1 WHEN nf < 5 AND good THEN nf + 1 ELSE 5 END::BIGINT AS attempts,
   CASE WHEN perm THEN 'permanent' WHEN nf < 5 AND good THEN NULL ELSE 'exhausted' END AS error_kind,
@@ -427,12 +444,11 @@ SELECT model, count(*) AS total, count(*) FILTER (WHERE ({_STRICT_REASON}) IS NU
   count(*) FILTER (WHERE ({_STRICT_REASON}) IS NOT NULL) AS failures FROM a GROUP BY model"""
 
 ORACLE["stream_assemble"] = W(_GEN) + r"""
-SELECT idx, CASE WHEN k IN (0,1,2) THEN g WHEN k IN (3,4) THEN NULL
-  WHEN k = 9 THEN replace(g,'"x"',concat('"a } b { ',chr(92),'" c"')) ELSE raw END AS json_str,
+SELECT idx, CASE WHEN k IN (0,1,2) THEN g WHEN k IN (3,4) THEN NULL WHEN k = 9 THEN left(raw, -3) ELSE raw END AS json_str,
   CASE WHEN k IN (3,4) THEN 'no_json' ELSE 'complete' END AS status FROM a"""
 
 ORACLE["require_nonempty"] = W(_GEN) + """
-SELECT count(*) AS n_rows, count(*) FILTER (WHERE k = 4 AND t = '') AS n_blank FROM a"""
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE """ + _STRIP.format(x="raw") + """ = '') AS n_blank FROM a"""
 
 ORACLE["split_threshold"] = """
 SELECT doc_id, CASE WHEN ('0x' || substr(md5(concat(doc_id, '42')), 1, 8))::BIGINT / 4294967296.0 < 0.1

@@ -4,46 +4,42 @@ variant rule as ``shapekit.sources.derived.gen_answer``, keyed by the text."""
 
 from __future__ import annotations
 
-import re
+import json
 
 RETRY_NOTE = "Your previous answer was invalid or cut off. Return one complete JSON object only."
 
 
-def seed(text: str) -> str:
-    return re.sub("[^A-Za-z ]", "", text[:60]).strip(" ")
-
-
-def answer(k: int, t: str) -> str:
-    g = '{"title":"%s","ingredients":["%s"],"steps":["%s","x"]}' % (t, t, t)
-    if k == 0:
-        return g
-    if k == 1:
-        return "```json\n" + g + "\n```"
-    if k == 2:
-        return "Sure, here it is: " + g + " Done."
-    if k == 3:
-        return g[:-1]
-    if k == 4:
-        return t
-    if k == 5:
-        return g.replace("]}", ",]}")
-    if k == 6:
-        return g.replace('{"title"', '{"note":1,"title"')
-    if k == 7:
-        return g.replace('"steps"', '"directions"')
-    if k == 8:
-        return '{"title":"%s","ingredients":"%s","steps":["%s"]}' % (t, t, t)
-    return g.replace('"x"', '"a } b { \\" c"') + " {}"
+def answer(k: int, text: str) -> str:
+    """Variant ``k`` around the whole text (first line the title, further lines in turn)."""
+    title, *rest = text.split("\n")
+    enc = lambda v: json.dumps(v, ensure_ascii=False)
+    t, items, steps = enc(title), rest[0::2], rest[1::2]
+
+    def obj(head="", ing=None, key="steps", last=("x",), tail=""):
+        return f'{{{head}"title":{t},"ingredients":{enc(items) if ing is None else ing},"{key}":{enc([*steps, *last])}{tail}}}'
+    bare = str.maketrans("{}", "()")
+    forms = {
+        0: lambda: obj(),
+        1: lambda: f"```json\n{obj()}\n```",
+        2: lambda: f"Sure, here it is: {obj()} Done.",
+        3: lambda: "{" + obj()[1:-1].translate(bare),
+        4: lambda: text.translate(bare),
+        5: lambda: obj(tail=","),
+        6: lambda: obj(head='"note":1,'),
+        7: lambda: obj(key="directions"),
+        8: lambda: obj(ing=t, last=()),
+        9: lambda: obj(last=('a } b { " c',)) + " {}",
+    }
+    return forms[k]()
 
 
 def make_rule_model():
-    """Model stub: variant len(seed) % 10, or (len(seed) // 10) % 10 under the retry note."""
+    """Model stub: variant len(text) % 10, or (len(text) // 10) % 10 under the retry note."""
     def fn(prompts, max_new_tokens, system):
         out = []
         for p in prompts:
-            t = seed(p)
-            k = (len(t) // 10) % 10 if system.endswith(RETRY_NOTE) else len(t) % 10
-            out.append(answer(k, t))
+            k = (len(p) // 10) % 10 if system.endswith(RETRY_NOTE) else len(p) % 10
+            out.append(answer(k, p))
         return out
     return fn
 
@@ -54,7 +50,7 @@ class _Transient(Exception):
 
 class FlakyService:
     """Service stub: fails len(text) % 7 times per request (transient), raises a
-    permanent error when len(text) % 11 == 10, then answers variant len(seed) % 10."""
+    permanent error when len(text) % 11 == 10, then answers variant len(text) % 10."""
 
     def __init__(self):
         self.calls = 0
@@ -70,8 +66,7 @@ class FlakyService:
             raise PermanentError("bad request")
         if n < len(prompt) % 7:
             raise _Transient("rate limited")
-        t = seed(prompt)
-        return answer(len(t) % 10, t)
+        return answer(len(prompt) % 10, prompt)
 
 
 def make_flaky_service():

@@ -3,9 +3,10 @@
 The data folders hold generic tables; the extraction workload is laid over
 them as follows (all row-wise, so the work grows with the tables):
 
-* raw model answers: ten answer variants per document row, picked by a key
+* raw model answers: the whole text of each document as a JSON object (first line the
+  title, further lines items and steps in turn), in one of eleven variants picked by a key
   formula (plain, fenced, prose around, never closed, no brace, trailing comma,
-  extra key, alias key, list as string, braces inside strings + second object);
+  extra key, alias key, list as string, braces inside strings + second object, empty object);
 * runs: phase ``before`` and ``after`` use different variant formulas;
   ``documents.source`` names the model;
 * gold objects: one per order, the part names of its line items (by line
@@ -27,26 +28,48 @@ PHASE_KEYS = {
 }
 
 
-def answer_seed(text: Column) -> Column:
-    """Letters and spaces of the first 60 characters."""
-    return F.trim(F.regexp_replace(F.substring(text, 1, 60), "[^A-Za-z ]", ""))
+def answer_fields(text: Column, i: Column) -> tuple[Column, Column, Column]:
+    """(title, ingredients, steps) of a whole text: its first line, and its further lines in turn.
 
+    Rows with ``i % 8 == 3`` list one item that the text does not hold."""
+    lines = F.split(text, "\n", -1)
+    rest = F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1)))
+    odd = F.filter(rest, lambda x, n: n % 2 == 0)
+    ing = F.concat(odd, F.when(i % 8 == 3, F.array(F.lit("unlisted item"))).otherwise(F.array().cast("array<string>")))
+    return lines[0], ing, F.filter(rest, lambda x, n: n % 2 == 1)
 
-def gen_answer(k: Column, t: Column) -> Column:
-    """One raw model answer of variant ``k`` around the seed text ``t``."""
-    g = F.concat(F.lit('{"title":"'), t, F.lit('","ingredients":["'), t,
-                 F.lit('"],"steps":["'), t, F.lit('","x"]}'))
+
+def variant(k: Column, i: Column) -> Column:
+    """Variant 10, an empty object, replaces that of every 50th row."""
+    return F.when(i % 50 == 20, 10).otherwise(k)
+
+
+def gen_answer(k: Column, text: Column, i: Column) -> Column:
+    """One raw model answer of variant ``k`` that holds the whole text, JSON-escaped.
+
+    Answers that must have no closed object (3, 4) hold no braces."""
+    title, ing, steps = answer_fields(text, i)
+    t = F.regexp_replace(F.to_json(F.array(title)), r"^\[|\]$", "")
+    ings, step_list = F.to_json(ing), F.to_json(steps)
+
+    def obj(head="", ing_=None, steps_key="steps", last='"x"', tail=""):
+        body = F.regexp_replace(step_list, r"\]$", "")
+        comma = F.when(F.size(steps) > 0, ",").otherwise("") if last else F.lit("")
+        return F.concat(F.lit("{" + head + '"title":'), t, F.lit(',"ingredients":'), ings if ing_ is None else ing_,
+                        F.lit(f',"{steps_key}":'), body, comma, F.lit(last + "]" + tail + "}"))
+    g = obj()
+    bare = lambda c: F.translate(c, "{}", "()")
     return (F.when(k == 0, g)
             .when(k == 1, F.concat(F.lit("```json\n"), g, F.lit("\n```")))
             .when(k == 2, F.concat(F.lit("Sure, here it is: "), g, F.lit(" Done.")))
-            .when(k == 3, F.substring(g, F.lit(1), F.length(g) - 1))
-            .when(k == 4, t)
-            .when(k == 5, F.replace(g, F.lit("]}"), F.lit(",]}")))
-            .when(k == 6, F.replace(g, F.lit('{"title"'), F.lit('{"note":1,"title"')))
-            .when(k == 7, F.replace(g, F.lit('"steps"'), F.lit('"directions"')))
-            .when(k == 8, F.concat(F.lit('{"title":"'), t, F.lit('","ingredients":"'), t,
-                                   F.lit('","steps":["'), t, F.lit('"]}')))
-            .otherwise(F.concat(F.replace(g, F.lit('"x"'), F.lit('"a } b { \\" c"')), F.lit(" {}"))))
+            .when(k == 3, F.concat(F.lit("{"), bare(F.substring(g, F.lit(2), F.length(g) - 2))))
+            .when(k == 4, bare(text))
+            .when(k == 5, obj(tail=","))
+            .when(k == 6, obj(head='"note":1,'))
+            .when(k == 7, obj(steps_key="directions"))
+            .when(k == 8, obj(ing_=t, last=""))
+            .when(k == 9, F.concat(obj(last='"a } b { \\" c"'), F.lit(" {}")))
+            .otherwise(F.lit("{}")))
 
 
 def raw_answers(spark: SparkSession, sf_dir: str, key=PHASE_KEYS["before"]) -> DataFrame:
@@ -54,26 +77,24 @@ def raw_answers(spark: SparkSession, sf_dir: str, key=PHASE_KEYS["before"]) -> D
     d = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     i = F.col("doc_id")
     return d.select(i.alias("idx"), F.col("source").alias("model"), F.col("text"),
-                    key(i).cast("bigint").alias("k"),
-                    gen_answer(key(i), answer_seed(F.col("text"))).alias("raw"))
+                    variant(key(i), i).cast("bigint").alias("k"),
+                    gen_answer(variant(key(i), i), F.col("text"), i).alias("raw"))
 
 
 def phase_runs(spark: SparkSession, sf_dir: str, phases=("before", "after")) -> DataFrame:
     """(phase, idx, model, text, k, seed, raw) for both phases from one scan of documents.
-
-    The seed (a regex over the text) is computed once per document, before
-    the rows fan out to the phases.
+    ``seed`` is the answer's title, the text's first line.
     """
     d = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     ph = F.explode(F.array(*[F.lit(p) for p in phases])).alias("phase")
     d = d.select(F.col("doc_id").alias("idx"), F.col("source").alias("model"), F.col("text"),
-                 answer_seed(F.col("text")).alias("seed"))
+                 F.split(F.col("text"), "\n", 2)[0].alias("seed"))
     d = d.select(ph, "idx", "model", "text", "seed")
     kk = F.when(F.col("phase") == phases[0], PHASE_KEYS[phases[0]](F.col("idx")))
     for p in phases[1:]:
         kk = kk.when(F.col("phase") == p, PHASE_KEYS[p](F.col("idx")))
-    d = d.withColumn("k", kk.cast("bigint"))
-    return d.withColumn("raw", gen_answer(F.col("k"), F.col("seed")))
+    d = d.withColumn("k", variant(kk, F.col("idx")).cast("bigint"))
+    return d.withColumn("raw", gen_answer(F.col("k"), F.col("text"), F.col("idx")))
 
 
 def semantic_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,12 +197,19 @@ def write_lines(lines: DataFrame, path: str) -> str:
 
 
 def gold_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(idx, gold): the well-formed object of each document (variant 0)."""
+    """(idx, gold): the well-formed object of each document, as a judge would write it.
+
+    Some differ from the answers: another title (i % 7 == 2; wider blanks at 1, which still match),
+    the first item missing (i % 4 == 1) or one more (2), the last step missing (i % 6 == 5)."""
     d = table(spark, sf_dir, "documents", "doc_id", "text")
-    t = answer_seed(F.col("text"))
-    return d.select(F.col("doc_id").alias("idx"),
-                    F.struct(t.alias("title"), F.array(t).alias("ingredients"),
-                             F.array(t, F.lit("x")).alias("steps")).alias("gold"))
+    i = F.col("doc_id")
+    title, ing, steps = answer_fields(F.col("text"), i)
+    none = F.array().cast("array<string>")
+    return d.select(i.alias("idx"),
+                    F.struct(F.when(i % 7 == 2, F.concat(title, F.lit(" (gold)"))).when(i % 7 == 1, F.replace(title, F.lit(" "), F.lit("  "))).otherwise(title).alias("title"),
+                             F.when(i % 4 == 1, F.slice(ing, 2, F.greatest(F.size(ing), F.lit(1))))
+                             .when(i % 4 == 2, F.concat(ing, F.array(F.lit("salt")))).otherwise(ing).alias("ingredients"),
+                             F.concat(steps, F.when(i % 6 == 5, none).otherwise(F.array(F.lit("x")))).alias("steps")).alias("gold"))
 
 
 def prompt_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
