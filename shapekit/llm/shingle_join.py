@@ -175,14 +175,15 @@ def _first_of_copies(ids: np.ndarray, fp1: np.ndarray, fp2: np.ndarray, h: np.nd
 
 def _profile(batches):
     for batch in batches:
-        ids = C.int64(C.column(batch, "doc_id"))
+        held = C.column(batch, "doc_id")
+        ids = C.int64(held.fill_null(-1))
         for i, j, h, off in _sets_of(C.column(batch, "text")):
             n = np.diff(off)
             a, b = (np.concatenate((np.zeros(1, np.uint64), np.cumsum(C.mix(h ^ _U(s))))) for s in (0x1234567, 0x7654321ABC))
             a, b = ((x[off[1:]] - x[off[:-1]]).view(np.int64) for x in (a, b))
             k, koff = band_keys(*_first_of_copies(ids[i:j], a, b, h, off))
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids[i:j]), pa.array(n.astype(np.int64)),
+                held.slice(i, j - i), pa.array(n.astype(np.int64)),
                 pa.array(a), pa.array(b),
                 pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * SKETCH_WORDS, pa.int32()), pa.array(dense_sketch(h, off))),
                 pa.ListArray.from_arrays(pa.array(koff, pa.int32()), pa.array(k)),
@@ -194,7 +195,7 @@ PROFILE = "doc_id long, n long, fp1 long, fp2 long, sketch array<long>, keys arr
 
 def profiles(docs: DataFrame) -> DataFrame:
     """Set size, set fingerprint, dense parity sketch and pigeonhole keys of every document."""
-    return docs.select("doc_id", "text").mapInArrow(_profile, PROFILE)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_profile, PROFILE)
 
 
 def _verify(batches):
@@ -231,14 +232,14 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ``component_id`` is the smallest doc_id reachable over links (Jaccard of
     distinct 5-word shingles >= 0.8), the document itself included.
 
-    Null or wordless texts: ``n_shingles`` 0, linked with nothing.  Documents of
+    Null or wordless texts: ``n_shingles`` 0, linked with nothing.  Null doc_id: null component, linked with nothing.  Documents of
     one to four words: one shingle.  Repeated rows with one doc_id: each row is returned, with
     one component.  Empty input: empty result.  Other columns are ignored.
     """
     C.prepare(spark)
     prof = C.store(spark, profiles(docs), "jaccard-profile")
     small = prof.select("doc_id", "n", "fp1", "fp2")
-    reps = small.where("n > 0").groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"))
+    reps = small.where("n > 0 and doc_id is not null").groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"))
     reps = C.store(spark, reps, "jaccard-reps")
     rep_ids = reps.select(F.col("rep").alias("doc_id"))
     node = prof.select("doc_id", "n", "sketch").join(rep_ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -290,7 +291,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     label = components(spark, links).select(F.col("node").alias("rep"), "component")
     classes = reps.join(label, "rep", "left").select("n", "fp1", "fp2", F.coalesce("component", "rep").alias("component"))
     return (small.join(classes, ["n", "fp1", "fp2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
