@@ -68,25 +68,62 @@ def exclude_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     return df.join(ids, key, "left_anti")
 
 
-# A literal id list is broadcast explicitly only up to this many ids; a longer
-# list is joined like any table and AQE decides from its measured size.
-MAX_LITERAL_BROADCAST = 100_000
+# An id list given in code is broadcast while it takes at most this many bytes.
+LITERAL_BYTES = 1 << 20
 
 
 def exclude_literal_ids(df: DataFrame, ids=BLACKLIST_IDS, key: str = "id") -> DataFrame:
+    """Anti join against ids given in code; a list too long to broadcast is joined like any table."""
     ids = list(ids)
     t = id_table(df.sparkSession, ids, key)
-    return df.join(F.broadcast(t) if len(ids) <= MAX_LITERAL_BROADCAST else t, key, "left_anti")
+    return exclude_ids(df, F.broadcast(t) if 8 * len(ids) <= LITERAL_BYTES else t, key)
 
 
 def require_match(df: DataFrame, texts: DataFrame, key: str = "id") -> DataFrame:
     return df.join(texts.select(key), key, "left_semi")
 
 
+# A list literal as a script writes it: strings in either quote, side by side they are one,
+# None / True / False, numbers; a trailing comma is allowed; nothing may follow the bracket.
+_ONE = r"""(?:[uU]?'(?:[^'\\\n]|\\[\s\S])*+'|[uU]?"(?:[^"\\\n]|\\[\s\S])*+")"""
+_ITEM = r"(?:" + _ONE + r"(?:\s*+" + _ONE + r")*+|None|True|False|[-+]?(?:\d[\d_]*+(?:\.\d*+)?+|\.\d++)(?:[eE][-+]?\d++)?+)"
+LIST_CELL = r"^\s*+\[\s*+(?:" + _ITEM + r"\s*+(?:,\s*+" + _ITEM + r"\s*+)*+,?+\s*+)?+\]\s*+$"
+_PIECE = r"\\(?:x[0-9A-Fa-f]{2}|u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|[0-7]{1,3}|[\s\S])|[^\\]++"
+# One-letter escapes.
+_ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "\\": "\\", "'": "'", '"': '"', "a": "\x07", "b": "\b", "f": "\f", "v": "\x0b", "\n": ""}
+
+
+def _unescape(s: F.Column) -> F.Column:
+    """The value of a string literal's inside."""
+    def one(p):
+        mark, rest = F.substring(p, 2, 1), F.substring(p, F.lit(3), F.length(p))
+        code = lambda hex_, charset: F.decode(F.unhex(hex_), charset)
+        octal = F.lpad(F.conv(F.substring(p, F.lit(2), F.length(p)), 8, 16), 4, "0")
+        out = F.when(~p.startswith("\\"), p)
+        for k, v in _ESCAPES.items():
+            out = out.when(mark == k, F.lit(v))
+        return (out.when((mark == "x") & (F.length(p) > 2), code(rest, "ISO-8859-1"))
+                .when((mark == "u") & (F.length(p) > 2), code(rest, "UTF-16BE"))
+                .when((mark == "U") & (F.length(p) > 2), code(rest, "UTF-32"))
+                .when(mark.rlike("^[0-7]"), code(octal, "UTF-16BE"))
+                .otherwise(p))
+    plain = ~F.contains(s, F.lit("\\"))
+    return F.when(plain, s).otherwise(F.array_join(F.transform(F.regexp_extract_all(s, F.lit(_PIECE), 0), one), ""))
+
+
 def parse_list_cell(c) -> F.Column:
-    """List-literal text -> ARRAY<STRING>; null when it does not parse as an array."""
+    """List-literal text -> ARRAY<STRING>; null when the whole cell is not one list literal.
+
+    Items are strings (``None`` is null; numbers and truth values keep their spelling).
+    Tuples, nested lists and scalars are not lists of items and give null."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.from_json(col, "array<string>", {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
+
+    def item(x):
+        quoted = F.rlike(x, F.lit(r"""^[uU]?['"]"""))
+        parts = F.transform(F.regexp_extract_all(x, F.lit(_ONE), 0),
+                            lambda q: _unescape(F.regexp_replace(q, r"""(?s)^[uU]?['"]|['"]$""", "")))
+        return F.when(quoted, F.array_join(parts, "")).when(x != "None", x)
+    return F.when(F.rlike(col, F.lit(LIST_CELL)), F.transform(F.regexp_extract_all(col, F.lit(_ITEM), 0), item))
 
 
 def build_target_json(title, ingredients, directions, target_key: str = "directions") -> F.Column:
@@ -95,44 +132,63 @@ def build_target_json(title, ingredients, directions, target_key: str = "directi
                               directions.alias(target_key)), {"ignoreNullFields": "false"})
 
 
+def _listed(structured: DataFrame, lo, hi, blacklist, key: str) -> tuple[DataFrame, DataFrame]:
+    """Structured rows with an integer key and an ``in_range`` flag, and the black-list."""
+    s = structured.withColumn(key, F.col(key).try_cast("bigint")).filter(F.col(key).isNotNull())
+    inside = F.lit(True)
+    if lo is not None:
+        inside = inside & (F.col(key) >= lo)
+    if hi is not None:
+        inside = inside & (F.col(key) < hi)
+    if blacklist is None:
+        blacklist = F.broadcast(id_table(structured.sparkSession, BLACKLIST_IDS, key))
+    return s.withColumn("_in", inside), blacklist.select(key)
+
+
 def pair_with_text(structured: DataFrame, texts: DataFrame, blacklist: DataFrame | None = None,
-                   key: str = "id", target_key: str = "directions") -> DataFrame:
+                   key: str = "id", target_key: str = "directions", lo=None, hi=None) -> DataFrame:
     """All structured rows with a ``cause`` column: kept rows have cause null.
 
-    Causes: ``blacklist``, ``no_text``, ``unparsable``.  The join is a left
-    join on the integer id (AQE picks broadcast or sort-merge at run time).
+    Causes: ``out_of_range`` (key outside lo <= key < hi), ``blacklist``, ``no_text``,
+    ``unparsable``.  The text join is a left join on the integer id (AQE picks broadcast or
+    sort-merge at run time); list cells are parsed only for rows with a text.
     """
-    s = structured.withColumn(key, F.col(key).try_cast("bigint")).filter(F.col(key).isNotNull())
-    if blacklist is None:
-        blacklist = F.broadcast(id_table(structured.sparkSession, BLACKLIST_IDS, key))
-    bl = blacklist.select(key).withColumn("_bl", F.lit(True))
-    j = (s.join(bl, key, "left")
+    s, bl = _listed(structured, lo, hi, blacklist, key)
+    j = (s.join(bl.withColumn("_bl", F.lit(True)), key, "left")
           .join(texts.select(key, F.col("text")), key, "left"))
-    ing = parse_list_cell("ingredients")
-    steps = parse_list_cell("directions")
-    j = j.withColumn("_ing", ing).withColumn("_steps", steps)
-    cause = (F.when(F.col("_bl"), "blacklist")
-             .when(F.col("text").isNull(), "no_text")
-             .when(F.col("_ing").isNull() | F.col("_steps").isNull(), "unparsable"))
+    early = (F.when(~F.col("_in"), "out_of_range").when(F.col("_bl"), "blacklist")
+             .when(F.col("text").isNull(), "no_text"))
+    j = j.withColumn("_early", early)
+    j = (j.withColumn("_ing", F.when(F.col("_early").isNull(), parse_list_cell("ingredients")))
+          .withColumn("_steps", F.when(F.col("_early").isNull(), parse_list_cell("directions"))))
+    cause = F.coalesce("_early", F.when(F.col("_ing").isNull() | F.col("_steps").isNull(), "unparsable"))
     return (j.withColumn("cause", cause)
              .withColumn("json", F.when(F.col("cause").isNull(),
                                         build_target_json(F.col("title"), F.col("_ing"), F.col("_steps"),
                                                           target_key)))
-             .drop("_bl"))
+             .drop("_bl", "_in", "_early"))
 
 
-def build_pairs(structured: DataFrame, texts: DataFrame, **kw) -> DataFrame:
-    """(id, text, json) training pairs."""
-    return pair_with_text(structured, texts, **kw).filter(F.col("cause").isNull()).select("id", "text", "json")
+def build_pairs(structured: DataFrame, texts: DataFrame, blacklist: DataFrame | None = None,
+                key: str = "id", target_key: str = "directions", lo=None, hi=None) -> DataFrame:
+    """(id, text, json) training pairs: range and black-list first, then the text join, then
+    each list cell parsed once."""
+    s, bl = _listed(structured, lo, hi, blacklist, key)
+    j = s.filter("_in").join(bl, key, "left_anti").join(texts.select(key, F.col("text")), key, "inner")
+    j = j.withColumn("_ing", parse_list_cell("ingredients")).withColumn("_steps", parse_list_cell("directions"))
+    return (j.filter(F.col("_ing").isNotNull() & F.col("_steps").isNotNull())
+            .select(key, "text", build_target_json(F.col("title"), F.col("_ing"), F.col("_steps"), target_key).alias("json")))
 
 
 def removal_report(candidates: DataFrame) -> DataFrame:
-    """(cause, n) with 'in_range' and 'kept' rows: one aggregation before dropping."""
+    """(cause, n) with 'in_range' and 'removed' totals: one aggregation before dropping.
+    Rows out of range are their own cause and count neither as in range nor as removed."""
     c = F.coalesce(F.col("cause"), F.lit("kept"))
     by = candidates.groupBy(c.alias("cause")).agg(F.count(F.lit(1)).alias("n"))
     # the totals re-aggregate the (tiny) per-cause counts; the shuffle is reused
-    total = by.agg(F.sum("n").alias("n")).select(F.lit("in_range").alias("cause"), "n")
-    removed = (by.filter(F.col("cause") != "kept").agg(F.sum("n").alias("n"))
+    total = (by.filter(F.col("cause") != "out_of_range").agg(F.sum("n").alias("n"))
+             .select(F.lit("in_range").alias("cause"), F.coalesce("n", F.lit(0)).alias("n")))
+    removed = (by.filter(~F.col("cause").isin("kept", "out_of_range")).agg(F.sum("n").alias("n"))
                .select(F.lit("removed").alias("cause"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
     return by.unionByName(total.select("cause", F.col("n").cast("bigint").alias("n"))).unionByName(removed)
 

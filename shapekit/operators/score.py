@@ -9,7 +9,6 @@ is validated, so a recomputed stage never calls the model twice for a row.
 
 from __future__ import annotations
 
-import json
 import random
 import time
 from dataclasses import dataclass
@@ -30,41 +29,40 @@ class Attempt:
     max_new_tokens: int
 
 
-def _written(df: DataFrame, path: str | None) -> DataFrame:
-    """With ``path``: write once and read back, so later jobs (or a lost
-    executor's recomputation) never call the model or service again."""
-    if path is None:
-        return df
+def _written(df: DataFrame, path: str | None, name: str) -> DataFrame:
+    """Written once and read back, so later jobs (or a lost executor's
+    recomputation) never call the model or service again."""
+    path = path or scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def score(df: DataFrame, make_model, text: str = "text", out: str = "raw", system: str = "",
           max_new_tokens: int = 700, user_prefix: str = "", partitions: int | None = None,
-          path: str | None = None) -> DataFrame:
-    """Adds ``out`` = model(user_prefix + text) for every row.
+          path: str | None = None, user_suffix: str = "") -> DataFrame:
+    """Adds ``out`` = model(user_prefix + text + user_suffix) for every row.
 
     ``make_model()`` is called once per partition and returns
     ``fn(prompts: list[str], max_new_tokens: int, system: str) -> list[str]``.
     ``partitions`` bounds how many model copies load (``repartition(k)``);
-    ``path`` (a shared folder) makes the answers a written table.
+    the answers are a table written to ``path`` (default: the shared checkpoint folder).
     """
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType())])
 
     def run(batches):
         fn = make_model()
         for pdf in batches:
-            prompts = [user_prefix + ("" if t is None else t) for t in pdf[text]]
+            prompts = [user_prefix + ("" if t is None else t) + user_suffix for t in pdf[text]]
             pdf[out] = list(fn(prompts, max_new_tokens, system)) if len(prompts) else []
             yield pdf
 
     d = df.repartition(partitions) if partitions else df
-    return _written(d.mapInPandas(run, schema), path)
+    return _written(d.mapInPandas(run, schema), path, "scored")
 
 
 def score_with_retry(df: DataFrame, make_model, attempts, mode: str = V.STRICT, key=("idx",),
                      text: str = "text", user_prefix: str = "", path: str | None = None,
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, user_suffix: str = "") -> DataFrame:
     """Score, validate, re-score failed rows only with the next attempt's set-up.
 
     Returns every attempt's validated rows with an ``attempt`` column (1-based);
@@ -77,10 +75,9 @@ def score_with_retry(df: DataFrame, make_model, attempts, mode: str = V.STRICT,
     todo = df
     done = []
     for i, at in enumerate(attempts, start=1):
-        scored = score(todo, make_model, text, "raw", at.system, at.max_new_tokens, user_prefix, partitions)
-        out = f"{base.rstrip('/')}/attempt={i}"
-        scored.write.mode("overwrite").parquet(out)
-        v = V.validate(spark.read.parquet(out), mode).withColumn("attempt", F.lit(i))
+        scored = score(todo, make_model, text, "raw", at.system, at.max_new_tokens, user_prefix, partitions,
+                       f"{base.rstrip('/')}/attempt={i}", user_suffix)
+        v = V.validate(scored, mode).withColumn("attempt", F.lit(i))
         done.append(v)
         if i < len(attempts):
             todo = v.filter(~F.col("ok")).select(*df.columns)
@@ -96,95 +93,79 @@ class PermanentError(Exception):
     """An error the service will repeat: not retried."""
 
 
-def _reject_constant(name):
-    raise ValueError(f"non-standard JSON constant {name}")
-
-
-def _loads(t: str):
-    # NaN / Infinity are rejected, as the native validator does
-    return json.loads(t, parse_constant=_reject_constant)
-
-
-def api_accepts(text) -> str | None:
-    """None if the answer passes the hosted-model rules, else the error text.
-
-    Per-row helper inside the retry loop: blank, not an object (whole text or
-    its outer brace slice), or list fields that cannot be iterated.  Agrees
-    with ``validate.validate_api`` (tested on the fixture answers).
-    """
-    t = (text or "").strip()
-    if not t:
-        return "empty"
-    try:
-        data = _loads(t)
-    except ValueError:
-        a, b = t.find("{"), t.rfind("}")
-        if a == -1 or b == -1 or b <= a:
-            return "non_json"
-        try:
-            data = _loads(t[a:b + 1])
-        except ValueError:
-            return "invalid_json"
-    if not isinstance(data, dict):
-        return "not_object"
-    for f in ("ingredients", "steps"):
-        v = data.get(f) or []
-        if not isinstance(v, (list, str, dict)):
-            return "not_iterable"
-    return None
-
-
 def backoff_seconds(attempt: int, base: float = 2.0, cap: float = 60.0, jitter: float = 0.5) -> float:
     """min(cap, base * 2^(attempt-1)) scaled by a factor drawn from 0.7..1.3."""
     return min(cap, base * 2 ** (attempt - 1)) * (0.7 + 0.6 * jitter)
 
 
+def _ask(make_client, text: str, columns: list, sleep, pause: float, prompt):
+    """One request per row: adds ``raw`` and ``call_error`` (null, ``permanent`` or the error's name)."""
+    def run(batches):
+        client = make_client()
+        for pdf in batches:
+            raws, errors = [], []
+            for t, tries in zip(pdf[text], pdf["attempts"]):
+                if hasattr(client, "start_row"):  # optional hook of stateful clients
+                    client.start_row(int(tries))
+                raw, err = None, None
+                try:
+                    raw = client(prompt(t))
+                except PermanentError:
+                    err = "permanent"
+                except Exception as e:  # noqa: BLE001 - transient by contract
+                    err = type(e).__name__
+                raws.append(raw)
+                errors.append(err)
+                sleep(pause)
+            yield pdf[columns].assign(raw=raws, call_error=errors)
+    return run
+
+
 def call_service(df: DataFrame, make_client, text: str = "text", attempts: int = 5, base: float = 2.0,
                  cap: float = 60.0, pause: float = 0.8, sleep=time.sleep, rand=random.random,
-                 user_prefix: str = "", partitions: int | None = None, path: str | None = None) -> DataFrame:
+                 user_prefix: str = "", partitions: int | None = None, path: str | None = None,
+                 user_suffix: str = "") -> DataFrame:
     """Adds ``raw, attempts, status, error_kind, waited`` per row.
 
-    Transient failures (any exception but ``PermanentError``) and answers that
-    fail ``api_accepts`` are retried with jittered exponential back-off; a
-    permanent error ends the row at once; after ``attempts`` tries the row is
-    an error record.  ``pause`` separates rows; the request rate is
+    Rounds of one request per open row.  Each round's answers are written to the shared folder
+    and judged by ``validate_api``; rows that failed for a passing reason (any exception but
+    ``PermanentError``, or an answer the validator rejects) go to the next round after a jittered
+    exponential back-off, once per round and partition.  A permanent error ends the row at once; after ``attempts`` rounds the
+    row is an error record.  ``pause`` separates requests; the request rate is
     rows/second x partitions, so ``partitions`` bounds it.
     """
-    extra = [T.StructField("raw", T.StringType()), T.StructField("attempts", T.LongType()),
-             T.StructField("status", T.StringType()), T.StructField("error_kind", T.StringType()),
-             T.StructField("waited", T.DoubleType())]
-    schema = T.StructType(df.schema.fields + extra)
-
-    def one(client, prompt):
-        if hasattr(client, "start_row"):  # optional hook of stateful clients
-            client.start_row()
-        waited, last = 0.0, None
-        for a in range(1, attempts + 1):
-            try:
-                ans = client(prompt)
-                err = api_accepts(ans)
-                if err is None:
-                    return ans, a, "ok", None, waited
-                last = err
-            except PermanentError:
-                return None, a, "error", "permanent", waited
-            except Exception as e:  # noqa: BLE001 - transient by contract
-                last = type(e).__name__
-            s = backoff_seconds(a, base, cap, rand())
-            waited += s
-            sleep(s)
-        return None, attempts, "error", "exhausted:" + str(last), waited
-
-    def run(batches):
-        client = make_client()
-        for pdf in batches:
-            rows = []
-            for t in pdf[text]:
-                rows.append(one(client, user_prefix + ("" if t is None else t)))
-                sleep(pause)
-            for j, name in enumerate(["raw", "attempts", "status", "error_kind", "waited"]):
-                pdf[name] = [r[j] for r in rows]
-            yield pdf
-
-    d = df.repartition(partitions) if partitions else df
-    return _written(d.mapInPandas(run, schema), path)
+    keep = df.columns
+    root = path or scratch_dir(df.sparkSession, "service")
+    fields = df.schema.fields
+    todo = df.withColumn("attempts", F.lit(0).cast("long")).withColumn("waited", F.lit(0.0))
+    done = []
+    prompt = lambda t: user_prefix + ("" if t is None else t) + user_suffix
+    for a in range(1, attempts + 1):
+        schema = T.StructType(fields + [T.StructField("attempts", T.LongType()), T.StructField("waited", T.DoubleType()),
+                                        T.StructField("raw", T.StringType()), T.StructField("call_error", T.StringType())])
+        d = todo.repartition(partitions) if partitions else todo
+        asked = _written(d.mapInPandas(_ask(make_client, text, [*keep, "attempts", "waited"], sleep, pause, prompt), schema),
+                         f"{root.rstrip('/')}/round={a}", "service")
+        v = V.validate_api(asked, outputs=("ok", "reason")).withColumn("attempts", F.col("attempts") + 1)
+        failed = F.coalesce("call_error", "reason")
+        v = v.withColumn("_error", F.when(F.col("call_error").isNotNull() | ~F.col("ok"), failed))
+        ended = F.col("_error").isNull() | (F.col("_error") == "permanent")
+        out = v.withColumn("status", F.when(F.col("_error").isNull(), "ok").otherwise("error"))
+        if a < attempts:
+            done.append(out.filter(ended).withColumn("error_kind", F.col("_error")))
+            pause_s = backoff_seconds(a, base, cap, rand())
+            todo = out.filter(~ended).select(*keep, "attempts", (F.col("waited") + F.lit(pause_s)).alias("waited"))
+            if todo.isEmpty():
+                break
+            sleep(pause_s)
+        else:
+            last = backoff_seconds(a, base, cap, rand())
+            kind = F.when(F.col("_error") == "permanent", "permanent").otherwise(F.concat(F.lit("exhausted:"), F.col("_error")))
+            done.append(out.withColumn("error_kind", F.when(F.col("_error").isNotNull(), kind))
+                        .withColumn("waited", F.col("waited") + F.when(ended, 0.0).otherwise(F.lit(last))))
+    res = None
+    for part in done:
+        part = part.withColumn("raw", F.when(F.col("status") == "ok", F.col("raw"))) \
+            .select(*keep, "raw", "attempts", "status", "error_kind", "waited")
+        res = part if res is None else res.unionByName(part)
+    return res

@@ -140,6 +140,8 @@ def q_quality_rates(spark, sf_dir):
 
 
 STRUCT_COLS = ["id", "title", "ingredients", "directions"]
+# the training slice: ids from 50 on; the source's upper bound, a hundred thousand rows on
+SLICE = {"lo": 50, "hi": 100_000}
 
 
 _MATERIALIZED: dict = {}
@@ -183,10 +185,19 @@ def q_csv_tolerant(spark, sf_dir):
 
 @query("project_present")
 def q_project_present(spark, sf_dir):
-    raw = CSV.read_csv_header(spark, _structured_csv(spark, sf_dir))
-    df = P.select_present(P.rename_if_present(raw, {"_c0": "id", "Unnamed: 0": "id"}),
-                          ["id", "title", "link"])
-    return df
+    # header names as written: the id column's is empty
+    good, _ = CSV.read_tolerant_csv(spark, _structured_csv(spark, sf_dir), ["_c0", "title", "ingredients", "directions"])
+    return P.select_present(P.rename_if_present(good, {"_c0": "id", "Unnamed: 0": "id"}), ["id", "title", "link"])
+
+
+@query("csv_audit")
+def q_csv_audit(spark, sf_dir):
+    return CSV.audit_csv(spark, _structured_csv(spark, sf_dir), STRUCT_COLS)
+
+
+@query("keep_only")
+def q_keep_only(spark, sf_dir):
+    return P.keep_only(_good_structured(spark, sf_dir), ["id", "directions"])
 
 
 @query("table_profile")
@@ -220,8 +231,7 @@ def q_last_wins(spark, sf_dir):
 @query("slice_rows")
 def q_slice_rows(spark, sf_dir):
     g = _good_structured(spark, sf_dir).withColumn("id", F.col("id").cast("bigint"))
-    hi = g.select(F.max("id") - 99).scalar()
-    return P.slice_rows(g, "id", 50, None).filter(F.col("id") < hi).select("id", "title")
+    return P.slice_rows(g, "id", 50, g.select(F.max("id") - 99).scalar()).select("id", "title")
 
 
 @query("blacklist_anti")
@@ -266,18 +276,18 @@ def q_target_json(spark, sf_dir):
 
 @query("pair_join")
 def q_pair_join(spark, sf_dir):
-    return P.build_pairs(_good_structured(spark, sf_dir), _texts(spark, sf_dir))
+    return P.build_pairs(_good_structured(spark, sf_dir), _texts(spark, sf_dir), **SLICE)
 
 
 @query("removal_report")
 def q_removal_report(spark, sf_dir):
-    cand = P.pair_with_text(_good_structured(spark, sf_dir), _texts(spark, sf_dir))
+    cand = P.pair_with_text(_good_structured(spark, sf_dir), _texts(spark, sf_dir), **SLICE)
     return P.removal_report(cand)
 
 
 @query("pairs_roundtrip")
 def q_pairs_roundtrip(spark, sf_dir):
-    pairs = P.build_pairs(_good_structured(spark, sf_dir), _texts(spark, sf_dir))
+    pairs = P.build_pairs(_good_structured(spark, sf_dir), _texts(spark, sf_dir), **SLICE)
     path = scratch_dir(spark, "pairs-csv")
     sinks.write_csv(pairs, path)
     return CSV.read_pairs(spark, path)
@@ -583,10 +593,7 @@ def _prompts(spark, sf_dir):
 
 @query("score_batch")
 def q_score_batch(spark, sf_dir):
-    s = SC.score(_prompts(spark, sf_dir), stubs.make_rule_model, system=ATTEMPTS[0].system)
-    path = scratch_dir(spark, "scored")
-    s.write.mode("overwrite").parquet(path)
-    v = V.validate_strict(spark.read.parquet(path))
+    v = V.validate_strict(SC.score(_prompts(spark, sf_dir), stubs.make_rule_model, system=ATTEMPTS[0].system))
     return v.select("idx", "reason", "ok")
 
 
@@ -610,32 +617,38 @@ def q_pick_attempt(spark, sf_dir):
 def q_service_retry(spark, sf_dir):
     s = SC.call_service(_prompts(spark, sf_dir), stubs.make_flaky_service, sleep=lambda s: None,
                         rand=lambda: 0.5, pause=0.0)
-    # answers are written once; a lost executor later re-reads them, not the service
-    path = scratch_dir(spark, "service-answers")
-    s.write.mode("overwrite").parquet(path)
-    s = spark.read.parquet(path)
     return s.select("idx", "status", "attempts", F.split("error_kind", ":")[0].alias("error_kind"), "waited")
 
 
 # ---- step 8: streams -----------------------------------------------------------------------
 
 
-@query("stream_quality")
-def q_stream_quality(spark, sf_dir):
-    """Documents stream in from the data folder; answers are validated on arrival."""
-    schema = table(spark, sf_dir, "documents").schema
-    src = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-           .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+def _quality_stream(spark, sf_dir):
+    """Answers stream in file by file and are validated on arrival; the last file brings
+    some answers a second time.  Returns the sink's and the counts' folders."""
+    base = scratch_dir(spark, "stream-quality")
+    d = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    for name, some in (("a", d.filter("doc_id % 3 = 0")), ("b", d.filter("doc_id % 3 = 1")),
+                       ("c", d.filter("doc_id % 3 = 2").unionByName(d.filter("doc_id % 7 = 1")))):
+        some.coalesce(1).write.parquet(f"{base}/in/{name}")
+    src = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
     i = F.col("doc_id")
     k = derived.variant(derived.PHASE_KEYS["before"](i), i)
     answers = src.select(F.lit("before").alias("run"), i.alias("idx"), F.col("source").alias("model"),
                          derived.gen_answer(k, F.col("text"), i).alias("raw"))
-    v = ST1.validated_stream(answers)
-    base = scratch_dir(spark, "stream-quality")
-    sink, counts = ST1.start_quality_streams(v, f"{base}/out", f"{base}/ckpt", counts_path=f"{base}/counts")
-    sink.awaitTermination()
-    counts.awaitTermination()
-    return spark.read.parquet(f"{base}/counts")
+    v = ST1.validated_stream(answers, outputs=("ok", "reason"))
+    ST1.start_quality_stream(v, f"{base}/out", f"{base}/ckpt", f"{base}/counts").awaitTermination()
+    return f"{base}/out", f"{base}/counts"
+
+
+@query("stream_quality")
+def q_stream_quality(spark, sf_dir):
+    return ST1.running_counts(spark, _quality_stream(spark, sf_dir)[1])
+
+
+@query("stream_sink")
+def q_stream_sink(spark, sf_dir):
+    return spark.read.parquet(_quality_stream(spark, sf_dir)[0]).select("idx", "model", F.col("status").cast("string").alias("status"), "reason")
 
 
 @query("stream_assemble")

@@ -142,9 +142,10 @@ s AS (SELECT o_orderkey AS id, concat(' Order ', o_orderkey, ' ', o_orderpriorit
       FROM orders LEFT JOIN g ON g.id = o_orderkey),
 c AS (SELECT CAST(id AS VARCHAR) AS id, title,
              CASE WHEN id % 17 = 4 THEN NULL WHEN id % 50 = 7 THEN left(ingredients, length(ingredients) - 1)
+                  WHEN id % 50 = 8 THEN concat(left(ingredients, -1), CASE WHEN ingredients = '[]' THEN '' ELSE ',' END, 'None,]')
                   ELSE ingredients END AS ingredients,
              CASE WHEN id % 17 = 4 THEN NULL ELSE directions END AS directions, id AS nid
-      FROM s WHERE id % 13 <> 3)
+      FROM s WHERE id % 13 <> 3 AND id % 19 <> 6 AND id % 23 <> 9)
 """
 
 _TEXTS = """
@@ -154,12 +155,18 @@ tx AS (SELECT doc_id AS id, CASE WHEN doc_id % 97 = 5 THEN concat(text, ' (revis
 
 _BL = "(25, 261, 380, 383, 585, 619, 674, 844, 851, 899, 902, 993, 994, 999)"
 
-_CAUSE = f"""CASE WHEN nid IN {_BL} THEN 'blacklist' WHEN nid NOT IN (SELECT id FROM tx) THEN 'no_text'
+_CAUSE = f"""CASE WHEN nid < 50 OR nid >= 100000 THEN 'out_of_range' WHEN nid IN {_BL} THEN 'blacklist' WHEN nid NOT IN (SELECT id FROM tx) THEN 'no_text'
   WHEN nid % 17 = 4 OR nid % 50 = 7 THEN 'unparsable' END"""
 
 ORACLE["csv_tolerant"] = W(_STRUCT) + "SELECT id, title, ingredients, directions FROM c"
 
-ORACLE["project_present"] = W(_STRUCT) + "SELECT CAST(id AS VARCHAR) AS id, title FROM s"
+ORACLE["project_present"] = W(_STRUCT) + "SELECT id, title FROM c"
+
+ORACLE["keep_only"] = W(_STRUCT) + "SELECT id, directions FROM c"
+
+ORACLE["csv_audit"] = W(_STRUCT) + """
+SELECT CASE WHEN id % 13 = 3 OR id % 19 = 6 THEN 'too_long' WHEN id % 23 = 9 THEN 'unterminated_quote' ELSE 'ok' END AS status,
+  count(*) AS n FROM s GROUP BY ALL"""
 
 ORACLE["table_profile"] = W(_STRUCT) + """
 SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_cols, 'id,title,ingredients,directions' AS col_names FROM c"""
@@ -187,7 +194,7 @@ FROM (SELECT unnest([25, 261, 380, 383, 585, 619, 674, 844, 851, 899, 902, 993,
 ORACLE["semi_text"] = W(_STRUCT, _TEXTS) + "SELECT nid AS id FROM c WHERE nid IN (SELECT id FROM tx)"
 
 ORACLE["list_cell"] = W(_STRUCT) + """
-SELECT c.id, CASE WHEN nid % 17 = 4 OR nid % 50 = 7 THEN NULL ELSE coalesce(len(l.items), 0) END::BIGINT AS n_items,
+SELECT c.id, CASE WHEN nid % 17 = 4 OR nid % 50 = 7 THEN NULL ELSE coalesce(len(l.items), 0) + (nid % 50 = 8)::INT END::BIGINT AS n_items,
   CASE WHEN nid % 17 = 4 OR nid % 50 = 7 THEN NULL ELSE coalesce(array_to_string(l.items, '|'), '') END AS items
 FROM c LEFT JOIN (SELECT l_orderkey, list(p_name ORDER BY l_linenumber, p_name, l_returnflag) AS items
                   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey) l ON l.l_orderkey = c.nid"""
@@ -207,7 +214,9 @@ gj AS (SELECT o_orderkey AS id, to_json({'title': concat('Order ', o_orderkey, '
 ORACLE["target_json"] = W(_GOLD) + "SELECT id, json FROM gj"
 
 _PAIRS = W(_STRUCT, _TEXTS, _GOLD) + f"""
-SELECT c.nid AS id, tx.text, gj.json FROM c JOIN tx ON tx.id = c.nid JOIN gj ON gj.id = c.nid
+SELECT c.nid AS id, tx.text, CASE WHEN c.nid % 50 = 8 THEN concat(regexp_extract(gj.json, '^(.*"ingredients":\\[.*?)\\],"directions":', 1),
+    CASE WHEN contains(gj.json, '"ingredients":[]') THEN 'null' ELSE ',null' END, regexp_extract(gj.json, '\\],"directions":.*$')) ELSE gj.json END AS json
+FROM c JOIN tx ON tx.id = c.nid JOIN gj ON gj.id = c.nid
 WHERE ({_CAUSE}) IS NULL"""
 
 ORACLE["pair_join"] = _PAIRS
@@ -216,8 +225,8 @@ ORACLE["pairs_roundtrip"] = _PAIRS
 ORACLE["removal_report"] = W(_STRUCT, _TEXTS) + f"""
 , r AS (SELECT coalesce({_CAUSE}, 'kept') AS cause FROM c)
 SELECT cause, count(*) AS n FROM r GROUP BY cause
-UNION ALL SELECT 'in_range', count(*) FROM r
-UNION ALL SELECT 'removed', count(*) FROM r WHERE cause <> 'kept'"""
+UNION ALL SELECT 'in_range', count(*) FROM r WHERE cause <> 'out_of_range'
+UNION ALL SELECT 'removed', count(*) FROM r WHERE cause NOT IN ('kept', 'out_of_range')"""
 
 ORACLE["json_sink"] = W(_GEN) + f"""
 SELECT idx, {_API_REASON} AS reason, CASE WHEN ({_API_REASON}) IS NULL THEN {_OT} END AS title,
@@ -443,6 +452,9 @@ ORACLE["stream_quality"] = W(_GEN) + f"""
 SELECT model, count(*) AS total, count(*) FILTER (WHERE ({_STRICT_REASON}) IS NULL) AS extracted,
   count(*) FILTER (WHERE ({_STRICT_REASON}) IS NOT NULL) AS failures FROM a GROUP BY model"""
 
+ORACLE["stream_sink"] = W(_GEN) + f"""
+SELECT idx, model, CASE WHEN ({_STRICT_REASON}) IS NULL THEN 'ok' ELSE 'failed' END AS status, {_STRICT_REASON} AS reason FROM a"""
+
 ORACLE["stream_assemble"] = W(_GEN) + r"""
 SELECT idx, CASE WHEN k IN (0,1,2) THEN g WHEN k IN (3,4) THEN NULL WHEN k = 9 THEN left(raw, -3) ELSE raw END AS json_str,
   CASE WHEN k IN (3,4) THEN 'no_json' ELSE 'complete' END AS status FROM a"""

@@ -55,8 +55,8 @@ class FlakyService:
     def __init__(self):
         self.calls = 0
 
-    def start_row(self):
-        self.calls = 0
+    def start_row(self, tries=0):
+        self.calls = tries
 
     def __call__(self, prompt):
         from shapekit.operators.score import PermanentError

@@ -70,17 +70,14 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     for k in ("spark.sql.variant.allowDuplicateKeys", "spark.sql.session.timeZone",
               "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
               "spark.sql.csv.parser.columnPruning.enabled"):
-        try:
-            spark.conf.set(k, BASE_CONF[k])
-        except Exception:  # static or locked conf on a managed cluster
-            pass
+        spark.conf.set(k, BASE_CONF[k])  # these decide results: a cluster that forbids one must say so
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (local tests) is a folder of our own
-    chosen and registered, so ``checkpoint()`` works everywhere.
+    Only a local session may leave it unset: a folder of our own is chosen then.  On a
+    cluster the executors would each write to their own disk, so it is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -88,6 +85,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="shapekit-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -99,10 +98,6 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def to_local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)

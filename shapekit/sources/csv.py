@@ -1,15 +1,17 @@
 """Tolerant CSV reading: over-long rows are skipped, short rows kept with nulls.
 
 The rule of the source scripts (a pandas reader skipping bad lines) is judged
-per row.  Spark reads the wanted columns plus one sentinel column ``_extra``
+per row, on the raw record.  Spark reads the wanted columns plus one sentinel column ``_extra``
 and a corrupt-record column, in PERMISSIVE mode:
 
 * a row exactly one cell too long parses cleanly against the wider schema,
-  so its corrupt record is null -> skipped;
-* a row two or more cells too long is malformed and fills ``_extra`` -> skipped
-  (unless that first extra cell is empty: Spark reads it as null);
-* rows of the right width or shorter are malformed against the wider schema
-  (corrupt record set, ``_extra`` null) -> kept, missing cells null.
+  so its corrupt record is null -> ``too_long``;
+* any other row is malformed against the wider schema, and its corrupt record holds the raw text.
+  Its width is the number of separators outside quotes, so cells that are empty count too:
+  more cells than columns -> ``too_long``;
+* a quote that never closes makes the cells after it unreadable -> ``unterminated_quote``
+  (or ``too_long``, where what follows reads as exactly one cell too many: set aside too);
+* rows of the right width or shorter -> ``ok``, missing cells null.
 
 DROPMALFORMED is not usable: it also drops short rows.  CSV column pruning
 would judge width against the pruned schema, so the session turns it off
@@ -43,14 +45,23 @@ def _reader(spark: SparkSession, columns, multi_line: bool, header: bool):
 
 def read_tolerant_csv_with_status(spark: SparkSession, path: str, columns, multi_line: bool = False,
                                   header: bool = True) -> DataFrame:
-    """All rows with ``status`` ('ok' or 'too_long').
+    """All rows with ``status`` ('ok', 'too_long' or 'unterminated_quote').
 
     ``multi_line`` allows quoted newlines; it makes each file one task, so
     leave it off unless cells hold line breaks.
     """
     df = _reader(spark, columns, multi_line, header).csv(path)
-    bad = F.col(CORRUPT).isNull() | F.col(EXTRA).isNotNull()
-    return df.select(*columns, F.when(bad, "too_long").otherwise("ok").alias("status"))
+    bare = F.regexp_replace(CORRUPT, r'"(?:[^"]|"")*+"', "")
+    cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    status = (F.when(F.contains(bare, F.lit('"')), "unterminated_quote")
+              .when(F.col(CORRUPT).isNull() | F.col(EXTRA).isNotNull() | (cells > len(columns)), "too_long").otherwise("ok"))
+    return df.select(*columns, status.alias("status"))
+
+
+def audit_csv(spark: SparkSession, path: str, columns, multi_line: bool = False, header: bool = True) -> DataFrame:
+    """(status, n): rows kept and rows rejected by cause."""
+    return (read_tolerant_csv_with_status(spark, path, columns, multi_line, header)
+            .groupBy("status").agg(F.count(F.lit(1)).alias("n")))
 
 
 def read_tolerant_csv(spark: SparkSession, path: str, columns, multi_line: bool = False,

@@ -141,17 +141,24 @@ def structured_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pos, line): the structured rows as raw CSV text with known faults.
 
     id % 13 == 3 -> one extra cell (skipped by the tolerant reader);
+    id % 19 == 6 -> two extra cells, the first one empty (skipped);
+    id % 23 == 9 -> a quote that never closes (set aside);
     id % 17 == 4 -> only two cells (kept, missing cells null);
-    id % 50 == 7 -> ingredients cell is a broken list literal.
+    id % 50 == 7 -> ingredients cell is a broken list literal;
+    id % 50 == 8 -> ingredients cell ends with a comma and holds None.
     Written with ``write_csv_lines``; the header's first name is empty, as in
     an index-column export.
     """
     s = structured_rows(spark, sf_dir)
     i = F.col("id")
     ing = F.when(i % 50 == 7, F.expr("substring(ingredients, 1, length(ingredients) - 1)")) \
+        .when(i % 50 == 8, F.concat(F.regexp_replace("ingredients", r"\]$", ""),
+                                    F.when(F.col("ingredients") == "[]", "").otherwise(","), F.lit("None,]"))) \
         .otherwise(F.col("ingredients"))
     full = F.concat_ws(",", i.cast("string"), _q(F.col("title")), _q(ing), _q(F.col("directions")))
     line = (F.when(i % 13 == 3, F.concat(full, F.lit(',"extra"')))
+            .when(i % 19 == 6, F.concat(full, F.lit(',,"extra"')))
+            .when(i % 23 == 9, F.concat_ws(",", i.cast("string"), F.concat(F.lit('"'), F.col("title")), F.lit("rest")))
             .when(i % 17 == 4, F.concat_ws(",", i.cast("string"), _q(F.col("title"))))
             .otherwise(full))
     return s.select(i.alias("pos"), line.alias("line"))

@@ -13,7 +13,3 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    for t in TABLES:
-        table(spark, sf_dir, t).createOrReplaceTempView(t)

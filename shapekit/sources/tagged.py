@@ -75,7 +75,7 @@ def read_tagged_segments(spark: SparkSession, path: str, loose: bool = False) ->
                        "body", "new_line", F.coalesce(open_, F.lit(True)).alias("open"))
 
 
-def _join_pieces(arr, first_ok: bool = False):
+def _join_pieces(arr):
     """Concatenate (new_line, body) pieces; a piece opening a new line after
     the first adds a line break."""
     return F.array_join(F.transform(arr, lambda x, i: F.concat(

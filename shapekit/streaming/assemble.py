@@ -1,97 +1,109 @@
 """Assemble streamed answer chunks per request and emit the JSON object as
 soon as its braces balance.
 
-State per request: scan position facts (depth, inside a string, after a
-backslash, started), the text from the first ``{`` on, the next expected
+State per request: nesting depth, whether the text so far ends inside a string or
+right after a backslash, the pieces from the first ``{`` on, the next expected
 ``seq`` and chunks that arrived early.  Chunks are applied strictly in
 ``seq`` order, whatever order the micro-batches deliver them in.  A request ends as ``complete`` when
 depth returns to zero, as ``no_json`` when its last chunk arrives without a
 balanced object, or when it stays silent past the time-out.
+
+A chunk is read by jumping from one quote, backslash or brace to the next; pieces are
+joined once, on completion.
 """
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass, field
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 OUTPUT_SCHEMA = "idx long, json_str string, status string, detail string"
-STATE_SCHEMA = ("depth int, in_str boolean, esc boolean, started boolean, buf string, done boolean, "
-                "last_ts long, next_seq int, pending string")
-
-
-def scan(chars: str, st: list):
-    """Advance the state over ``chars``; returns the index just past the closing
-    brace when the object completes, else None.  ``st`` = [depth, in_str, esc,
-    started, buf] is updated in place (``buf`` gets the consumed object text)."""
-    depth, in_str, esc, started = st[0], st[1], st[2], st[3]
-    begin = 0
-    for i, ch in enumerate(chars):
-        if not started:
-            if ch == "{":
-                started, depth, begin = True, 1, i
-            continue
-        if in_str:
-            if esc:
-                esc = False
-            elif ch == "\\":
-                esc = True
-            elif ch == '"':
-                in_str = False
-        elif ch == '"':
-            in_str = True
-        elif ch == "{":
-            depth += 1
-        elif ch == "}":
-            depth -= 1
-            if depth == 0:
-                st[:5] = [depth, in_str, esc, started, st[4] + chars[begin:i + 1]]
-                return i + 1
-    st[:5] = [depth, in_str, esc, started, st[4] + (chars[begin:] if started else "")]
-    return None
+STATE_SCHEMA = ("depth int, quoted boolean, escaped boolean, pieces array<string>, done boolean, last_ts long, "
+                "next_seq int, early_seq array<int>, early_text array<string>, early_last array<boolean>")
+
+_IN_STRING = re.compile(r'["\\]')
+_IN_OBJECT = re.compile(r'["{}]')
+
+
+@dataclass
+class Progress:
+    """What is known of one object after some of its text."""
+
+    depth: int = 0
+    quoted: bool = False
+    escaped: bool = False
+    pieces: list = field(default_factory=list)
+
+    def feed(self, chunk: str) -> str | None:
+        """Take the next text; the whole object once its last brace is in, else None."""
+        begin = at = 0
+        if not self.pieces:
+            begin = chunk.find("{")
+            if begin < 0:
+                return None
+            at = begin
+        elif self.escaped and chunk:
+            at, self.escaped = 1, False
+        while m := (_IN_STRING if self.quoted else _IN_OBJECT).search(chunk, at):
+            at = m.end()
+            match m[0]:
+                case '"':
+                    self.quoted = not self.quoted
+                case "\\":
+                    self.escaped = at == len(chunk)
+                    at += 1
+                case "{":
+                    self.depth += 1
+                case "}":
+                    self.depth -= 1
+                    if not self.depth:
+                        return "".join([*self.pieces, chunk[begin:at]])
+        self.pieces.append(chunk[begin:])
+        return None
 
 
 def _assemble(timeout_ms: int):
-    import json
-
     def fn(key, pdfs, state):
         idx = int(key[0])
         if state.hasTimedOut:
-            done = state.get[5]
+            done = state.get[4]
             state.remove()
             if not done:  # silent past the time-out: what arrived holds no object
                 yield pd.DataFrame({"idx": [idx], "json_str": [None], "status": ["no_json"],
                                     "detail": ["timeout"]})
             return
+        at, done, last_ts, next_seq, early = Progress(), False, 0, 0, {}
         if state.exists:
-            depth, in_str, esc, started, buf, done, last_ts, next_seq, pending = state.get
-            pending = json.loads(pending or "{}")
-        else:
-            depth, in_str, esc, started, buf, done, last_ts, next_seq, pending = \
-                0, False, False, False, "", False, 0, 0, {}
+            depth, quoted, escaped, pieces, done, last_ts, next_seq, seqs, texts, lasts = state.get
+            at = Progress(depth, quoted, escaped, list(pieces))
+            early = dict(zip(seqs, zip(texts, lasts, strict=True), strict=True))
         # chunks may arrive out of order across and within micro-batches:
         # keep early ones until the chunks before them are in
         for pdf in pdfs:
             last_ts = max(last_ts, int(pdf["ts"].max().value // 1_000_000))
             if not done:
-                for q, text, last in zip(pdf["seq"], pdf["chunk"], pdf["is_last"]):
-                    if int(q) >= next_seq:
-                        pending[str(int(q))] = [text or "", bool(last)]
-        st = [depth, in_str, esc, started, buf]
+                early |= {int(q): (text or "", bool(last)) for q, text, last in zip(pdf["seq"], pdf["chunk"], pdf["is_last"], strict=True)
+                          if int(q) >= next_seq}
         out = None
-        while not done and str(next_seq) in pending:
-            text, last = pending.pop(str(next_seq))
+        while not done and next_seq in early:
+            text, last = early.pop(next_seq)
             next_seq += 1
-            if scan(text, st) is not None:
-                done, out = True, (st[4], "complete", None)
+            found = at.feed(text)
+            if found is not None:
+                done, out = True, (found, "complete", None)
             elif last:
-                done, out = True, (None, "no_json", "unclosed" if st[3] else "no_brace")
+                done, out = True, (None, "no_json", "unclosed" if at.pieces else "no_brace")
         if done:
-            pending = {}
+            at, early = Progress(), {}
         # finished requests keep a small tombstone until the time-out, so
         # chunks still in flight do not start a new object
-        state.update((st[0], st[1], st[2], st[3], "" if done else st[4], done, last_ts, next_seq,
-                      json.dumps(pending)))
+        seqs = sorted(early)
+        state.update((at.depth, at.quoted, at.escaped, at.pieces, done, last_ts, next_seq,
+                      seqs, [early[q][0] for q in seqs], [early[q][1] for q in seqs]))
         state.setTimeoutTimestamp(max(last_ts + timeout_ms, state.getCurrentWatermarkMs() + 1))
         if out is not None:
             yield pd.DataFrame({"idx": [idx], "json_str": [out[0]], "status": [out[1]], "detail": [out[2]]})

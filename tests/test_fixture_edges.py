@@ -9,15 +9,18 @@ from shapekit.functions.text import normalise_title
 from shapekit.operators import score as SC
 from shapekit.operators.pairs import parse_list_cell
 from shapekit.sources import tagged
-from shapekit.streaming.assemble import scan
+from shapekit.streaming.assemble import Progress
 
 
 def test_list_cells(spark):
-    rows = ['["a","b"]', "['a', 'b']", '["a",]', '"abc"', "[1, 2]", "[", "[]", None]
+    rows = ['["a","b"]', "['a', 'b']", '["a",]', '"abc"', "[1, 2]", "[", "[]", None,
+            "[None, True]", r"['caf\xe9', 'a\'b', '\u00fc\n', '\q']", "('a','b')", """["a" 'b', "it's"]""", "['a'] junk", "[['a']]", " [ 'x' , ] ",
+            "['a' 1]", "['a',,]", r"['\101\\']"]
     df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, c string")
     got = [r.a for r in df.select("i", parse_list_cell("c").alias("a")).orderBy("i").collect()]
     assert got[0] == ["a", "b"] and got[1] == ["a", "b"]
-    assert got[2] is None and got[3] is None and got[5] is None and got[7] is None
+    assert got[2] == ["a"] and got[3] is None and got[5] is None and got[7] is None
+    assert got[8:] == [[None, "True"], ["caf\xe9", "a'b", "\xfc\n", "\\q"], None, ["ab", "it's"], None, None, ["x"], None, None, ["A\\"]]
     assert got[4] == ["1", "2"] and got[6] == []
 
 
@@ -35,8 +38,8 @@ def scheduled(n, permanent=False, blank=False):
         def __init__(self):
             self.calls = 0
 
-        def start_row(self):
-            self.calls = 0
+        def start_row(self, tries=0):
+            self.calls = tries
 
         def __call__(self, prompt):
             self.calls += 1
@@ -64,12 +67,8 @@ def test_service_schedules(spark):
 
 
 def _assemble(chunks):
-    st = [0, False, False, False, ""]
-    for c in chunks:
-        end = scan(c, st)
-        if end is not None:
-            return st[4]
-    return None
+    at = Progress()
+    return next((got for got in map(at.feed, chunks) if got is not None), None)
 
 
 def test_chunk_boundaries():

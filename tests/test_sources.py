@@ -22,6 +22,7 @@ def test_tolerant_csv(spark, tmp_dir):
             '2,"b"\n'                                   # short: kept
             '3,"c","i","d","extra"\n'                   # one extra cell: skipped
             '4,"e","i","d","x","y"\n'                   # two extra cells: skipped
+            '7,a,b,c,,y\n8,a,b,c,,\n'                   # empty extra cells: skipped
             '5,"f","multi\nline","d"\n'                 # quoted newline
             '6,"say ""hi""","i",""\n')                  # doubled quotes, empty cell
     p = _write(tmp_dir, text, "f.csv")
@@ -31,11 +32,17 @@ def test_tolerant_csv(spark, tmp_dir):
     assert g["2"].ingredients is None
     assert g["5"].ingredients == "multi\nline"
     assert g["6"].title == 'say "hi"'
-    assert sorted(r.id for r in bad.collect()) == ["3", "4"]
+    assert sorted(r.id for r in bad.collect()) == ["3", "4", "7", "8"]
     # a narrow projection judges rows the same way
     assert sorted(r.id for r in good.select("id").collect()) == ["1", "2", "5", "6"]
 
 
+def test_unterminated_quote_is_set_aside(spark, tmp_dir):
+    p = _write(tmp_dir, ',title,a,b\n1,"t","x","y"\n2,"open,x,y\n3,t,"q""q",\n', "f.csv")
+    df = CSV.read_tolerant_csv_with_status(spark, p, ["id", "title", "a", "b"])
+    assert sorted((r.id, r.status) for r in df.collect()) == [("1", "ok"), ("2", "unterminated_quote"), ("3", "ok")]
+
+
 def test_tagged_anchored_and_loose(spark, tmp_dir):
     text = ("preamble without a marker\n"
             "ID 1 — first text\nsecond line\n"
@@ -80,12 +87,12 @@ def test_ledger_parse(spark, tmp_dir):
 
 
 def test_read_outputs_array_and_base(spark, tmp_dir):
-    text = ('[\n  {"index": 50, "reason": "no_json", "recipe_text": "t", "raw": "{", "json_str": ""},\n'
-            '  {"index": 82, "reason": "no_json", "recipe_text": "u", "raw": "{x", "json_str": ""}\n]\n')
+    text = ('[\n  {"index": 7, "reason": "no_json", "recipe_text": "t", "raw": "{", "json_str": ""},\n'
+            '  {"index": 12, "reason": "no_json", "recipe_text": "u", "raw": "{x", "json_str": ""}\n]\n')
     p = _write(tmp_dir, text, "failures.json")
     df = read_outputs(spark, p, "m", "after", kind="failure", base=1, array_file=True)
     rows = sorted((r.idx, r.json_str, r.model) for r in df.collect())
-    assert rows == [(49, None, "m"), (81, None, "m")]
+    assert rows == [(6, None, "m"), (11, None, "m")]
 
 
 def test_pairs_roundtrip(spark, tmp_dir):
