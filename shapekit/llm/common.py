@@ -109,13 +109,18 @@ class Words:
     def hashes(self) -> np.ndarray:
         """64-bit hash of each word's bytes (polynomial over random byte codes,
         one cumulative sum for all words)."""
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        up, down = _powers(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_TABLE[self.data] * up[:len(self.data)], out=total[1:])
-        h = (total[self.end] - total[self.start]) * down[self.start]
-        return mix(h ^ ((self.end - self.start).astype(np.uint64) << _U(56)))
+        return span_hashes(self.data, self.start, self.end)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each span."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    up, down = _powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_TABLE[data] * up[:len(data)], out=total[1:])
+    h = (total[end] - total[start]) * down[start]
+    return mix(h ^ ((end - start).astype(np.uint64) << _U(56)))
 
 
 def window_hashes(h: np.ndarray, size: int) -> np.ndarray:

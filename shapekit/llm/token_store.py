@@ -18,7 +18,6 @@ so a lost executor's part is written anew.
 from __future__ import annotations
 
 import hashlib
-import re
 import zlib
 
 import numpy as np
@@ -36,25 +35,34 @@ DICT_DOCS = 1000
 DICT_BYTES = 8 << 20
 DICT_SIZE = 64 << 10
 LEVEL = 3
-#: words of one encode step and of a worker's memory of words
-STEP_CHARS = 2 << 20
-KNOWN_WORDS = 300_000
+#: pieces a worker remembers, and pieces encoded as one text
+KNOWN_PIECES = 1_500_000
+JOINED = 256
 CHUNK_BYTES = 4 << 20
 PART_BYTES = 16 << 20
 
 
+# bytes that may follow a blank where text is cut: no white space, and no lead byte of a wide one
+_CUT = np.ones(256, bool)
+_CUT[list(range(0x21)) + [0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
+
+
 class Encoder:
-    """Token ids of whole texts.  Byte-level BPE splits a text before every blank that a
-    non-blank follows, so text is cut there, each distinct piece is encoded once by the
-    tokenizers library and remembered, and the ids of a text are those of its pieces."""
+    """Token ids of whole texts, by distinct pieces.
+
+    Byte-level BPE always splits a text before a blank that a non-blank follows, so text is cut
+    there.  Each distinct piece (by 64-bit hash) is encoded by the tokenizers library once while it is
+    remembered, many pieces as one text: a token that begins with a blank begins the next piece.
+    The ids of a text are those of its pieces."""
 
     _loaded: dict = {}
-    ODD = re.compile(r" (?:\s|\Z)")
-    CUT = re.compile(r" (?=\S)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocab = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.opens[[i for v, i in vocab.items() if v.startswith("\u0120")]] = True  # the blank's sign in byte-level vocabularies
         self._forget()
 
     @classmethod
@@ -64,52 +72,70 @@ class Encoder:
         return cls._loaded[path]
 
     def _forget(self):
-        self.known: tuple[dict, dict] = ({}, {})  # first pieces; pieces after a blank
-        self.flat = np.zeros(0, np.uint32)
+        self.hash = np.zeros(0, np.uint64)  # sorted; start and size go with it
         self.start = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
 
-    def _learn(self, new: list[tuple[dict, str, str]]):
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([text for _, _, text in new], add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts end to end, and how many each has."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        base = len(self.start)
-        for k, (known, piece, _) in enumerate(new):
-            known[piece] = base + k
-        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
-        self.size = np.concatenate((self.size, size))
-        self.flat = np.concatenate((self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``(ids, offsets)`` of the texts, ``END`` after each."""
-        if len(self.start) > KNOWN_WORDS:
+        return (np.concatenate([np.array(x, np.uint32) for x in ids]) if ids else np.zeros(0, np.uint32)), size
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]):
+        """Add pieces that are not known."""
+        plain = np.fromiter((p[:1] == " " and p.count(" ") == 1 and len(p) > 1 for p in pieces), bool, len(pieces))
+        flats, sizes, orders = [], [], []
+        run = np.flatnonzero(plain)
+        groups = [run[k:k + JOINED] for k in range(0, len(run), JOINED)]
+        if groups:
+            flat, size = self._ids(["".join([pieces[k] for k in g]) for g in groups])
+            begins = np.flatnonzero(self.opens[flat])
+            if len(begins) == len(run) and (np.diff(np.searchsorted(begins, np.concatenate(([0], np.cumsum(size))))) == [len(g) for g in groups]).all():
+                flats.append(flat)
+                sizes.append(np.diff(np.concatenate((begins, [len(flat)]))))
+                orders.append(run)
+            else:  # another kind of vocabulary
+                plain[:] = False
+        rest = np.flatnonzero(~plain)
+        flat, size = self._ids([pieces[k] for k in rest])
+        flats.append(flat)
+        sizes.append(size)
+        orders.append(rest)
+        size, order = np.concatenate(sizes), np.concatenate(orders)
+        start = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate((self.flat, *flats))
+        hashes = np.concatenate((self.hash, hashes[order]))
+        o = np.argsort(hashes, kind="stable")
+        self.hash, self.start, self.size = hashes[o], np.concatenate((self.start, start))[o], np.concatenate((self.size, size))[o]
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, offsets)`` of the documents of a step, ``END`` after each."""
+        if len(self.hash) > KNOWN_PIECES:
             self._forget()
-        pieces = [self.CUT.split(t) if self.ODD.search(t) else t.split(" ") for t in texts]
-        first, later = self.known
-        heads = {p[0] for p in pieces} - first.keys()
-        tails: set = set()
-        for p in pieces:
-            tails.update(p[1:])
-        new = [(first, w, w) for w in sorted(heads)] + [(later, w, " " + w) for w in sorted(tails - later.keys())]
-        if new:
-            self._learn(new)
-        n = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        word = np.fromiter((i for p in pieces for i in (first[p[0]], *map(later.__getitem__, p[1:]))), np.int64, int(n.sum()))
-        size = self.size[word]
-        ids = self.flat[np.repeat(self.start[word] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
-        ends = np.cumsum(size)[np.cumsum(n) - 1] if len(n) else np.zeros(0, np.int64)
-        ids = np.insert(ids, ends, END)
-        return ids, np.concatenate((np.zeros(1, np.int64), ends + np.arange(1, len(n) + 1)))
-
-
-def _steps(texts: list[str]):
-    i = 0
-    while i < len(texts):
-        j, chars = i, 0
-        while j < len(texts) and (j == i or chars + len(texts[j]) <= STEP_CHARS):
-            chars += len(texts[j])
-            j += 1
-        yield i, j
-        i = j
+        docs, n = len(off) - 1, len(data)
+        begin = np.zeros(n + 1, bool)
+        if n:
+            begin[:n - 1] = (data[:-1] == 0x20) & _CUT[data[1:]]
+        begin[off] = True
+        begin[n] = False
+        start = np.flatnonzero(begin)
+        end = np.concatenate((start[1:], [n])) if len(start) else start
+        # a blank that ends a document is followed by no byte of it
+        h, first, which = np.unique(C.span_hashes(data, start, end), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hash, h)
+        at[at == len(self.hash)] = 0
+        new = np.flatnonzero(self.hash[at] != h) if len(self.hash) else np.arange(len(h))
+        if len(new):
+            raw = data.tobytes()
+            self._learn(h[new], [raw[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+        at = np.searchsorted(self.hash, h)[which]
+        size = self.size[at]
+        total = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
+        ids = self.flat[np.repeat(self.start[at] - total[:-1], size) + np.arange(total[-1])]
+        last = total[np.searchsorted(start, off[1:])]
+        return np.insert(ids, last, END), np.concatenate((np.zeros(1, np.int64), last + np.arange(1, docs + 1)))
 
 
 def _write(path: str, dictionary: bytes, sha: str):
@@ -130,9 +156,8 @@ def _write(path: str, dictionary: bytes, sha: str):
 
         for batch in batches:
             ids, parts = C.column(batch, "doc_id").to_pylist(), C.column(batch, "part").to_pylist()
-            texts = [t or "" for t in C.column(batch, "text").to_pylist()]
-            for i, j in _steps(texts):
-                flat, off = coder.encode(texts[i:j])
+            for i, j, data, at in C.text_steps(C.column(batch, "text")):
+                flat, off = coder.encode(data, at)
                 raw = flat.astype("<u4").tobytes()
                 for k in range(j - i):
                     if docs and (parts[i + k] != part or held >= CHUNK_BYTES):
@@ -166,9 +191,12 @@ def train_dictionary(docs: DataFrame, path: str, n: int) -> bytes:
             size += 2 * len(r.text)
     if len(texts) < 16:
         return b""
-    ids, off = Encoder.of(path).encode(texts)
+    samples = []
+    for _, _, data, at in C.text_steps(pa.array(texts, pa.string())):
+        ids, off = Encoder.of(path).encode(data, at)
+        samples += [ids[a:b].astype("<u4").tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]
     try:
-        return zstandard.train_dictionary(DICT_SIZE, [ids[a:b].astype("<u4").tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]).as_bytes()
+        return zstandard.train_dictionary(DICT_SIZE, samples).as_bytes()
     except zstandard.ZstdError:  # samples too few or too alike for a dictionary
         return b""
 
