@@ -61,10 +61,11 @@ def input_drift(a: DataFrame, b: DataFrame, key: str = "idx", text: str = "text"
 def grounding(outputs: DataFrame, prompts: DataFrame, keys=("model", "idx"),
               fields=("ingredients",), by=("model",)) -> DataFrame:
     """Share of extracted items found verbatim (case-folded) in the source text."""
-    o = outputs.select(*keys, F.explode(F.flatten(F.array(*[F.col("output")[f] for f in fields]))).alias("item"))
-    j = o.join(prompts.select(*keys, "text"), list(keys), "inner")
-    found = F.contains(F.lower(F.col("text")), F.lower(F.col("item")))
-    return (j.groupBy(*by).agg(F.count(F.lit(1)).alias("n_items"), F.count_if(found).alias("n_found"))
+    j = outputs.select(*keys, F.flatten(F.array(*[F.col("output")[f] for f in fields])).alias("items")) \
+        .join(prompts.select(*keys, F.lower("text").alias("low")), list(keys), "inner")
+    found = F.size(F.filter("items", lambda x: F.contains(F.col("low"), F.lower(x))))
+    per = j.select(*by, F.size("items").alias("n"), found.alias("f")).filter("n > 0")
+    return (per.groupBy(*by).agg(F.sum("n").alias("n_items"), F.sum("f").alias("n_found"))
             .withColumn("share", F.round(F.col("n_found") / F.col("n_items"), 6)))
 
 
@@ -80,16 +81,16 @@ def field_stats(outputs: DataFrame, by=("model",), title: str = "title",
                 lists=("ingredients", "steps")) -> DataFrame:
     """Items per list field, empty titles/lists, distinct and repeated titles."""
     o = outputs.select(*by, F.col("output").alias("o"))
-    aggs = [F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("o")[title] == "").alias("empty_titles"),
-            F.count_distinct(F.col("o")[title]).alias("distinct_titles")]
+    size = {f: F.size(F.col("o")[f]) for f in lists}
+    # one grouping by title, then its few rows per title by group
+    t = o.groupBy(*by, F.col("o")[title].alias("t")).agg(
+        F.count(F.lit(1)).alias("c"), *[F.sum(size[f]).alias(f"s_{f}") for f in lists],
+        *[F.count_if(size[f] == 0).alias(f"e_{f}") for f in lists])
+    aggs = [F.sum("c").alias("n"), F.coalesce(F.sum(F.when(F.col("t") == "", F.col("c"))), F.lit(0)).alias("empty_titles"),
+            F.count("t").alias("distinct_titles")]
     for f in lists:
-        aggs += [F.round(F.avg(F.size(F.col("o")[f])), 6).alias(f"avg_{f}"),
-                 F.count_if(F.size(F.col("o")[f]) == 0).alias(f"empty_{f}")]
-    stats = o.groupBy(*by).agg(*aggs)
-    rep = (o.groupBy(*by, F.col("o")[title].alias("t")).agg(F.count(F.lit(1)).alias("c"))
-           .groupBy(*by).agg(F.count_if(F.col("c") > 1).alias("repeated_titles")))
-    return stats.join(rep, list(by), "left")
+        aggs += [F.round(F.sum(f"s_{f}") / F.sum("c"), 6).alias(f"avg_{f}"), F.sum(f"e_{f}").alias(f"empty_{f}")]
+    return t.groupBy(*by).agg(*aggs, F.count_if(F.col("c") > 1).alias("repeated_titles"))
 
 
 def title_overlap(a: DataFrame, b: DataFrame, by=("model",), title: str = "title") -> DataFrame:

@@ -44,9 +44,9 @@ def render_messages(system: Column, user: Column, answer: Column | None = None,
 
 
 def render_chat(df: DataFrame, template: ChatTemplate = CHATML, with_answer: bool = True,
-                user_prefix: str = "") -> DataFrame:
+                user_prefix: str = "", user_suffix: str = "") -> DataFrame:
     """(id, system, text, json) -> adds ``prompt`` (and ``full`` when ``with_answer``)."""
-    user = F.concat(F.lit(user_prefix), F.col("text"))
+    user = F.concat(F.lit(user_prefix), F.col("text"), F.lit(user_suffix))
     d = df.withColumn("prompt", render_messages(F.col("system"), user, None, template))
     if with_answer:
         d = d.withColumn("full", render_messages(F.col("system"), user, F.col("json"), template))

@@ -103,10 +103,10 @@ def q_format_flags(spark, sf_dir):
 
 @query("quarantine")
 def q_quarantine(spark, sf_dir):
-    v = V.validate_strict(_answers(spark, sf_dir), outputs=("ok", "reason"))
-    good, bad = V.split_quarantine(v)
-    return (good.select("idx", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("reason"))
-            .unionByName(bad.select("idx", F.lit("failed").alias("status"), "reason")))
+    """Good and failed rows written to sibling folders in one job, read back."""
+    path = scratch_dir(spark, "quarantine")
+    sinks.write_quarantine(V.validate_strict(_answers(spark, sf_dir), outputs=("ok", "reason")).select("idx", "ok", "reason"), path)
+    return spark.read.schema("idx bigint, reason string, status string").json(path).select("idx", "status", "reason")
 
 
 @query("inline_errors")
@@ -223,6 +223,11 @@ def q_tagged_text(spark, sf_dir):
     return t.select("id", "text")
 
 
+@query("marker_audit")
+def q_marker_audit(spark, sf_dir):
+    return tagged.marker_audit(spark, _tagged_path(spark, sf_dir))
+
+
 @query("last_wins")
 def q_last_wins(spark, sf_dir):
     return _texts(spark, sf_dir)
@@ -303,16 +308,41 @@ def q_json_sink(spark, sf_dir):
         "idx", "reason", F.col("output.title").alias("title"), F.array_join("output.steps", "|").alias("steps"))
 
 
+def _stored(spark, df, name):
+    """Written once, so that several sinks read one validation."""
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+RESULT_LOG = "index bigint, input string, output struct<title string>, run_id string"
+
+
+def _records(spark, sf_dir):
+    v = V.validate_lenient(_answers(spark, sf_dir), outputs=("ok", "output")).filter("ok")
+    return _stored(spark, v.select(F.col("idx").alias("index"), F.col("text").alias("input"), "output"), "records")
+
+
 @query("append_jsonl")
 def q_append_jsonl(spark, sf_dir):
-    v = V.validate_lenient(_answers(spark, sf_dir)).filter("ok")
     path = scratch_dir(spark, "results-jsonl")
-    rec = v.select(F.col("idx").alias("index"), F.col("text").alias("input"), "output")
+    rec = _records(spark, sf_dir)
     sinks.append_jsonl(rec, path, "r1", reset=True)
     sinks.append_jsonl(rec, path, "r2", reset=True)
     sinks.append_jsonl(rec, path, "r1", reset=True)  # re-run of r1 replaces only r1
-    back = spark.read.schema("index bigint, input string, output struct<title string>, run_id string").json(path)
-    return back.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+    back = spark.read.schema(RESULT_LOG).json(path)
+    return back.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("index").alias("n_index"))
+
+
+@query("append_plain")
+def q_append_plain(spark, sf_dir):
+    """Records appended to one run in two goes, nothing cleared."""
+    path = scratch_dir(spark, "results-log")
+    rec = _records(spark, sf_dir)
+    for part in (0, 1):
+        sinks.append_jsonl(rec.filter(F.col("index") % 2 == part), path, "r1")
+    back = spark.read.schema(RESULT_LOG).json(path)
+    return back.select("run_id", F.col("index").alias("idx"), "output.title", F.md5("input").alias("input_md5"))
 
 
 # ---- step 4: positions, splits, set checks ----------------------------------------
@@ -374,7 +404,16 @@ def q_render_chat(spark, sf_dir):
 @query("token_len")
 def q_token_len(spark, sf_dir):
     d = _docs(spark, sf_dir)
-    return d.select("doc_id", F.size(X.word_ids(F.col("text"))).cast("bigint").alias("n_tokens"))
+    return d.select("doc_id", F.size(X.word_tokens("text")).cast("bigint").alias("n_tokens"))
+
+
+@query("token_user")
+def q_token_user(spark, sf_dir):
+    """A user's tokenizer (here: the length of each blank-separated piece) in the Arrow UDF."""
+    tok = X.tokenizer_udf(stubs.make_length_tokenizer)
+    ids = _docs(spark, sf_dir).select("doc_id", tok("text").alias("ids"))
+    return ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                      F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"))
 
 
 @query("pad_truncate")
@@ -418,7 +457,7 @@ def q_mask_audit(spark, sf_dir):
 def q_token_budget(spark, sf_dir):
     from shapekit.functions.arrays import token_budget
     e = X.render_chat(_example_inputs(spark, sf_dir), with_answer=False)
-    n = F.size(X.word_ids(F.col("prompt")))
+    n = F.size(X.word_tokens("prompt"))
     return e.select("id", token_budget(n, CTX).cast("bigint").alias("budget"))
 
 
@@ -430,24 +469,43 @@ def _runs(spark, sf_dir, phase, mode, outputs=None):
     return V.validate(r, mode, outputs=outputs)
 
 
-@query("outputs_load")
-def q_outputs_load(spark, sf_dir):
-    v = _runs(spark, sf_dir, "after", V.LENIENT)
-    res_path, fail_path = scratch_dir(spark, "results"), scratch_dir(spark, "failures")
-    # stored as the evaluation scripts did: 1-based index, "" when no block
+def _run_files(spark, sf_dir):
+    """One run's results and failures as the evaluation scripts store them: 1-based index, "" where
+    no block was found."""
+    v = _stored(spark, _runs(spark, sf_dir, "after", V.LENIENT), "run-validated")
     good, bad = V.split_quarantine(v)
-    sinks.write_json(good.select((F.col("idx") + 1).alias("index"), F.col("text").alias("input"),
-                                 "output", "model", "phase"), res_path)
-    sinks.write_json(bad.select((F.col("idx") + 1).alias("index"), "reason", F.col("text").alias("recipe_text"),
-                                "raw", F.coalesce("json_str", F.lit("")).alias("json_str"), "model", "phase"),
-                     fail_path)
-    r = OUT.read_outputs(spark, res_path, None, None, "result", base=1)
-    f = OUT.read_outputs(spark, fail_path, None, None, "failure", base=1)
+    return (good.select((F.col("idx") + 1).alias("index"), F.col("text").alias("input"), "output", "model", "phase"),
+            bad.select((F.col("idx") + 1).alias("index"), "reason", F.col("text").alias("recipe_text"),
+                       "raw", F.coalesce("json_str", F.lit("")).alias("json_str"), "model", "phase"))
+
+
+def _loaded(spark, res_path, fail_path, array_file=False):
+    r = OUT.read_outputs(spark, res_path, None, None, "result", base=1, array_file=array_file)
+    f = OUT.read_outputs(spark, fail_path, None, None, "failure", base=1, array_file=array_file)
     return (r.select("idx", "model", "kind", F.lit(None).cast("string").alias("reason"),
                      F.lit(None).cast("boolean").alias("json_str_null"))
             .unionByName(f.select("idx", "model", "kind", "reason", F.col("json_str").isNull().alias("json_str_null"))))
 
 
+@query("outputs_load")
+def q_outputs_load(spark, sf_dir):
+    res_path, fail_path = scratch_dir(spark, "results"), scratch_dir(spark, "failures")
+    good, bad = _run_files(spark, sf_dir)
+    sinks.write_json(good, res_path)
+    sinks.write_json(bad, fail_path)
+    return _loaded(spark, res_path, fail_path)
+
+
+@query("outputs_array")
+def q_outputs_array(spark, sf_dir):
+    """The same files as JSON arrays, one array per part file."""
+    res_path, fail_path = scratch_dir(spark, "results-array"), scratch_dir(spark, "failures-array")
+    good, bad = _run_files(spark, sf_dir)
+    sinks.write_json_arrays(good, res_path)
+    sinks.write_json_arrays(bad, fail_path)
+    return _loaded(spark, res_path, fail_path, array_file=True)
+
+
 def _check_failures(spark, sf_dir):
     """(phase, model, idx, check, title) of failed checks, plus one null-title row
     per (phase, model, check) so that checks without failures are declared as 0."""
@@ -577,7 +635,7 @@ def q_title_match(spark, sf_dir):
 
 @query("prompt_fingerprint")
 def q_prompt_fingerprint(spark, sf_dir):
-    return AU.prompt_fingerprint(derived.prompt_configs(spark, sf_dir))
+    return AU.prompt_fingerprint(derived.stored_prompts(spark, sf_dir))
 
 
 # ---- step 7: scoring ---------------------------------------------------------------------

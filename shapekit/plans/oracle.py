@@ -149,8 +149,9 @@ c AS (SELECT CAST(id AS VARCHAR) AS id, title,
 """
 
 _TEXTS = """
+tt AS (SELECT doc_id, CASE WHEN doc_id % 31 = 9 THEN concat(text, ' add acid 5 drops') ELSE text END AS text FROM documents),
 tx AS (SELECT doc_id AS id, CASE WHEN doc_id % 97 = 5 THEN concat(text, ' (revised)') ELSE text END AS text
-       FROM documents)
+       FROM tt)
 """
 
 _BL = "(25, 261, 380, 383, 585, 619, 674, 844, 851, 899, 902, 993, 994, 999)"
@@ -176,9 +177,15 @@ SELECT id, coalesce(ingredients, '') AS ingredients, coalesce(directions, '') AS
 
 ORACLE["strip_ws"] = W(_STRUCT) + "SELECT id, trim(title) AS title FROM c"
 
-ORACLE["tagged_text"] = """
-SELECT doc_id AS id, text FROM documents
-UNION ALL SELECT doc_id AS id, concat(text, ' (revised)') AS text FROM documents WHERE doc_id % 97 = 5"""
+ORACLE["tagged_text"] = W(_TEXTS) + """
+SELECT doc_id AS id, text FROM tt
+UNION ALL SELECT doc_id AS id, concat(text, ' (revised)') AS text FROM tt WHERE doc_id % 97 = 5"""
+
+ORACLE["marker_audit"] = W(_TEXTS) + r"""
+, ln AS (SELECT unnest(string_split(concat('ID ', doc_id, ' - ', text), chr(10))) AS v FROM tt
+         UNION ALL SELECT unnest(string_split(concat('ID ', doc_id, ' - ', text), chr(10))) FROM tt WHERE doc_id % 97 = 5),
+c AS (SELECT regexp_matches(v, '^(?i)i?id\s+\d+')::INT AS a, len(regexp_extract_all(v, '(?i)i?id\s+\d+')) AS l FROM ln)
+SELECT count(*) AS n_lines, sum(a)::BIGINT AS n_anchored, sum(l)::BIGINT AS n_loose, count(*) FILTER (WHERE a <> l) AS n_disagree FROM c"""
 
 ORACLE["last_wins"] = W(_TEXTS) + "SELECT id, text FROM tx"
 
@@ -233,9 +240,12 @@ SELECT idx, {_API_REASON} AS reason, CASE WHEN ({_API_REASON}) IS NULL THEN {_OT
   CASE WHEN ({_API_REASON}) IS NULL THEN array_to_string(CASE WHEN k = 7 THEN [] WHEN k = 8 THEN st ELSE {_OS} END, '|') END AS steps FROM a"""
 
 ORACLE["append_jsonl"] = W(_GEN) + f"""
-SELECT r.run_id, count(*) AS n FROM a, (VALUES ('r1'), ('r2')) r(run_id)
+SELECT r.run_id, count(*) AS n, count(DISTINCT idx) AS n_index FROM a, (VALUES ('r1'), ('r2')) r(run_id)
 WHERE ({_LENIENT_REASON}) IS NULL GROUP BY r.run_id"""
 
+ORACLE["append_plain"] = W(_GEN) + f"""
+SELECT 'r1' AS run_id, idx, {_OT} AS title, md5(text) AS input_md5 FROM a WHERE ({_LENIENT_REASON}) IS NULL"""
+
 # ---- positions, splits, set checks -------------------------------------------------------
 
 ORACLE["prompt_index"] = """
@@ -286,6 +296,10 @@ SELECT conv_id, string_agg(concat('<|im_start|>', role, chr(10), text, '<|im_end
 
 ORACLE["token_len"] = f"SELECT doc_id, CAST(len({_TOK.format(x='text')}) AS BIGINT) AS n_tokens FROM documents"
 
+ORACLE["token_user"] = """
+SELECT doc_id, len(string_split(text, ' '))::BIGINT AS n_tokens,
+  list_sum(list_transform(string_split(text, ' '), lambda w: length(w)))::BIGINT AS id_sum FROM documents"""
+
 ORACLE["pad_truncate"] = f"""
 WITH t AS (SELECT doc_id, {_IDS.format(x='text')} AS ids FROM documents)
 SELECT doc_id, CAST(64 AS BIGINT) AS len, CAST(CASE WHEN len(ids) >= 64 THEN ids[64] ELSE 0 END AS BIGINT) AS last_id,
@@ -314,6 +328,8 @@ SELECT idx, model, CASE WHEN ({_LENIENT_REASON}) IS NULL THEN 'result' ELSE 'fai
   {_LENIENT_REASON} AS reason, CASE WHEN ({_LENIENT_REASON}) IS NULL THEN NULL ELSE k IN (3,4) END AS json_str_null
 FROM p WHERE phase = 'after'"""
 
+ORACLE["outputs_array"] = ORACLE["outputs_load"]
+
 _FAILS = """
 f AS (SELECT phase, model, idx, 'syntax' AS chk, t AS title FROM p WHERE k IN (3,4,5)
       UNION ALL SELECT phase, model, idx, 'structure', t FROM p
@@ -414,8 +430,9 @@ SELECT a.model, count(*) AS titles_a, count(b.nt) AS titles_both
 FROM a LEFT JOIN b ON a.model = b.model AND a.nt = b.nt GROUP BY a.model"""
 
 ORACLE["prompt_fingerprint"] = """
-SELECT DISTINCT source AS model, CAST(2 AS BIGINT) AS n_runs,
-  CAST(CASE WHEN source = 'src7' THEN 2 ELSE 1 END AS BIGINT) AS n_fingerprints FROM documents"""
+SELECT source AS model, CAST(2 AS BIGINT) AS n_runs, count(DISTINCT concat(coalesce(lang, '?'), drift)) AS n_fingerprints
+FROM (SELECT source, lang, unnest(['before', CASE WHEN doc_id % 29 = 3 THEN 'v2' ELSE 'before' END]) AS drift FROM documents)
+GROUP BY source"""
 
 # ---- scoring with stubs -------------------------------------------------------------------
 

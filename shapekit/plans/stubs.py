@@ -71,3 +71,7 @@ class FlakyService:
 
 def make_flaky_service():
     return FlakyService()
+
+
+def make_length_tokenizer():
+    return lambda text: [len(w) for w in text.split(" ")]

@@ -184,11 +184,13 @@ def write_csv_lines(lines: DataFrame, path: str, header: str) -> str:
 def tagged_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pos, line): documents as one tagged text, ``ID n — text`` per record.
 
-    Odd ids use ``iID n - ``; ids with id % 97 == 5 appear a second time at
+    Odd ids use ``iID n - ``; ids with id % 31 == 9 end with words that only look like a
+    marker; ids with id % 97 == 5 appear a second time at
     the end of the file with a revised text (the later one must win).
     """
     d = table(spark, sf_dir, "documents", "doc_id", "text")
     i = F.col("doc_id")
+    d = d.withColumn("text", F.when(i % 31 == 9, F.concat("text", F.lit(" add acid 5 drops"))).otherwise(F.col("text")))
     mark = F.when(i % 2 == 1, F.concat(F.lit("iID "), i.cast("string"), F.lit(" - "))) \
         .otherwise(F.concat(F.lit("ID "), i.cast("string"), F.lit(" — ")))
     first = d.select(i.alias("pos"), F.concat(mark, F.col("text")).alias("line"))
@@ -219,14 +221,15 @@ def gold_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.concat(steps, F.when(i % 6 == 5, none).otherwise(F.array(F.lit("x")))).alias("steps")).alias("gold"))
 
 
-def prompt_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(model, phase, system, template, limits): the prompt set-up of each run.
+def stored_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(model, phase, idx, system, template, limits): the prompt parts kept with every request.
 
-    One model's evaluation run uses a changed template (a prompt drift to find).
+    The system text names the document's language.  Some requests of one phase used
+    a changed template (a prompt drift to find).
     """
-    models = table(spark, sf_dir, "documents", "source").distinct().withColumnRenamed("source", "model")
     ph = F.explode(F.array(F.lit("before"), F.lit("after"))).alias("phase")
-    m = models.select("model", ph)
-    tmpl = F.when((F.col("model") == "src7") & (F.col("phase") == "after"), "chatml-v2").otherwise("chatml")
-    return m.select("model", "phase", F.lit("Extract a JSON object.").alias("system"),
+    m = table(spark, sf_dir, "documents", "doc_id", "source", "lang").select(
+        F.col("source").alias("model"), F.col("doc_id").alias("idx"), "lang", ph)
+    tmpl = F.when((F.col("idx") % 29 == 3) & (F.col("phase") == "after"), "chatml-v2").otherwise("chatml")
+    return m.select("model", "phase", "idx", F.concat(F.lit("Extract a JSON object. Language: "), F.coalesce("lang", F.lit("?"))).alias("system"),
                     tmpl.alias("template"), F.lit("1200,2000").alias("limits"))

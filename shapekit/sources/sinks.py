@@ -17,6 +17,22 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Each part file is one JSON array, the form of the scripts' result files; null fields kept."""
+    line = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+
+    def wrap(batches):
+        import pyarrow as pa
+        lead = "["
+        for batch in batches:
+            rows = [lead + v if k == 0 else "," + v for k, v in enumerate(batch.column(0).to_pylist())]
+            if rows:
+                lead = ","
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if lead == "[" else "]"], pa.string())], names=["value"])
+    line.mapInArrow(wrap, "value string").write.mode(mode).text(path)
+
+
 def append_jsonl(df: DataFrame, path: str, run_id: str, reset: bool = False) -> None:
     """Append records under ``run_id=<id>``; ``reset`` replaces only that run.
 

@@ -103,6 +103,15 @@ def read_tagged_text(spark: SparkSession, path: str, loose: bool = False) -> Dat
     return closed.unionByName(spans).filter(F.col("id").isNotNull())
 
 
+def marker_audit(spark: SparkSession, path: str) -> DataFrame:
+    """(n_lines, n_anchored, n_loose, n_disagree): markers at line starts, markers the unanchored rule
+    finds, and lines on which the two differ (words such as "acid 5")."""
+    line = spark.read.option("encoding", "UTF-8").text(path).select(
+        F.rlike("value", F.lit(MARKER_HEAD)).cast("int").alias("a"), F.regexp_count("value", F.lit("(?i)" + MARKER)).alias("l"))
+    return line.agg(F.count(F.lit(1)).alias("n_lines"), F.sum("a").cast("bigint").alias("n_anchored"),
+                    F.sum("l").cast("bigint").alias("n_loose"), F.count_if(F.col("a") != F.col("l")).alias("n_disagree"))
+
+
 def latest_per_key(df: DataFrame, key: str = "id", pos: str = "pos", value: str = "text") -> DataFrame:
     """Duplicate keys: the last occurrence wins (one aggregation, no window sort)."""
     return df.groupBy(key).agg(F.max_by(value, pos).alias(value))
