@@ -13,15 +13,16 @@ sets differ in elements.  The join uses that bound twice:
   is no key, unless a document has ``m - d`` or more of them.  Only then
   could a pair agree on zero bands alone, and both of its documents have that
   many.  Such documents, rare by the choice of ``m``, emit keys for zero bands too.
-* **Hamming filter.**  A 1,024-bit parity sketch per document; a candidate pair
-  whose sketches differ in more than ``(|A| + |B|) / 9`` bits is dropped unread.
+* **Hamming filter.**  A dense parity sketch per document, of 1,024 bits or, for larger sets, the
+  power of two from the set's size on; a candidate pair whose sketches differ in more than
+  ``(|A| + |B|) / 9`` bits is dropped unread.  The longer of two sketches is folded first.
 
 Pairs left are verified on the whole texts with exact set sizes.  The size
 bands grow by 1.6, and a document joins its own band and, within 1.25 times that
 band's end, the one below.
 
 Components need reachability, not every link.  Documents with equal
-sets are one node.  Each key first links its documents to one hub per round.
+sets are one node.  Each key first links its documents to one hub, its smallest.
 Then only pairs of documents that share a key but not yet a component are
 compared, which completes the links between components exactly.
 """
@@ -42,7 +43,6 @@ SHINGLE = 5
 #: links: 100 * intersection >= NUM * union
 NUM = 80
 SKETCH_WORDS = 16
-HUB_ROUNDS = 2
 
 _U = np.uint64
 _LOW52 = _U((1 << 52) - 1)
@@ -152,15 +152,18 @@ def band_keys(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return k[order], np.searchsorted(o[order], np.arange(docs + 1))
 
 
-def dense_sketch(h: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Parity sketch of 1,024 bits per document as 16 longs."""
-    docs = len(off) - 1
-    out = np.zeros(docs * SKETCH_WORDS, np.uint64)
+def dense_sketch(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity sketches as longs, ``(words, offsets per document)``: a power of two of words, 16 at
+    least and a bit per element at least.  Folding halves by XOR gives the sketch of fewer bits."""
+    n = np.diff(off)
+    words = np.maximum(SKETCH_WORDS, 1 << np.ceil(np.log2(np.maximum(n, 1) / 64)).clip(0).astype(np.int64))
+    at = np.concatenate(([0], np.cumsum(words)))
+    out = np.zeros(at[-1], np.uint64)
     if len(h):
-        bit = (h >> _U(7)) & _U(64 * SKETCH_WORDS - 1)
-        cell = np.repeat(np.arange(docs), np.diff(off)) * SKETCH_WORDS + (bit >> _U(6)).astype(np.int64)
-        np.bitwise_xor.at(out, cell, _U(1) << (bit & _U(63)))
-    return out.view(np.int64)
+        doc = np.repeat(np.arange(len(n)), n)
+        bit = (h >> _U(7)) & (words[doc].astype(np.uint64) * _U(64) - _U(1))
+        np.bitwise_xor.at(out, at[doc] + (bit >> _U(6)).astype(np.int64), _U(1) << (bit & _U(63)))
+    return out.view(np.int64), at
 
 
 def _first_of_copies(ids: np.ndarray, fp1: np.ndarray, fp2: np.ndarray, h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,11 +184,12 @@ def _profile(batches):
             n = np.diff(off)
             a, b = (np.concatenate((np.zeros(1, np.uint64), np.cumsum(C.mix(h ^ _U(s))))) for s in (0x1234567, 0x7654321ABC))
             a, b = ((x[off[1:]] - x[off[:-1]]).view(np.int64) for x in (a, b))
+            sketch, at = dense_sketch(h, off)
             k, koff = band_keys(*_first_of_copies(ids[i:j], a, b, h, off))
             yield pa.RecordBatch.from_arrays([
                 held.slice(i, j - i), pa.array(n.astype(np.int64)),
                 pa.array(a), pa.array(b),
-                pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * SKETCH_WORDS, pa.int32()), pa.array(dense_sketch(h, off))),
+                pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(sketch)),
                 pa.ListArray.from_arrays(pa.array(koff, pa.int32()), pa.array(k)),
             ], names=["doc_id", "n", "fp1", "fp2", "sketch", "keys"])
 
@@ -213,13 +217,29 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([C.column(batch, x).filter(keep) for x in ("a", "b")], names=["a", "b"])
 
 
+def _folded(sketch, words):
+    """A sketch folded to fewer words."""
+    return F.transform(F.sequence(F.lit(0), words - 1), lambda i: F.aggregate(
+        F.sequence(i, F.size(sketch) - 1, words), F.lit(0).cast("long"), lambda a, j: a.bitwiseXOR(sketch[j])))
+
+
 def _differ(x: str, y: str):
-    bits = sum((F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k])) for k in range(SKETCH_WORDS)), F.lit(0))
-    return bits
+    """Bits in which two sketches differ, at the size of the shorter one."""
+    a, b = F.col(x), F.col(y)
+    words = F.least(F.size(a), F.size(b))
+    level = lambda s: F.when(F.size(s) == words, s).otherwise(_folded(s, words))
+    return F.aggregate(F.zip_with(level(a), level(b), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
 
 
-def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """Pairs ``(a, b)`` whose whole texts have a Jaccard similarity of at least 0.8."""
+def verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, name: str, grows: bool = False) -> DataFrame:
+    """Pairs ``(a, b)`` whose whole texts have a Jaccard similarity of at least 0.8.
+
+    The texts of the pairs' documents are fetched first; only those travel on.  ``grows``: there are
+    about as many pairs as copies in the corpus, so a merge join fetches them at every size."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = ids.hint("merge") if grows else ids
+    texts = C.store(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                    .join(ids, "doc_id", "left_semi"), "jaccard-texts")
     ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     return C.store(spark, pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b")
@@ -249,9 +269,6 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     shared = (C.shared_keys(spark, prof.select("doc_id", "keys"), "keys", total).withColumnRenamed("first", "hub")
               .join(rep_ids, "doc_id", "left_semi").select("key", "doc_id", "hub"))
     shared = C.store(spark, shared, "jaccard-keys")
-    # whole texts of the nodes that share a key, the only ones ever compared; a merge join at every size
-    texts = C.store(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                    .join(shared.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), "jaccard-texts")
 
     def near(pairs: DataFrame) -> DataFrame:
         """Pairs whose dense sketches allow a similarity of 0.8 and whose sizes do."""
@@ -263,30 +280,26 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     pairs = shared.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     tried = C.store(spark, near(pairs), "jaccard-pairs")
-    links = verified(spark, tried, texts, "jaccard-links")
-
-    for r in range(1, HUB_ROUNDS + 1):
-        label = components(spark, links)
-        named = (shared.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-                 .select("key", "doc_id", F.coalesce("component", "doc_id").alias("label")))
-        several = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-        named = C.store(spark, named.join(several.select("key"), "key", "left_semi"), "jaccard-open")
-        if r < HUB_ROUNDS:  # another hub per key
-            h = F.min_by(F.struct("doc_id", "label"), F.xxhash64("doc_id", F.lit(r)))
-            hubs = named.groupBy("key").agg(h.alias("h")).select("key", F.col("h.doc_id").alias("x"), F.col("h.label").alias("lx"))
-            cross = named.join(hubs, "key").where("label <> lx").select(F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b"))
-            more = near(cross.distinct())
-        else:  # every pair that shares a key but no component, the Hamming filter inside the join
-            full = named.join(node, "doc_id").select("key", "doc_id", "label", "n", "sketch")
-            x, y = full.alias("x"), full.alias("y")
-            more = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") < F.col("y.doc_id"))
-                           & (F.col("x.label") != F.col("y.label"))
-                           & (F.col("x.n") * 5 >= F.col("y.n") * 4) & (F.col("y.n") * 5 >= F.col("x.n") * 4)
-                           & (_differ("x.sketch", "y.sketch") * 9 <= F.col("x.n") + F.col("y.n")))
-                    .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
-        more = C.store(spark, more.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
-        tried = tried.unionByName(more)
-        links = links.unionByName(verified(spark, more, texts, "jaccard-links"))
+    links = verified(spark, tried, docs, "jaccard-links", grows=True)
+
+    # every pair that shares a key but no component yet, the Hamming filter inside the join
+    label = components(spark, links)
+    named = (shared.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+             .select("key", "doc_id", F.coalesce("component", "doc_id").alias("label")))
+    several = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    open_ = C.store(spark, named.join(several.select("key"), "key", "left_semi"), "jaccard-open")
+    few = 8  # words that travel with every key; the sketch folded to them still bounds the difference
+    small_sketch = _folded(F.col("sketch"), F.lit(few)).alias("sketch")
+    full = open_.join(node.select("doc_id", "n", small_sketch), "doc_id").select("key", "doc_id", "label", "n", "sketch")
+    x, y = full.alias("x"), full.alias("y")
+    apart = sum((F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(few)), F.lit(0))
+    more = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") < F.col("y.doc_id"))
+                   & (F.col("x.label") != F.col("y.label"))
+                   & (F.col("x.n") * 5 >= F.col("y.n") * 4) & (F.col("y.n") * 5 >= F.col("x.n") * 4)
+                   & (apart * 9 <= F.col("x.n") + F.col("y.n")))
+            .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
+    more = C.store(spark, near(more.join(tried, ["a", "b"], "left_anti")), "jaccard-pairs")
+    links = links.unionByName(verified(spark, more, docs, "jaccard-links"))
 
     label = components(spark, links).select(F.col("node").alias("rep"), "component")
     classes = reps.join(label, "rep", "left").select("n", "fp1", "fp2", F.coalesce("component", "rep").alias("component"))
@@ -299,7 +312,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     Of rows that repeat a doc_id one stays; rows with a null doc_id all stay."""
     groups = C.store(spark, jaccard_components(spark, docs), "jaccard-groups")
     gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
     again = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
         return kept

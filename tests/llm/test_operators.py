@@ -132,8 +132,12 @@ def test_parity_sketch_bounds_the_difference():
     for n, cut in ((30, 5), (400, 60), (5000, 900)):
         a = np.unique(rnd.integers(0, 2**52, n).astype(np.uint64))
         b = np.unique(np.concatenate((a[cut:], rnd.integers(0, 2**52, cut).astype(np.uint64))))
-        s = shingle_join.dense_sketch(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)])).view(np.uint64)
-        differ = sum(int(x).bit_count() for x in s[:16] ^ s[16:])
+        s, off = shingle_join.dense_sketch(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]))
+        assert len(s) == off[2] and 64 * off[1] >= len(a)
+        x, y = s[:off[1]].view(np.uint64), s[off[1]:].view(np.uint64)
+        words = min(len(x), len(y))
+        x, y = (np.bitwise_xor.reduce(v.reshape(-1, words)) for v in (x, y))
+        differ = sum(int(v).bit_count() for v in x ^ y)
         assert differ <= len(np.setxor1d(a, b))
         d, m = shingle_join.bands_for(next(hi for lo, hi in shingle_join.size_bands(10**5) if lo <= min(len(a), len(b)) <= hi))
         k, off = shingle_join.band_keys(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]))
