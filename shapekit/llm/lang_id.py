@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-PER_LANGUAGE = 400
+PER_LANGUAGE = 300
 #: languages learned, the most frequent first
 MAX_LANGUAGES = 200
 FEATURES = 4096
@@ -27,7 +27,7 @@ GRAMS = (1, 2, 3, 4)
 FOLDS = 5
 EPOCHS = 300
 LAMBDA = 1e-3
-STEP_DOCS = 512
+STEP_DOCS = 128
 UNKNOWN = "und"
 
 #: Language families by ISO 639-1 code; any other language is a family of its own.
@@ -60,7 +60,7 @@ _FOLD[65:91] = np.arange(97, 123)
 def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """One row of gram features per document of a step."""
     docs = len(off) - 1
-    out = np.zeros((docs, FEATURES))
+    out = np.zeros((docs, FEATURES), np.float32)
     b = _FOLD[data]
     doc = np.repeat(np.arange(docs), np.diff(off))
     keep = np.ones(len(b), bool)
@@ -82,13 +82,12 @@ def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 def svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Linear SVM (hinge loss, L2), weights with the bias last; averaged full-batch
     subgradient steps from zero, each class with equal weight."""
-    x = np.hstack((x, np.ones((len(x), 1))))
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.shape[1] + 1)
     total = np.zeros_like(w)
     for t in range(1, EPOCHS + 1):
-        active = y * (x @ w) < 1
-        w = w - (LAMBDA * w - (share[active] * y[active]) @ x[active]) / (LAMBDA * (t + 10))
+        push = np.where(y * (x @ w[:-1].astype(np.float32) + w[-1]) < 1, share * y, 0)
+        w = w - (LAMBDA * w - np.append(push.astype(np.float32) @ x, push.sum())) / (LAMBDA * (t + 10))
         norm = np.sqrt(w @ w) * np.sqrt(LAMBDA)
         if norm > 1:
             w = w / norm
@@ -116,8 +115,7 @@ class Model:
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         if not self.families:
             return [UNKNOWN] * len(x), np.zeros(len(x))
-        x = np.hstack((x, np.ones((len(x), 1))))
-        near = x @ self.top.T
+        near = x @ self.top[:, :-1].T + self.top[:, -1]
         fam = near.argmax(1)
         sure = np.exp(2 * (near - near.max(1, keepdims=True)))
         sure = 1 / sure.sum(1)
@@ -128,7 +126,8 @@ class Model:
             votes = np.zeros((len(rows), len(members)))
             for i, a in enumerate(members):
                 for j in range(i + 1, len(members)):
-                    p = 1 / (1 + np.exp(-2 * (x[rows] @ self.pairs[f, a, members[j]])))
+                    w = self.pairs[f, a, members[j]]
+                    p = 1 / (1 + np.exp(-2 * (x[rows] @ w[:-1] + w[-1])))
                     votes[:, i] += (p >= 0.5) + p * 1e-3
                     votes[:, j] += (p < 0.5) + (1 - p) * 1e-3
                     sure[rows] *= np.maximum(p, 1 - p) ** (1 / max(1, len(members) - 1))
