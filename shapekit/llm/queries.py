@@ -70,4 +70,83 @@ QUERIES = {
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLE: dict[str, str] = {}
+
+# ---- SQL of the operators that SQL can express ---------------------------------------------
+
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"list_filter(string_split_regex({x}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+_ALNUM = r"regexp_extract_all({x}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+# smallest node reachable over link(a, b), both directions listed
+_REACH = "reach(node, r) AS (SELECT a, b FROM link UNION SELECT reach.node, link.b FROM reach JOIN link ON link.a = reach.r)"
+
+_OP2 = f"""
+WITH w AS (SELECT doc_id, {_SPACED.format(x="coalesce(text, '')")} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+early AS (SELECT g, min(doc_id) AS f FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, i + o AS p FROM win JOIN early USING (g), range(0, 13) t(o) WHERE f < doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k
+         FROM (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS x FROM w) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+_OP4 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_SPACED.format(x=_LOW)} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM both JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
+{_REACH}
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(doc_id, (SELECT min(r) FROM reach WHERE node = doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id)""".replace("both AS", "pair AS").replace("FROM both", "FROM pair")
+
+
+def _spans_sql(order: int, rule: secrets.Rule) -> str:
+    """Spans of one rule: lengths of the pieces between matches and of the matches, summed up."""
+    re_ = rule.regex.replace("'", "''")
+    return f"""list_filter(list_transform(range(1, len(regexp_extract_all(t, '{re_}')) + 1), lambda i: {{
+      'start': (length(array_to_string(string_split_regex(t, '{re_}')[1:i], '')) + length(array_to_string(regexp_extract_all(t, '{re_}')[1:i - 1], '')))::INT,
+      'ord': {order}, 'len': length(regexp_extract_all(t, '{re_}')[i])::INT, 'test': length(regexp_extract_all(t, '{re_}', {rule.group})[i])::INT,
+      'kind': '{rule.kind}'}}), lambda s: s.test >= {rule.least})"""
+
+
+_TOLD = "array_to_string(list_transform({x}, lambda y: concat(y.kind, ':', y.start, ':', y.start + y.len)), ',')"
+_OP5 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+q AS (SELECT doc_id, list_sort(flatten([{', '.join(_spans_sql(k, r) for k, r in enumerate(secrets.RULES))}])) AS found FROM d)
+SELECT doc_id, len(list_filter(found, lambda x: x.ord = 0))::BIGINT AS n_assign, len(list_filter(found, lambda x: x.ord = 1))::BIGINT AS n_access,
+  len(list_filter(found, lambda x: x.ord = 2))::BIGINT AS n_hex, sha256({_TOLD.format(x="list_filter(found, lambda x: x.ord < 3)")}) AS base_sha256,
+  {_TOLD.format(x="found")} AS spans FROM q"""
+
+_OP7 = f"""
+WITH w AS (SELECT doc_id, {_ALNUM.format(x=_LOW)} AS ws FROM documents),
+b AS (SELECT item_id, ws, least(10, len(ws)) AS k FROM (SELECT item_id, {_ALNUM.format(x=_LOW)} AS ws FROM benchmark) WHERE len(ws) > 0),
+bw AS (SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(ws) - k + 2)) AS i FROM b)),
+dw AS (SELECT doc_id, i, k, array_to_string(ws[i:i + k - 1], ' ') AS g
+       FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT DISTINCT k FROM bw))),
+h AS (SELECT doc_id, i, k, item_id FROM dw JOIN bw USING (k, g)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM h) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n, string_agg(v, ',' ORDER BY v) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS v FROM h) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(it.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
+
+_OP9 = f"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y ON len(x.e) = len(y.e) AND x.vec_id <> y.vec_id
+         WHERE list_cosine_similarity(x.e, y.e) >= 0.95),
+{_REACH}
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, r) AS component_id, vec_id = least(vec_id, r) AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) l ON l.a = vec_id
+LEFT JOIN (SELECT node, min(r) AS r FROM reach GROUP BY node) c ON c.node = vec_id"""
+
+ORACLE: dict[str, str] = {
+    "op2_substring_dedup": _OP2,
+    "op4_ngram_jaccard_join": _OP4,
+    "op5_secret_scan": _OP5,
+    "op7_decontamination": _OP7,
+    "op9_embedding_near_dedup": _OP9,
+}
