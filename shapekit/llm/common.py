@@ -167,7 +167,7 @@ def int64(col: pa.Array) -> np.ndarray:
 
 #: rows looked at for heavy keys, and how often a key must occur among them
 HEAVY_SAMPLE = 1_000_000
-HEAVY_SEEN = 200
+HEAVY_SEEN = 1000
 SALTS = 64
 
 
