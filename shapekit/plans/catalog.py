@@ -69,7 +69,7 @@ def q_validate_lenient(spark, sf_dir):
 
 @query("lenient_project")
 def q_lenient_project(spark, sf_dir):
-    v = V.validate_lenient(_answers(spark, sf_dir)).filter("ok")
+    v = V.validate_lenient(_answers(spark, sf_dir).select("idx", "raw"), outputs=("ok", "output")).filter("ok")
     return v.select("idx", F.col("output.title").alias("title"),
                     F.array_join("output.ingredients", "|").alias("ingredients"),
                     F.array_join("output.steps", "|").alias("steps"))
@@ -89,7 +89,7 @@ def q_validate_api(spark, sf_dir):
 
 @query("coerce_list")
 def q_coerce_list(spark, sf_dir):
-    v = V.validate_api(_answers(spark, sf_dir)).filter("ok")
+    v = V.validate_api(_answers(spark, sf_dir).select("idx", "raw"), outputs=("ok", "output", "coerced")).filter("ok")
     return v.select("idx", F.col("output.title").alias("title"),
                     F.array_join("output.ingredients", "|").alias("ingredients"),
                     F.array_join("output.steps", "|").alias("steps"), "coerced")
@@ -111,7 +111,7 @@ def q_quarantine(spark, sf_dir):
 
 @query("inline_errors")
 def q_inline_errors(spark, sf_dir):
-    v = V.inline_errors(V.validate_api(_answers(spark, sf_dir)))
+    v = V.inline_errors(V.validate_api(_answers(spark, sf_dir).select("idx", "raw"), outputs=("ok", "reason", "output")))
     return v.select("idx", F.col("output.title").alias("title"),
                     F.size("output.ingredients").cast("bigint").alias("n_ingredients"),
                     "error", "index")
@@ -585,7 +585,7 @@ def q_compare_runs(spark, sf_dir):
 
 @query("gold_score")
 def q_gold_score(spark, sf_dir):
-    v = _runs(spark, sf_dir, "before", V.LENIENT).filter("ok")
+    v = _runs(spark, sf_dir, "before", V.LENIENT, outputs=("ok", "output")).filter("ok")
     return AU.score_against_gold(v, derived.gold_objects(spark, sf_dir))
 
 
@@ -599,7 +599,7 @@ def q_input_drift(spark, sf_dir):
 
 @query("grounding")
 def q_grounding(spark, sf_dir):
-    v = _runs(spark, sf_dir, "before", V.LENIENT).filter("ok")
+    v = _runs(spark, sf_dir, "before", V.LENIENT, outputs=("ok", "output")).filter("ok")
     prompts = derived.phase_runs(spark, sf_dir).filter(F.col("phase") == "before")
     return AU.grounding(v, prompts)
 
@@ -623,13 +623,13 @@ def q_rank_improvement(spark, sf_dir):
 
 @query("field_stats")
 def q_field_stats(spark, sf_dir):
-    return AU.field_stats(_runs(spark, sf_dir, "before", V.LENIENT).filter("ok"))
+    return AU.field_stats(_runs(spark, sf_dir, "before", V.LENIENT, outputs=("ok", "output")).filter("ok"))
 
 
 @query("title_match")
 def q_title_match(spark, sf_dir):
-    a = _runs(spark, sf_dir, "before", V.LENIENT).filter("ok")
-    b = _runs(spark, sf_dir, "after", V.LENIENT).filter("ok")
+    a = _runs(spark, sf_dir, "before", V.LENIENT, outputs=("ok", "output")).filter("ok")
+    b = _runs(spark, sf_dir, "after", V.LENIENT, outputs=("ok", "output")).filter("ok")
     return AU.title_overlap(a, b)
 
 
