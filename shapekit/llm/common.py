@@ -28,7 +28,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: text bytes handled by one numpy step (a longer single document is one step)
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 STEP_DOCS = 4096
 
 _U = np.uint64

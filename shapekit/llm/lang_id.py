@@ -6,12 +6,14 @@ byte 1- to 4-grams of the whole text (ASCII letters folded, runs of other ASCII
 and scaled to length one.
 
 Training reads a bounded sample of labelled documents (about ``PER_LANGUAGE`` of each
-language, chosen by hash among those not held out) on the driver; scoring is one
+language, chosen by hash among those not held out) in one task; scoring is one
 pass over the documents.
 """
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -189,14 +191,21 @@ def train(spark: SparkSession, docs: DataFrame, per_language: int = PER_LANGUAGE
         return Model(np.zeros((0, FEATURES)), [])
     place = F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(1 << 20))
     share = F.create_map(*(v for r in count for v in (F.lit(r["lang"]), F.lit(min(1 << 20, max(1, (per_language << 20) // r["count"]))))))
-    rows = labelled.where(place < share[F.col("lang")]).select("doc_id", "text", "lang").toArrow().sort_by("doc_id")
-    x, langs = [], []
-    col, names = rows["text"].combine_chunks(), rows["lang"].to_pylist()
-    for a, b, data, off in _steps(col if isinstance(col, pa.Array) else pa.array([], pa.string())):
-        f, ok = features(data, off), has_letter(data, off)
-        x.append(f[ok])
-        langs += [v for v, k in zip(names[a:b], ok, strict=True) if k]
-    return Model(np.concatenate(x) if x else np.zeros((0, FEATURES)), langs)
+    sample = labelled.where(place < share[F.col("lang")]).select("doc_id", "text", "lang")
+
+    def fit(batches):
+        x, langs = [], []
+        for batch in batches:
+            names = C.column(batch, "lang").to_pylist()
+            for i, j, data, off in _steps(C.column(batch, "text")):
+                ok = has_letter(data, off)
+                x.append(features(data, off)[ok])
+                langs += [v for v, k in zip(names[i:j], ok, strict=True) if k]
+        model = Model(np.concatenate(x), langs) if langs else Model(np.zeros((0, FEATURES)), [])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    fitted = sample.repartition(1).sortWithinPartitions("doc_id", "text", "lang").mapInArrow(fit, "model binary").first()
+    return pickle.loads(fitted["model"]) if fitted else Model(np.zeros((0, FEATURES)), [])
 
 
 def known_language(spark: SparkSession, docs: DataFrame, model: Model | None = None) -> DataFrame:

@@ -36,7 +36,7 @@ DICT_BYTES = 8 << 20
 DICT_SIZE = 64 << 10
 LEVEL = 3
 #: pieces a worker remembers, and pieces encoded as one text
-KNOWN_PIECES = 1_500_000
+KNOWN_PIECES = 600_000
 JOINED = 256
 CHUNK_BYTES = 4 << 20
 PART_BYTES = 16 << 20
@@ -179,26 +179,32 @@ NAMES = [c.split()[0] for c in CHUNKS.split(", ")]
 TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary()]
 
 
+def _train(path: str):
+    def run(batches):
+        samples, size = [], 0
+        for batch in batches:
+            for _, _, data, at in C.text_steps(C.column(batch, "text")):
+                ids, off = Encoder.of(path).encode(data, at)
+                for a, b in zip(off[:-1], off[1:], strict=True):
+                    if size + 4 * (b - a) <= DICT_BYTES:
+                        samples.append(ids[a:b].astype("<u4").tobytes())
+                        size += 4 * (b - a)
+        try:
+            trained = zstandard.train_dictionary(DICT_SIZE, samples).as_bytes() if len(samples) >= 16 else b""
+        except zstandard.ZstdError:  # samples too few or too alike for a dictionary
+            trained = b""
+        yield pa.RecordBatch.from_arrays([pa.array([trained], pa.binary())], names=["dictionary"])
+    return run
+
+
 def train_dictionary(docs: DataFrame, path: str, n: int) -> bytes:
-    """Dictionary from the id arrays of a bounded hash sample; empty if the sample is too small."""
+    """Dictionary from the id arrays of a bounded hash sample, trained in one task; empty if
+    the sample is too small."""
     share = min(1 << 20, max(1, (DICT_DOCS << 20) // max(n, 1)))
-    rows = (docs.where((F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 20)) < share) & (F.octet_length("text") > 0))
-            .orderBy(F.xxhash64("doc_id", F.lit(9)), "text").limit(DICT_DOCS).select("text").toLocalIterator())
-    texts, size = [], 0
-    for r in rows:
-        if size + 2 * len(r.text) <= DICT_BYTES:
-            texts.append(r.text)
-            size += 2 * len(r.text)
-    if len(texts) < 16:
-        return b""
-    samples = []
-    for _, _, data, at in C.text_steps(pa.array(texts, pa.string())):
-        ids, off = Encoder.of(path).encode(data, at)
-        samples += [ids[a:b].astype("<u4").tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]
-    try:
-        return zstandard.train_dictionary(DICT_SIZE, samples).as_bytes()
-    except zstandard.ZstdError:  # samples too few or too alike for a dictionary
-        return b""
+    sample = (docs.where((F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 20)) < share) & (F.octet_length("text") > 0))
+              .orderBy(F.xxhash64("doc_id", F.lit(9)), "text").limit(DICT_DOCS).select("text"))
+    trained = sample.mapInArrow(_train(path), "dictionary binary").agg(F.max("dictionary")).first()[0]
+    return bytes(trained or b"")
 
 
 def write(spark: SparkSession, docs: DataFrame, tokenizer: str, out: str) -> None:
