@@ -186,11 +186,19 @@ def mix_summary(spark: SparkSession, docs: DataFrame, **kw) -> DataFrame:
             .select("d.doc_id", "d.size", "d.source_size", "d.target", F.coalesce("k.taken", F.lit(0)).cast("long").alias("taken")))
 
 
+#: words of one output file; a shard with more has several
+FILE_WORDS = 10_000_000
+
+
 def mixed_documents(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, **kw) -> DataFrame:
     """The mix as rows of ``docs``, one per copy taken, all columns unchanged; shard by shard, shuffled inside.
+    A large shard is dealt over files by the shuffled place, so no task holds more than about ``FILE_WORDS``.
     A source's last document is taken whole if at least half of it is wanted.  Documents without words are not taken."""
-    draws, _ = mix(spark, docs, shards=shards, **kw)
+    draws, sized = mix(spark, docs, shards=shards, **kw)
+    words = sized.agg(F.sum("size")).first()[0] or 0
+    files = max(1, -(-words // (shards * FILE_WORDS)))
     d = draws.where("2 * words >= size").select("doc_id", "source", "epoch", "shard", "place").distinct().alias("m")
     rows = docs.alias("d").join(d, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source")))
-    return (rows.select(F.struct("d.*").alias("row"), F.col("m.shard").alias("shard"), F.col("m.place").alias("place"))
-            .repartitionById(shards, "shard").sortWithinPartitions("place").select("row.*"))
+    part = (F.col("m.shard") * files + F.pmod(F.col("m.place"), F.lit(files))).cast("int")
+    return (rows.select(F.struct("d.*").alias("row"), part.alias("part"), F.col("m.place").alias("place"))
+            .repartitionById(shards * files, "part").sortWithinPartitions("place").select("row.*"))
