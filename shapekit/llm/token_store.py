@@ -36,7 +36,7 @@ DICT_BYTES = 8 << 20
 DICT_SIZE = 64 << 10
 LEVEL = 3
 #: pieces a worker remembers, and pieces encoded as one text
-KNOWN_PIECES = 600_000
+KNOWN_PIECES = 1_200_000
 JOINED = 256
 CHUNK_BYTES = 4 << 20
 PART_BYTES = 16 << 20
@@ -63,6 +63,7 @@ class Encoder:
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values(), default=0) + 1, bool)
         self.opens[[i for v, i in vocab.items() if v.startswith("\u0120")]] = True  # the blank's sign in byte-level vocabularies
+        self.kind = np.uint16 if len(self.opens) <= 1 << 16 else np.uint32
         self._forget()
 
     @classmethod
@@ -73,15 +74,15 @@ class Encoder:
 
     def _forget(self):
         self.hash = np.zeros(0, np.uint64)  # sorted; start and size go with it
-        self.start = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.start = np.zeros(0, np.int32)
+        self.size = np.zeros(0, np.int32)
+        self.flat = np.zeros(0, self.kind)
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts end to end, and how many each has."""
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        return (np.concatenate([np.array(x, np.uint32) for x in ids]) if ids else np.zeros(0, np.uint32)), size
+        return (np.concatenate([np.array(x, self.kind) for x in ids]) if ids else np.zeros(0, self.kind)), size
 
     def _learn(self, hashes: np.ndarray, pieces: list[str]):
         """Add pieces that are not known."""
@@ -104,11 +105,13 @@ class Encoder:
         sizes.append(size)
         orders.append(rest)
         size, order = np.concatenate(sizes), np.concatenate(orders)
-        start = len(self.flat) + np.cumsum(size) - size
+        start = (len(self.flat) + np.cumsum(size) - size).astype(np.int32)
         self.flat = np.concatenate((self.flat, *flats))
-        hashes = np.concatenate((self.hash, hashes[order]))
-        o = np.argsort(hashes, kind="stable")
-        self.hash, self.start, self.size = hashes[o], np.concatenate((self.start, start))[o], np.concatenate((self.size, size))[o]
+        hashes = hashes[order]
+        o = np.argsort(hashes)
+        place = np.searchsorted(self.hash, hashes[o])
+        self.hash, self.start, self.size = (
+            np.insert(old, place, new[o]) for old, new in ((self.hash, hashes), (self.start, start), (self.size, size.astype(np.int32))))
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)`` of the documents of a step, ``END`` after each."""
@@ -133,9 +136,9 @@ class Encoder:
         at = np.searchsorted(self.hash, h)[which]
         size = self.size[at]
         total = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
-        ids = self.flat[np.repeat(self.start[at] - total[:-1], size) + np.arange(total[-1])]
+        ids = self.flat[np.repeat(self.start[at] - total[:-1], size) + np.arange(total[-1])]  # one gather for the step
         last = total[np.searchsorted(start, off[1:])]
-        return np.insert(ids, last, END), np.concatenate((np.zeros(1, np.int64), last + np.arange(1, docs + 1)))
+        return np.insert(ids, last, END).astype(np.uint32), np.concatenate((np.zeros(1, np.int64), last + np.arange(1, docs + 1)))
 
 
 def _write(path: str, dictionary: bytes, sha: str):
