@@ -50,6 +50,8 @@ RULES = BASE + EXTRA
 
 #: alternatives kept for one literal run; a wider choice ends the run
 WIDEST = 32
+#: trigrams asked of one literal, spread over it (fewer ask less and still lose no match)
+ASKED = 4
 
 
 def literal_runs(regex: str) -> list[set[str]]:
@@ -87,7 +89,7 @@ def literal_runs(regex: str) -> list[set[str]]:
             elif name in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
                 low, high, body = arg
                 exact = _exact([body]) if int(high) <= 2 else None
-                if exact is None:
+                if exact is None or low == 0 and len(exact) > 1:  # an optional choice tells little
                     end()
                 else:
                     add({"".join(p) for n in range(low, int(high) + 1) for p in _power(exact, n)})
@@ -140,15 +142,21 @@ def trigram_query(regex: str) -> list[list[list[str]]]:
     clauses = []
     for run in literal_runs(regex):
         if all(len(s) >= 3 for s in run):
-            clauses.append(sorted(sorted({s[k:k + 3] for k in range(len(s) - 2)}) for s in run))
+            clauses.append(sorted(sorted({s[k:k + 3] for k in _spread(len(s) - 2)}) for s in run))
     return clauses
 
 
+def _spread(places: int) -> list[int]:
+    """At most ``ASKED`` of the places, first and last included."""
+    return [k * (places - 1) // (ASKED - 1) for k in range(ASKED)] if places > ASKED else list(range(places))
+
+
 def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
     """Index rows ``(gram, doc_id)`` of the asked trigrams."""
-    low = F.lower("text")
-    held = F.array_compact(F.array(*(F.when(F.contains(low, F.lit(g)), F.lit(g)) for g in grams)))
-    return docs.select("doc_id", F.explode(held).alias("gram")).select("gram", "doc_id")
+    held = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams)))
+    folded = docs.select("doc_id", F.lower("text").alias("low"))  # a column of its own: folded once, not once a trigram
+    # the outer form, since Spark would test an inner one's array in a filter of its own, computed twice over
+    return folded.select("doc_id", held.alias("held")).select(F.explode_outer("held").alias("gram"), "doc_id").where("gram is not null")
 
 
 def candidates(spark: SparkSession, index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
