@@ -105,7 +105,8 @@ FROM w LEFT JOIN n USING (doc_id)""".replace("both AS", "pair AS").replace("FROM
 
 def _spans_sql(order: int, rule: secrets.Rule) -> str:
     """Spans of one rule: lengths of the pieces between matches and of the matches, summed up."""
-    re_ = rule.regex.replace("'", "''")
+    # short hex runs cannot pass the length test, so the length is asked for at once
+    re_ = rule.regex.replace("'", "''") if rule.kind != "hex" else f"[0-9a-f]{{{rule.least},}}"
     return f"""list_filter(list_transform(range(1, len(regexp_extract_all(t, '{re_}')) + 1), lambda i: {{
       'start': (length(array_to_string(string_split_regex(t, '{re_}')[1:i], '')) + length(array_to_string(regexp_extract_all(t, '{re_}')[1:i - 1], '')))::INT,
       'ord': {order}, 'len': length(regexp_extract_all(t, '{re_}')[i])::INT, 'test': length(regexp_extract_all(t, '{re_}', {rule.group})[i])::INT,
