@@ -9,7 +9,7 @@ words.  Rules are ordered; the order is the priority:
 4. names with a version, then bare names,
 5. the base phrases.
 
-A document runs the rules only if it holds a stem common to all of them, and each
+A document runs the rules only if it holds one of the stems that every rule needs, and each
 rule only if its own keyword is there.  Of the detections, by start and then widest first, one is
 suppressed if a kept detection of the same or higher priority contains its interval.
 Base phrases are counted before suppression.  Everything is one projection over
@@ -101,8 +101,9 @@ GRANTS = (
     ("proprietary", "(?:proprietary and )?confidential and proprietary", "proprietary"),
 )
 
-#: every rule holds one of these
-STEMS = ("licen", "spdx", "permission", "redistribution", "public domain", "free software", "unencumbered", "implied", "reserved", "proprietary", "mozilla")
+#: every rule holds one of these, or VERBS and "under"; parts of single words, so that any gap between words may follow
+STEMS = ("licen", "spdx", "permission", "redistribution", "unencumbered", "implied", "domain", "reserved", "proprietary", "mozilla")
+VERBS = ("released", "distributed", "available")
 LICENSE = "licen[cs]es?"
 
 
@@ -168,10 +169,13 @@ def detect(spark: SparkSession, docs: DataFrame, rules: list[Signature] | None =
     intervals keep the rule of higher priority.  Empty input: empty result.  Other columns are ignored.
     """
     C.prepare(spark)
+    low = F.lower("text")
+    holds = lambda *parts: _any([F.contains(low, F.lit(s)) for s in parts])
+    # the stems are those of the own rules; other rules go by their keywords alone
+    gate = holds(*STEMS) | holds("under") & holds(*VERBS) if rules is None else F.lit(bool(rules)) & F.col("text").isNotNull()
     rules = signatures() if rules is None else rules
     text = F.coalesce("text", F.lit(""))
-    low = F.lower("text")
-    gate = F.coalesce(F.lit(False) if not rules else _any([F.contains(low, F.lit(s)) for s in STEMS]), F.lit(False))
+    gate = F.coalesce(gate, F.lit(False))
     folded = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate("text", UPPER, LOWER), GAP, " ")), F.lit(" "))
     out = docs.select("doc_id", F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.when(gate, folded).alias("folded"))
     mine = F.filter(_rules(rules), lambda r: F.contains(F.col("folded"), r["keyword"]))
