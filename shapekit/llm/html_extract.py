@@ -5,8 +5,10 @@ innermost block element).  Per path, the page's text length and punctuation are
 summed and divided by its number of blocks.  The two ratios, smoothed over
 neighbouring blocks and fused (their product, less link text), are held against a
 threshold of the page; paths above it hold content.  The article is the smallest element that
-holds the content blocks (or the ``article`` or ``main`` that holds most of them), and all of its blocks are
-kept, short ones too, except those in elements that are no article text by tag, role or class.
+holds the content blocks (or every ``article`` and ``main`` with such blocks, if these hold most of them), with the
+headings before it.  All of its blocks are kept, short ones too, except those in elements that are no
+article text by tag, role or class.  A form or an element with such a class or id goes only after
+scoring, if it holds less of the page's content than the text outside of such elements.
 
 Pages are independent, so the work is one pass without a shuffle.
 """
@@ -44,38 +46,60 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: containers that such an implied end does not cross
 SCOPE = frozenset("table ul ol dl div article section main body html blockquote td th select".split())
 #: Elements, roles and class or id words of what is not article text.
-NOT_TEXT = frozenset("nav footer aside form button select menu dialog".split())
-ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert alertdialog menu menubar toolbar".split())
+NOT_TEXT = frozenset("nav footer aside button select menu dialog".split())
+ROLES = frozenset("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar toolbar".split())
 WORDS = frozenset("""ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist
 consent cookie cookies copyright disqus footer gdpr legal login masthead menu modal nav navbar navigation newsletter notice notices
 notification notifications pager pagination paywall popup promo promos promoted promotion recommended related reply replies respond
 share sharing sidebar sidebars signup social sponsor sponsored sponsors subscribe subscription toolbar widget widgets""".split())
 
 
-def _no_text(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element is menu, header, footer, sidebar, notice, advert, form or comment."""
-    if tag in NOT_TEXT or tag == "header" and not in_article:
-        return True
+#: of these, what readers wrote
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: class names that tell of the page around them ("has-sidebar", "comments-open")
+STATE = re.compile(r"(?:has|no|with|without)[-_]\S*|\S*[-_](?:open|opened|closed|enabled|disabled)")
+WHOLE = frozenset("html body main article".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: marks of an element: article text, perhaps not, perhaps comments, not article text
+TEXT, MAYBE, READERS, NO_TEXT = range(4)
+
+
+def _mark(tag: str, attrs: str, in_box: bool, in_article: bool) -> int:
+    """Whether an element is menu, header, footer, sidebar, notice or advert (``NO_TEXT``), or
+    by its class, its id or as a form could be (``MAYBE``, ``READERS``)."""
+    if tag in NOT_TEXT or tag == "header" and not in_box:
+        return NO_TEXT
+    mark = MAYBE if tag == "form" else TEXT
     if "=" not in attrs and "hidden" not in attrs:
-        return False
+        return mark
     for m in ATTRIBUTE.finditer(attrs):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name in ("class", "id"):
-            words = set(re.split(r"[^a-z0-9]+", value))
-            if words & WORDS or "header" in words and not in_article and not words & {"article", "entry", "post", "content", "story"}:
-                return True
+            words = {w for v in value.split() if not STATE.fullmatch(v) for w in re.split(r"[^a-z0-9]+", v)}
+            if tag in WHOLE:  # only an article inside of an article is a comment by its class
+                if tag == "article" and in_article and words & COMMENTS:
+                    return NO_TEXT
+            elif words & COMMENTS:
+                mark = READERS
+            elif words & WORDS or "header" in words and not in_box and not words & {"article", "entry", "post", "content", "story"}:
+                mark = max(mark, MAYBE)
+        elif name == "role" and value == "form":
+            mark = max(mark, MAYBE)
         elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return NO_TEXT
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return NO_TEXT
+    return mark
+
 
+Block = tuple[str, str, tuple[int, ...], int, int, tuple[tuple[int, int], ...]]
 
-def blocks(html: str) -> list[tuple[str, str, tuple[int, ...], int, int]]:
-    """Text blocks outside of non-article elements: (text, tag path, element ids from
-    the root, link characters, id of the enclosing ``article`` or 0)."""
+
+def blocks(html: str) -> list[Block]:
+    """Text blocks outside of non-article elements: (text, tag path, element ids from the root, link
+    characters, id of the enclosing ``article`` or 0, (id, mark) of the elements that may be no article text)."""
     out: list = []
-    stack: list = [("", 0, False, False, 0)]  # tag, id, not text, inline, article id
+    stack: list = [("", 0, False, False, 0, ())]  # tag, id, not text, inline, article id, marked elements
     run: list[str] = []
     linked = 0
     number = 0
@@ -88,7 +112,7 @@ def blocks(html: str) -> list[tuple[str, str, tuple[int, ...], int, int]]:
             run.clear()
             if text and not stack[-1][2]:
                 boxes = [e for e in stack[1:] if not e[3]]
-                out.append((text, "/".join(e[0] for e in boxes), tuple(e[1] for e in boxes), linked, stack[-1][4]))
+                out.append((text, "/".join(e[0] for e in boxes), tuple(e[1] for e in boxes), linked, *stack[-1][4:]))
         linked = 0
 
     def text_until(stop: int):
@@ -143,20 +167,21 @@ def blocks(html: str) -> list[tuple[str, str, tuple[int, ...], int, int]]:
                     break
         number += 1
         top = stack[-1]
-        if tag == "article" and not any(e[0] == "article" for e in stack) or tag == "main" and not top[4]:
+        inner = any(e[0] == "article" for e in stack)
+        if tag == "article" and not inner or tag == "main" and not top[4]:
             article = number
         else:
             article = top[4]
-        stack.append((tag, number, top[2] or _no_text(tag, attrs, bool(top[4])), inline, article))
+        mark = _mark(tag, attrs, bool(top[4]), inner)
+        marked = (*top[5], (number, mark)) if mark in (MAYBE, READERS) else top[5]
+        stack.append((tag, number, top[2] or mark == NO_TEXT, inline, article, marked))
     text_until(len(html))
     flush()
     return out
 
 
-def content(found: list[tuple[str, str, tuple[int, ...], int, int]]) -> list[str]:
-    """The blocks of the article."""
-    if not found:
-        return []
+def _weights(found: list[Block]) -> tuple[np.ndarray, np.ndarray]:
+    """Which blocks are on paths that hold content, and the text they weigh."""
     paths = {p: k for k, p in enumerate(dict.fromkeys(b[1] for b in found))}
     of = np.array([paths[b[1]] for b in found])
     chars = np.array([len(b[0]) - min(len(b[0]), b[3]) for b in found], float)
@@ -170,24 +195,77 @@ def content(found: list[tuple[str, str, tuple[int, ...], int, int]]) -> list[str
     good = (by_path >= THRESHOLD * by_path.max())[of] & (text_ratio > 0)
     if not good.any():
         good[:] = True
-    weight = np.where(good, chars + 1, 0)
-    articles: dict[int, float] = {}
-    for b, w in zip(found, weight, strict=True):
-        if b[4]:
-            articles[b[4]] = articles.get(b[4], 0) + w
-    best = max(articles, key=articles.get, default=0)
-    if best and 2 * articles[best] >= weight.sum():
-        return [b[0] for b in found if b[4] == best]
-    chains = [b[2] for b, g in zip(found, good, strict=True) if g]
+    return good, np.where(good, chars + 1, 0)
+
+
+def _without(found: list[Block], gone: set[int]) -> list[Block]:
+    return [b for b in found if not any(e in gone for e, _ in b[5])]
+
+
+def _holders(found: list[Block], marks: tuple[int, ...]) -> dict[int, list[int]]:
+    """The marked elements, outer ones first, with the places of their blocks."""
+    out: dict[int, list[int]] = {}
+    for k, b in enumerate(found):
+        for e, m in b[5]:
+            if m in marks:
+                out.setdefault(e, []).append(k)
+    return dict(sorted(out.items()))
+
+
+def unmarked(found: list[Block]) -> list[Block]:
+    """The blocks without those of marked elements, except of elements that hold the page's content."""
+    if not any(b[5] for b in found):
+        return found
+    by_readers = lambda b: any(m == READERS for _, m in b[5])
+    own = [b for b in found if not by_readers(b)]
+    if holders := _holders(own, (MAYBE,)):
+        _, weight = _weights(own)
+        open_ = [len(b[5]) for b in own]  # marked elements around a block that are not kept yet
+        rest = sum(w for w, n in zip(weight, open_, strict=True) if not n)
+        gone = set()
+        for e, places in holders.items():
+            held = weight[places].sum()
+            if not held or held < rest:
+                gone.add(e)
+                continue
+            for k in places:
+                open_[k] -= 1
+                rest += 0 if open_[k] else weight[k]
+        found = _without(found, gone)
+    if own and (holders := _holders(found, (READERS,))):
+        _, weight = _weights(found)
+        before = np.cumsum([0 if by_readers(b) or b[1].split("/")[-1] in HEADINGS else w for b, w in zip(found, weight, strict=True)])
+        found = _without(found, {e for e, places in holders.items() if before[places[0]] and before[places[0]] >= THRESHOLD * weight[places].sum()})
+    return found
+
+
+def content(found: list[Block]) -> list[str]:
+    """The blocks of the article."""
+    found = unmarked(found)
+    if not found:
+        return []
+    good, weight = _weights(found)
+    boxed = np.array([b[4] > 0 for b in found])
+    if 2 * weight[boxed].sum() >= weight.sum():  # every article and main that holds content
+        chains = [b[2][:b[2].index(b[4]) + 1] for b, g in zip(found, good & boxed, strict=True) if g]
+    else:
+        chains = [b[2] for b, g in zip(found, good, strict=True) if g]
     shared = chains[0]
     for c in chains[1:]:
         k = 0
         while k < min(len(shared), len(c)) and shared[k] == c[k]:
             k += 1
         shared = shared[:k]
-    if any(c == shared for c in chains):  # one block: its neighbours belong to the text
-        shared = shared[:-1]
-    return [b[0] for b in found if b[2][:len(shared)] == shared]
+    if any(b[2] == shared for b, g in zip(found, good, strict=True) if g) and not any(b[4] and b[4] in shared for b in found):
+        shared = shared[:-1]  # one block: its neighbours belong to the text
+    inside = [b[2][:len(shared)] == shared for b in found]
+    first = start = inside.index(True)
+    for k in range(first - 1, -1, -1):  # headings before it, and the lines between
+        if found[k][3] >= len(found[k][0]):
+            break
+        if found[k][1].split("/")[-1] in HEADINGS:
+            start = k
+    return [b[0] for k, b in enumerate(found) if inside[k] or start <= k < first]
 
 
 def main_text(html: str | None) -> str:
