@@ -166,12 +166,14 @@ def dense_sketch(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out.view(np.int64), at
 
 
-def _first_of_copies(ids: np.ndarray, fp1: np.ndarray, fp2: np.ndarray, h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sets of a step without those that equal the set of a smaller doc_id in it, which need no keys."""
+def _first_of_copies(ids: np.ndarray, null: np.ndarray, fp1: np.ndarray, fp2: np.ndarray, h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of a step without those that equal the set of a smaller doc_id in it and those of
+    null ids, which need no keys."""
     n = np.diff(off)
-    o = np.lexsort((ids, fp2, fp1, n))
+    o = np.lexsort((ids, null, fp2, fp1, n))
     again = np.zeros(len(o), bool)
     again[o[1:]] = (n[o[1:]] == n[o[:-1]]) & (fp1[o[1:]] == fp1[o[:-1]]) & (fp2[o[1:]] == fp2[o[:-1]])
+    again |= null
     kept = np.where(again, 0, n)
     return h[np.repeat(~again, n)], np.concatenate(([0], np.cumsum(kept)))
 
@@ -179,13 +181,13 @@ def _first_of_copies(ids: np.ndarray, fp1: np.ndarray, fp2: np.ndarray, h: np.nd
 def _profile(batches):
     for batch in batches:
         held = C.column(batch, "doc_id")
-        ids = C.int64(held.fill_null(-1))
+        ids, null = C.int64(held.fill_null(-1)), held.is_null().to_numpy(zero_copy_only=False)
         for i, j, h, off in _sets_of(C.column(batch, "text")):
             n = np.diff(off)
             a, b = (np.concatenate((np.zeros(1, np.uint64), np.cumsum(C.mix(h ^ _U(s))))) for s in (0x1234567, 0x7654321ABC))
             a, b = ((x[off[1:]] - x[off[:-1]]).view(np.int64) for x in (a, b))
             sketch, at = dense_sketch(h, off)
-            k, koff = band_keys(*_first_of_copies(ids[i:j], a, b, h, off))
+            k, koff = band_keys(*_first_of_copies(ids[i:j], null[i:j], a, b, h, off))
             yield pa.RecordBatch.from_arrays([
                 held.slice(i, j - i), pa.array(n.astype(np.int64)),
                 pa.array(a), pa.array(b),
