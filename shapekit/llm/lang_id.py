@@ -6,13 +6,16 @@ byte 1- to 4-grams of the whole text (ASCII letters folded, runs of other ASCII
 and scaled to length one.
 
 Training reads a bounded sample of labelled documents (about ``PER_LANGUAGE`` of each
-language, chosen by hash among those not held out) in one task; scoring is one
-pass over the documents.
+language, chosen by hash among those not held out).  Every language is learned, however many there are:
+families and pairs of languages are dealt over tasks, ``FAMILIES_A_TASK`` and ``PAIRS_A_TASK`` to each, so a
+few languages are one task.  Scoring is one pass over the documents.
 """
 
 from __future__ import annotations
 
-import pickle
+import itertools
+import tempfile
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +25,11 @@ from pyspark.sql import functions as F
 from . import common as C
 
 PER_LANGUAGE = 300
-#: languages learned, the most frequent first
-MAX_LANGUAGES = 200
+#: weights fitted by one training task
+FAMILIES_A_TASK = 32
+PAIRS_A_TASK = 256
+#: feature rows a training task holds in memory; more are in a temporary file
+HELD_ROWS = 16384
 FEATURES = 4096
 GRAMS = (1, 2, 3, 4)
 FOLDS = 5
@@ -82,37 +88,55 @@ def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Linear SVM (hinge loss, L2), weights with the bias last; averaged full-batch
-    subgradient steps from zero, each class with equal weight."""
-    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    w = np.zeros(x.shape[1] + 1)
+    """Linear SVMs (hinge loss, L2) of the columns of ``y``, weights with the bias last in each row; averaged
+    full-batch subgradient steps from zero, each class with equal weight."""
+    share = np.where(y > 0, 0.5 / np.maximum((y > 0).sum(0), 1), 0.5 / np.maximum((y < 0).sum(0), 1)).astype(np.float32)
+    y = y.astype(np.float32)
+    w = np.zeros((x.shape[1] + 1, y.shape[1]))
     total = np.zeros_like(w)
     for t in range(1, EPOCHS + 1):
-        push = np.where(y * (x @ w[:-1].astype(np.float32) + w[-1]) < 1, share * y, 0)
-        w = w - (LAMBDA * w - np.append(push.astype(np.float32) @ x, push.sum())) / (LAMBDA * (t + 10))
-        norm = np.sqrt(w @ w) * np.sqrt(LAMBDA)
-        if norm > 1:
-            w = w / norm
+        step = np.zeros_like(w)
+        low = w[:-1].astype(np.float32)
+        for i in range(0, len(x), HELD_ROWS):
+            j = i + HELD_ROWS
+            push = np.where(y[i:j] * (x[i:j] @ low + w[-1]) < 1, share[i:j] * y[i:j], np.float32(0))
+            step[:-1] += x[i:j].T @ push
+            step[-1] += push.sum(0)
+        w = w - (LAMBDA * w - step) / (LAMBDA * (t + 10))
+        w = w / np.maximum(np.sqrt((w * w).sum(0)) * np.sqrt(LAMBDA), 1)
         if t > EPOCHS // 2:
             total += w
-    return total / (EPOCHS - EPOCHS // 2)
+    return (total / (EPOCHS - EPOCHS // 2)).T
+
+
+def fit(x: np.ndarray, langs: list[str], families: Iterable[str], pairs: Iterable[tuple[str, str]]):
+    """``(a, b, weights)`` of the families (b null) and pairs named, as far as there are rows of them."""
+    lang = sorted(set(langs))
+    place = {v: k for k, v in enumerate(lang)}
+    of = np.array([place[v] for v in langs])
+    fam = np.array([family(v) for v in lang], object)
+    mine = sorted(set(families) & set(fam))
+    if mine:
+        y = np.stack([np.where((fam == f)[of], 1, -1).astype(np.int8) for f in mine], 1)
+        for f, w in zip(mine, svm(x, y), strict=True):
+            yield f, None, w
+    for a, b in pairs:
+        if a in place and b in place:
+            rows = np.flatnonzero((of == place[a]) | (of == place[b]))
+            yield a, b, svm(x[rows], np.where(of[rows] == place[a], 1, -1)[:, None])[0]
 
 
 class Model:
     """Family weights (one against the rest) and one-versus-one weights within each family."""
 
-    def __init__(self, x: np.ndarray, langs: list[str]):
-        lang = np.array(langs)
-        fam = np.array([family(v) for v in langs])
-        self.families = sorted(set(fam))
-        self.members = {f: sorted(set(lang[fam == f])) for f in self.families}
-        self.top = np.stack([svm(x, np.where(fam == f, 1.0, -1.0)) for f in self.families]) if len(self.families) > 1 else np.zeros((len(self.families), FEATURES + 1))
-        self.pairs = {}
-        for f, members in self.members.items():
-            for i, a in enumerate(members):
-                for b in members[i + 1:]:
-                    rows = (lang == a) | (lang == b)
-                    self.pairs[f, a, b] = svm(x[rows], np.where(lang[rows] == a, 1.0, -1.0))
+    def __init__(self, langs: Iterable[str], weights: dict[tuple[str, str | None], np.ndarray]):
+        langs = sorted(set(langs))
+        self.families = sorted({family(v) for v in langs})
+        self.members: dict[str, list[str]] = {f: [] for f in self.families}
+        for v in langs:
+            self.members[family(v)].append(v)
+        self.top = np.stack([weights[f, None] for f in self.families]) if len(self.families) > 1 else np.zeros((len(self.families), FEATURES + 1))
+        self.pairs = {(family(a), a, b): w for (a, b), w in weights.items() if b is not None}
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         if not self.families:
@@ -186,36 +210,87 @@ def train(spark: SparkSession, docs: DataFrame, per_language: int = PER_LANGUAGE
     """Fit on about ``per_language`` labelled documents of each language that are not held out
     and have a letter."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    count = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    count = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     if not count:
-        return Model(np.zeros((0, FEATURES)), [])
+        return Model([], {})
+    of: dict[str, list[str]] = {}
+    for v in sorted(count):
+        of.setdefault(family(v), []).append(v)
+    families = sorted(of)
+    pairs = [(a, b) for f in families for i, a in enumerate(of[f]) for b in of[f][i + 1:]]
+    cut = lambda v, n: [v[i:i + n] for i in range(0, len(v), n)]
+    if len(families) <= FAMILIES_A_TASK and len(pairs) <= PAIRS_A_TASK:
+        jobs = [(families, pairs)]
+    else:  # the families first, then the pairs; a family's task reads all languages, a pair's task its own
+        jobs = [(f, []) for f in cut(families, FAMILIES_A_TASK)] + [([], p) for p in cut(pairs, PAIRS_A_TASK)]
+    wide = [k for k, (f, _) in enumerate(jobs) if f]
+    needs = {v: set(wide) for v in count}
+    for k, (_, p) in enumerate(jobs):
+        for pair in p:
+            for v in pair:
+                needs[v].add(k)
     place = F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(1 << 20))
-    share = F.create_map(*(v for r in count for v in (F.lit(r["lang"]), F.lit(min(1 << 20, max(1, (per_language << 20) // r["count"]))))))
-    sample = labelled.where(place < share[F.col("lang")]).select("doc_id", "text", "lang")
+    plan = spark.createDataFrame([(v, min(1 << 20, max(1, (per_language << 20) // n)), sorted(needs[v])) for v, n in count.items()],
+                                 "lang string, share long, job array<int>")
+    sample = (labelled.select("doc_id", "text", "lang").join(F.broadcast(plan), "lang").where(place < F.col("share"))
+              .select(F.explode("job").alias("job"), "doc_id", "text", "lang"))
+    held = spark.sparkContext.broadcast(jobs)
+
+    def learn(k, steps):
+        with tempfile.TemporaryFile() as file:
+            langs, x, rows = [], [], 0
+            for names, part in steps:
+                langs += names
+                x.append(part)
+                rows += len(part)
+                if rows > HELD_ROWS and sum(map(len, x)) >= HELD_ROWS:
+                    file.write(np.concatenate(x).tobytes())
+                    x = []
+            if not langs:
+                return
+            if rows > HELD_ROWS:
+                file.write(b"".join(v.tobytes() for v in x))
+                file.flush()
+                x = np.memmap(file, np.float32, "r", shape=(rows, FEATURES))
+            else:
+                x = np.concatenate(x)
+            # a language with rows has a line of its own, so that the model has no other
+            for v in sorted(set(langs)) if k == 0 else ():
+                yield v, "", np.zeros(0)
+            yield from fit(x, langs, *held.value[k])
 
-    def fit(batches):
-        x, langs = [], []
-        for batch in batches:
-            names = C.column(batch, "lang").to_pylist()
-            for i, j, data, off in _steps(C.column(batch, "text")):
-                ok = has_letter(data, off)
-                x.append(features(data, off)[ok])
-                langs += [v for v, k in zip(names[i:j], ok, strict=True) if k]
-        model = Model(np.concatenate(x), langs) if langs else Model(np.zeros((0, FEATURES)), [])
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+    def run(batches):
+        def steps():
+            for batch in batches:
+                job, names = C.int64(C.column(batch, "job")), C.column(batch, "lang").to_pylist()
+                starts = [0, *(np.flatnonzero(np.diff(job)) + 1).tolist(), len(job)]
+                for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+                    for i, j, data, off in _steps(C.column(batch, "text").slice(lo, hi - lo)):
+                        ok = has_letter(data, off)
+                        yield int(job[lo]), ([v for v, k in zip(names[lo + i:lo + j], ok, strict=True) if k], features(data, off)[ok])
+
+        for k, parts in itertools.groupby(steps(), lambda s: s[0]):
+            for a, b, w in learn(k, (s[1] for s in parts)):
+                yield pa.RecordBatch.from_arrays([pa.array([a]), pa.array([b], pa.string()), pa.array([w.astype(np.float64).tobytes()], pa.binary())], names=["a", "b", "w"])
 
-    fitted = sample.repartition(1).sortWithinPartitions("doc_id", "text", "lang").mapInArrow(fit, "model binary").first()
-    return pickle.loads(fitted["model"]) if fitted else Model(np.zeros((0, FEATURES)), [])
+    dealt = sample.repartition(1) if len(jobs) == 1 else sample.repartition(4 * len(jobs), "job")
+    fitted = dealt.sortWithinPartitions("job", "doc_id", "text", "lang").mapInArrow(run, "a string, b string, w binary").collect()
+    return Model([r["a"] for r in fitted if r["b"] == ""], {(r["a"], r["b"]): np.frombuffer(r["w"]) for r in fitted if r["b"] != ""})
 
 
 def known_language(spark: SparkSession, docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """The rows of ``docs`` that are not ``und``, all columns unchanged, in one pass."""
+    """The rows of ``docs`` that are not ``und``, all columns unchanged, in one pass.  With nothing to
+    learn from, the rows whose text holds a letter."""
     C.prepare(spark)
     held = spark.sparkContext.broadcast(train(spark, docs) if model is None else model)
 
     def run(batches):
         for batch in batches:
-            known = [np.array([v != UNKNOWN for v in langs], bool) for langs, _, _, _ in _languages(held.value, C.column(batch, "text"))]
+            text = C.column(batch, "text")
+            if held.value.families:
+                known = [np.array([v != UNKNOWN for v in langs], bool) for langs, _, _, _ in _languages(held.value, text)]
+            else:
+                known = [has_letter(data, off) for _, _, data, off in _steps(text)]
             yield batch.filter(pa.array(np.concatenate(known) if known else [], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
 
