@@ -3,10 +3,9 @@
 Centroids are fitted on a bounded sample (``SAMPLE`` vectors); every vector is then
 assigned.  A vector belongs to the cell of its nearest centroid and also visits each
 cell whose border it is near: vectors of cosine >= 0.95 are at most a chord of
-sqrt(0.1) apart, so the partner of ``y`` can be home in cell ``c`` only if ``y`` lies within the
-chord of the plane between the two centroids.  In ``d`` dimensions a chord's part across a
-given plane is about ``chord / sqrt(d)``; the margin is four times that (never more than
-the chord, where recall is exactly 1; that is the case up to 16 dimensions).
+sqrt(0.1) apart, so of two in different cells one at least lies within half the chord of the
+plane between the two centroids.  That is the margin, and a pair is found if either end visits
+the other's cell: no pair is lost in any dimension.
 
 Cells are compared in blocks of bounded size, home rows against visitors, as
 matrix products in double precision; a cell of any size is only more blocks.  Vectors
@@ -58,7 +57,7 @@ class Cells:
     def __init__(self, by_dim: dict[int, np.ndarray], cosine: float):
         self.by_dim, self.base, at = by_dim, {}, 0
         chord = float(np.sqrt(2 - 2 * cosine))
-        self.margin = {d: min(chord, 4 * chord / np.sqrt(d)) for d in by_dim}
+        self.margin = {d: chord / 2 + 1e-9 for d in by_dim}  # and what rounding may add
         for d in sorted(by_dim):
             self.base[d] = at
             at += len(by_dim[d])
