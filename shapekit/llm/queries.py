@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embed_dedup, html_extract, lang_id, licenses, mixing, secrets, shingle_join, substring_dedup, token_store
+from . import collocations, decontaminate, embed_dedup, html_extract, lang_id, licenses, mixing, resample, secrets, shingle_join, substring_dedup, token_store, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,23 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_summary(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: The rules of the URL query, in the order given.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark, table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
@@ -68,6 +85,9 @@ QUERIES = {
     "op8_token_store": op8_token_store,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_url_filter": op12_url_filter,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 
@@ -144,10 +164,52 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, r) AS component_
 FROM v LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) l ON l.a = vec_id
 LEFT JOIN (SELECT node, min(r) AS r FROM reach GROUP BY node) c ON c.node = vec_id"""
 
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(hex(w)) + 1, 2), lambda i:
+  (16 * (instr('0123456789ABCDEF', hex(w)[i]) - 1) + instr('0123456789ABCDEF', hex(w)[i + 1]) - 1)::BIGINT)),
+  lambda c, b: xor(crc_table[(xor(c, b) & 255) + 1], c >> 8))"""
+_OP11 = f"""
+WITH tab AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x::BIGINT, range(8)), lambda c, i:
+  CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END)) AS crc_table),
+d AS (SELECT doc_id, {_ALNUM.format(x=_LOW)} AS ws FROM documents),
+dw AS (SELECT doc_id, unnest(ws) AS w FROM d),
+bw AS (SELECT unnest({_ALNUM.format(x=_LOW)}) AS w FROM benchmark),
+word AS (SELECT w, xor({_CRC}, 4294967295) % 10000 AS b FROM (SELECT w FROM dw UNION SELECT w FROM bw), tab),
+s AS (SELECT b, count(*) AS s FROM dw JOIN word USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM bw JOIN word USING (w) GROUP BY b),
+gain AS (SELECT b, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM dw) + 10000)::DOUBLE
+           / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM bw) + 10000)::DOUBLE)))::BIGINT AS gain
+         FROM (SELECT DISTINCT b FROM word) LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+wt AS (SELECT doc_id, floor(sum(gain) / count(*))::BIGINT AS weight FROM dw JOIN word USING (w) JOIN gain USING (b) GROUP BY doc_id),
+h AS (SELECT d.doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+        list_reduce(list_prepend(0::BIGINT, list_transform(range(1, 9), lambda i: (instr('0123456789abcdef', sha256('2024:' || d.doc_id)[i]) - 1)::BIGINT)),
+          lambda x, y: 16 * x + y) AS h FROM d LEFT JOIN wt USING (doc_id)),
+sc AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM h),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM sc WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, rank FROM sc
+LEFT JOIN (SELECT * FROM r WHERE rank <= (SELECT 10 * count(*) // 100 FROM r)) USING (doc_id)"""
+
+_OP13 = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOW}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+f AS (SELECT lang, k, g, count(*) AS f FROM (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS g
+        FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 4) t(k))) GROUP BY ALL HAVING count(*) >= 10),
+c AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS ws FROM f WHERE k > 1),
+part AS (SELECT lang, g, a, j, array_to_string(ws[1:j], ' ') AS x, array_to_string(ws[j + 1:], ' ') AS y FROM c, range(1, 3) t(j) WHERE j < k),
+cut AS (SELECT part.lang, part.g, a, j, fx.f AS l, fy.f AS r, ((1000000::HUGEINT * a * a) // (fx.f::HUGEINT * fy.f)) AS score
+        FROM part JOIN f fx ON fx.lang = part.lang AND fx.g = x JOIN f fy ON fy.lang = part.lang AND fy.g = y),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, j) AS o FROM cut),
+longer AS (SELECT lang, g, max(a) AS m FROM (SELECT lang, array_to_string(ws[i:i + 1], ' ') AS g, a FROM c, range(1, 3) t(i) WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN longer USING (lang, g) WHERE o = 1 AND (m IS NULL OR 100 * m < 50 * a)),
+top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM kept)
+SELECT lang, rank, g AS phrase, a, l, r, n, score::BIGINT AS score FROM top JOIN n USING (lang) WHERE rank <= 2000"""
+
 ORACLE: dict[str, str] = {
     "op2_substring_dedup": _OP2,
     "op4_ngram_jaccard_join": _OP4,
     "op5_secret_scan": _OP5,
     "op7_decontamination": _OP7,
     "op9_embedding_near_dedup": _OP9,
+    "op11_importance_resampling": _OP11,
+    "op13_phrase_collocations": _OP13,
 }
