@@ -3,12 +3,12 @@
 Texts fall into pieces at punctuation and line ends, pieces into words; n-grams stay inside pieces and
 are counted per language.
 
-1. **Summaries.**  A task counts the n-grams (64-bit hashes) of its texts, sends its counts on whenever they
-   fill its table, and the counts go by hash to partitions.  Each partition merges them into one
+1. **Summaries.**  A task counts the n-grams (64-bit hashes) of its texts and, whenever they fill its table, sends one
+   summary per hash partition on.  A partition's summaries come to one task, one after the other, which merges them into one
    Misra-Gries summary: beyond its capacity, counters are lowered together and those at zero go.
-   The capacity exceeds the partition's mass divided by the threshold, so no n-gram that
-   occurs ``least`` times can be lost; a summary that would come to lower its counters by ``least``
-   in all grows instead, whatever the order of arrival.
+   The capacity exceeds the partition's mass, bounded by the bytes of the texts, divided by the threshold, so no
+   n-gram that occurs ``least`` times can be lost.  Should a partition hold more than its share, its summary grows
+   rather than lower its counters by ``least`` in all.
 2. **Exact counts.**  A second scan counts the n-grams that survive.  A bit map of fixed size, sent
    to the tasks, keeps most others from the shuffle; the join with the survivors removes the rest.
    With a phrase travel the hashes of its parts, so scores are joins of the count table with itself.
@@ -16,7 +16,7 @@ are counted per language.
    scan with a bit map of their own; text decides among equal scores.
 
 Memory of a task is bounded by its table (``TABLE`` n-grams) or its summary; no group is gathered.
-Partitions are as many as the bytes ask for.  Ranking takes the first of each salted part of a language,
+Hash partitions are as many as the bytes ask for, several to a task.  Ranking takes the first of each salted part of a language,
 then the first of these.
 """
 
@@ -42,11 +42,10 @@ CUT[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
 SEPARATOR = CUT.copy()
 SEPARATOR[[0x20, 0x09]] = True
 
-#: n-grams a task holds before it sends its counts on; counters a summary may always hold
+#: n-grams a task holds before it sends its counts on
 TABLE = 1 << 19
-COUNTERS = 1 << 20
 #: text bytes per summary, and bits of the maps sent to tasks (16 MB for survivors, 2 MB for finalists)
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 SURVIVOR_BITS, FINALIST_BITS = 1 << 27, 1 << 24
 SALTS = 64
 
@@ -112,16 +111,26 @@ def _summed(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return k[new], np.add.reduceat(count[o], new) if len(new) else count, o[new]
 
 
-def _count_all(longest: int, table: int):
+def _part_edges(parts: int) -> np.ndarray:
+    """First hash of each hash partition: equal ranges of all hashes."""
+    return np.array([-(-(i << 64) // parts) for i in range(parts)], np.uint64)
+
+
+def _count_all(longest: int, table: int, parts: int):
     def run(batches):
         keys, counts, held = [], [], 0
+        edges = _part_edges(parts)
 
         def merged():
             key, n, _ = _summed(np.concatenate(keys), np.concatenate(counts))
             return key, n
 
         def told(key, n):
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+            """One summary per hash partition: its keys and counts as bytes."""
+            at = np.append(np.searchsorted(key, edges), len(key))
+            some = np.flatnonzero(np.diff(at))
+            cut = lambda x: pa.array([x[at[i]:at[i + 1]].tobytes() for i in some], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64)), cut(key), cut(n)], names=["part", "keys", "counts"])
 
         for g, _, _ in _steps(batches, longest):
             key = np.concatenate([g.keys[k][g.valid[k]] for k in range(1, longest + 1)])
@@ -149,30 +158,52 @@ def _lowered(key: np.ndarray, n: np.ndarray, capacity: int, left: int) -> tuple[
     return key[stay], n[stay] - by, by
 
 
-def summarise(least: int, counters: int = COUNTERS):
-    """Merge ``(key, n)`` batches of one partition into a Misra-Gries summary and tell the keys that may
-    occur ``least`` times: ``(key)``."""
+class Summary:
+    """Misra-Gries summary of ``counters``.  With more counters than mass / least, lowering all by one takes so much mass
+    away that it happens less than ``least`` times; if it would have to happen again, the summary grows."""
+
+    def __init__(self, least: int, counters: int):
+        self.least, self.counters, self.lowered = least, counters, 0
+        self.key, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.waiting: list = []
+        self.held = 0
+
+    def add(self, key: np.ndarray, n: np.ndarray) -> None:
+        self.waiting.append((key, n))
+        self.held += len(key)
+        if self.held > self.counters:
+            self.merge()
+
+    def merge(self) -> None:
+        keys, counts = zip((self.key, self.n), *self.waiting, strict=True)
+        self.key, self.n, _ = _summed(np.concatenate(keys), np.concatenate(counts))
+        self.waiting, self.held = [], 0
+        self.key, self.n, by = _lowered(self.key, self.n, self.counters, self.least - 1 - self.lowered)
+        self.lowered += by
+
+    def survivors(self) -> np.ndarray:
+        """Keys that may occur ``least`` times."""
+        self.merge()
+        return self.key[self.n + self.lowered >= self.least]
+
+
+def summarise(least: int, counters: int):
+    """Merge rows ``(part, keys, counts)``, sorted by part, into a summary per part; tells ``(key)``."""
     def run(batches):
-        key, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        waiting, held, mass, lowered = [], 0, 0, 0
+        part, summary = None, None
 
-        def take():
-            nonlocal key, n, waiting, held, lowered
-            key, n, _ = _summed(np.concatenate([key, *(x for x, _ in waiting)]), np.concatenate([n, *(x for _, x in waiting)]))
-            waiting, held = [], 0
-            # capacity above mass / least: lowering by one takes more than 1 / least of ... the mass away
-            key, n, by = _lowered(key, n, max(counters, mass // least + 1), least - 1 - lowered)
-            lowered += by
+        def told():
+            return pa.RecordBatch.from_arrays([pa.array(summary.survivors().view(np.int64))], names=["key"])
 
         for batch in batches:
-            waiting.append((C.int64(C.column(batch, "key")), C.int64(C.column(batch, "n"))))
-            held += batch.num_rows
-            mass += int(waiting[-1][1].sum())
-            if held > counters:
-                take()
-        if held:
-            take()
-        yield pa.RecordBatch.from_arrays([pa.array(key[n + lowered >= least])], names=["key"])
+            for i in range(batch.num_rows):
+                if (now := batch.column(0)[i].as_py()) != part:
+                    if summary:
+                        yield told()
+                    part, summary = now, Summary(least, counters)
+                summary.add(np.frombuffer(batch.column(1)[i].as_py(), np.uint64), np.frombuffer(batch.column(2)[i].as_py(), np.int64))
+        if summary:
+            yield told()
     return run
 
 
@@ -293,9 +324,10 @@ def collocations(spark: SparkSession, docs: DataFrame, longest: int = LONGEST, l
     docs = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(8, int(-(-size // PART_BYTES)))
+    counters = max(1 << 16, longest * int(size) // (2 * parts * least) + 1)  # a word and its end take two bytes at least
 
-    seen = docs.mapInArrow(_count_all(longest, TABLE), "key long, n long")
-    survivors = C.store(spark, seen.repartition(parts, "key").mapInArrow(summarise(least), "key long"), "phrases-survivors")
+    seen = docs.mapInArrow(_count_all(longest, TABLE, parts), "part long, keys binary, counts binary")
+    survivors = C.store(spark, seen.repartition("part").sortWithinPartitions("part").mapInArrow(summarise(least, counters), "key long"), "phrases-survivors")
 
     held = spark.sparkContext.broadcast(bit_map(survivors, SURVIVOR_BITS))
     schema = "key long, k int, lang string, n long, firsts array<long>, rests array<long>"

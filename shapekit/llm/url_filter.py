@@ -5,20 +5,21 @@ Each host has a tree of path templates, grown level by level over all its pages:
 * **Variable segments** become wildcards: runs of digits and long hexadecimal runs by their shape (``{n}``,
   ``{h}``), as soon as two segments of a place share it, and words of which a place has many and
   none is frequent (``*``).
-* **Similar branches** are merged: a word stays only where its pages differ from those of its siblings, by
-  a chi-square test on what follows it (end, number, code, mixed, word) or on the labels.
+* **Similar branches** are merged: the words of a place (64 at most that are not rare) go, the most frequent first, to
+  the first group whose pages are like theirs by chi-square tests on what follows (end, number, code, mixed, word) and on
+  labels (allowed, blocked, none), else they begin one.  ``~news`` stands for all words grouped with ``news``.
 * **Purity.**  A template's share of blocked pages among its labelled ones, smoothed by the
   share over all pages, rejects it from ``REJECT`` on.  Templates without enough labels are allowed.
 
 Labels are the verdicts of the rules, or a table of the caller's.  A level is one aggregation by place
-and segment, one by place, and two joins with one row per key on one side; of these, keys with a thousandth of all rows (a
+and segment, one by place, and joins with one row per key on one side; of these, keys with a thousandth of all rows (a
 thousand keys at most) are broadcast, so no task receives a popular host or branch whole.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +31,8 @@ DEPTH = 8
 MANY, RARE = 32, 64
 #: weight of the overall share in a template's purity, and the purity that rejects it
 WEIGHT, REJECT = 2.0, 0.8
-#: Chi-square at one in a hundred, for 0 to 4 degrees of freedom.
-CRITICAL = (0.0, 6.635, 9.210, 11.345, 13.277)
+#: Chi-square at one in a thousand, for 0 to 4 degrees of freedom.
+CRITICAL = (0.0, 10.828, 13.816, 16.266, 18.467)
 KINDS = 5  # what follows a segment: end, number, code, mixed, word
 HEAVY = 1000
 
@@ -80,14 +81,34 @@ def by_key(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total
     return first.where("_v IS NOT NULL").unionByName(light).select(*rows.columns, "_v.*")
 
 
-def _unlike(mine: list[Column], all_: list[Column]) -> Column:
-    """Whether a branch differs from its siblings together: chi-square of the two rows of counts."""
-    add = lambda xs: reduce(lambda a, b: a + b, xs)
-    n, total = add(mine).cast("double"), add(all_).cast("double")
-    parts = [F.when(c > 0, F.pow(m * total - n * c, F.lit(2.0)) / (n * (total - n) * c)).otherwise(0.0) for m, c in zip(mine, all_, strict=True)]
-    free = add([F.when(c > 0, 1).otherwise(0) for c in all_]) - 1
-    limit = F.array(*[F.lit(x) for x in CRITICAL])[F.greatest(free, F.lit(0))]
-    return F.coalesce((n > 0) & (total > n) & (add(parts) > limit), F.lit(False))
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two rows of counts may come from one distribution, by chi-square."""
+    both = a + b
+    a, b, both = a[both > 0], b[both > 0], both[both > 0]
+    n, m = a.sum(), b.sum()
+    if not n or not m:
+        return True
+    return float(((a * m - b * n) ** 2 / both).sum() / (n * m)) <= CRITICAL[len(both) - 1]
+
+
+def _grouped(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Words of one place and the group each belongs to."""
+    pdf = pdf.sort_values(["n", "name"], ascending=[False, True])
+    follows = pdf[[f"k{i}" for i in range(KINDS)]].to_numpy(float)
+    labels = np.stack([pdf["good"], pdf["bad"], pdf["n"] - pdf["good"] - pdf["bad"]], 1).astype(float)
+    groups: list = []  # [pooled counts of what follows, of labels, members]
+    for k in range(len(pdf)):
+        group = next((g for g in groups if alike(follows[k], g[0]) and alike(labels[k], g[1])), None)
+        if group:
+            group[0], group[1] = group[0] + follows[k], group[1] + labels[k]
+            group[2].append(k)
+        else:
+            groups.append([follows[k], labels[k], [k]])
+    names = pdf["name"].to_numpy()
+    label = np.empty(len(pdf), object)
+    for *_, members in groups:
+        label[members] = names[members[0]] if len(members) == 1 else "~" + names[members[0]]
+    return pdf[["host", "node", "name"]].assign(label=label)
 
 
 def _level(spark: SparkSession, rows: DataFrame, depth: int) -> DataFrame:
@@ -99,16 +120,16 @@ def _level(spark: SparkSession, rows: DataFrame, depth: int) -> DataFrame:
         F.count("*").alias("n"), F.min(here).alias("lo"), F.max(here).alias("hi"), F.sum("good").alias("good"), F.sum("bad").alias("bad"),
         *[F.count_if(F.col("follows") == i).alias(k) for i, k in enumerate(sums)]), "url-branches")
     total, branches = found.agg(F.sum("n"), F.count("*")).first()
-    places = found.groupBy("host", "node").agg(F.count("*").alias("children"), F.sum("n").alias("all_n"), F.sum("good").alias("all_good"),
-                                               F.sum("bad").alias("all_bad"), *[F.sum(k).alias(f"all_{k}") for k in sums])
-    known = by_key(found, places, ["host", "node"], "children", branches)
-    word = F.col("lo") == F.col("hi")
+    places = found.groupBy("host", "node").agg(F.count("*").alias("children"), F.sum("n").alias("all_n"))
+    known = C.store(spark, by_key(found, places, ["host", "node"], "children", branches), "url-places")
+    variable = F.col("name").contains("{")
     rare = (F.col("children") > MANY) & (F.col("n") * RARE < F.col("all_n"))
-    unlike = (_unlike([F.col(k) for k in sums], [F.col(f"all_{k}") for k in sums])
-              | _unlike([F.col("good"), F.col("bad")], [F.col("all_good"), F.col("all_bad")]))
-    name = (F.when(~word, F.col("name")).when(F.col("children") == 1, F.col("lo"))
-            .when(rare | ~unlike, F.when(F.col("name").contains("{"), F.col("name")).otherwise("*")).otherwise(F.col("lo")))
-    named = C.store(spark, known.select("host", "node", "name", "n", name.alias("label")), "url-labels")
+    # at most RARE words a place, whatever its size
+    words = known.where(~variable & ~rare & (F.col("children") > 1)).select("host", "node", "name", "n", "good", "bad", *sums)
+    grouped = words.groupBy("host", "node").applyInPandas(_grouped, "host string, node string, name string, label string")
+    label = (F.when(variable, F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("name"))).when(rare, "*")
+             .otherwise(F.coalesce("label", "name")))
+    named = C.store(spark, known.join(grouped, ["host", "node", "name"], "left").select("host", "node", "name", "n", label.alias("label")), "url-labels")
     longer = by_key(alive, named, ["host", "node", "name"], "n", total)
     done = F.when(F.size("segs") > depth + 1, F.lit("/**" if depth + 1 == DEPTH else "")).otherwise("")
     longer = longer.withColumn("node", F.concat("node", F.lit("/"), "label", done)).select(rows.columns)
