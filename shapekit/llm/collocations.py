@@ -9,9 +9,9 @@ are counted per language.
    The capacity exceeds the partition's mass, bounded by the bytes of the texts, divided by the threshold, so no
    n-gram that occurs ``least`` times can be lost.  Should a partition hold more than its share, its summary grows
    rather than lower its counters by ``least`` in all.
-2. **Exact counts.**  A second scan counts the n-grams that survive.  A bit map of fixed size, sent
-   to the tasks, keeps most others from the shuffle; the join with the survivors removes the rest.
-   With a phrase travel the hashes of its parts, so scores are joins of the count table with itself.
+2. **Exact counts.**  A second scan counts the n-grams that survive, picked by a bit map of fixed size that is sent
+   to the tasks; the few others that share a bit go once their counts are whole.  N-grams travel as the hashes of their words, from
+   which those of all their parts follow, so scores are joins of the count table with itself.
 3. **Words.**  Only phrases that can be among a language's first ``top`` are read back as text, in a third
    scan with a bit map of their own; text decides among equal scores.
 
@@ -42,8 +42,8 @@ CUT[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
 SEPARATOR = CUT.copy()
 SEPARATOR[[0x20, 0x09]] = True
 
-#: n-grams a task holds before it sends its counts on
-TABLE = 1 << 19
+#: n-grams a task holds before it sends its counts on, in the first and in the second scan
+TABLE, WORD_TABLE = 1 << 19, 1 << 18
 #: text bytes per summary, and bits of the maps sent to tasks (16 MB for survivors, 2 MB for finalists)
 PART_BYTES = 8 << 20
 SURVIVOR_BITS, FINALIST_BITS = 1 << 27, 1 << 24
@@ -52,6 +52,16 @@ SALTS = 64
 _U = np.uint64
 
 
+def gram_key(words: list[np.ndarray], salt: np.ndarray) -> np.ndarray:
+    """Hash of n-grams given as the hashes of their words, one array per place, in a language with that salt."""
+    acc = salt ^ _U(len(words))
+    m = 0xD6E8FEB86659FD93
+    for w in words:
+        acc = acc + w * _U(m)
+        m = (m * 0xD6E8FEB86659FD93 + 2) & (2**64 - 1) | 1
+    return C.mix(acc)
+
+
 class Grams:
     """n-grams of a run of documents: ``keys[k]`` holds the hash of the k words from each word on, and
     ``valid[k]`` tells where those lie in one piece.  Keys of equal words differ between languages."""
@@ -59,9 +69,9 @@ class Grams:
     def __init__(self, data: np.ndarray, off: np.ndarray, lang: np.ndarray, longest: int):
         data = C.LOWER[data]
         self.words = words = C.Words(data, off, SEPARATOR)
-        h, doc = words.hashes(), words.doc()
+        self.hashes, self.doc = h, doc = words.hashes(), words.doc()
         piece = np.cumsum(CUT[data], dtype=np.int32)[words.start] if len(h) else np.zeros(0, np.int32)
-        self.doc, salt = doc, C.mix(lang)[doc]
+        salt = lang_salt(lang)[doc]
         self.keys: list = [None]
         self.valid: list = [None]
         n = len(h)
@@ -69,17 +79,30 @@ class Grams:
             key, ok = np.zeros(n, np.uint64), np.zeros(n, bool)
             m = max(n - k + 1, 0)
             if m:
-                key[:m] = C.mix(C.window_hashes(h, k) ^ salt[:m] ^ _U(k * 0x9E3779B97F4A7C15 % 2**64))
+                key[:m] = gram_key([h[j:j + m] for j in range(k)], salt[:m])
                 ok[:m] = (piece[:m] == piece[k - 1:k - 1 + m]) & (doc[:m] == doc[k - 1:k - 1 + m])
             self.keys.append(key)
             self.valid.append(ok)
 
     def row(self, k: int, at: np.ndarray, longest: int) -> list[np.ndarray]:
-        """Key, length and, for each cut, the keys of first part and rest of the k-grams at ``at``."""
+        """Key, key of the first two words, length and word hashes (0: none) of the k-grams at ``at``."""
         none = np.zeros(len(at), np.uint64)
-        firsts = [self.keys[j][at] if j < k else none for j in range(1, longest)]
-        rests = [self.keys[k - j][at + j] if j < k else none for j in range(1, longest)]
-        return [self.keys[k][at], np.full(len(at), k, np.uint64), *firsts, *rests]
+        return [self.keys[k][at], self.keys[min(k, 2)][at], np.full(len(at), k, np.uint64),
+                *[self.hashes[at + j] if j < k else none for j in range(longest)]]
+
+
+def lang_salt(lang: np.ndarray) -> np.ndarray:
+    return C.mix(lang)
+
+
+def planes(x: np.ndarray) -> bytes:
+    """Numbers as bytes, all first bytes before all second ones: sorted or small numbers then compress well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def numbers(raw: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def _codes(col: pa.Array) -> tuple[np.ndarray, list[str]]:
@@ -129,7 +152,7 @@ def _count_all(longest: int, table: int, parts: int):
             """One summary per hash partition: its keys and counts as bytes."""
             at = np.append(np.searchsorted(key, edges), len(key))
             some = np.flatnonzero(np.diff(at))
-            cut = lambda x: pa.array([x[at[i]:at[i + 1]].tobytes() for i in some], pa.binary())
+            cut = lambda x: pa.array([planes(x[at[i]:at[i + 1]]) for i in some], pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64)), cut(key), cut(n)], names=["part", "keys", "counts"])
 
         for g, _, _ in _steps(batches, longest):
@@ -201,7 +224,7 @@ def summarise(least: int, counters: int):
                     if summary:
                         yield told()
                     part, summary = now, Summary(least, counters)
-                summary.add(np.frombuffer(batch.column(1)[i].as_py(), np.uint64), np.frombuffer(batch.column(2)[i].as_py(), np.int64))
+                summary.add(numbers(batch.column(1)[i].as_py(), np.uint64), numbers(batch.column(2)[i].as_py(), np.int64))
         if summary:
             yield told()
     return run
@@ -226,11 +249,10 @@ def _in_map(key: np.ndarray, held: np.ndarray, bits: int) -> np.ndarray:
     return (held[(block << 12) + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 > 0
 
 
-def _count_some(longest: int, table: int, held, bits: int):
-    width = 2 + 2 * (longest - 1)
-
+def _count_some(longest: int, table: int, held, bits: int, parts: int):
+    """Counts of the n-grams in the map, as rows of one hash partition (of their first two words) and language."""
     def run(batches):
-        bitmap = held.value
+        bitmap, edges = held.value, _part_edges(parts)
         rows, counts, langs, size = [], [], [], 0
         names: dict[str, int] = {}
 
@@ -240,12 +262,16 @@ def _count_some(longest: int, table: int, held, bits: int):
             return r[:, at], n, v[at]
 
         def told(r, n, v):
-            cols = [pa.array(r[0].view(np.int64)), pa.array(r[1].astype(np.int32)),
-                    pa.DictionaryArray.from_arrays(pa.array(v, pa.int32()), pa.array(list(names))).cast(pa.string()), pa.array(n)]
-            for part in (r[2:1 + longest], r[1 + longest:]):
-                flat = np.ascontiguousarray(part.T).view(np.int64).ravel()
-                cols.append(pa.ListArray.from_arrays(pa.array(np.arange(r.shape[1] + 1, dtype=np.int32) * (longest - 1)), pa.array(flat)))
-            return pa.RecordBatch.from_arrays(cols, names=["key", "k", "lang", "n", "firsts", "rests"])
+            told_names = list(names)
+            for code in np.unique(v):
+                mine = np.flatnonzero(v == code)
+                mine = mine[np.argsort(r[1][mine])]
+                at = np.append(np.searchsorted(r[1][mine], edges), len(mine))
+                some = np.flatnonzero(np.diff(at))
+                cut = lambda x: pa.array([planes(x[mine[at[i]:at[i + 1]]]) for i in some], pa.binary())  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(some.astype(np.int64)), pa.array([told_names[code]] * len(some), pa.string()),
+                    cut(n), cut(r[2].astype(np.uint8)), *[cut(w) for w in r[3:]]], names=_partial(longest))
 
         for g, code, of in _steps(batches, longest):
             place = np.array([names.setdefault(x, len(names)) for x in of], np.int64)
@@ -263,12 +289,68 @@ def _count_some(longest: int, table: int, held, bits: int):
             if size > 2 * table:
                 r, n, v = merged()
                 if r.shape[1] > table:
-                    yield told(r, n, v)
+                    yield from told(r, n, v)
                     r, n, v = r[:, :0], n[:0], v[:0]
                 rows, counts, langs, size = [r], [n], [v], r.shape[1]
         if size:
-            yield told(*merged())
-    assert width >= 2
+            yield from told(*merged())
+    return run
+
+
+def _partial(longest: int) -> list[str]:
+    return ["part", "lang", "n", "k", *[f"w{j}" for j in range(longest)]]
+
+
+def _whole_counts(longest: int, least: int, table: int):
+    """Add up the rows of each hash partition and language, sorted by these; n-grams of ``least`` occurrences with the
+    keys of their first parts and rests."""
+    def run(batches):
+        where, waiting, held = None, [], 0
+
+        def merged():
+            k, n, *w = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            salt = lang_salt(np.full(len(k), _lang_hash(where[1]), np.uint64))
+            key = np.zeros(len(k), np.uint64)
+            for size in range(1, longest + 1):
+                key[k == size] = gram_key([x[k == size] for x in w[:size]], salt[k == size])
+            _, n, at = _summed(key, n)
+            return [(k[at], n, *[x[at] for x in w])]
+
+        def told():
+            (k, n, *w), = merged()
+            some = n >= least
+            k, n, w = k[some], n[some], [x[some] for x in w]
+            salt = lang_salt(np.full(len(k), _lang_hash(where[1]), np.uint64))
+            firsts, rests = np.zeros((2, len(k), longest - 1), np.uint64)
+            key = np.zeros(len(k), np.uint64)
+            for size in range(1, longest + 1):
+                at = np.flatnonzero(k == size)
+                part = lambda a, b: gram_key([x[at] for x in w[a:b]], salt[at])  # noqa: B023, E731
+                key[at] = part(0, size)
+                for cut in range(1, size):
+                    firsts[at, cut - 1], rests[at, cut - 1] = part(0, cut), part(cut, size)
+            off = pa.array(np.arange(len(k) + 1, dtype=np.int32) * (longest - 1))
+            return pa.RecordBatch.from_arrays([
+                pa.array(key.view(np.int64)), pa.array(k.astype(np.int32)), pa.array([where[1]] * len(k), pa.string()), pa.array(n),
+                *[pa.ListArray.from_arrays(off, pa.array(x.view(np.int64).ravel())) for x in (firsts, rests)]],
+                names=["key", "k", "lang", "a", "firsts", "rests"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part, lang, n, k, *w = (c[i].as_py() for c in batch.columns)
+                if (part, lang) != where:
+                    if waiting:
+                        yield told()
+                    where, waiting, held = (part, lang), [], 0
+                waiting.append((numbers(k, np.uint8), numbers(n, np.int64), *[numbers(x, np.uint64) for x in w]))
+                held += len(waiting[-1][0])
+                if held > 2 * table:
+                    waiting = merged()
+                    held = len(waiting[0][0])
+                    if held > table:  # that many different n-grams: wait for as many again
+                        held = 0
+        if waiting:
+            yield told()
     return run
 
 
@@ -330,11 +412,10 @@ def collocations(spark: SparkSession, docs: DataFrame, longest: int = LONGEST, l
     survivors = C.store(spark, seen.repartition("part").sortWithinPartitions("part").mapInArrow(summarise(least, counters), "key long"), "phrases-survivors")
 
     held = spark.sparkContext.broadcast(bit_map(survivors, SURVIVOR_BITS))
-    schema = "key long, k int, lang string, n long, firsts array<long>, rests array<long>"
-    rows = docs.mapInArrow(_count_some(longest, TABLE, held, SURVIVOR_BITS), schema)
-    counted = (rows.groupBy("key").agg(F.first("k").alias("k"), F.first("lang").alias("lang"), F.sum("n").alias("a"),
-                                       F.first("firsts").alias("firsts"), F.first("rests").alias("rests"))
-               .where(F.col("a") >= least).join(survivors, "key", "left_semi"))
+    schema = "part long, lang string, n binary, k binary, " + ", ".join(f"w{j} binary" for j in range(longest))
+    rows = docs.mapInArrow(_count_some(longest, WORD_TABLE, held, SURVIVOR_BITS, parts), schema)
+    counted = (rows.repartition("part", "lang").sortWithinPartitions("part", "lang")
+               .mapInArrow(_whole_counts(longest, least, WORD_TABLE), "key long, k int, lang string, a long, firsts array<long>, rests array<long>"))
     counted = C.store(spark, counted, "phrases-counts")
     plain = counted.select("key", "a")
 

@@ -194,6 +194,8 @@ def best_phrases(rows, longest, least, top, covered):
 @pytest.mark.parametrize("longest,least,top,covered", [(3, 10, 2000, 50), (3, 2, 25, 50), (4, 5, 2000, 70), (2, 3, 7, 50)])
 def test_collocations(spark, longest, least, top, covered, monkeypatch):
     monkeypatch.setattr(collocations, "TABLE", 40)
+    monkeypatch.setattr(collocations, "WORD_TABLE", 30)
+    monkeypatch.setattr(collocations, "PART_BYTES", 2000)
     rows = phrase_docs()
     docs = spark.createDataFrame([(i, *r, 5) for i, r in enumerate(rows)], "doc_id long, text string, lang string, n int").repartition(6)
     got = sorted(tuple(r) for r in collocations.collocations(spark, docs, longest, least, top, covered).collect())
@@ -214,7 +216,7 @@ def test_summary_keeps_frequent_keys():
             want |= set(range(part * 10**6, part * 10**6 + 40))
             enough = max(enough, len(keys) // least + 1)
             rnd.shuffle(keys)
-            rows += [(part, x.astype(np.uint64).tobytes(), np.ones(len(x), np.int64).tobytes()) for x in np.array_split(keys, 300)]
+            rows += [(part, collocations.planes(x.astype(np.uint64)), collocations.planes(np.ones(len(x), np.int64))) for x in np.array_split(keys, 300)]
         batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i:i + 70], strict=True)], names=["part", "keys", "counts"])
                    for i in range(0, len(rows), 70)]
         kept = [k for b in collocations.summarise(least, counters or enough)(iter(batches)) for k in b.column(0).to_pylist()]
