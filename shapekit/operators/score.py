@@ -3,8 +3,10 @@
 The model is text -> text and is the user's business (decoding settings,
 weights, device).  Spark partitions the prompts; ``mapInPandas`` builds the
 model once per partition and feeds it Arrow batches.  Retries re-score only
-the rows that failed validation, and each attempt is written out before it
-is validated, so a recomputed stage never calls the model twice for a row.
+the rows that failed validation.  Each attempt's answers are a table written before they are judged,
+and the judged rows are a table too, so later jobs neither call the model nor validate again.
+A task that is lost while it asks does ask its rows again; ``score_requests`` bounds what that can
+be and carries answers over from one run to the next.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shapekit.operators import validate as V
-from shapekit.session import scratch_dir
+from shapekit.session import path_exists, scratch_dir
 
 
 @dataclass(frozen=True)
@@ -77,7 +79,8 @@ def score_with_retry(df: DataFrame, make_model, attempts, mode: str = V.STRICT,
     for i, at in enumerate(attempts, start=1):
         scored = score(todo, make_model, text, "raw", at.system, at.max_new_tokens, user_prefix, partitions,
                        f"{base.rstrip('/')}/attempt={i}", user_suffix)
-        v = V.validate(scored, mode).withColumn("attempt", F.lit(i))
+        # judged once: the rows to ask again and the result both read this table
+        v = _written(V.validate(scored, mode).withColumn("attempt", F.lit(i)), f"{base.rstrip('/')}/judged={i}", "judged")
         done.append(v)
         if i < len(attempts):
             todo = v.filter(~F.col("ok")).select(*df.columns)
@@ -87,6 +90,51 @@ def score_with_retry(df: DataFrame, make_model, attempts, mode: str = V.STRICT,
     return res
 
 
+def request_key(prompt, system: str, max_new_tokens: int):
+    """Identity of a request: a hash of its prompt and settings."""
+    return F.sha2(F.concat_ws("\u0001", F.lit(system), F.lit(str(max_new_tokens)), prompt), 256)
+
+
+ANSWERS = "request string, answer string, run string"
+
+
+def score_requests(df: DataFrame, make_model, store: str, text: str = "text", out: str = "raw", system: str = "",
+                   max_new_tokens: int = 700, user_prefix: str = "", user_suffix: str = "", partitions: int = 8,
+                   chunk_rows: int = 1000, run: str = "") -> DataFrame:
+    """``score`` over a table of answers (``store``) that outlives the run: adds ``out`` and ``run``.
+
+    Requests are told apart by prompt and settings (``request_key``).  Those without a stored answer are asked
+    once each, however many rows share them, in jobs of ``partitions`` x ``chunk_rows`` requests, and each job's
+    answers are committed to ``store`` before the next starts.  So a lost task asks at most ``chunk_rows`` requests again, a
+    run that broke off goes on where it stood, and a changed prompt or setting is a new request.
+    ``run`` names the run that asked.  Null texts are empty prompts.
+    """
+    spark = df.sparkSession
+    prompt = F.concat(F.lit(user_prefix), F.coalesce(F.col(text), F.lit("")), F.lit(user_suffix))
+    keyed = df.withColumn("_request", request_key(prompt, system, max_new_tokens))
+    todo = keyed.select(F.col("_request").alias("request"), prompt.alias("prompt")).dropDuplicates(["request"])
+    known = spark.read.schema(ANSWERS).parquet(store) if path_exists(spark, store) else spark.createDataFrame([], ANSWERS)
+    todo = todo.join(known.select("request"), "request", "left_anti")
+    open_ = scratch_dir(spark, "requests")
+    todo.write.parquet(open_)
+    todo = spark.read.schema("request string, prompt string").parquet(open_)
+    jobs = -(-todo.count() // (partitions * chunk_rows))
+
+    def ask(batches):
+        fn = make_model()
+        for pdf in batches:
+            answers = list(fn(list(pdf["prompt"]), max_new_tokens, system)) if len(pdf) else []
+            yield pdf[["request"]].assign(answer=answers, run=run)
+
+    for job in range(jobs):
+        mine = todo.filter(F.pmod(F.xxhash64("request"), F.lit(jobs)) == job) if jobs > 1 else todo
+        mine.repartition(partitions).mapInPandas(ask, ANSWERS).write.mode("append").parquet(store)
+    if not path_exists(spark, store):  # nothing was ever asked
+        return df.withColumn(out, F.lit(None).cast("string")).withColumn("run", F.lit(None).cast("string"))
+    answers = spark.read.schema(ANSWERS).parquet(store).select(F.col("request").alias("_request"), F.col("answer").alias(out), "run")
+    return keyed.join(answers, "_request").drop("_request")
+
+
 # ---- hosted-service calls ----------------------------------------------------------------
 
 class PermanentError(Exception):
@@ -151,6 +199,7 @@ def call_service(df: DataFrame, make_client, text: str = "text", attempts: int =
         v = v.withColumn("_error", F.when(F.col("call_error").isNotNull() | ~F.col("ok"), failed))
         ended = F.col("_error").isNull() | (F.col("_error") == "permanent")
         out = v.withColumn("status", F.when(F.col("_error").isNull(), "ok").otherwise("error"))
+        out = _written(out, f"{root.rstrip('/')}/judged={a}", "service")  # the next round and the result read the verdicts
         if a < attempts:
             done.append(out.filter(ended).withColumn("error_kind", F.col("_error")))
             pause_s = backoff_seconds(a, base, cap, rand())

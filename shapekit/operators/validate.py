@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shapekit.functions import jsonx, text
+from shapekit.functions.jsonfault import json_fault
 from shapekit.functions.jsonx import DEFAULT_SPEC, OutputSpec
 
 STRICT, LENIENT, API = "strict", "lenient", "api"
@@ -33,6 +34,11 @@ def seal(df: DataFrame, base_cols=None, outputs=None) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
 
 
+def _told(reason: str = "reason", block: str = "json_str"):
+    """The reason with the parser's detail after a colon: ``invalid_json: trailing comma at 57``."""
+    return F.when(F.col(reason) == "invalid_json", F.concat(F.col(reason), F.lit(": "), json_fault(F.col(block)))).otherwise(F.col(reason))
+
+
 def _block_and_parse(df: DataFrame, raw: str) -> DataFrame:
     d = text.with_json_block(df, raw, "json_str", clean="_clean")
     d = d.withColumn("_v", F.try_parse_json(F.col("json_str")))
@@ -41,8 +47,8 @@ def _block_and_parse(df: DataFrame, raw: str) -> DataFrame:
 
 def validate_strict(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_SPEC,
                     outputs=None) -> DataFrame:
-    """Adds ``json_str, reason, detail, ok, output, missing_keys, extra_keys``
-    (or only the names in ``outputs``)."""
+    """Adds ``json_str, reason, reason_text, detail, ok, output, missing_keys, extra_keys``
+    (or only the names in ``outputs``).  ``reason_text`` tells of ``invalid_json`` also what is wrong, and where in ``json_str``."""
     d = _block_and_parse(df, raw)
     req = F.array(*[F.lit(k) for k in spec.required_keys])
     reason = (F.when(F.col("json_str").isNull(), "no_json")
@@ -50,6 +56,7 @@ def validate_strict(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_
               .when(F.sort_array(F.array_distinct(F.col("_keys"))) != req, "bad_keys"))
     d = (d.withColumn("reason", reason)
           .withColumn("detail", text.block_detail(F.col("_clean"), F.col("json_str"), already_clean=True))
+          .withColumn("reason_text", _told())
           .withColumn("ok", F.col("reason").isNull())
           .withColumn("output", F.when(F.col("ok"), jsonx.strict_output(F.col("_v"), spec)))
           .withColumn("_diff", F.when(F.col("_v").isNotNull(), jsonx.key_diff(F.col("_keys"), spec))))
@@ -60,9 +67,9 @@ def validate_strict(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_
 
 def validate_lenient(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT_SPEC,
                      outputs=None) -> DataFrame:
-    """Adds ``json_str, reason, detail, ok, output, is_vacuous`` (or ``outputs``).
+    """Adds ``json_str, reason, reason_text, detail, ok, output, is_vacuous`` (or ``outputs``).
 
-    ``{}`` passes with all defaults, as in the scripts; ``is_vacuous`` marks it.
+    ``reason_text`` tells of ``invalid_json`` also what is wrong, and where in ``json_str``.  ``{}`` passes with all defaults, as in the scripts; ``is_vacuous`` marks it.
     """
     d = _block_and_parse(df, raw)
     d = jsonx.with_lenient_fields(d, "_v", "_keys", spec)
@@ -71,6 +78,7 @@ def validate_lenient(df: DataFrame, raw: str = "raw", spec: OutputSpec = DEFAULT
               .when(~F.col("_type_ok"), "bad_types"))
     d = (d.withColumn("reason", reason)
           .withColumn("detail", text.block_detail(F.col("_clean"), F.col("json_str"), already_clean=True))
+          .withColumn("reason_text", _told())
           .withColumn("ok", F.col("reason").isNull())
           .withColumn("output", F.when(F.col("ok"), F.col("_out"))))
     vac = F.col("output")[spec.title_field] == ""

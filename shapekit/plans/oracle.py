@@ -81,6 +81,11 @@ FROM a"""
 ORACLE["validate_lenient"] = W(_GEN) + f"""
 SELECT idx, {_LENIENT_REASON} AS reason, ({_LENIENT_REASON}) IS NULL AS ok, k = 10 AS is_vacuous FROM a"""
 
+ORACLE["invalid_detail"] = W(_GEN) + """
+SELECT idx, CASE WHEN idx % 11 = 10 THEN NULL ELSE concat('invalid_json: ',
+  ['trailing comma', 'bare word', 'bad escape', 'wrong bracket', 'missing comma', 'missing colon', 'missing value', 'missing key',
+   'control character', 'bare word'][idx % 11 + 1], ' at ', length(g) - 1 + [0, 5, 7, 7, 1, 5, 5, 1, 7, 1][idx % 11 + 1]) END AS reason FROM a"""
+
 ORACLE["lenient_project"] = W(_GEN) + f"""
 SELECT idx, {_OT} AS title, array_to_string({_OI}, '|') AS ingredients, array_to_string({_OS}, '|') AS steps
 FROM a WHERE ({_LENIENT_REASON}) IS NULL"""
@@ -346,18 +351,23 @@ GROUP BY g.phase, g.model, g.chk"""
 
 ORACLE["ledger_reconcile"] = W(_RUNS, _FAILS) + f"""
 , fn AS (SELECT *, {_FOLD.format(x='title')} AS nt FROM f),
-st_ AS (SELECT DISTINCT phase, model, chk, nt FROM fn WHERE idx % 23 <> 0),
+kept AS (SELECT * FROM fn WHERE idx % 29 <> 7 AND NOT (model = 'src1' AND chk = 'semantic')),
+listing AS (SELECT phase, model, chk, nt FROM kept UNION ALL SELECT phase, model, chk, nt FROM kept WHERE idx % 37 = 3),
+lc AS (SELECT phase, model, chk, nt, count(*) AS l FROM listing GROUP BY ALL),
+sc AS (SELECT phase, model, chk, nt, count(*) AS s FROM fn WHERE idx % 23 <> 0 GROUP BY ALL),
 res AS (SELECT DISTINCT phase, model, {_FOLD.format(x='t')} AS nt FROM p
         WHERE (phase = 'before' AND k NOT IN (3,4,5,6,7,10)) OR (phase = 'after' AND k NOT IN (3,4,5,8))),
-n AS (SELECT g.phase, g.model, g.chk, count(f.idx) AS listed,
-  count(f.idx) FILTER (WHERE EXISTS (SELECT 1 FROM st_ WHERE st_.phase = f.phase AND st_.model = f.model
-      AND st_.chk = f.chk AND st_.nt = f.nt)) AS listed_stored,
-  count(f.idx) FILTER (WHERE EXISTS (SELECT 1 FROM res WHERE res.phase = f.phase AND res.model = f.model
-      AND res.nt = f.nt)) AS listed_in_results
-FROM grp g LEFT JOIN fn f ON f.phase = g.phase AND f.model = g.model AND f.chk = g.chk
-GROUP BY g.phase, g.model, g.chk)
-SELECT phase, model, chk AS "check", listed + (model = 'src3' AND chk = 'structure')::INT AS declared, listed, listed_stored,
-  listed_in_results, (model = 'src3' AND chk = 'structure') AS count_mismatch FROM n"""
+m AS (SELECT phase, model, chk, nt, coalesce(l, 0) AS l, coalesce(s, 0) AS s, res.nt IS NOT NULL AS r
+      FROM lc FULL JOIN sc USING (phase, model, chk, nt) LEFT JOIN res USING (phase, model, nt)),
+head AS (SELECT * FROM grp WHERE NOT (model = 'src1' AND chk = 'semantic')),
+n AS (SELECT phase, model, chk, head.phase IS NOT NULL AS has_head, sum(coalesce(l, 0))::BIGINT AS listed, sum(coalesce(s, 0))::BIGINT AS stored,
+        sum(coalesce(least(l, s), 0))::BIGINT AS listed_stored, sum(coalesce(greatest(l - s, 0), 0))::BIGINT AS listed_unstored,
+        sum(coalesce(greatest(s - l, 0), 0))::BIGINT AS stored_unlisted, sum(coalesce(greatest(l - 1, 0), 0))::BIGINT AS listed_again,
+        sum(CASE WHEN r THEN l ELSE 0 END)::BIGINT AS listed_in_results
+      FROM m FULL JOIN head USING (phase, model, chk) GROUP BY ALL),
+e AS (SELECT *, CASE WHEN has_head THEN listed + (model = 'src3' AND chk = 'structure')::BIGINT END AS declared FROM n)
+SELECT phase, model, chk AS "check", declared, listed, stored, listed_stored, listed_unstored, stored_unlisted, listed_again, listed_in_results,
+  coalesce(declared, 0) <> listed AS count_mismatch, coalesce(declared, 0) <> stored AS stored_mismatch FROM e"""
 
 ORACLE["missing_outputs"] = W(_RUNS) + "SELECT model, idx FROM p WHERE phase = 'before' AND k IN (3,4,5,6,7,10)"
 
@@ -429,6 +439,19 @@ b AS (SELECT DISTINCT model, nt FROM o WHERE phase = 'after')
 SELECT a.model, count(*) AS titles_a, count(b.nt) AS titles_both
 FROM a LEFT JOIN b ON a.model = b.model AND a.nt = b.nt GROUP BY a.model"""
 
+ORACLE["title_fallback"] = f"""
+WITH d AS (SELECT doc_id AS idx, {_FOLD.format(x="string_split(text, chr(10))[1]")} AS nt FROM documents),
+a AS (SELECT idx AS k, nt FROM d WHERE idx % 11 <> 4),
+b AS (SELECT CASE WHEN idx % 5 = 0 THEN idx + 10000000 ELSE idx END AS k, nt FROM d WHERE idx % 13 <> 6),
+ra AS (SELECT * FROM a WHERE k NOT IN (SELECT k FROM b)),
+rb AS (SELECT * FROM b WHERE k NOT IN (SELECT k FROM a)),
+n AS (SELECT nt, coalesce(x, 0) AS x, coalesce(y, 0) AS y FROM (SELECT nt, count(*) AS x FROM ra GROUP BY nt) FULL JOIN
+      (SELECT nt, count(*) AS y FROM rb GROUP BY nt) USING (nt) WHERE nt <> '')
+SELECT k AS key_a, k AS key_b, 'by_key' AS status FROM a WHERE k IN (SELECT k FROM b)
+UNION ALL SELECT ra.k, rb.k, 'by_title' FROM n JOIN ra USING (nt) JOIN rb USING (nt) WHERE x = 1 AND y = 1
+UNION ALL SELECT k, NULL, CASE WHEN x > 0 AND y > 0 THEN 'ambiguous' ELSE 'only_a' END FROM ra LEFT JOIN n USING (nt) WHERE NOT coalesce(x = 1 AND y = 1, false)
+UNION ALL SELECT NULL, k, CASE WHEN x > 0 AND y > 0 THEN 'ambiguous' ELSE 'only_b' END FROM rb LEFT JOIN n USING (nt) WHERE NOT coalesce(x = 1 AND y = 1, false)"""
+
 ORACLE["prompt_fingerprint"] = """
 SELECT source AS model, CAST(2 AS BIGINT) AS n_runs, count(DISTINCT concat(coalesce(lang, '?'), drift)) AS n_fingerprints
 FROM (SELECT source, lang, unnest(['before', CASE WHEN doc_id % 29 = 3 THEN 'v2' ELSE 'before' END]) AS drift FROM documents)
@@ -444,6 +467,12 @@ ORACLE["score_batch"] = W(_SC) + """
 SELECT idx, CASE WHEN k1 IN (3,4) THEN 'no_json' WHEN k1 = 5 THEN 'invalid_json' WHEN k1 IN (6,7) THEN 'bad_keys' END
   AS reason, k1 NOT IN (3,4,5,6,7) AS ok FROM s1"""
 
+ORACLE["score_resume"] = """
+WITH d AS (SELECT doc_id AS idx, coalesce(text, '') AS t, length(coalesce(text, '')) % 10 AS k1 FROM documents)
+SELECT idx, CASE WHEN t IN (SELECT t FROM d WHERE idx % 3 <> 0) THEN 'first' ELSE 'second' END AS run,
+  CASE WHEN k1 IN (3,4) THEN 'no_json' WHEN k1 = 5 THEN 'invalid_json' WHEN k1 IN (6,7) THEN 'bad_keys' END AS reason,
+  k1 NOT IN (3,4,5,6,7) AS ok FROM d"""
+
 ORACLE["score_retry"] = W(_SC) + """
 SELECT idx, CASE WHEN k1 IN (3,4,5,6,7) THEN 2 ELSE 1 END::BIGINT AS n_calls,
   CASE WHEN k1 IN (3,4,5,6,7) THEN 2 ELSE 1 END::BIGINT AS last FROM s1"""

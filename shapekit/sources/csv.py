@@ -13,6 +13,9 @@ and a corrupt-record column, in PERMISSIVE mode:
   (or ``too_long``, where what follows reads as exactly one cell too many: set aside too);
 * rows of the right width or shorter -> ``ok``, missing cells null.
 
+Cells with quoted line breaks (``multi_line``) are read from splits as well: ``shapekit.sources.splits`` carries the
+quote state over lines and splits and gives whole records to the same parser, so one large file is many tasks.
+
 DROPMALFORMED is not usable: it also drops short rows.  CSV column pruning
 would judge width against the pruned schema, so the session turns it off
 (``spark.sql.csv.parser.columnPruning.enabled``) and rows are judged on all
@@ -25,32 +28,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shapekit.sources.splits import quoted_records
+
 CORRUPT = "_corrupt"
 EXTRA = "_extra"
 
 
-def _reader(spark: SparkSession, columns, multi_line: bool, header: bool):
+def _schema(columns) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, EXTRA, CORRUPT]])
+
+
+OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"', "enforceSchema": "true"}
+
+
+def _lines(spark: SparkSession, path: str, columns, header: bool) -> DataFrame:
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    return spark.read.schema(_schema(columns)).options(**OPTIONS).option("header", header).csv(path)
+
+
+def _records(spark: SparkSession, path: str, columns, header: bool) -> DataFrame:
+    """The same columns from records that may hold line breaks; the first record of a file is its header."""
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField(EXTRA, T.StringType()),
-                             T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(schema)
-            .option("header", header)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("quote", '"').option("escape", '"')
-            .option("multiLine", multi_line)
-            .option("enforceSchema", True))
+    found = quoted_records(spark, path).filter("value <> ''")
+    if header:
+        found = found.filter("block <> 0 OR n <> 1")
+    names = ", ".join(f"`{c}` string" for c in [*columns, EXTRA, CORRUPT])
+    return found.select(F.from_csv("value", names, OPTIONS).alias("r")).select("r.*")
 
 
 def read_tolerant_csv_with_status(spark: SparkSession, path: str, columns, multi_line: bool = False,
                                   header: bool = True) -> DataFrame:
     """All rows with ``status`` ('ok', 'too_long' or 'unterminated_quote').
 
-    ``multi_line`` allows quoted newlines; it makes each file one task, so
-    leave it off unless cells hold line breaks.
+    ``multi_line`` allows quoted line breaks, at the price of two more scans of the file.  A quote that never
+    closes then takes the lines up to the next quote, or the rest of the file.
     """
-    df = _reader(spark, columns, multi_line, header).csv(path)
+    df = (_records if multi_line else _lines)(spark, path, columns, header)
     bare = F.regexp_replace(CORRUPT, r'"(?:[^"]|"")*+"', "")
     cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     status = (F.when(F.contains(bare, F.lit('"')), "unterminated_quote")

@@ -81,6 +81,19 @@ def raw_answers(spark: SparkSession, sf_dir: str, key=PHASE_KEYS["before"]) -> D
                     gen_answer(variant(key(i), i), F.col("text"), i).alias("raw"))
 
 
+# What is put before the last brace of an object to spoil it.
+FAULTS = [",", ',"n":NaN', ',"e":"a\\x"', ',"l":[1', ' "m":1', ',"c" 1', ',"v":', ',,"v":1', ',"t":"a\tb"', ",'s':1", ""]
+
+
+def faulty_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(idx, raw): one object per document, spoilt by the ``idx``-th of ``FAULTS`` in turn (the last leaves it whole)."""
+    d = table(spark, sf_dir, "documents", "doc_id", "text")
+    i = F.col("doc_id")
+    whole = gen_answer(F.lit(0), F.col("text"), i)
+    spoil = F.array(*[F.lit(x) for x in FAULTS])[F.pmod(i, F.lit(len(FAULTS))).cast("int")]
+    return d.select(i.alias("idx"), F.concat(F.substring(whole, F.lit(1), F.length(whole) - 1), spoil, F.lit("}")).alias("raw"))
+
+
 def phase_runs(spark: SparkSession, sf_dir: str, phases=("before", "after")) -> DataFrame:
     """(phase, idx, model, text, k, seed, raw) for both phases from one scan of documents.
     ``seed`` is the answer's title, the text's first line.

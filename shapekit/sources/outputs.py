@@ -1,6 +1,6 @@
 """Stored extraction outputs and the hand-kept error ledger.
 
-Result and failure files come as JSON arrays (one document, ``multiLine``)
+Result and failure files come as JSON arrays (one document per file, of any layout over lines)
 or JSON lines.  Loading adds ``model`` and ``phase`` and normalises two
 differences between runs: the failure index base (0 or 1) and an empty
 ``json_str`` written where no block was found.
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shapekit.sources.lines import fill_down, read_lines
+from shapekit.sources.splits import array_elements
 
 OUTPUT_SCHEMA = "title string, ingredients array<string>, steps array<string>"
 RESULT_SCHEMA = f"index bigint, input string, output struct<{OUTPUT_SCHEMA}>"
@@ -28,7 +29,10 @@ def read_outputs(spark: SparkSession, path: str, model: str | None, phase: str |
     for name, given in (("model", model), ("phase", phase)):
         if given is None:
             schema += f", {name} string"
-    df = spark.read.schema(schema).option("multiLine", array_file).json(path)
+    if array_file:  # elements are found split by split, so one large file is many tasks
+        df = array_elements(spark, path).select(F.from_json("value", schema).alias("r")).select("r.*")
+    else:
+        df = spark.read.schema(schema).json(path)
     df = df.withColumn("idx", F.col("index") - F.lit(base)).drop("index")
     if kind == "failure":
         df = df.withColumn("json_str", F.when(F.col("json_str") != "", F.col("json_str")))

@@ -17,9 +17,11 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Each part file is one JSON array, the form of the scripts' result files; null fields kept."""
-    line = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite", pretty: bool = False) -> None:
+    """Each part file is one JSON array, the form of the scripts' result files; null fields kept.
+    ``pretty`` spreads an element over indented lines."""
+    options = {"ignoreNullFields": "false", "pretty": "true" if pretty else "false"}
+    line = df.select(F.to_json(F.struct("*"), options).alias("value"))
 
     def wrap(batches):
         import pyarrow as pa

@@ -1,106 +1,47 @@
 """Marker-tagged text: records introduced by ``ID <n> -`` markers.
 
-The file is read line by line (splittable, so a large file spreads over many
-tasks).  Each line is cut into segments at markers (line starts only by
-default; anywhere with ``loose=True``, which also splits words such as
-"acid 5").  A segment belongs to the record of the latest marker at or before
-it: first inside each file split (a window over one split), then across
-splits through a small table holding the last marker of each split.  Record
-texts are the segments joined in file order, stripped.
+A record runs from its marker to the next one.  Markers stand at line starts by default; ``loose=True`` finds them
+anywhere, also with the number on the next line, and so splits words such as "acid 5".  Records are cut inside
+each file split and only those that cross splits are put together by a shuffle (``shapekit.sources.splits``), so a
+large file spreads over many tasks and its text is not exchanged.  Record texts are stripped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapekit.functions.text import strip_ws
+from shapekit.functions.text import PY_WS, strip_ws
+from shapekit.sources.splits import marked_records
 
-# The marker shape (case-insensitive, optional leading "i"),
+# The marker shape (any case, optional leading "i"),
 # and the dash characters that may follow the number.
 MARKER = r"i?ID\s+\d+"
 MARKER_HEAD = r"(?i)^i?ID\s+(\d+)"
-MARKER_PREFIX = r"(?i)^i?ID\s+\d+\s*[—-]*\s*"
-LOOSE_SEGMENTS = r"(?is)((?:" + MARKER + r")?.*?)(?=" + MARKER + r"|$)"
+DASHES = "[—-]*"
+#: a marker at a line start, its white space on that line; a marker anywhere (patterns of the tasks)
+ANCHORED = r"(?m)^[iI]?[iI][dD][^\S\n]+[0-9]+"
+LOOSE = r"[iI]?[iI][dD]\s+[0-9]+"
 
 
-def _segments(line, loose: bool):
-    if not loose:
-        return F.array(line)
-    parts = F.regexp_extract_all(line, F.lit(LOOSE_SEGMENTS), 1)
-    # the pattern also matches the empty string at the end of a non-empty line
-    n = F.size(parts)
-    return F.when((n > 1) & (F.element_at(parts, -1) == ""), F.slice(parts, 1, n - 1)).otherwise(parts)
-
-
-def read_tagged_segments(spark: SparkSession, path: str, loose: bool = False) -> DataFrame:
-    """(file, block, line, seg, id, body, new_line) with the owning marker resolved."""
-    lines = (spark.read.option("encoding", "UTF-8").text(path)
-             .select(F.col("value").alias("line"),
-                     F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("ln")))
-    segs = lines.select("file", "block", "ln", F.posexplode(_segments(F.col("line"), loose)).alias("seg", "s"))
-    mid = F.regexp_extract("s", MARKER_HEAD, 1)
-    segs = segs.select(
-        "file", "block", "ln", "seg",
-        F.when(mid != "", F.struct(F.col("block").alias("block"), F.col("ln").alias("ln"),
-                                   F.col("seg").alias("seg"),
-                                   mid.try_cast("bigint").alias("id"))).alias("mark"),
-        F.when(mid != "", F.regexp_replace("s", MARKER_PREFIX, "")).otherwise(F.col("s")).alias("body"),
-        (F.col("seg") == 0).alias("new_line"))
-    # owner inside the split: latest marker so far (one window group per split)
-    w = (Window.partitionBy("file", "block").orderBy("ln", "seg")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    segs = segs.withColumn("owner", F.last("mark", ignorenulls=True).over(w))
-    # owner for the lines before the first marker of a split: last marker of
-    # the nearest earlier split of the same file.  One row per split, from the
-    # windowed rows (already clustered by split: no new shuffle of the text).
-    splits = segs.groupBy("file", "block").agg(
-        F.max_by("mark", F.when(F.col("mark").isNotNull(), F.struct("ln", "seg"))).alias("last_mark"))
-    ws = (Window.partitionBy("file").orderBy("block")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = splits.select("file", "block", "last_mark",
-                          F.last("last_mark", ignorenulls=True).over(ws).alias("carry"))
-    segs = (segs.join(carry, ["file", "block"], "left")
-            .withColumn("owner", F.coalesce("owner", "carry"))
-            .filter(F.col("owner").isNotNull()))
-    # a record may continue past its split only if it is the split's last one;
-    # carried lines belong to such a record
-    open_ = (F.col("owner.block") != F.col("block")) | (F.col("owner") == F.col("last_mark"))
-    return segs.select("file", "block", "ln", "seg", F.col("owner.id").alias("id"),
-                       F.struct(F.col("file"), F.col("owner.block").alias("block"),
-                                F.col("owner.ln").alias("ln"),
-                                F.col("owner.seg").alias("seg")).alias("rec"),
-                       "body", "new_line", F.coalesce(open_, F.lit(True)).alias("open"))
-
-
-def _join_pieces(arr):
-    """Concatenate (new_line, body) pieces; a piece opening a new line after
-    the first adds a line break."""
-    return F.array_join(F.transform(arr, lambda x, i: F.concat(
-        F.when((i > 0) & x["new_line"], "\n").otherwise(""), x["body"])), "")
+def _head(space: str) -> str:
+    return rf"\A[iI]?[iI][dD]{space}+([0-9]+)"
 
 
 def read_tagged_text(spark: SparkSession, path: str, loose: bool = False) -> DataFrame:
-    """(id, pos, text): one row per marker occurrence, in file order ``pos``.
-
-    Segments arrive clustered by file split (the owner window), so records
-    are first assembled inside each split without another shuffle; only the
-    last record of each split, which may run on into the next split, is
-    regrouped across splits (at most one record per split boundary).
-    """
-    segs = read_tagged_segments(spark, path, loose)
-    piece = F.struct("ln", "seg", "new_line", "body")
-    local = (segs.groupBy("file", "block", "rec", "id", "open")
-             .agg(F.sort_array(F.collect_list(piece)).alias("p"))
-             .select("rec", "id", "open", "block",
-                     F.col("p")[0]["new_line"].alias("new_line"), _join_pieces(F.col("p")).alias("body")))
-    closed = local.filter(~F.col("open")).select("id", F.col("rec").alias("pos"), strip_ws("body").alias("text"))
-    spans = (local.filter(F.col("open")).groupBy("rec", "id")
-             .agg(F.sort_array(F.collect_list(F.struct("block", "new_line", "body"))).alias("q"))
-             .select("id", F.col("rec").alias("pos"), strip_ws(_join_pieces(F.col("q"))).alias("text")))
-    return closed.unionByName(spans).filter(F.col("id").isNotNull())
+    """(id, pos, text): one row per marker occurrence, in file order ``pos``."""
+    found = marked_records(spark, path, LOOSE if loose else ANCHORED)
+    space = PY_WS if loose else r"[\s&&[^\n]]"
+    if loose:  # a marker whose parts lie in two splits is inside of the record that crosses them
+        mark = rf"[iI]?[iI][dD]{PY_WS}+[0-9]+"
+        parts = F.regexp_extract_all("value", F.lit(rf"(?s)((?:{mark})?+.*?)(?={mark}|\z)"), 1)
+        found = found.select("file", "block", "n", F.posexplode(F.when(F.col("crossing"), parts).otherwise(F.array("value"))).alias("part", "value"))
+    else:
+        found = found.select("file", "block", "n", F.lit(0).alias("part"), "value")
+    ident = F.regexp_extract("value", _head(space), 1).try_cast("bigint")
+    body = F.regexp_replace("value", rf"{_head(space)}{space}*{DASHES}{space}*", "")
+    return (found.select(ident.alias("id"), F.struct("file", "block", "n", "part").alias("pos"), strip_ws(body).alias("text"))
+            .filter(F.col("id").isNotNull()))
 
 
 def marker_audit(spark: SparkSession, path: str) -> DataFrame:
