@@ -11,8 +11,13 @@ are counted per language.
    rather than lower its counters by ``least`` in all.
 2. **Exact counts.**  A second scan counts the n-grams that survive, picked by a bit map of fixed size that is sent
    to the tasks; the few others that share a bit go once their counts are whole.  N-grams travel as the hashes of their words, from
-   which those of all their parts follow, so scores are joins of the count table with itself.
-3. **Words.**  Only phrases that can be among a language's first ``top`` are read back as text, in a third
+   which those of all their parts follow.  The counts are kept as a table of arrays, one row per hash partition and language.
+3. **Scores.**  A table of fixed size tells at least how often a word or word pair occurs (the least count of all that share
+   a slot), which bounds each phrase's score from above.  Exact scores, by joins with the counts of the parts, are worked out
+   for the phrases whose bound reaches a threshold of their language.  If the ``top``-th of these is not above the
+   threshold, it is lowered to that one's score (or, if too few were left, by more and more phrases) and the step is repeated;
+   so what is left out could not have been among the first.
+4. **Words.**  Only phrases that can be among a language's first ``top`` are read back as text, in a third
    scan with a bit map of their own; text decides among equal scores.
 
 Memory of a task is bounded by its table (``TABLE`` n-grams) or its summary; no group is gathered.
@@ -43,11 +48,18 @@ SEPARATOR = CUT.copy()
 SEPARATOR[[0x20, 0x09]] = True
 
 #: n-grams a task holds before it sends its counts on, in the first and in the second scan
-TABLE, WORD_TABLE = 1 << 19, 1 << 18
-#: text bytes per summary, and bits of the maps sent to tasks (16 MB for survivors, 2 MB for finalists)
-PART_BYTES = 8 << 20
-SURVIVOR_BITS, FINALIST_BITS = 1 << 27, 1 << 24
+TABLE, WORD_TABLE = 1 << 18, 1 << 18
+#: text bytes per summary
+PART_BYTES = 4 << 20
+#: powers of two of what is sent to tasks: bits of the maps of survivors (16 MB) and of small tables (2 MB), slots of least counts (16 MB)
+SURVIVOR_BITS, SMALL_BITS, SLOT_BITS = 27, 24, 22
+#: phrases scored at first, as a multiple of ``top``, and by what it grows
+TRIED, GROWTH = 4, 8
 SALTS = 64
+GROUPS = 64
+#: scores at which a threshold may lie
+EDGES = np.unique(np.floor(2 ** (np.arange(320) / 16))).astype(np.int64)
+MANY = np.iinfo(np.int32).max
 
 _U = np.uint64
 
@@ -210,43 +222,84 @@ class Summary:
         return self.key[self.n + self.lowered >= self.least]
 
 
-def summarise(least: int, counters: int):
-    """Merge rows ``(part, keys, counts)``, sorted by part, into a summary per part; tells ``(key)``."""
+def summarise(least: int, counters: int, bits: int):
+    """Merge rows ``(part, keys, counts)``, sorted by part, into a summary per part; tells where the bits of the keys that may
+    occur ``least`` times stand: ``(at, raw)``, bytes of the map from ``at`` on."""
     def run(batches):
         part, summary = None, None
 
         def told():
-            return pa.RecordBatch.from_arrays([pa.array(summary.survivors().view(np.int64))], names=["key"])
+            at = np.unique(summary.survivors() >> _U(64 - bits)).astype(np.int64)
+            if not len(at):
+                return []
+            first = int(at[0] >> 3)
+            raw = np.zeros(int(at[-1] >> 3) - first + 1, np.uint8)
+            np.bitwise_or.at(raw, (at >> 3) - first, (1 << (at & 7)).astype(np.uint8))
+            return [pa.RecordBatch.from_arrays([pa.array([first]), pa.array([raw.tobytes()], pa.binary())], names=["at", "raw"])]
 
         for batch in batches:
             for i in range(batch.num_rows):
                 if (now := batch.column(0)[i].as_py()) != part:
                     if summary:
-                        yield told()
+                        yield from told()
                     part, summary = now, Summary(least, counters)
                 summary.add(numbers(batch.column(1)[i].as_py(), np.uint64), numbers(batch.column(2)[i].as_py(), np.int64))
         if summary:
-            yield told()
+            yield from told()
     return run
 
 
+def assembled(pieces: DataFrame, size: int, kind: type, empty: int) -> np.ndarray:
+    """An array of fixed size from pieces ``(at, raw)`` of it: bits or least numbers where pieces meet.  Pieces are put
+    together by ``GROUPS`` stretches first, so the driver receives that many rows."""
+    def run(batches):
+        group, out = None, None
+
+        def told():
+            some = np.flatnonzero(out != empty)
+            return [(group * width + int(some[0]), out[some[0]:some[-1] + 1])] if len(some) else []
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in rows], pa.int64()), pa.array([x.tobytes() for _, x in rows], pa.binary())],
+                                              names=["at", "raw"])
+        for batch in batches:
+            for i in range(batch.num_rows):
+                now, at, raw = (c[i].as_py() for c in batch.columns)
+                if now != group:
+                    if group is not None and (rows := told()):
+                        yield batch_of(rows)
+                    group, out = now, np.full(width, empty, kind)
+                new = np.frombuffer(raw, kind)
+                a, b = max(at, now * width), min(at + len(new), (now + 1) * width)
+                put = np.minimum if empty else np.bitwise_or
+                mine = slice(a - now * width, b - now * width)
+                out[mine] = put(out[mine], new[a - at:b - at])
+        if group is not None and (rows := told()):
+            yield batch_of(rows)
+
+    width = -(-size // GROUPS)
+    item = np.dtype(kind).itemsize
+    last = F.floor((F.col("at") + F.octet_length("raw") / item - 1) / width)
+    rows = (pieces.select(F.explode(F.sequence(F.floor(F.col("at") / width), last)).alias("stretch"), "at", "raw")
+            .repartition("stretch").sortWithinPartitions("stretch").mapInArrow(run, "at long, raw binary"))
+    out = np.full(width * GROUPS, empty, kind)
+    for at, raw in rows.collect():
+        new = np.frombuffer(raw, kind)
+        out[at:at + len(new)] = new
+    return out[:size]
+
+
 def bit_map(keys: DataFrame, bits: int) -> np.ndarray:
-    """Bits of the keys' remainders, as bytes of a map of fixed size; tasks send set bits by block."""
-    at = keys.select(F.pmod("key", F.lit(bits)).alias("at")).select(
+    """Map of the first ``bits`` bits of the keys, as bytes."""
+    at = keys.select((F.shiftrightunsigned("key", 64 - bits) + 1).alias("at")).select(
         F.bitmap_bucket_number("at").alias("block"), F.bitmap_bit_position("at").alias("bit"))
-    rows = at.repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
-    out = np.zeros(bits // 8 + (1 << 12), np.uint8)
-    for block, raw in rows:  # a block is numbered from 1 and holds 32,768 bits; bucket 0 holds the remainder 0
-        out[block << 12:(block + 1) << 12] = np.frombuffer(raw, np.uint8)
-    return out
+    rows = at.repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("raw"))
+    return assembled(rows.select(((F.col("block") - 1) * 4096).alias("at"), "raw"), 1 << (bits - 3), np.uint8, 0)
 
 
 def _in_map(key: np.ndarray, held: np.ndarray, bits: int) -> np.ndarray:
-    """Which keys have their bit set (numbering as of the SQL functions: remainder r > 0 is bit r - 1 of block 1 on)."""
-    r = (key & _U(bits - 1)).astype(np.int64)
-    block = np.where(r > 0, 1 + (r - 1) // 32768, 0)
-    bit = np.where(r > 0, (r - 1) % 32768, 0)
-    return (held[(block << 12) + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 > 0
+    at = (key >> _U(64 - bits)).astype(np.int64)
+    return (held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
 def _count_some(longest: int, table: int, held, bits: int, parts: int):
@@ -301,39 +354,38 @@ def _partial(longest: int) -> list[str]:
     return ["part", "lang", "n", "k", *[f"w{j}" for j in range(longest)]]
 
 
-def _whole_counts(longest: int, least: int, table: int):
-    """Add up the rows of each hash partition and language, sorted by these; n-grams of ``least`` occurrences with the
-    keys of their first parts and rests."""
+def _whole_counts(longest: int, least: int, table: int, slot_bits: int):
+    """Add up the rows of each hash partition and language, sorted by these; n-grams of ``least`` occurrences stay, as one row.
+    A row of null language per partition has the least counts of its words and word pairs by slot, from slot ``n`` on."""
     def run(batches):
         where, waiting, held = None, [], 0
+        slots: list = []
 
         def merged():
             k, n, *w = (np.concatenate(x) for x in zip(*waiting, strict=True))
-            salt = lang_salt(np.full(len(k), _lang_hash(where[1]), np.uint64))
-            key = np.zeros(len(k), np.uint64)
-            for size in range(1, longest + 1):
-                key[k == size] = gram_key([x[k == size] for x in w[:size]], salt[k == size])
-            _, n, at = _summed(key, n)
+            _, n, at = _summed(_keys(k, w, where[1]), n)
             return [(k[at], n, *[x[at] for x in w])]
 
         def told():
             (k, n, *w), = merged()
             some = n >= least
             k, n, w = k[some], n[some], [x[some] for x in w]
-            salt = lang_salt(np.full(len(k), _lang_hash(where[1]), np.uint64))
-            firsts, rests = np.zeros((2, len(k), longest - 1), np.uint64)
-            key = np.zeros(len(k), np.uint64)
-            for size in range(1, longest + 1):
-                at = np.flatnonzero(k == size)
-                part = lambda a, b: gram_key([x[at] for x in w[a:b]], salt[at])  # noqa: B023, E731
-                key[at] = part(0, size)
-                for cut in range(1, size):
-                    firsts[at, cut - 1], rests[at, cut - 1] = part(0, cut), part(cut, size)
-            off = pa.array(np.arange(len(k) + 1, dtype=np.int32) * (longest - 1))
+            short = k <= 2
+            slots.append((_keys(k[short], [x[short] for x in w], where[1]) >> _U(64 - slot_bits), n[short]))
             return pa.RecordBatch.from_arrays([
-                pa.array(key.view(np.int64)), pa.array(k.astype(np.int32)), pa.array([where[1]] * len(k), pa.string()), pa.array(n),
-                *[pa.ListArray.from_arrays(off, pa.array(x.view(np.int64).ravel())) for x in (firsts, rests)]],
-                names=["key", "k", "lang", "a", "firsts", "rests"])
+                pa.array([where[0]]), pa.array([where[1]], pa.string()), *[pa.array([planes(x)], pa.binary()) for x in (n, k, *w)]], names=_partial(longest))
+
+        def least_counts():
+            at, n = (np.concatenate(x) for x in zip(*slots, strict=True))
+            slots.clear()
+            if not len(at):
+                return []
+            at = at.astype(np.int64)
+            low = np.full(int(at.max() - at.min()) + 1, MANY, np.int32)
+            np.minimum.at(low, at - at.min(), np.minimum(n, MANY).astype(np.int32))
+            none = pa.nulls(1, pa.binary())
+            return [pa.RecordBatch.from_arrays([pa.array([at.min()]), pa.nulls(1, pa.string()), pa.array([low.tobytes()], pa.binary()),
+                                                *[none] * (1 + longest)], names=_partial(longest))]
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -341,6 +393,8 @@ def _whole_counts(longest: int, least: int, table: int):
                 if (part, lang) != where:
                     if waiting:
                         yield told()
+                        if part != where[0]:
+                            yield from least_counts()
                     where, waiting, held = (part, lang), [], 0
                 waiting.append((numbers(k, np.uint8), numbers(n, np.int64), *[numbers(x, np.uint64) for x in w]))
                 held += len(waiting[-1][0])
@@ -351,6 +405,97 @@ def _whole_counts(longest: int, least: int, table: int):
                         held = 0
         if waiting:
             yield told()
+            yield from least_counts()
+    return run
+
+
+def _keys(k: np.ndarray, w: list[np.ndarray], lang: str) -> np.ndarray:
+    """Hashes of n-grams of mixed lengths."""
+    salt = lang_salt(np.full(len(k), _lang_hash(lang), np.uint64))
+    out = np.zeros(len(k), np.uint64)
+    for size in np.unique(k):
+        at = k == size
+        out[at] = gram_key([x[at] for x in w[:size]], salt[at])
+    return out
+
+
+def _counted(batches):
+    """Rows of the count table: language, further columns, lengths, counts, word hashes."""
+    for batch in batches:
+        names = batch.schema.names
+        words = [j for j, c in enumerate(names) if c.startswith("w")]
+        for i in range(batch.num_rows):
+            row = {c: batch.column(j)[i].as_py() for j, c in enumerate(names)}
+            yield (row["lang"], row, numbers(row["k"], np.uint8), numbers(row["n"], np.int64), [numbers(row[names[j]], np.uint64) for j in words])
+
+
+def _bounds(lang: str, k: np.ndarray, n: np.ndarray, w: list[np.ndarray], least: int, slots: np.ndarray) -> np.ndarray:
+    """A score that each phrase cannot exceed; -1 for single words."""
+    out = np.full(len(k), np.inf)
+    salt = lang_salt(np.full(len(k), _lang_hash(lang), np.uint64))
+
+    def at_least(a, b, rows):
+        if b - a > 2:
+            return np.maximum(least, n[rows])
+        key = gram_key([x[rows] for x in w[a:b]], salt[rows])
+        return np.maximum(slots[(key >> _U(65 - len(slots).bit_length())).astype(np.int64)], n[rows])
+    for size in np.unique(k):
+        rows = np.flatnonzero(k == size)
+        for cut in range(1, size):
+            a = n[rows].astype(float)
+            out[rows] = np.minimum(out[rows], 1e6 * a * a / (at_least(0, cut, rows).astype(float) * at_least(cut, size, rows)))
+    return np.where(k > 1, np.floor(out * (1 + 1e-9)) + 1, -1)
+
+
+def _spread(least: int, held):
+    """Phrases per language and threshold below their bound."""
+    def run(batches):
+        for lang, _, k, n, w in _counted(batches):
+            bound = _bounds(lang, k, n, w, least, held.value)
+            per = np.bincount(np.searchsorted(EDGES, bound[k > 1], "right") - 1, minlength=len(EDGES))
+            some = np.flatnonzero(per)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(EDGES[some]), pa.array(per[some].astype(np.int64))],
+                                             names=["lang", "edge", "n"])
+    return run
+
+
+def _likely(longest: int, least: int, held):
+    """Phrases whose bound reaches their language's threshold, with the keys of their first parts and rests."""
+    def run(batches):
+        for lang, row, k, n, w in _counted(batches):
+            some = np.flatnonzero(_bounds(lang, k, n, w, least, held.value) >= max(row["tau"], 0))
+            k, n, w = k[some], n[some], [x[some] for x in w]
+            salt = lang_salt(np.full(len(k), _lang_hash(lang), np.uint64))
+            firsts, rests = np.zeros((2, len(k), longest - 1), np.uint64)
+            for size in np.unique(k):
+                at = np.flatnonzero(k == size)
+                for cut in range(1, size):
+                    firsts[at, cut - 1] = gram_key([x[at] for x in w[:cut]], salt[at])
+                    rests[at, cut - 1] = gram_key([x[at] for x in w[cut:size]], salt[at])
+            off = pa.array(np.arange(len(k) + 1, dtype=np.int32) * (longest - 1))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(_keys(k, w, lang).view(np.int64)), pa.array(k.astype(np.int32)), pa.array([lang] * len(k), pa.string()), pa.array(n),
+                *[pa.ListArray.from_arrays(off, pa.array(x.view(np.int64).ravel())) for x in (firsts, rests)]],
+                names=["key", "k", "lang", "a", "firsts", "rests"])
+    return run
+
+
+def _looked_up(needed, own, bits: int):
+    """Counts of the n-grams in one map, and of the phrases one word longer than those in another, by these."""
+    def run(batches):
+        for lang, _, k, n, w in _counted(batches):
+            salt = lang_salt(np.full(len(k), _lang_hash(lang), np.uint64))
+            key = _keys(k, w, lang)
+            some = np.flatnonzero(_in_map(key, needed.value, bits))
+            out = [(key[some], n[some], np.zeros(len(some), np.int64))]
+            for size in np.unique(k[k > 2]):
+                at = np.flatnonzero(k == size)
+                for a, b in ((0, size - 1), (1, size)):
+                    part = gram_key([x[at] for x in w[a:b]], salt[at])
+                    hit = _in_map(part, own.value, bits)
+                    out.append((part[hit], np.zeros(int(hit.sum()), np.int64), n[at[hit]]))
+            key, n, longer = (np.concatenate(x) for x in zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n), pa.array(longer)], names=["key", "a", "longer"])
     return run
 
 
@@ -389,6 +534,29 @@ def _first(rows: DataFrame, order: list, top: int) -> DataFrame:
             .drop("salt").withColumn("rank", whole).where(F.col("rank") <= top))
 
 
+def _scored(spark: SparkSession, counts: DataFrame, tau: DataFrame, slots, longest: int, least: int, covered: int) -> DataFrame:
+    """Exact scores of the phrases whose bound reaches ``tau(lang, tau)``, without those that longer ones cover."""
+    likely = counts.join(tau, "lang").mapInArrow(_likely(longest, least, slots),
+                                                 "key long, k int, lang string, a long, firsts array<long>, rests array<long>")
+    likely = C.store(spark, likely, "phrases-likely")
+    cuts = (likely.select("key", "k", "a", F.posexplode(F.arrays_zip("firsts", "rests")).alias("cut", "part"))
+            .where("cut < k - 1").select("key", "a", "cut", F.col("part.firsts").alias("first"), F.col("part.rests").alias("rest")))
+    send = lambda keys: spark.sparkContext.broadcast(bit_map(keys, SMALL_BITS))
+    needed = cuts.select(F.explode(F.array("first", "rest")).alias("key")).distinct()
+    found = counts.mapInArrow(_looked_up(send(needed), send(likely), SMALL_BITS), "key long, a long, longer long")
+    # a part one word shorter occurs at least as often, so those two parts of each phrase decide for all its parts
+    found = C.store(spark, found.groupBy("key").agg(F.max("a").alias("a"), F.max("longer").alias("longer")), "phrases-found")
+    cuts = (cuts.join(found.select(F.col("key").alias("first"), F.col("a").alias("l")), "first")
+            .join(found.select(F.col("key").alias("rest"), F.col("a").alias("r")), "rest"))
+    whole = lambda c: F.col(c).cast("decimal(15,0)")
+    cuts = cuts.select("key", "cut", "l", "r", (F.lit(1_000_000).cast("decimal(7,0)") * (whole("a") * whole("a"))).alias("up"),
+                       (whole("l") * whole("r")).alias("down")).withColumn("score", F.expr("up div down"))
+    best = cuts.groupBy("key").agg(F.min(F.struct("score", "cut", "l", "r")).alias("best")).select("key", "best.score", "best.l", "best.r")
+    judged = (likely.select("key", "lang", "a").join(best, "key").join(found.select("key", "longer"), "key", "left")
+              .where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * covered)).drop("longer"))
+    return C.store(spark, judged, "phrases-judged")
+
+
 def collocations(spark: SparkSession, docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = TOP,
                  covered: int = COVERED) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: the ``top`` phrases of two to ``longest`` words of each
@@ -409,39 +577,47 @@ def collocations(spark: SparkSession, docs: DataFrame, longest: int = LONGEST, l
     counters = max(1 << 16, longest * int(size) // (2 * parts * least) + 1)  # a word and its end take two bytes at least
 
     seen = docs.mapInArrow(_count_all(longest, TABLE, parts), "part long, keys binary, counts binary")
-    survivors = C.store(spark, seen.repartition("part").sortWithinPartitions("part").mapInArrow(summarise(least, counters), "key long"), "phrases-survivors")
-
-    held = spark.sparkContext.broadcast(bit_map(survivors, SURVIVOR_BITS))
+    survivors = seen.repartition("part").sortWithinPartitions("part").mapInArrow(summarise(least, counters, SURVIVOR_BITS), "at long, raw binary")
+    survivors = assembled(C.store(spark, survivors, "phrases-survivors"), 1 << (SURVIVOR_BITS - 3), np.uint8, 0)
+    held = spark.sparkContext.broadcast(survivors)
     schema = "part long, lang string, n binary, k binary, " + ", ".join(f"w{j} binary" for j in range(longest))
-    rows = docs.mapInArrow(_count_some(longest, WORD_TABLE, held, SURVIVOR_BITS, parts), schema)
-    counted = (rows.repartition("part", "lang").sortWithinPartitions("part", "lang")
-               .mapInArrow(_whole_counts(longest, least, WORD_TABLE), "key long, k int, lang string, a long, firsts array<long>, rests array<long>"))
-    counted = C.store(spark, counted, "phrases-counts")
-    plain = counted.select("key", "a")
-
-    phrases = counted.where("k >= 2")
-    cuts = (phrases.select("key", "k", "a", F.posexplode(F.arrays_zip("firsts", "rests")).alias("cut", "part"))
-            .where("cut < k - 1").select("key", "a", "cut", F.col("part.firsts").alias("first"), F.col("part.rests").alias("rest")))
-    cuts = (cuts.join(plain.select(F.col("key").alias("first"), F.col("a").alias("l")), "first")
-            .join(plain.select(F.col("key").alias("rest"), F.col("a").alias("r")), "rest"))
-    whole = lambda c: F.col(c).cast("decimal(15,0)")
-    cuts = cuts.select("key", "cut", "l", "r", (F.lit(1_000_000).cast("decimal(7,0)") * (whole("a") * whole("a"))).alias("up"),
-                       (whole("l") * whole("r")).alias("down")).withColumn("score", F.expr("up div down"))
-    best = cuts.groupBy("key").agg(F.min(F.struct("score", "cut", "l", "r")).alias("best")).select("key", "best.score", "best.l", "best.r")
-
-    # a part one word shorter occurs at least as often, so those two parts of each phrase decide for all its parts
-    longer = counted.where("k >= 3").select("a", F.explode(F.array(F.expr("firsts[k - 2]"), F.expr("rests[0]"))).alias("key"))
-    longer = longer.groupBy("key").agg(F.max("a").alias("longer"))
-    judged = (phrases.select("key", "lang", "a").join(best, "key").join(longer, "key", "left")
-              .where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * covered)).drop("longer"))
-    judged = C.store(spark, judged, "phrases-judged")
+    counts = (docs.mapInArrow(_count_some(longest, WORD_TABLE, held, SURVIVOR_BITS, parts), schema)
+              .repartition("part").sortWithinPartitions("part", "lang").mapInArrow(_whole_counts(longest, least, WORD_TABLE, SLOT_BITS), schema))
+    counts = C.store(spark, counts, "phrases-counts")
+    pieces = counts.where("lang IS NULL").select(F.col("part").alias("at"), F.col("n").alias("raw"))
+    slots = spark.sparkContext.broadcast(assembled(pieces, 1 << SLOT_BITS, np.int32, MANY))
+    counts = counts.where("lang IS NOT NULL")
+
+    spread = counts.mapInArrow(_spread(least, slots), "lang string, edge long, n long").groupBy("lang", "edge").agg(F.sum("n").alias("n"))
+    spread = C.store(spark, spread, "phrases-spread")  # as many rows a language as thresholds
+    above = F.sum("n").over(Window.partitionBy("lang").orderBy(F.col("edge").desc()))
+    spread = spread.withColumn("above", above)
+
+    def threshold(phrases: int) -> DataFrame:
+        """The highest threshold that so many bounds reach, 0 where there are fewer."""
+        return spread.groupBy("lang").agg(F.coalesce(F.max(F.when(F.col("above") >= phrases, F.col("edge"))), F.lit(0)).alias("tau"))
+
+    tried, tau = TRIED * top, threshold(TRIED * top)
+    while True:
+        tau = C.store(spark, tau, "phrases-tau")
+        judged = _scored(spark, counts, tau, slots, longest, least, covered)
+        tried *= GROWTH
+        # the score of the top-th phrase of each language
+        reached = (_first(judged, [F.col("score").desc(), "key"], top).where(F.col("rank") == top).select("lang", F.col("score").alias("reached")))
+        state = tau.join(reached, "lang", "left").join(threshold(tried).withColumnRenamed("tau", "more"), "lang")
+        settled = (F.col("tau") == 0) | F.coalesce(F.col("reached") >= F.col("tau"), F.lit(False))
+        state = C.store(spark, state.select("lang", settled.alias("settled"), F.when(settled, F.col("tau")).otherwise(
+            F.coalesce("reached", "more")).alias("tau")), "phrases-state")
+        if state.where("NOT settled").isEmpty():
+            break
+        tau = state.select("lang", "tau")
 
     order = [F.col("score").desc(), F.col("a").desc()]
     last = _first(judged, [*order, "key"], top).groupBy("lang").agg(F.min(F.struct("score", "a")).alias("last"))
     finalists = (judged.join(last, "lang").where(F.struct("score", "a") >= F.col("last")).drop("last"))
     finalists = C.store(spark, finalists, "phrases-finalists")
-    named = spark.sparkContext.broadcast(bit_map(finalists, FINALIST_BITS))
-    read = C.store(spark, docs.mapInArrow(_read_words(longest, named, FINALIST_BITS), "key long, phrase string, lang string, n long"),
+    named = spark.sparkContext.broadcast(bit_map(finalists, SMALL_BITS))
+    read = C.store(spark, docs.mapInArrow(_read_words(longest, named, SMALL_BITS), "key long, phrase string, lang string, n long"),
                    "phrases-words")
     words = read.where("key is not null").groupBy("key").agg(F.min("phrase").alias("phrase"))
     sizes = read.where("key is null").groupBy("lang").agg(F.sum("n").alias("n"))

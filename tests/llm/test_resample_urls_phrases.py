@@ -211,17 +211,20 @@ def test_summary_keeps_frequent_keys():
     rnd = np.random.default_rng(1)
     for least, counters in [(10, 4), (10, None), (3, 1), (3, None), (25, 10), (25, None)]:
         rows, want, enough = [], set(), 0
-        for part in (3, 8):
-            keys = part * 10**6 + np.concatenate((np.repeat(np.arange(40), least), np.repeat(np.arange(40, 80), least - 1), np.arange(1000, 6000)))
-            want |= set(range(part * 10**6, part * 10**6 + 40))
+        for part in (1, 2):
+            keys = part * 10**4 + np.concatenate((np.repeat(np.arange(40), least), np.repeat(np.arange(40, 80), least - 1), np.arange(1000, 5000)))
+            want |= set(range(part * 10**4, part * 10**4 + 40))
             enough = max(enough, len(keys) // least + 1)
             rnd.shuffle(keys)
-            rows += [(part, collocations.planes(x.astype(np.uint64)), collocations.planes(np.ones(len(x), np.int64))) for x in np.array_split(keys, 300)]
+            rows += [(part, collocations.planes(x.astype(np.uint64) << np.uint64(48)), collocations.planes(np.ones(len(x), np.int64))) for x in np.array_split(keys, 300)]
         batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i:i + 70], strict=True)], names=["part", "keys", "counts"])
                    for i in range(0, len(rows), 70)]
-        kept = [k for b in collocations.summarise(least, counters or enough)(iter(batches)) for k in b.column(0).to_pylist()]
-        assert want <= set(kept) and len(kept) == len(set(kept))
-        assert counters or len(kept) <= 2 * enough
+        got = np.zeros(1 << 13, np.uint8)
+        for b in collocations.summarise(least, counters or enough, 16)(iter(batches)):
+            for at, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                got[at:at + len(raw)] |= np.frombuffer(raw, np.uint8)
+        assert collocations._in_map(np.array(sorted(want), np.uint64) << np.uint64(48), got, 16).all()
+        assert counters or np.unpackbits(got).sum() <= 2 * enough
 
 
 def test_hash_partitions():
@@ -230,7 +233,25 @@ def test_hash_partitions():
 
 
 def test_bit_map(spark):
-    keys = [0, 1, -1, 32768, 32769, 65535, 65536, -(2**63), 2**63 - 1, 123456789]
-    held = collocations.bit_map(spark.createDataFrame([(k,) for k in keys], "key long"), 1 << 17)
-    asked = np.array([*keys, 2, 40_000, 99_999], np.int64).view(np.uint64)
-    assert collocations._in_map(asked, held, 1 << 17).tolist() == [True] * len(keys) + [False] * 3
+    keys = [0, 1 << 47, -1, 32768 << 47, 32769 << 47, 65535 << 47, 65536 << 47, -(2**63), 2**63 - 1, 123456789 << 20]
+    keys = [(k + 2**63) % 2**64 - 2**63 for k in keys]
+    held = collocations.bit_map(spark.createDataFrame([(k,) for k in keys], "key long"), 17)
+    asked = np.array([*keys, 2 << 47, 40_000 << 47], np.int64).view(np.uint64)
+    assert len(held) == 1 << 14 and collocations._in_map(asked, held, 17).tolist() == [True] * len(keys) + [False] * 2
+
+
+def test_thresholds_are_lowered(spark, monkeypatch):
+    """With few phrases tried at first, thresholds go down until nothing left out could be among the first."""
+    monkeypatch.setattr(collocations, "TRIED", 1)
+    monkeypatch.setattr(collocations, "GROWTH", 2)
+    rows = phrase_docs(8)
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    got = sorted(tuple(r) for r in collocations.collocations(spark, docs, 3, 3, 6, 30).collect())
+    assert got == best_phrases(rows, 3, 3, 6, 30)
+
+
+@pytest.mark.parametrize("text,lang", [("a b c " * 5, "en"), ("a " * 30, None)])
+def test_slots_may_collide(spark, monkeypatch, text, lang):
+    monkeypatch.setattr(collocations, "SLOT_BITS", 1)
+    docs = spark.createDataFrame([(text, lang), (None, "en")], "text string, lang string")
+    assert sorted(tuple(r) for r in collocations.collocations(spark, docs, 3, 2, 5, 101).collect()) == best_phrases([(text, lang)], 3, 2, 5, 101)
