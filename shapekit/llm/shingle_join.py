@@ -22,9 +22,11 @@ bands grow by 1.6, and a document joins its own band and, within 1.25 times that
 band's end, the one below.
 
 Components need reachability, not every link.  Documents with equal
-sets are one node.  Each key first links its documents to one hub, its smallest.
-Then only pairs of documents that share a key but not yet a component are
-compared, which completes the links between components exactly.
+sets are one node.  Each key first links its documents to one hub, its smallest, which then is
+done with in that key.  Of the others only pairs that share a key but not yet a component are
+compared, which completes the links between components exactly; size test and Hamming
+filter are part of that join, on sketches of up to ``WIDEST`` words, so that the pairs it makes are close to the
+links sought also for long documents that share passages.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ SHINGLE = 5
 #: links: 100 * intersection >= NUM * union
 NUM = 80
 SKETCH_WORDS = 16
+#: words of the sketches that travel with keys (4,096 bits: of use for sets of up to about 9,000 shingles)
+WIDEST = 64
 
 _U = np.uint64
 _LOW52 = _U((1 << 52) - 1)
@@ -255,11 +259,41 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     distinct 5-word shingles >= 0.8), the document itself included.
 
     Null or wordless texts: ``n_shingles`` 0, linked with nothing.  Null doc_id: null component, linked with nothing.  Documents of
-    one to four words: one shingle.  Repeated rows with one doc_id: each row is returned, with
-    one component.  Empty input: empty result.  Other columns are ignored.
+    one to four words: one shingle.  Repeated rows with one doc_id: each row is returned with the size of
+    its own text, all with one component, over which links of either text lead.  Empty input: empty result.  Other columns are ignored.
     """
     C.prepare(spark)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     prof = C.store(spark, profiles(docs), "jaccard-profile")
+    print_ = F.struct("n", "fp1", "fp2")
+    again = (prof.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(print_).alias("one"), F.max(print_).alias("two"))
+             .where("one <> two").select("doc_id"))
+    if again.isEmpty():
+        return _components(spark, docs, prof)
+
+    # ids with several texts: all but one of the texts go by a negative number of their own
+    hashed = docs.withColumn("h", F.xxhash64("text"))
+    least = hashed.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("h").alias("least"))
+    own = F.col("least").isNull() | (F.col("h") == F.col("least"))
+    number = F.when(own, F.col("doc_id")).otherwise(-1 - F.shiftrightunsigned(F.xxhash64("doc_id", "h"), 1))
+    named = C.store(spark, hashed.join(least, "doc_id", "left").select("doc_id", number.alias("node"), "text"), "jaccard-named")
+    inner = named.select(F.col("node").alias("doc_id"), "text")
+    found = C.store(spark, _components(spark, inner, C.store(spark, profiles(inner), "jaccard-profile")), "jaccard-found")
+    alias = named.where("node <> doc_id").select("doc_id", "node").distinct()
+    label = found.select(F.col("doc_id").alias("node"), F.col("component_id").alias("label")).distinct()
+    bridges = (alias.join(label, "node").select("doc_id", F.col("label").alias("a"))
+               .join(label.select(F.col("node").alias("doc_id"), F.col("label").alias("b")), "doc_id").where("a <> b").select("a", "b"))
+    over = components(spark, bridges).select(F.col("node").alias("label"), "component")
+    rows = (found.withColumnRenamed("doc_id", "node").join(alias, "node", "left")
+            .withColumn("doc_id", F.coalesce("doc_id", "node")).withColumnRenamed("component_id", "label")
+            .join(over, "label", "left").withColumn("label", F.coalesce("component", "label")))
+    rows = C.store(spark, rows.select("doc_id", "n_shingles", "label"), "jaccard-rows")
+    smallest = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(smallest, "label", "left").select("doc_id", "n_shingles", "component_id")
+
+
+def _components(spark: SparkSession, docs: DataFrame, prof: DataFrame) -> DataFrame:
+    """``jaccard_components`` where rows of one doc_id have one text."""
     small = prof.select("doc_id", "n", "fp1", "fp2")
     reps = small.where("n > 0 and doc_id is not null").groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"))
     reps = C.store(spark, reps, "jaccard-reps")
@@ -284,23 +318,27 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     tried = C.store(spark, near(pairs), "jaccard-pairs")
     links = verified(spark, tried, docs, "jaccard-links", grows=True)
 
-    # every pair that shares a key but no component yet, the Hamming filter inside the join
+    # a key's only hub has been compared with all others; those that share no component yet remain (of a
+    # salted key, which has several hubs, all do)
     label = components(spark, links)
     named = (shared.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-             .select("key", "doc_id", F.coalesce("component", "doc_id").alias("label")))
-    several = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    open_ = C.store(spark, named.join(several.select("key"), "key", "left_semi"), "jaccard-open")
-    few = 8  # words that travel with every key; the sketch folded to them still bounds the difference
-    small_sketch = _folded(F.col("sketch"), F.lit(few)).alias("sketch")
-    full = open_.join(node.select("doc_id", "n", small_sketch), "doc_id").select("key", "doc_id", "label", "n", "sketch")
+             .select("key", "doc_id", "hub", F.coalesce("component", "doc_id").alias("label")))
+    other = F.col("doc_id") != F.col("hub")
+    rest = F.when(other, F.col("label"))
+    one = F.col("first_hub") == F.col("last_hub")
+    several = (named.groupBy("key").agg(F.min("hub").alias("first_hub"), F.max("hub").alias("last_hub"), F.min("label").alias("lo"),
+                                        F.max("label").alias("hi"), F.min(rest).alias("rest_lo"), F.max(rest).alias("rest_hi"))
+               .where(F.when(one, F.col("rest_lo") < F.col("rest_hi")).otherwise(F.col("lo") < F.col("hi"))).select("key", one.alias("one")))
+    open_ = C.store(spark, named.join(several, "key").where(other | ~F.col("one")).select("key", "doc_id", "label"), "jaccard-open")
+    sketch = _folded(F.col("sketch"), F.least(F.lit(WIDEST), F.size("sketch"))).alias("sketch")
+    full = open_.join(node.select("doc_id", "n", sketch), "doc_id").select("key", "doc_id", "label", "n", "sketch")
     x, y = full.alias("x"), full.alias("y")
-    apart = sum((F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(few)), F.lit(0))
     more = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") < F.col("y.doc_id"))
                    & (F.col("x.label") != F.col("y.label"))
                    & (F.col("x.n") * 5 >= F.col("y.n") * 4) & (F.col("y.n") * 5 >= F.col("x.n") * 4)
-                   & (apart * 9 <= F.col("x.n") + F.col("y.n")))
+                   & (_differ("x.sketch", "y.sketch") * 9 <= F.col("x.n") + F.col("y.n")))
             .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
-    more = C.store(spark, near(more.join(tried, ["a", "b"], "left_anti")), "jaccard-pairs")
+    more = C.store(spark, near(more), "jaccard-pairs")
     links = links.unionByName(verified(spark, more, docs, "jaccard-links"))
 
     label = components(spark, links).select(F.col("node").alias("rep"), "component")
@@ -314,9 +352,10 @@ def without_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     Of rows that repeat a doc_id one stays; rows with a null doc_id all stay."""
     groups = C.store(spark, jaccard_components(spark, docs), "jaccard-groups")
     gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    columns = [f"`{c}`" for c in docs.columns]
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(columns)
     again = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
         return kept
-    return (kept.join(again, "doc_id", "left_anti").select(docs.columns)
-            .unionByName(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])))
+    return (kept.join(again, "doc_id", "left_anti").select(columns)
+            .unionByName(kept.join(again, "doc_id", "left_semi").select(columns).dropDuplicates(["doc_id"])))
