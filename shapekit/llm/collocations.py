@@ -3,7 +3,7 @@
 Texts fall into pieces at punctuation and line ends, pieces into words; n-grams stay inside pieces and
 are counted per language.
 
-1. **Summaries.**  A task counts the n-grams (64-bit hashes) of its texts and, whenever they fill its table, sends one
+1. **Summaries.**  A task counts the n-grams (first bits of their 64-bit hashes) of its texts and, whenever they fill its table, sends one
    summary per hash partition on.  A partition's summaries come to one task, one after the other, which merges them into one
    Misra-Gries summary: beyond its capacity, counters are lowered together and those at zero go.
    The capacity exceeds the partition's mass, bounded by the bytes of the texts, divided by the threshold, so no
@@ -53,6 +53,8 @@ TABLE, WORD_TABLE = 1 << 18, 1 << 18
 PART_BYTES = 4 << 20
 #: powers of two of what is sent to tasks: bits of the maps of survivors (16 MB) and of small tables (2 MB), slots of least counts (16 MB)
 SURVIVOR_BITS, SMALL_BITS, SLOT_BITS = 27, 24, 22
+#: bits of the hashes that summaries tell n-grams apart by; n-grams that share them only add to each other's counts there
+SUMMARY_BITS = 40
 #: phrases scored at first, as a multiple of ``top``, and by what it grows
 TRIED, GROWTH = 4, 8
 SALTS = 64
@@ -154,7 +156,7 @@ def _part_edges(parts: int) -> np.ndarray:
 def _count_all(longest: int, table: int, parts: int):
     def run(batches):
         keys, counts, held = [], [], 0
-        edges = _part_edges(parts)
+        edges = _part_edges(parts) >> _U(64 - SUMMARY_BITS)
 
         def merged():
             key, n, _ = _summed(np.concatenate(keys), np.concatenate(counts))
@@ -168,7 +170,7 @@ def _count_all(longest: int, table: int, parts: int):
             return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64)), cut(key), cut(n)], names=["part", "keys", "counts"])
 
         for g, _, _ in _steps(batches, longest):
-            key = np.concatenate([g.keys[k][g.valid[k]] for k in range(1, longest + 1)])
+            key = np.concatenate([g.keys[k][g.valid[k]] for k in range(1, longest + 1)]) >> _U(64 - SUMMARY_BITS)
             key, n = np.unique(key, return_counts=True)
             keys.append(key)
             counts.append(n.astype(np.int64))
@@ -229,7 +231,7 @@ def summarise(least: int, counters: int, bits: int):
         part, summary = None, None
 
         def told():
-            at = np.unique(summary.survivors() >> _U(64 - bits)).astype(np.int64)
+            at = np.unique(summary.survivors() >> _U(SUMMARY_BITS - bits)).astype(np.int64)
             if not len(at):
                 return []
             first = int(at[0] >> 3)

@@ -216,7 +216,7 @@ def test_summary_keeps_frequent_keys():
             want |= set(range(part * 10**4, part * 10**4 + 40))
             enough = max(enough, len(keys) // least + 1)
             rnd.shuffle(keys)
-            rows += [(part, collocations.planes(x.astype(np.uint64) << np.uint64(48)), collocations.planes(np.ones(len(x), np.int64))) for x in np.array_split(keys, 300)]
+            rows += [(part, collocations.planes(x.astype(np.uint64) << np.uint64(24)), collocations.planes(np.ones(len(x), np.int64))) for x in np.array_split(keys, 300)]
         batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i:i + 70], strict=True)], names=["part", "keys", "counts"])
                    for i in range(0, len(rows), 70)]
         got = np.zeros(1 << 13, np.uint8)
