@@ -330,12 +330,16 @@ def _components(spark: SparkSession, docs: DataFrame, prof: DataFrame) -> DataFr
                                         F.max("label").alias("hi"), F.min(rest).alias("rest_lo"), F.max(rest).alias("rest_hi"))
                .where(F.when(one, F.col("rest_lo") < F.col("rest_hi")).otherwise(F.col("lo") < F.col("hi"))).select("key", one.alias("one")))
     open_ = C.store(spark, named.join(several, "key").where(other | ~F.col("one")).select("key", "doc_id", "label"), "jaccard-open")
+    few = 8  # words that settle most pairs at once, before the whole sketches are looked at
     sketch = _folded(F.col("sketch"), F.least(F.lit(WIDEST), F.size("sketch"))).alias("sketch")
-    full = open_.join(node.select("doc_id", "n", sketch), "doc_id").select("key", "doc_id", "label", "n", "sketch")
+    full = (open_.join(node.select("doc_id", "n", sketch, _folded(F.col("sketch"), F.lit(few)).alias("few")), "doc_id")
+            .select("key", "doc_id", "label", "n", "sketch", "few"))
     x, y = full.alias("x"), full.alias("y")
+    apart = sum((F.bit_count(F.col("x.few")[k].bitwiseXOR(F.col("y.few")[k])) for k in range(few)), F.lit(0))
     more = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") < F.col("y.doc_id"))
                    & (F.col("x.label") != F.col("y.label"))
                    & (F.col("x.n") * 5 >= F.col("y.n") * 4) & (F.col("y.n") * 5 >= F.col("x.n") * 4)
+                   & (apart * 9 <= F.col("x.n") + F.col("y.n"))
                    & (_differ("x.sketch", "y.sketch") * 9 <= F.col("x.n") + F.col("y.n")))
             .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
     more = C.store(spark, near(more), "jaccard-pairs")
