@@ -716,14 +716,15 @@ def q_service_retry(spark, sf_dir):
 
 
 def _quality_stream(spark, sf_dir):
-    """Answers stream in file by file and are validated on arrival; the last file brings
+    """Answers stream in, some files at a time, and are validated on arrival; the last files bring
     some answers a second time.  Returns the sink's and the counts' folders."""
     base = scratch_dir(spark, "stream-quality")
     d = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     for name, some in (("a", d.filter("doc_id % 3 = 0")), ("b", d.filter("doc_id % 3 = 1")),
                        ("c", d.filter("doc_id % 3 = 2").unionByName(d.filter("doc_id % 7 = 1")))):
-        some.coalesce(1).write.parquet(f"{base}/in/{name}")
-    src = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+        some.write.parquet(f"{base}/in/{name}")
+    files = len(spark.read.schema(d.schema).parquet(f"{base}/in/*").inputFiles())
+    src = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", -(-files // 3)).parquet(f"{base}/in/*")
     i = F.col("doc_id")
     k = derived.variant(derived.PHASE_KEYS["before"](i), i)
     answers = src.select(F.lit("before").alias("run"), i.alias("idx"), F.col("source").alias("model"),

@@ -43,11 +43,13 @@ class Cutter:
 
 
 def split_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
-    """(split, file, block, value): the lines under ``path``; ``split`` identifies file and byte range."""
+    """(split, file, block, value): the lines under ``path``, bytes that are no UTF-8 replaced; ``split`` identifies file
+    and byte range."""
     reader = spark.read.option("encoding", "UTF-8")
     lines = (reader.option("lineSep", line_sep) if line_sep else reader).text(path)
     file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
-    return lines.select(F.xxhash64(file, block).alias("split"), file.alias("file"), block.alias("block"), "value")
+    return lines.select(F.xxhash64(file, block).alias("split"), file.alias("file"), block.alias("block"),
+                        F.make_valid_utf8("value").alias("value"))
 
 
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
