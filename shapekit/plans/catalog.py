@@ -752,6 +752,8 @@ def q_stream_assemble(spark, sf_dir):
     base = scratch_dir(spark, "stream-assemble")
     src_dir, out_dir, ckpt = f"{base}/chunks", f"{base}/out", f"{base}/ckpt"
     schema = "idx long, seq int, chunk string, is_last boolean, ts timestamp"
+    chunks.write.parquet(f"{base}/all")  # cut once, dealt to both runs
+    chunks = spark.read.schema(schema).parquet(f"{base}/all")
     for part, cond in (("a", F.col("seq") < 3), ("b", F.col("seq") >= 3)):
         chunks.filter(cond).write.mode("overwrite").parquet(f"{src_dir}/{part}")
         stream = spark.readStream.schema(schema).parquet(f"{src_dir}/*")
