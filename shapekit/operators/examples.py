@@ -86,7 +86,11 @@ def word_ids(c, vocab: int = VOCAB, hash_fn: str = "md5") -> Column:
     if hash_fn == "xxhash64":
         return F.transform(word_tokens(c), lambda t: (
             F.pmod(F.xxhash64(t), F.lit(vocab - N_SPECIAL)) + N_SPECIAL).cast("int"))
-    return F.transform(word_tokens(c), lambda t: (
+    return _ids(word_tokens(c), vocab)
+
+
+def _ids(tokens: Column, vocab: int = VOCAB) -> Column:
+    return F.transform(tokens, lambda t: (
         F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % (vocab - N_SPECIAL) + N_SPECIAL
     ).cast("int"))
 
@@ -105,6 +109,19 @@ def tokenizer_udf(make_tokenizer):
     return tok
 
 
+def _native_ids(df: DataFrame, max_len: int, count_tokens=None) -> DataFrame:
+    """Adds ``prefix_len``, ``full_len`` (of all tokens) and ``_full_ids``, the native ids of the first ``max_len``.
+
+    No token runs over a line end, so a prompt that ends with one and begins the full text is cut into tokens once."""
+    rest = F.substring("full", F.length("prompt") + 1, F.length("full"))
+    shared = F.startswith("full", "prompt") & F.endswith("prompt", F.lit("\n"))
+    d = (df.withColumn("_prompt", word_tokens("prompt"))
+           .withColumn("_tokens", F.when(shared, F.concat("_prompt", word_tokens(rest))).otherwise(word_tokens("full"))))
+    return (d.withColumn("prefix_len", count_tokens(F.col("prompt")) if count_tokens else F.size("_prompt"))
+             .withColumn("full_len", F.size("_tokens"))
+             .withColumn("_full_ids", _ids(F.slice("_tokens", 1, max_len))).drop("_prompt", "_tokens"))
+
+
 def tokenize_examples(df: DataFrame, max_len: int, tokenize=word_ids, pad_id: int = PAD_ID,
                       mask_padding: bool = False, count_tokens=None) -> DataFrame:
     """(…, prompt, full) -> input_ids, attention_mask, labels (fixed length) + lengths.
@@ -114,12 +131,13 @@ def tokenize_examples(df: DataFrame, max_len: int, tokenize=word_ids, pad_id: in
     prompt's token count is needed: ``count_tokens`` (default: the size of
     the native token list, or of ``tokenize``'s ids) avoids computing ids twice.
     """
-    if count_tokens is None:
-        count_tokens = (lambda c: F.size(word_tokens(c))) if tokenize is word_ids \
-            else (lambda c: F.size(tokenize(c)))
-    d = (df.withColumn("_full_ids", tokenize(F.col("full")))
-           .withColumn("prefix_len", count_tokens(F.col("prompt")))
-           .withColumn("full_len", F.size("_full_ids")))
+    if tokenize is word_ids:
+        d = _native_ids(df, max_len, count_tokens)
+    else:
+        count_tokens = count_tokens or (lambda c: F.size(tokenize(c)))
+        d = (df.withColumn("_full_ids", tokenize(F.col("full")))
+               .withColumn("prefix_len", count_tokens(F.col("prompt")))
+               .withColumn("full_len", F.size("_full_ids")))
     d = (d.withColumn("input_ids", pad_truncate("_full_ids", max_len, pad_id))
            .withColumn("attention_mask", attention_mask("_full_ids", max_len)))
     real = F.least(F.col("full_len"), F.lit(max_len))

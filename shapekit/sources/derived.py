@@ -119,17 +119,20 @@ def semantic_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- structured rows and free texts for pair building ------------------------------
 
 def gold_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, items ARRAY<STRUCT<n, name, step>>): line items of each order in line order
-    (ties broken by part name, then step text)."""
+    """(id, items ARRAY<STRUCT<n, name, flag>>): line items of each order in line order
+    (ties broken by part name, then flag)."""
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
     p = table(spark, sf_dir, "part", "p_partkey", "p_name")
     it = li.join(p, li.l_partkey == p.p_partkey, "inner")
-    step = F.concat(F.lit("Pack line "), F.col("l_linenumber").cast("string"),
-                    F.lit(" flag "), F.col("l_returnflag"))
     return (it.groupBy(F.col("l_orderkey").alias("id"))
             .agg(F.sort_array(F.collect_list(F.struct(F.col("l_linenumber").alias("n"),
                                                       F.col("p_name").alias("name"),
-                                                      step.alias("step")))).alias("items")))
+                                                      F.col("l_returnflag").alias("flag")))).alias("items")))
+
+
+def step_text(x: Column) -> Column:
+    """The step of a line item: its text follows from the line number and the flag, which alone are moved."""
+    return F.concat(F.lit("Pack line "), x["n"].cast("string"), F.lit(" flag "), x["flag"])
 
 
 def structured_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +146,7 @@ def structured_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" Order "), F.col("o_orderkey").cast("string"), F.lit(" "),
                  F.col("o_orderpriority"), F.lit(" ")).alias("title"),
         F.coalesce(F.to_json(F.transform("items", lambda x: x["name"])), empty).alias("ingredients"),
-        F.coalesce(F.to_json(F.transform("items", lambda x: x["step"])), empty).alias("directions"))
+        F.coalesce(F.to_json(F.transform("items", step_text)), empty).alias("directions"))
 
 
 def _q(c) -> F.Column:
@@ -185,10 +188,11 @@ def write_csv_lines(lines: DataFrame, path: str, header: str) -> str:
     file, as a CSV writer does, so a header-aware reader skips it per file.
 
     Spark's own CSV writer does the work on one column named by the header: a
-    separator that never occurs and no quoting keep each line verbatim.
+    separator that never occurs and no quoting keep each line verbatim.  Part files are
+    compressed, each as large as one task's share of the lines.
     """
     (lines.select(F.col("line").alias(header)).write.mode("overwrite")
-     .option("header", True).option("sep", "\u0001").option("quote", "")
+     .option("header", True).option("compression", "lz4").option("sep", "\u0001").option("quote", "")
      .option("escapeQuotes", False).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
