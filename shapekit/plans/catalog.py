@@ -397,10 +397,10 @@ CTX = 4096
 
 def _example_inputs(spark, sf_dir):
     s = derived.structured_rows(spark, sf_dir)
-    gold = s.select(F.col("id"), P.build_target_json(F.col("title"), P.parse_list_cell("ingredients"),
-                                                     P.parse_list_cell("directions")).alias("json"))
     d = _docs(spark, sf_dir, "doc_id", "text").withColumnRenamed("doc_id", "id")
-    return d.join(gold, "id", "inner").withColumn("system", F.lit(SYSTEM_TEXT))
+    # list cells are parsed once joined: only those of rows that have a text
+    gold = P.build_target_json(F.col("title"), P.parse_list_cell("ingredients"), P.parse_list_cell("directions"))
+    return d.join(s, "id", "inner").select("id", "text", gold.alias("json")).withColumn("system", F.lit(SYSTEM_TEXT))
 
 
 @query("render_chat")

@@ -45,3 +45,9 @@ def test_examples_are_as_when_prompt_and_full_text_are_cut_apart(spark, max_len)
     assert got.orderBy("id").collect() == want.orderBy("id").collect()
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "md5(cast(lambda" in plan and "slice(" in plan.split("md5(cast(lambda")[0].rsplit("transform(", 1)[1]
+
+
+def test_list_cells_of_rows_without_a_text_are_not_parsed(spark):
+    from shapekit.plans import catalog
+    plan = catalog._example_inputs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" in plan.split("Join Inner")[0].lower() and "regexp" not in plan.split("Join Inner", 1)[1].lower()
