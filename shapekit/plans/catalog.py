@@ -754,10 +754,11 @@ def q_stream_assemble(spark, sf_dir):
     schema = "idx long, seq int, chunk string, is_last boolean, ts timestamp"
     chunks.write.parquet(f"{base}/all")  # cut once, dealt to both runs
     chunks = spark.read.schema(schema).parquet(f"{base}/all")
+    shards = ST2.shards_for(chunks.filter("seq = 0").count())
     for part, cond in (("a", F.col("seq") < 3), ("b", F.col("seq") >= 3)):
         chunks.filter(cond).write.mode("overwrite").parquet(f"{src_dir}/{part}")
         stream = spark.readStream.schema(schema).parquet(f"{src_dir}/*")
-        q = (ST2.assemble_stream(stream).writeStream.outputMode("append").format("parquet")
+        q = (ST2.assemble_stream(stream, shards=shards).writeStream.outputMode("append").format("parquet")
              .option("path", out_dir).option("checkpointLocation", ckpt)
              .trigger(availableNow=True).start())
         q.awaitTermination()
